@@ -1,0 +1,18 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
+    frame is returned unhinted: Spark then plans a shuffle join, and AQE
+    still switches to a broadcast at run time if the side is small, or
+    splits skewed partitions if a key is hot.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
