@@ -1,0 +1,165 @@
+"""Hand-made rows in the wire format: parsing, scenario 304, colours, guards."""
+
+import json
+
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from vidpulse.functions.geo import color_ramp, marker_size
+from vidpulse.operators import counts, sampling, sentiment, text, viewers
+from vidpulse.operators.routing import route_events
+from vidpulse.plans import dashboard
+from vidpulse.schema import STOP_WORDS
+from vidpulse.sources.envelope import decode_envelope, encode_envelope, parse_events
+from vidpulse.sources.fixtures import derive_lexicon
+
+
+def _line(**kw):
+    return json.dumps(kw) + "\n"
+
+
+def _envelope(video_id, line):
+    return json.dumps([video_id, line])
+
+
+GOOD = [
+    _line(user_id=1, event_type=t, timestamp=0.1 * i, video_id=3, longitude=-90.5, latitude=40.25)
+    for i, t in enumerate(["start_video", "end_video", "play", "leave", "like", "dislike"])
+]
+TRICKY_COMMENT = 'Great, show! {"user_id": 5} user_id\nsee you.'
+
+
+def test_envelope_parse_cases(spark):
+    values = [_envelope(3, g) for g in GOOD] + [
+        _envelope(3, _line(comment=TRICKY_COMMENT, user_id=12, event_type="comment", timestamp=0.52,
+                           video_id=3, longitude=-90.1, latitude=40.2)),
+        _envelope(4, _line(comment="12345", user_id=13, event_type="comment", timestamp=0.6, video_id=4,
+                           longitude=-90.1, latitude=40.2)),
+        "not json at all",
+        json.dumps([5, "{broken"]),
+        "",
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    parsed = parse_events(df).collect()
+    assert len(parsed) == 8
+    types = sorted(r.event_type for r in parsed)
+    assert types == sorted(["start_video", "end_video", "play", "leave", "like", "dislike", "comment", "comment"])
+    tricky = [r for r in parsed if r.video_id == 3 and r.event_type == "comment"][0]
+    assert tricky.comment == TRICKY_COMMENT
+    assert all(r.comment is None for r in parsed if r.event_type != "comment")
+    keys = decode_envelope(df).select("key").collect()
+    assert keys[0].key == "3" and keys[-1].key is None
+
+
+def test_envelope_roundtrip_keeps_comment(spark):
+    rows = [Row(event_id=1, timestamp=1.5, event_type="comment", user_id=7, video_id=9, latitude=30.0,
+                longitude=-100.0, comment='a "quoted", {odd} text\nline')]
+    df = spark.createDataFrame(rows)
+    back = parse_events(encode_envelope(df).select("value")).collect()[0]
+    assert back.comment == rows[0].comment and back.video_id == 9 and back.event_id == 1
+    assert str(back.ts) == "1970-01-01 00:00:15"
+
+
+def test_blank_comment_has_no_sentences(spark):
+    df = spark.createDataFrame([(4, "12345 ,,, 678"), (5, "Hi there. Bye!")], "video_id long, comment string")
+    df = df.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    s = text.comment_sentences(df).collect()
+    assert sorted(r.sentence for r in s) == ["Bye!", "Hi there."]
+
+
+def test_routing_exact_type(spark):
+    df = spark.createDataFrame([("like",), ("dislike",), ("comment",), ("start_video",), ("other",)], "event_type string")
+    got = {r.event_type: r.topic for r in route_events(df).collect()}
+    assert got == {"like": "like_topic", "dislike": "dislike_topic", "comment": "comments_topic",
+                   "start_video": "start_topic"}
+
+
+def test_color_ramp_and_size(spark):
+    df = spark.createDataFrame([(0,), (1,), (51,), (101,), (500,)], "likes long")
+    got = [r.c for r in df.select(color_ramp(F.col("likes")).alias("c")).collect()]
+    assert got == ["#4266f4", "#4266f4", "#f466f4", "#f46642", "#f46642"]
+    sizes = [r.s for r in spark.createDataFrame([(2500,), (9000,), (-50,)], "v long")
+             .select(marker_size(F.col("v")).alias("s")).collect()]
+    assert sizes == [0.5, 1.0, -0.01]
+
+
+def _scenario(spark):
+    ts = "2024-01-01 00:00:{:02d}"
+    rows = []
+    eid = 0
+    # video 304: 14 plays and 5 leaves in mixed order, plus a start record
+    rows.append((eid, ts.format(0), 304, "start_video", 40.0, -100.0)); eid += 1
+    seq = ["play"] * 3 + ["leave"] + ["play"] * 5 + ["leave"] * 2 + ["play"] * 6 + ["leave"] * 2
+    for i, t in enumerate(seq):
+        rows.append((eid, ts.format(1 + i), 304, t, 40.0, -100.0)); eid += 1
+    # video 7: leave before any play -> negative views
+    rows.append((eid, ts.format(0), 7, "start_video", 30.0, -90.0)); eid += 1
+    rows.append((eid, ts.format(1), 7, "leave", 30.0, -90.0)); eid += 1
+    rows.append((eid, ts.format(2), 7, "leave", 30.0, -90.0)); eid += 1
+    rows.append((eid, ts.format(3), 7, "play", 30.0, -90.0)); eid += 1
+    # video 8: played, never started
+    rows.append((eid, ts.format(5), 8, "play", 30.0, -90.0)); eid += 1
+    df = spark.createDataFrame(rows, "event_id long, ts string, video_id long, event_type string, latitude double, longitude double")
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def test_scenario_304(spark):
+    ev = _scenario(spark)
+    cv = {r.video_id: r for r in viewers.concurrent_views(ev).collect()}
+    assert (cv[304].plays, cv[304].leaves, cv[304].views, cv[304].out_of_order) == (14, 5, 9, False)
+    assert (cv[7].views, cv[7].out_of_order) == (-1, True)
+    tl = viewers.viewer_timeline(ev).where("video_id = 304").orderBy("event_id").collect()
+    assert tl[-1].viewers == 9 and min(r.viewers for r in tl) >= 1
+    runs = viewers.running_count(ev, "play").where("video_id = 304").agg(F.max("running")).first()[0]
+    assert runs == 14
+    unl = {r.video_id for r in viewers.unlocated_videos(ev).collect()}
+    assert unl == {8}
+    plays = ev.where("event_type = 'play'").select("video_id").distinct()
+    starts = ev.where("event_type = 'start_video'").select("video_id").distinct()
+    assert {r.video_id for r in viewers.plays_without_start(plays, starts).collect()} == {8}
+
+
+def test_dashboard_inner_join_skips_unlocated(spark):
+    ev = _scenario(spark)
+    cm = spark.createDataFrame([(304, "Great show. Great fun!")], "video_id long, comment string").withColumn(
+        "ts", F.lit("2024-01-01 00:00:30").cast("timestamp_ntz"))
+    inp = dashboard.dashboard_inputs(ev, cm, STOP_WORDS, derive_lexicon(cm), "10 seconds")
+    mf = {r.video_id: r for r in dashboard.map_features(inp).collect()}
+    assert set(mf) == {304, 7}
+    assert mf[304].words == "[('great', 2), ('fun', 1), ('show', 1)]"
+    pop = {r.video_id: r for r in dashboard.popup_text(inp).collect()}
+    assert pop[7].label_words == "Top popular words: Comments yet to come"
+    assert pop[7].label_sentiment == "Sentiment score: Sentiment score yet to come"
+    assert pop[304].label_views == "Concurent viewers: 9"
+
+
+def test_publish_guard_min_items(spark):
+    hist = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:00", 3, 1), (2, "2024-01-01 00:00:00", 1, 2), (2, "2024-01-01 00:00:00", 4, 1)],
+        "video_id long, window_start string, sentiment_class long, n long")
+    one = {r.video_id: r for r in sentiment.mean_sentiment(hist, min_items=1).collect()}
+    assert one[1].score == 3.0 and one[2].score == 2.0 and one[2].n == 3
+    two = {r.video_id for r in sentiment.mean_sentiment(hist, min_items=2).collect()}
+    assert two == {2}
+
+
+def test_empty_window_no_error(spark):
+    empty = spark.createDataFrame([], "video_id long, ts timestamp_ntz, comment string")
+    probs = sampling.window_keep_probability(empty)
+    assert probs.count() == 0
+    assert sampling.adaptive_sample(text.comment_sentences(empty), probs).count() == 0
+
+
+def test_rounding_half_up(spark):
+    # classes 2 and 3 -> 2.5; 3,3,2 -> 2.666.. -> 2.67; 107/40 = 2.675 -> 2.68
+    rows = [(1, "w", 2, 1), (1, "w", 3, 1), (2, "w", 3, 2), (2, "w", 2, 1), (3, "w", 3, 27), (3, "w", 2, 13)]
+    hist = spark.createDataFrame(rows, "video_id long, window_start string, sentiment_class long, n long")
+    got = {r.video_id: r.score for r in sentiment.mean_sentiment(hist).collect()}
+    assert got == {1: 2.5, 2: 2.67, 3: 2.68}
+
+
+def test_latest_window_keeps_last_nonempty(spark):
+    c = spark.createDataFrame([(1, "2024-01-01 00:00:00", 5), (1, "2024-01-01 06:00:00", 2), (2, "2024-01-01 00:00:00", 1)],
+                              "video_id long, window_start string, n long")
+    got = {r.video_id: r.n for r in counts.latest_window(c).collect()}
+    assert got == {1: 2, 2: 1}

@@ -23,26 +23,40 @@ from vidpulse.operators.text import windowed
 LEXICON_BROADCAST_ROWS = 2_000_000
 
 
-def sentence_classes(sentence_text: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(sentence) -> (sentence, sentiment_class) for distinct texts."""
+NEUTRAL = 2
+
+
+def sentence_classes(sentence_text: DataFrame, lexicon: DataFrame,
+                     broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
+    """(sentence) -> (sentence, sentiment_class) for distinct texts that
+    have at least one lexicon word (the others are neutral).
+
+    ``broadcast_rows``: size bound under which the lexicon is broadcast
+    (checked); ``None`` leaves the choice to AQE at run time (use it for a
+    lexicon derived in the same job, where a count would recompute it).
+    """
     distinct = sentence_text.select("sentence").distinct()
     words = distinct.select("sentence", F.explode(word_array(F.col("sentence"))).alias("word"))
-    lex = small_side(lexicon.select("word", "score"), LEXICON_BROADCAST_ROWS)
+    lex = lexicon.select("word", "score")
+    if broadcast_rows is not None:
+        lex = small_side(lex, broadcast_rows)
     scored = words.join(lex, "word").groupBy("sentence").agg(
         F.sum("score").alias("_s"), F.count(F.lit(1)).alias("_c")
     )
-    mean = F.coalesce(F.col("_s") / F.col("_c"), F.lit(0.0))
-    cls = (F.lit(2) + F.greatest(F.lit(-2), F.least(F.lit(2), F.round(mean, 0).cast("bigint")))).cast("bigint")
-    return distinct.join(scored, "sentence", "left").select("sentence", cls.alias("sentiment_class"))
+    mean = F.col("_s") / F.col("_c")
+    cls = F.lit(NEUTRAL) + F.greatest(F.lit(-2), F.least(F.lit(2), F.round(mean, 0).cast("bigint")))
+    return scored.select("sentence", cls.cast("bigint").alias("sentiment_class"))
 
 
 def sentence_sentiment(sentences: DataFrame, lexicon: DataFrame, length: str = "60 seconds",
-                       key: str = "video_id") -> DataFrame:
+                       key: str = "video_id", broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
     """Sentences per (video, window, class): the per-window score list as
     a histogram.  Output: key, window_start, sentiment_class, n."""
     per = windowed(sentences, length).groupBy(key, "window_start", "sentence").agg(F.count(F.lit(1)).alias("_n"))
-    classes = sentence_classes(per, lexicon)
-    j = per.join(classes, "sentence")
+    classes = sentence_classes(per, lexicon, broadcast_rows)
+    j = per.join(classes, "sentence", "left").withColumn(
+        "sentiment_class", F.coalesce("sentiment_class", F.lit(NEUTRAL).cast("bigint"))
+    )
     return j.groupBy(key, "window_start", "sentiment_class").agg(F.sum("_n").cast("bigint").alias("n"))
 
 

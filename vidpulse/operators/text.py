@@ -59,15 +59,24 @@ def comment_words(comments: DataFrame, key: str = "video_id", text: str = "comme
     return comments.select(key, ts, F.explode(word_array(clean_comment(F.col(text)))).alias("word"))
 
 
-def word_counts(comments: DataFrame, stop_words: DataFrame | None, length: str = COMMENT_WINDOW,
-                key: str = "video_id", text: str = "comment") -> DataFrame:
-    """Word frequency per (video, window) without stop words.
+STOP_TABLE_BROADCAST_ROWS = 100_000
 
-    The stop list is a fixed, small table: broadcast anti join.
-    """
-    words = windowed(comment_words(comments, key, text), length)
-    if stop_words is not None:
-        words = words.join(small_side(stop_words.select("word"), 100_000), "word", "left_anti")
+
+def without_stop_words(words: DataFrame, stop_words: Sequence[str] | DataFrame | None) -> DataFrame:
+    """Drop stop words.  A fixed list becomes a hash-set filter inside the
+    scan stage (no join); a table is anti-joined, broadcast when its size
+    check passes."""
+    if stop_words is None:
+        return words
+    if isinstance(stop_words, DataFrame):
+        return words.join(small_side(stop_words.select("word"), STOP_TABLE_BROADCAST_ROWS), "word", "left_anti")
+    return words.where(~F.col("word").isin(list(stop_words)))
+
+
+def word_counts(comments: DataFrame, stop_words: Sequence[str] | DataFrame | None, length: str = COMMENT_WINDOW,
+                key: str = "video_id", text: str = "comment") -> DataFrame:
+    """Word frequency per (video, window) without stop words."""
+    words = without_stop_words(windowed(comment_words(comments, key, text), length), stop_words)
     return words.groupBy(key, "window_start", "word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -34,7 +34,7 @@ class DashboardInputs:
     sentiment: DataFrame  # video_id, score
 
 
-def newest_comment_words(comments: DataFrame, stop_words: DataFrame, k: int = 5,
+def newest_comment_words(comments: DataFrame, stop_words, k: int = 5,
                          length: str = COMMENT_WINDOW) -> DataFrame:
     """Top-word text of each video's newest window that had sentences;
     "[]" when all its words were stop words."""
@@ -45,12 +45,14 @@ def newest_comment_words(comments: DataFrame, stop_words: DataFrame, k: int = 5,
     return j.select(KEY, F.coalesce("words", F.lit("[]")).alias("words"))
 
 
-def newest_sentiment(comments: DataFrame, lexicon: DataFrame, length: str = COMMENT_WINDOW) -> DataFrame:
-    ms = mean_sentiment(sentence_sentiment(comment_sentences(comments), lexicon, length))
+def newest_sentiment(comments: DataFrame, lexicon: DataFrame, length: str = COMMENT_WINDOW,
+                     lexicon_broadcast_rows: int | None = None) -> DataFrame:
+    ms = mean_sentiment(sentence_sentiment(comment_sentences(comments), lexicon, length,
+                                           broadcast_rows=lexicon_broadcast_rows))
     return ms.groupBy(KEY).agg(F.max_by("score", "window_start").alias("score"))
 
 
-def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words: DataFrame, lexicon: DataFrame,
+def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words, lexicon: DataFrame,
                      reaction_window: str, comment_window: str = COMMENT_WINDOW, k: int = 5) -> DashboardInputs:
     return DashboardInputs(
         views=concurrent_views(events),
@@ -81,7 +83,7 @@ def map_features(inp: DashboardInputs) -> DataFrame:
         F.col("latitude").alias("lat"),
         F.col("longitude").alias("lon"),
         "views", "plays", "likes", "dislikes",
-        F.coalesce("words", F.lit(None)).alias("words"),
+        "words",
         "sentiment",
         size.alias("size"),
         *corner_columns(F.col("latitude"), F.col("longitude"), size),

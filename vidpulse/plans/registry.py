@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from vidpulse.operators import counts, misc, routing, sampling, sentiment, text, viewers
 from vidpulse.plans import dashboard
 from vidpulse.sources import envelope
-from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_events, lv_stop_words
+from vidpulse.schema import STOP_WORDS
+from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_events
 
 TUMBLING = "6 hours"
 SLIDING, SLIDE = "6 hours", "2 hours"
@@ -107,16 +108,16 @@ def token_lists(spark, d):
 
 
 def word_counts(spark, d):
-    return text.word_counts(_cm(spark, d), lv_stop_words(spark), COMMENT_WINDOW)
+    return text.word_counts(_cm(spark, d), STOP_WORDS, COMMENT_WINDOW)
 
 
 def top_words(spark, d):
-    return text.top_words(text.word_counts(_cm(spark, d), lv_stop_words(spark), COMMENT_WINDOW), TOP_K)
+    return text.top_words(text.word_counts(_cm(spark, d), STOP_WORDS, COMMENT_WINDOW), TOP_K)
 
 
 def _histogram(spark, d):
     cm = _cm(spark, d)
-    return sentiment.sentence_sentiment(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW)
+    return sentiment.sentence_sentiment(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW, broadcast_rows=None)
 
 
 def sentence_sentiment(spark, d):
@@ -139,7 +140,7 @@ def sampled_sentences(spark, d):
 
 def _dash(spark, d):
     cm = _cm(spark, d)
-    return dashboard.dashboard_inputs(_ev(spark, d), cm, lv_stop_words(spark), derive_lexicon(cm), TUMBLING)
+    return dashboard.dashboard_inputs(_ev(spark, d), cm, STOP_WORDS, derive_lexicon(cm), TUMBLING)
 
 
 def map_features(spark, d):

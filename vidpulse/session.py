@@ -31,6 +31,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
     )

@@ -39,14 +39,21 @@ def decode_envelope(df: DataFrame, value: str = "value") -> DataFrame:
 
 def parse_payload(df: DataFrame, payload: str = "payload", base: str = "1970-01-01 00:00:00") -> DataFrame:
     """payload json -> typed event columns (+ ``ts``); rows that do not parse
-    or have no event type are dropped."""
+    or have no event type / video are dropped.
+
+    The JSON is parsed exactly once: a plain ``where`` on the parsed fields
+    would be pushed below the projection and re-parse the payload for each
+    tested field.  Filtering a one-element array and exploding it keeps the
+    parse in one place (a generator is not crossed by filter pushdown).
+    """
     ev = F.from_json(F.col(payload), EVENT_SCHEMA)
-    out = df.withColumn("_ev", ev).select(
-        "*",
+    valid = F.filter(F.array(ev), lambda e: e["event_type"].isNotNull() & e["video_id"].isNotNull())
+    rest = [c for c in df.columns]
+    out = df.select(*rest, F.explode(valid).alias("_ev")).select(
+        *rest,
         *[F.col(f"_ev.{f.name}").alias(f.name) for f in EVENT_SCHEMA.fields],
-    ).drop("_ev")
-    out = out.withColumn("ts", event_time(F.col("timestamp"), base))
-    return out.where(F.col("event_type").isNotNull() & F.col("video_id").isNotNull())
+    )
+    return out.withColumn("ts", event_time(F.col("timestamp"), base))
 
 
 def parse_events(df: DataFrame, value: str = "value", base: str = "1970-01-01 00:00:00") -> DataFrame:
