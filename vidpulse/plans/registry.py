@@ -29,8 +29,9 @@ SEARCH_WORDS = ["la", "der", "und", "the", "que", "est"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _ev(spark, d):
-    return lv_events(spark, d)
+def _ev(spark, d, *types):
+    """Fixture events; with ``types`` the type filter reaches the scan."""
+    return lv_events(spark, d, list(types) if types else None)
 
 
 def _cm(spark, d):
@@ -38,23 +39,23 @@ def _cm(spark, d):
 
 
 def likes_tumbling(spark, d):
-    return counts.typed_window_counts(_ev(spark, d), "like", TUMBLING)
+    return counts.typed_window_counts(_ev(spark, d, "like"), "like", TUMBLING)
 
 
 def dislikes_tumbling(spark, d):
-    return counts.typed_window_counts(_ev(spark, d), "dislike", TUMBLING)
+    return counts.typed_window_counts(_ev(spark, d, "dislike"), "dislike", TUMBLING)
 
 
 def sliding_counts(spark, d):
-    return counts.sliding_counts(_ev(spark, d), SLIDING, SLIDE)
+    return counts.sliding_counts(_ev(spark, d, *counts.REACTION_TYPES), SLIDING, SLIDE)
 
 
 def sliding_counts_zero(spark, d):
-    return counts.fill_zero_windows(counts.sliding_counts(_ev(spark, d), SLIDING, SLIDE), SLIDE, SLIDING)
+    return counts.fill_zero_windows(counts.sliding_counts(_ev(spark, d, *counts.REACTION_TYPES), SLIDING, SLIDE), SLIDE, SLIDING)
 
 
 def net_viewer_change(spark, d):
-    return counts.net_viewer_change(_ev(spark, d), SLIDING, SLIDE)
+    return counts.net_viewer_change(_ev(spark, d, "play", "leave"), SLIDING, SLIDE)
 
 
 def running_totals(spark, d):
@@ -62,31 +63,31 @@ def running_totals(spark, d):
 
 
 def concurrent_views(spark, d):
-    return viewers.concurrent_views(_ev(spark, d))
+    return viewers.concurrent_views(_ev(spark, d, "play", "leave"))
 
 
 def play_running_count(spark, d):
-    return viewers.running_count(_ev(spark, d), "play")
+    return viewers.running_count(_ev(spark, d, "play"), "play")
 
 
 def leave_running_count(spark, d):
-    return viewers.running_count(_ev(spark, d), "leave")
+    return viewers.running_count(_ev(spark, d, "leave"), "leave")
 
 
 def viewer_timeline(spark, d):
-    return viewers.viewer_timeline(_ev(spark, d))
+    return viewers.viewer_timeline(_ev(spark, d, "play", "leave"))
 
 
 def latest_start(spark, d):
-    return viewers.latest_record(_ev(spark, d), "start_video")
+    return viewers.latest_record(_ev(spark, d, "start_video"), "start_video")
 
 
 def latest_end(spark, d):
-    return viewers.latest_record(_ev(spark, d), "end_video")
+    return viewers.latest_record(_ev(spark, d, "end_video"), "end_video")
 
 
 def latest_likes(spark, d):
-    return counts.latest_window(counts.typed_window_counts(_ev(spark, d), "like", TUMBLING))
+    return counts.latest_window(counts.typed_window_counts(_ev(spark, d, "like"), "like", TUMBLING))
 
 
 def routed_counts(spark, d):
@@ -152,7 +153,7 @@ def popup_text(spark, d):
 
 
 def unlocated_videos(spark, d):
-    return viewers.unlocated_videos(_ev(spark, d))
+    return viewers.unlocated_videos(_ev(spark, d, "play", "start_video"))
 
 
 def events_sorted(spark, d):
@@ -166,7 +167,7 @@ def dedup_events(spark, d):
 
 
 def geo_cells(spark, d):
-    return misc.geo_cells(_ev(spark, d), TUMBLING)
+    return misc.geo_cells(_ev(spark, d, "play", "like"), TUMBLING)
 
 
 def comment_index(spark, d):

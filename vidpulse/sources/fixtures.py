@@ -11,6 +11,7 @@ The DuckDB twins of these definitions live in ``vidpulse.plans.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +28,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_as_video_events(events: DataFrame) -> DataFrame:
+# Generic event type behind each video event type.
+RAW_TYPE_OF = {
+    "start_video": "signup",
+    "end_video": "signup",
+    "play": "view",
+    "leave": "error",
+    "like": "click",
+    "dislike": "purchase",
+}
+
+
+def events_as_video_events(events: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
     """Map the generic ``events`` table onto video events.
 
     signup -> start_video (even id) / end_video (odd id), view -> play,
     error -> leave, click -> like, purchase -> dislike.  Location comes
     from ``props.k``.  Works on batch and streaming frames.
+
+    ``types``: the video event types the caller needs.  The matching raw
+    types are filtered before the mapping, so the predicate reaches the
+    parquet scan (a filter on the mapped CASE column cannot be pushed).
     """
+    if types is not None:
+        events = events.where(F.col("event_type").isin(sorted({RAW_TYPE_OF[t] for t in types})))
     k = F.get_json_object("props", "$.k")
     kind = F.col("event_type")
     mapped = (
@@ -55,8 +73,8 @@ def events_as_video_events(events: DataFrame) -> DataFrame:
     )
 
 
-def lv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_video_events(_table(spark, sf_dir, "events"))
+def lv_events(spark: SparkSession, sf_dir: str, types: Sequence[str] | None = None) -> DataFrame:
+    return events_as_video_events(_table(spark, sf_dir, "events"), types)
 
 
 def comment_time(turn: Column) -> Column:
