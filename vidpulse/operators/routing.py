@@ -34,3 +34,9 @@ def with_comments(events: DataFrame, comments: DataFrame) -> DataFrame:
     )
     e = events.withColumn("comment", F.lit(None).cast("string"))
     return e.unionByName(c)
+
+
+def comments_of(events: DataFrame) -> DataFrame:
+    """Comment events that carry text (the field is absent on other types)."""
+    c = F.col("comment")
+    return events.where((F.col("event_type") == "comment") & c.isNotNull() & (c != ""))

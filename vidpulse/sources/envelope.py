@@ -29,6 +29,18 @@ def sim_timestamp(ts: Column, base: str = "1970-01-01 00:00:00",
     return secs / F.lit(seconds_per_unit * 1_000_000)
 
 
+def envelope_key_text(value: Column) -> Column:
+    """Message key read from the text of the value, without parsing JSON:
+    the leading integer of ``[id, ...]`` (null when absent)."""
+    k = F.regexp_extract(value.cast("string"), r"^\[\s*(\d+)", 1)
+    return F.when(k != "", k)
+
+
+def sim_time_bucket(sim_ts: Column, per_unit: int = 10) -> Column:
+    """Replay pacing bucket of the simulator clock: floor(t * n) / n."""
+    return F.floor(sim_ts * per_unit) / F.lit(float(per_unit))
+
+
 def decode_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """value (string or binary) -> key, payload.  Junk -> null columns."""
     arr = F.from_json(F.col(value).cast("string"), ENVELOPE_TYPE)

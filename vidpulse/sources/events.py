@@ -57,3 +57,17 @@ def read_table_stream(spark: SparkSession, directory: str, table: str,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(directory)
+
+
+def read_archive(spark: SparkSession, path: str, topics: Sequence[str] | None = None,
+                 first_date: str | None = None, last_date: str | None = None) -> DataFrame:
+    """Batch replay of the raw archive (parquet partitioned by topic and
+    event_date).  Topic and date bounds prune partitions at listing time."""
+    df = spark.read.parquet(path)
+    if topics:
+        df = df.where(F.col("topic").isin(list(topics)))
+    if first_date:
+        df = df.where(F.col("event_date") >= F.lit(first_date).cast("date"))
+    if last_date:
+        df = df.where(F.col("event_date") <= F.lit(last_date).cast("date"))
+    return df

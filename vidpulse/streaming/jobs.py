@@ -47,6 +47,7 @@ def comment_batch(tables: dict[str, UpsertTable], lexicon: DataFrame, stop_words
     word count before any sentence is dropped, which a micro-batch has."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read by three outputs; executor storage, released below
         sentences = text.comment_sentences(batch)
         probs = sampling.window_keep_probability(batch, capacity)
         kept = sampling.adaptive_sample(sentences, probs, draw=draw).drop("window_start")
@@ -54,6 +55,7 @@ def comment_batch(tables: dict[str, UpsertTable], lexicon: DataFrame, stop_words
         tables["comment_sentiment"].write_batch(sentiment.mean_sentiment(hist), batch_id)
         tables["comment_words"].write_batch(text.top_words(text.word_counts(batch, stop_words)), batch_id)
         tables["comment_tokens"].write_batch(text.token_stats(sentences), batch_id)
+        batch.unpersist()
 
     return run
 
@@ -92,6 +94,11 @@ def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFr
     return queries, tables
 
 
+def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
+    """Block until one of the running queries stops (or the timeout)."""
+    return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+
+
 def _run_once(df: DataFrame, table: UpsertTable, checkpoint: str) -> None:
     q = upsert_sink(df, table, checkpoint, {"availableNow": True})
     q.awaitTermination()
@@ -103,7 +110,8 @@ def run_reaction_counts_once(spark: SparkSession, sf_dir: str, event_type: str,
     """Stream the events table once (availableNow) into a serving table and
     read the newest value per (video, window)."""
     root = scratch_path(spark, f"stream-{event_type}")
-    events = events_as_video_events(read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1))
+    raw = read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
+    events = events_as_video_events(raw, [event_type])
     table = UpsertTable(os.path.join(root, "table"), ["video_id", "window_start"])
     _run_once(reaction_counts_stream(events, event_type, length), table, os.path.join(root, "checkpoint"))
     return table.read(spark).select("video_id", "window_start", "n")

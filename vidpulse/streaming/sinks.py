@@ -39,10 +39,11 @@ class UpsertTable:
         return g.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold all batches into one snapshot folder with id ``batch_id``
-        (use an id above every written batch)."""
+        """Write the current snapshot as batch ``batch_id`` (use an id above
+        every written batch); older batch folders are then redundant and
+        can be expired by the storage's retention."""
         snap = self.read(spark)
-        snap.write.mode("overwrite").parquet(f"{self.path}.compact/{BATCH_COL}={int(batch_id)}")
+        snap.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
 
 def upsert_sink(df: DataFrame, table: UpsertTable, checkpoint: str, trigger: dict | None = None,
@@ -56,6 +57,19 @@ def upsert_sink(df: DataFrame, table: UpsertTable, checkpoint: str, trigger: dic
     return w.start()
 
 
+def table_sink(df: DataFrame, fmt: str, options: dict, checkpoint: str, mode: str = "update",
+               trigger: dict | None = None):
+    """Write every micro-batch to an external table through a DataFrame
+    writer format (e.g. a wide-column store connector with keyspace/table
+    options).  The connector jar must be on the classpath."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format(fmt).options(**options).mode("append").save()
+
+    w = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
 def archive_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Raw event archive: parquet partitioned by topic and event date."""
     out = df.withColumn("event_date", F.to_date("ts"))
