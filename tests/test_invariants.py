@@ -89,3 +89,19 @@ def test_global_running_sum_many_partitions(spark):
     got = running_sum(base, ["t", "event_id"], [], None, "pos", num_partitions=12)
     bf = base.withColumn("bf", F.row_number().over(Window.orderBy("t", "event_id")))
     assert got.join(bf, ["event_id"]).where("pos != bf").count() == 0
+
+
+def test_serving_path_equals_single_pass_summary(spark):
+    from vidpulse.plans.dashboard import video_summary, videos_from_serving
+
+    ev = lv_events(spark, SF_SMALL)
+    tot = counts.running_totals(ev)
+    plays = tot.select("video_id", F.col("plays").alias("n")).where("n > 0")
+    leaves = tot.select("video_id", F.col("leaves").alias("n")).where("n > 0")
+    starts = viewers.latest_record(ev, "start_video", ("latitude", "longitude"))
+    likes = counts.latest_window(counts.typed_window_counts(ev, "like", "6 hours"))
+    dislikes = counts.latest_window(counts.typed_window_counts(ev, "dislike", "6 hours"))
+    cols = ["video_id", "plays", "leaves", "views", "out_of_order", "latitude", "longitude", "likes", "dislikes"]
+    a = sorted(tuple(r) for r in videos_from_serving(plays, leaves, starts, likes, dislikes).select(*cols).collect())
+    b = sorted(tuple(r) for r in video_summary(ev, "6 hours").select(*cols).collect())
+    assert a == b and len(a) > 0

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.geo import color_ramp, corner_columns, marker_size, popup_labels
-from vidpulse.operators.counts import latest_window, typed_window_counts
+from vidpulse.operators.counts import window_start_col
 from vidpulse.operators.sentiment import mean_sentiment, sentence_sentiment
 from vidpulse.operators.text import COMMENT_WINDOW, comment_sentences, token_stats, top_words, top_words_text, word_counts
-from vidpulse.operators.viewers import concurrent_views, latest_record
+from vidpulse.operators.viewers import concurrent_from_totals
 
 KEY = "video_id"
 
@@ -26,14 +26,64 @@ KEY = "video_id"
 class DashboardInputs:
     """One row per video each."""
 
-    views: DataFrame      # video_id, plays, leaves, views, out_of_order
-    location: DataFrame   # video_id, latitude, longitude
-    likes: DataFrame      # video_id, n
-    dislikes: DataFrame   # video_id, n
+    videos: DataFrame     # video_id, plays, leaves, views, out_of_order, latitude, longitude, likes, dislikes
     words: DataFrame      # video_id, words (text)
     sentiment: DataFrame  # video_id, score
 
 
+def video_summary(events: DataFrame, reaction_window: str, key: str = KEY) -> DataFrame:
+    """Every per-video event fact of the map from ONE scan of the events.
+
+    Level 1, per (video, reaction window): plays, leaves, likes, dislikes
+    and the newest start record.  Level 2, per video: total plays and
+    leaves, the like / dislike count of the newest window that had any
+    (a last-write-wins store keeps exactly that), the newest start.
+    Both levels are hash aggregates with map-side partial aggregation, so a
+    hot video costs one partial row per task, and the table is read once
+    instead of once per fact.  Videos need a play (concurrent viewers) and
+    a start record (location).
+    """
+    t = F.col("event_type")
+    rec = F.struct("ts", "event_id", "latitude", "longitude")
+    per_window = events.where(t.isin("play", "leave", "like", "dislike", "start_video")).groupBy(
+        key, window_start_col(events, F.window("ts", reaction_window).start).alias("window_start")
+    ).agg(
+        F.count_if(t == "play").alias("plays"),
+        F.count_if(t == "leave").alias("leaves"),
+        F.count_if(t == "like").alias("likes"),
+        F.count_if(t == "dislike").alias("dislikes"),
+        F.max(F.when(t == "start_video", rec)).alias("start"),
+    )
+    newest_nonzero = lambda c: F.max_by(c, F.when(F.col(c) > 0, F.col("window_start")))
+    per_video = per_window.groupBy(key).agg(
+        F.sum("plays").cast("bigint").alias("plays"),
+        F.sum("leaves").cast("bigint").alias("leaves"),
+        newest_nonzero("likes").alias("likes"),
+        newest_nonzero("dislikes").alias("dislikes"),
+        F.max("start").alias("start"),
+    )
+    located = per_video.where((F.col("plays") >= 1) & F.col("start").isNotNull())
+    views = F.col("plays") - F.col("leaves")
+    return located.select(
+        key, "plays", "leaves", views.alias("views"), (views < 0).alias("out_of_order"),
+        F.col("start.latitude").alias("latitude"), F.col("start.longitude").alias("longitude"),
+        F.coalesce("likes", F.lit(0)).cast("bigint").alias("likes"),
+        F.coalesce("dislikes", F.lit(0)).cast("bigint").alias("dislikes"),
+    )
+
+
+def videos_from_serving(plays: DataFrame, leaves: DataFrame, starts: DataFrame, likes: DataFrame,
+                        dislikes: DataFrame, key: str = KEY) -> DataFrame:
+    """The same per-video row from the live serving snapshots (one row per
+    key each): plays inner-join start location, left-join leaves, likes and
+    dislikes (missing = 0)."""
+    v = concurrent_from_totals(plays, leaves, key).join(starts.select(key, "latitude", "longitude"), key)
+    for name, tbl in (("likes", likes), ("dislikes", dislikes)):
+        v = v.join(tbl.select(key, F.col("n").alias(name)), key, "left").withColumn(
+            name, F.coalesce(name, F.lit(0)).cast("bigint"))
+    return v
+
+
 def newest_comment_words(comments: DataFrame, stop_words, k: int = 5,
                          length: str = COMMENT_WINDOW) -> DataFrame:
     """Top-word text of each video's newest window that had sentences;
@@ -55,23 +105,15 @@ def newest_sentiment(comments: DataFrame, lexicon: DataFrame, length: str = COMM
 def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words, lexicon: DataFrame,
                      reaction_window: str, comment_window: str = COMMENT_WINDOW, k: int = 5) -> DashboardInputs:
     return DashboardInputs(
-        views=concurrent_views(events),
-        location=latest_record(events, "start_video", ("latitude", "longitude")),
-        likes=latest_window(typed_window_counts(events, "like", reaction_window)).select(KEY, "n"),
-        dislikes=latest_window(typed_window_counts(events, "dislike", reaction_window)).select(KEY, "n"),
+        videos=video_summary(events, reaction_window),
         words=newest_comment_words(comments, stop_words, k, comment_window),
         sentiment=newest_sentiment(comments, lexicon, comment_window),
     )
 
 
 def _joined(inp: DashboardInputs) -> DataFrame:
-    v = inp.views.join(inp.location, KEY, "inner")  # a map marker needs a location
-    v = v.join(inp.likes.select(KEY, F.col("n").alias("_likes")), KEY, "left")
-    v = v.join(inp.dislikes.select(KEY, F.col("n").alias("_dislikes")), KEY, "left")
-    v = v.join(inp.words, KEY, "left").join(inp.sentiment.select(KEY, F.col("score").alias("sentiment")), KEY, "left")
-    return v.withColumn("likes", F.coalesce("_likes", F.lit(0)).cast("bigint")).withColumn(
-        "dislikes", F.coalesce("_dislikes", F.lit(0)).cast("bigint")
-    )
+    v = inp.videos.join(inp.words, KEY, "left")
+    return v.join(inp.sentiment.select(KEY, F.col("score").alias("sentiment")), KEY, "left")
 
 
 def map_features(inp: DashboardInputs) -> DataFrame:
