@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.text import word_array
 from vidpulse.operators.joins import small_side
-from vidpulse.operators.text import windowed
+from vidpulse.operators.text import windowed_sentence_counts
 
 LEXICON_BROADCAST_ROWS = 2_000_000
 
@@ -48,16 +48,21 @@ def sentence_classes(sentence_text: DataFrame, lexicon: DataFrame,
     return scored.select("sentence", cls.cast("bigint").alias("sentiment_class"))
 
 
+def sentiment_histogram(per_sentence: DataFrame, lexicon: DataFrame, key: str = "video_id",
+                        broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
+    """(key, window_start, sentence, n) -> sentences per (key, window, class)."""
+    classes = sentence_classes(per_sentence, lexicon, broadcast_rows)
+    j = per_sentence.join(classes, "sentence", "left").withColumn(
+        "sentiment_class", F.coalesce("sentiment_class", F.lit(NEUTRAL).cast("bigint"))
+    )
+    return j.groupBy(key, "window_start", "sentiment_class").agg(F.sum("n").cast("bigint").alias("n"))
+
+
 def sentence_sentiment(sentences: DataFrame, lexicon: DataFrame, length: str = "60 seconds",
                        key: str = "video_id", broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
     """Sentences per (video, window, class): the per-window score list as
     a histogram.  Output: key, window_start, sentiment_class, n."""
-    per = windowed(sentences, length).groupBy(key, "window_start", "sentence").agg(F.count(F.lit(1)).alias("_n"))
-    classes = sentence_classes(per, lexicon, broadcast_rows)
-    j = per.join(classes, "sentence", "left").withColumn(
-        "sentiment_class", F.coalesce("sentiment_class", F.lit(NEUTRAL).cast("bigint"))
-    )
-    return j.groupBy(key, "window_start", "sentiment_class").agg(F.sum("_n").cast("bigint").alias("n"))
+    return sentiment_histogram(windowed_sentence_counts(sentences, length, key), lexicon, key, broadcast_rows)
 
 
 def mean_sentiment(histogram: DataFrame, key: str = "video_id", min_items: int = 1) -> DataFrame:

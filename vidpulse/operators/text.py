@@ -48,6 +48,23 @@ def token_stats(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "
     )
 
 
+def windowed_sentence_counts(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id") -> DataFrame:
+    """(key, window_start, sentence, n): sentence rows pre-aggregated per
+    window.  Repeated comments of a hot video collapse map-side; every
+    comment statistic below can start from this table."""
+    return windowed(sentences, length).groupBy(key, "window_start", "sentence").agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_counts_from_sentences(per_sentence: DataFrame, stop_words: Sequence[str] | DataFrame | None,
+                               key: str = "video_id") -> DataFrame:
+    """Word counts per (video, window) from sentence counts.  Sentence
+    splitting never cuts a letter run, so a comment's words are exactly the
+    words of its sentences; the result equals ``word_counts``."""
+    words = per_sentence.select(key, "window_start", F.explode(word_array(F.col("sentence"))).alias("word"), "n")
+    words = without_stop_words(words, stop_words)
+    return words.groupBy(key, "window_start", "word").agg(F.sum("n").cast("bigint").alias("n"))
+
+
 def sentence_tokens(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id") -> DataFrame:
     """Token list of every sentence with its window (serving-table rows)."""
     w = windowed(sentences, length)

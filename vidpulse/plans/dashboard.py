@@ -15,8 +15,18 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.geo import color_ramp, corner_columns, marker_size, popup_labels
 from vidpulse.operators.counts import window_start_col
-from vidpulse.operators.sentiment import mean_sentiment, sentence_sentiment
-from vidpulse.operators.text import COMMENT_WINDOW, comment_sentences, token_stats, top_words, top_words_text, word_counts
+from vidpulse.functions.text import word_array
+from vidpulse.operators.sentiment import mean_sentiment, sentiment_histogram
+from vidpulse.operators.text import (
+    COMMENT_WINDOW,
+    comment_sentences,
+    top_words,
+    top_words_text,
+    windowed_sentence_counts,
+    word_counts_from_sentences,
+)
+from vidpulse.session import materialize
+from vidpulse.sources.fixtures import lexicon_of_words
 from vidpulse.operators.viewers import concurrent_from_totals
 
 KEY = "video_id"
@@ -84,31 +94,38 @@ def videos_from_serving(plays: DataFrame, leaves: DataFrame, starts: DataFrame,
     return v
 
 
-def newest_comment_words(comments: DataFrame, stop_words, k: int = 5,
-                         length: str = COMMENT_WINDOW) -> DataFrame:
-    """Top-word text of each video's newest window that had sentences;
-    "[]" when all its words were stop words."""
-    sentences = comment_sentences(comments)
-    newest = token_stats(sentences, length).groupBy(KEY).agg(F.max("window_start").alias("window_start"))
-    text = top_words_text(top_words(word_counts(comments, stop_words, length), k))
-    j = newest.join(text, [KEY, "window_start"], "left")
-    return j.select(KEY, F.coalesce("words", F.lit("[]")).alias("words"))
+def comment_facts(comments: DataFrame, stop_words, lexicon: DataFrame | None, k: int = 5,
+                  length: str = COMMENT_WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Per video: top-word text and mean sentiment of its newest comment
+    window, both from ONE pre-aggregated (video, window, sentence) table.
 
-
-def newest_sentiment(comments: DataFrame, lexicon: DataFrame, length: str = COMMENT_WINDOW,
-                     lexicon_broadcast_rows: int | None = None) -> DataFrame:
-    ms = mean_sentiment(sentence_sentiment(comment_sentences(comments), lexicon, length,
-                                           broadcast_rows=lexicon_broadcast_rows))
-    return ms.groupBy(KEY).agg(F.max_by("score", "window_start").alias("score"))
-
-
-def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words, lexicon: DataFrame,
+    Words, the derived lexicon (when ``lexicon`` is None) and sentiment all
+    read that table, which is written once to the shared checkpoint folder:
+    the comment text is scanned and split once instead of once per
+    consumer (the optimizer rewrites the branches differently, so they
+    would not share a shuffle).  Words: the newest window that had
+    sentences, "[]" when all its words were stop words.
+    """
+    per = windowed_sentence_counts(comment_sentences(comments), length)
+    if not comments.isStreaming:
+        per = materialize(per)
+    newest = per.groupBy(KEY).agg(F.max("window_start").alias("window_start"))
+    text = top_words_text(top_words(word_counts_from_sentences(per, stop_words), k))
+    words = newest.join(text, [KEY, "window_start"], "left").select(
+        KEY, F.coalesce("words", F.lit("[]")).alias("words"))
+    if lexicon is None:
+        lexicon = lexicon_of_words(per.select(F.explode(word_array(F.col("sentence"))).alias("word")))
+    ms = mean_sentiment(sentiment_histogram(per, lexicon, broadcast_rows=None))
+    sentiment = ms.groupBy(KEY).agg(F.max_by("score", "window_start").alias("score"))
+    return words, sentiment
+
+
+def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words, lexicon: DataFrame | None,
                      reaction_window: str, comment_window: str = COMMENT_WINDOW, k: int = 5) -> DashboardInputs:
-    return DashboardInputs(
-        videos=video_summary(events, reaction_window),
-        words=newest_comment_words(comments, stop_words, k, comment_window),
-        sentiment=newest_sentiment(comments, lexicon, comment_window),
-    )
+    """``lexicon=None``: score words with the lexicon derived from the
+    comment vocabulary itself (test stand-in)."""
+    words, sentiment = comment_facts(comments, stop_words, lexicon, k, comment_window)
+    return DashboardInputs(videos=video_summary(events, reaction_window), words=words, sentiment=sentiment)
 
 
 def _joined(inp: DashboardInputs) -> DataFrame:

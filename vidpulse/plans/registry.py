@@ -141,7 +141,7 @@ def sampled_sentences(spark, d):
 
 def _dash(spark, d):
     cm = _cm(spark, d)
-    return dashboard.dashboard_inputs(_ev(spark, d), cm, STOP_WORDS, derive_lexicon(cm), TUMBLING)
+    return dashboard.dashboard_inputs(_ev(spark, d), cm, STOP_WORDS, None, TUMBLING)
 
 
 def map_features(spark, d):

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "vidpulse",
@@ -47,16 +47,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     when it is unset (local tests) a fresh scratch folder is created and
     registered, so later calls reuse it.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="vidpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (reliable checkpoint): several consumers share one computation, and
+    a lost executor recomputes from the written data, not the lineage."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")

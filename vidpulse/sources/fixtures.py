@@ -106,5 +106,10 @@ def derive_lexicon(comments: DataFrame, text_col: str = "comment") -> DataFrame:
     return words.select("word", (F.length("word") % 5 - 2).cast("bigint").alias("score"))
 
 
+def lexicon_of_words(words: DataFrame) -> DataFrame:
+    """The same score table from a frame that already has a ``word`` column."""
+    return words.select("word").distinct().select("word", (F.length("word") % 5 - 2).cast("bigint").alias("score"))
+
+
 def lv_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_lexicon(lv_comments(spark, sf_dir))
