@@ -222,6 +222,9 @@ grid AS (
   FROM firsts, last_start)
 SELECT g.video_id, g.event_type, g.window_start, CAST(coalesce(s.n, 0) AS BIGINT) AS n
 FROM grid g LEFT JOIN sliding s USING (video_id, event_type, window_start)""",
+        "comment_sliding_counts": _with(LV_COMMENTS) + """SELECT video_id,
+  time_bucket(INTERVAL '20 seconds', ts) - i * INTERVAL '20 seconds' AS window_start, count(*) AS n
+FROM lv_comments, (SELECT unnest([0, 1, 2]) AS i) steps GROUP BY ALL""",
         "net_viewer_change": _with(LV_EVENTS) + """SELECT video_id,
   time_bucket(INTERVAL '2 hours', ts) - i * INTERVAL '2 hours' AS window_start,
   CAST(sum(CASE WHEN event_type = 'play' THEN 1 ELSE -1 END) AS BIGINT) AS net

@@ -23,6 +23,7 @@ from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_events
 TUMBLING = "6 hours"
 SLIDING, SLIDE = "6 hours", "2 hours"
 COMMENT_WINDOW = text.COMMENT_WINDOW
+COMMENT_SLIDE = "20 seconds"
 TOP_K = 5
 SEARCH_WORDS = ["la", "der", "und", "the", "que", "est"]
 
@@ -54,6 +55,11 @@ def sliding_counts_zero(spark, d):
     return counts.fill_zero_windows(counts.sliding_counts(_ev(spark, d, *counts.REACTION_TYPES), SLIDING, SLIDE), SLIDE, SLIDING)
 
 
+def comment_sliding_counts(spark, d):
+    """Comments per video in 60 s windows sliding by 20 s (comments alone)."""
+    return counts.window_counts(_cm(spark, d), COMMENT_WINDOW, COMMENT_SLIDE)
+
+
 def net_viewer_change(spark, d):
     return counts.net_viewer_change(_ev(spark, d, "play", "leave"), SLIDING, SLIDE)
 
@@ -193,7 +199,8 @@ def totals_stream(spark, d):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
-        likes_tumbling, dislikes_tumbling, sliding_counts, sliding_counts_zero, net_viewer_change,
+        likes_tumbling, dislikes_tumbling, sliding_counts, sliding_counts_zero, comment_sliding_counts,
+        net_viewer_change,
         running_totals, concurrent_views, play_running_count, leave_running_count, viewer_timeline,
         latest_start, latest_end, latest_likes, routed_counts, envelope_roundtrip, comment_sentences,
         token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment, keep_probability,
