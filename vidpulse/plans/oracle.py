@@ -56,7 +56,7 @@ TOP = f"""top AS (
   FROM word_counts QUALIFY rank <= {TOP_K})"""
 
 HISTOGRAM = """per_sentence AS (
-  SELECT video_id, window_start, sentence, count(*) AS c FROM sentences GROUP BY ALL),
+  SELECT video_id, window_start, sentence, count(*) AS c FROM {src} GROUP BY ALL),
 distinct_sentence AS (SELECT DISTINCT sentence FROM per_sentence),
 sentence_words AS (
   SELECT sentence, unnest(regexp_extract_all(lower(sentence), '[a-z]+')) AS word FROM distinct_sentence),
@@ -78,6 +78,9 @@ MEAN = """mean_sent AS (
         FROM histogram GROUP BY ALL)
   WHERE n >= 1)"""
 
+HISTOGRAM_ALL = HISTOGRAM.format(src="sentences")
+HISTOGRAM_SAMPLED = HISTOGRAM.format(src="sampled")
+
 PROBS = f"""probs AS (
   SELECT window_start, words,
          CASE WHEN words > 5000 THEN CAST(5000 AS DOUBLE) / words ELSE CAST(1 AS DOUBLE) END AS prob
@@ -137,7 +140,7 @@ def _topic_case() -> str:
 
 
 DASHBOARD_CTES = [
-    LV_EVENTS, LV_COMMENTS, LV_STOP_WORDS, SENTENCES, WORDS, LEXICON, WORD_COUNTS, TOP, HISTOGRAM, MEAN,
+    LV_EVENTS, LV_COMMENTS, LV_STOP_WORDS, SENTENCES, WORDS, LEXICON, WORD_COUNTS, TOP, HISTOGRAM_ALL, MEAN,
     CONCURRENT_CTE,
     """loc AS (
   SELECT video_id, latitude, longitude FROM lv_events WHERE event_type = 'start_video'
@@ -201,7 +204,16 @@ def _popup_text() -> str:
 FROM dash"""
 
 
+SAMPLED = """sampled AS (
+  SELECT s.* FROM sentences s JOIN probs p USING (window_start)
+  WHERE CAST('0x' || substr(md5(CAST(s.video_id AS VARCHAR) || '|' || s.sentence), 1, 8) AS BIGINT)
+        / CAST(4294967296 AS DOUBLE) >= CAST(1 AS DOUBLE) - p.prob)"""
+
+
 def oracle_sql() -> dict[str, str]:
+    sampled_sentiment = (
+        _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, PROBS, SAMPLED, HISTOGRAM_SAMPLED, MEAN) + "SELECT * FROM mean_sent"
+    )
     search = ", ".join(f"'{w}'" for w in SEARCH_WORDS)
     totals = _with(LV_EVENTS) + """SELECT video_id,
   count(*) FILTER (WHERE event_type = 'like') AS likes,
@@ -257,14 +269,13 @@ WHERE topic IS NOT NULL GROUP BY topic""",
 FROM sentences GROUP BY ALL""",
         "word_counts": _with(LV_COMMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS) + "SELECT * FROM word_counts",
         "top_words": _with(LV_COMMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS, TOP) + "SELECT * FROM top",
-        "sentence_sentiment": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM) + "SELECT * FROM histogram",
-        "mean_sentiment": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM, MEAN) + "SELECT * FROM mean_sent",
+        "sentence_sentiment": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM_ALL) + "SELECT * FROM histogram",
+        "mean_sentiment": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM_ALL, MEAN) + "SELECT * FROM mean_sent",
+        "sampled_sentiment": sampled_sentiment,
+        "sampled_sentiment_stream": sampled_sentiment,
         "keep_probability": _with(LV_COMMENTS, PROBS) + "SELECT * FROM probs",
-        "sampled_sentences": _with(LV_COMMENTS, SENTENCES, PROBS) + """SELECT s.video_id, s.window_start, count(*) AS n
-FROM sentences s JOIN probs p USING (window_start)
-WHERE CAST('0x' || substr(md5(CAST(s.video_id AS VARCHAR) || '|' || s.sentence), 1, 8) AS BIGINT)
-      / CAST(4294967296 AS DOUBLE) >= CAST(1 AS DOUBLE) - p.prob
-GROUP BY ALL""",
+        "sampled_sentences": _with(LV_COMMENTS, SENTENCES, PROBS, SAMPLED)
+        + "SELECT video_id, window_start, count(*) AS n FROM sampled GROUP BY ALL",
         "map_features": _map_features(),
         "popup_text": _popup_text(),
         "unlocated_videos": _with(LV_EVENTS) + """SELECT video_id, first_play, first_start FROM (

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidpulse.operators import counts, misc, routing, sampling, sentiment, text, viewers
-from vidpulse.plans import dashboard
+from vidpulse.plans import comment_stats, dashboard
 from vidpulse.sources import envelope
 from vidpulse.schema import STOP_WORDS
 from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_events
@@ -145,6 +145,13 @@ def sampled_sentences(spark, d):
     return sampling.sampled_counts(sampling.adaptive_sample(text.comment_sentences(cm), probs))
 
 
+def sampled_sentiment(spark, d):
+    """Mean sentiment over the adaptively sampled sentences (score only
+    what the capacity allows)."""
+    cm = _cm(spark, d)
+    return comment_stats.shed_and_score(cm, derive_lexicon(cm), lexicon_broadcast_rows=None)
+
+
 def _dash(spark, d):
     cm = _cm(spark, d)
     return dashboard.dashboard_inputs(_ev(spark, d), cm, STOP_WORDS, None, TUMBLING)
@@ -190,6 +197,12 @@ def likes_tumbling_stream(spark, d):
     return run_reaction_counts_once(spark, d, "like", TUMBLING)
 
 
+def sampled_sentiment_stream(spark, d):
+    from vidpulse.streaming.jobs import run_comment_sentiment_once
+
+    return run_comment_sentiment_once(spark, d)
+
+
 def totals_stream(spark, d):
     from vidpulse.streaming.jobs import run_totals_once
 
@@ -204,7 +217,8 @@ QUERIES: dict[str, Query] = {
         running_totals, concurrent_views, play_running_count, leave_running_count, viewer_timeline,
         latest_start, latest_end, latest_likes, routed_counts, envelope_roundtrip, comment_sentences,
         token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment, keep_probability,
-        sampled_sentences, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
+        sampled_sentences, sampled_sentiment, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
         geo_cells, comment_index, comment_search, likes_tumbling_stream, totals_stream,
+        sampled_sentiment_stream,
     ]
 }

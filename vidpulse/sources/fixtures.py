@@ -83,8 +83,8 @@ def comment_time(turn: Column) -> Column:
     )
 
 
-def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _table(spark, sf_dir, "conversations")
+def conversations_as_comments(c: DataFrame) -> DataFrame:
+    """conversations -> (video_id, ts, comment); batch or streaming."""
     return c.select(
         F.col("conv_id").alias("video_id"),
         comment_time(F.col("turn")).alias("ts"),
@@ -92,6 +92,10 @@ def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations_as_comments(_table(spark, sf_dir, "conversations"))
+
+
 def lv_stop_words(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(w,) for w in STOP_WORDS], T.StructType([T.StructField("word", T.StringType())]))
 

@@ -19,10 +19,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.operators import counts, sampling, sentiment, text
-from vidpulse.session import scratch_path
+from vidpulse.operators import counts
+from vidpulse.plans.comment_stats import comment_statistics
+from vidpulse.session import materialize, scratch_path
 from vidpulse.sources.events import read_table_stream
-from vidpulse.sources.fixtures import events_as_video_events
+from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments
 from vidpulse.streaming.sinks import UpsertTable, upsert_sink
 
 WATERMARK = "1 hour"
@@ -48,25 +49,27 @@ def comment_batch(tables: dict[str, UpsertTable], lexicon: DataFrame, stop_words
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read by three outputs; executor storage, released below
-        sentences = text.comment_sentences(batch)
-        probs = sampling.window_keep_probability(batch, capacity)
-        kept = sampling.adaptive_sample(sentences, probs, draw=draw).drop("window_start")
-        hist = sentiment.sentence_sentiment(kept, lexicon)
-        tables["comment_sentiment"].write_batch(sentiment.mean_sentiment(hist), batch_id)
-        tables["comment_words"].write_batch(text.top_words(text.word_counts(batch, stop_words)), batch_id)
-        tables["comment_tokens"].write_batch(text.token_stats(sentences), batch_id)
+        for name, out in comment_statistics(batch, lexicon, stop_words, capacity, draw=draw).items():
+            if name in tables:
+                tables[name].write_batch(out, batch_id)
         batch.unpersist()
 
     return run
 
 
-def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words: DataFrame,
-                        capacity: int = 5000, trigger: dict | None = None):
-    tables = {
-        "comment_sentiment": UpsertTable(f"{root}/comment_sentiment", ["video_id", "window_start"]),
-        "comment_words": UpsertTable(f"{root}/comment_words", ["video_id", "window_start", "rank"]),
-        "comment_tokens": UpsertTable(f"{root}/comment_tokens", ["video_id", "window_start"]),
-    }
+COMMENT_TABLE_KEYS = {
+    "comment_sentiment": ["video_id", "window_start"],
+    "comment_words": ["video_id", "window_start", "rank"],
+    "comment_tokens": ["video_id", "window_start"],
+}
+
+
+def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
+                        capacity: int = 5000, trigger: dict | None = None, outputs=tuple(COMMENT_TABLE_KEYS)):
+    """Comment statistics per micro-batch.  The static lexicon is written
+    once to the checkpoint folder, so micro-batches do not recompute it."""
+    tables = {name: UpsertTable(f"{root}/{name}", COMMENT_TABLE_KEYS[name]) for name in outputs}
+    lexicon = materialize(lexicon)
     q = (
         comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity))
         .option("checkpointLocation", f"{root}/_checkpoints/comments")
@@ -123,3 +126,16 @@ def run_totals_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = UpsertTable(os.path.join(root, "table"), ["video_id"])
     _run_once(totals_stream_df(events), table, os.path.join(root, "checkpoint"))
     return table.read(spark).select("video_id", "likes", "dislikes", "plays", "leaves")
+
+
+def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int = 5000) -> DataFrame:
+    """Stream the comments once through the foreachBatch statistics and read
+    the sentiment serving table."""
+    root = scratch_path(spark, "stream-comments")
+    comments = conversations_as_comments(read_table_stream(spark, sf_dir, "conversations"))
+    q, tables = start_comment_stats(comments, root, derive_lexicon(lv_comments(spark, sf_dir)), None, capacity,
+                                    {"availableNow": True}, ("comment_sentiment",))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return tables["comment_sentiment"].read(spark).select("video_id", "window_start", "score", "n")
