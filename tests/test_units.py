@@ -211,3 +211,21 @@ def test_upsert_table_newest_wins_and_compacts(spark, scratch):
     assert {r.video_id: r.n for r in t.read(spark).collect()} == {1: 6, 2: 7}
     t.compact(spark, 2)
     assert {r.video_id: r.n for r in t.read(spark).collect()} == {1: 6, 2: 7}
+
+
+def test_kafka_rows_to_events(spark):
+    """Post-load Kafka logic on rows shaped like the connector's output."""
+    from vidpulse.sources.events import kafka_rows_to_events
+
+    payload = _line(user_id=1, event_type="like", timestamp=2.0, video_id=42, longitude=-90.0, latitude=40.0)
+    rows = [
+        (bytearray(_envelope(42, payload).encode()), "like_topic", 3, 17),
+        (bytearray(b"garbage"), "like_topic", 3, 18),
+    ]
+    raw = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
+    got = kafka_rows_to_events(raw).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r.video_id, r.event_type, r.topic) == (42, "like", "like_topic")
+    assert r.event_id == 3 * (1 << 40) + 17
+    assert str(r.ts) == "1970-01-01 00:00:20"

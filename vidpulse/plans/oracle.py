@@ -257,6 +257,12 @@ FROM lv_events WHERE event_type IN ('play', 'leave')""",
   arg_max(n, window_start) AS n
 FROM (SELECT video_id, time_bucket(INTERVAL '6 hours', ts) AS window_start, count(*) AS n
       FROM lv_events WHERE event_type = 'like' GROUP BY ALL) GROUP BY video_id""",
+        "likes_as_of": _with(LV_EVENTS) + """, lw AS (
+  SELECT video_id, time_bucket(INTERVAL '6 hours', ts) AS window_start, count(*) AS n
+  FROM lv_events WHERE event_type = 'like' GROUP BY ALL)
+SELECT k.video_id, CAST(coalesce(cur.n, 0) AS BIGINT) AS n
+FROM (SELECT DISTINCT video_id FROM lw) k
+LEFT JOIN (SELECT video_id, n FROM lw WHERE window_start = (SELECT max(window_start) FROM lw)) cur USING (video_id)""",
         "routed_counts": _with(LV_EVENTS, LV_COMMENTS) + f"""SELECT topic, count(*) AS n FROM (
   SELECT {_topic_case()} AS topic
   FROM (SELECT event_type FROM lv_events UNION ALL SELECT 'comment' AS event_type FROM lv_comments))

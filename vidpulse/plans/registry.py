@@ -96,6 +96,13 @@ def latest_likes(spark, d):
     return counts.latest_window(counts.typed_window_counts(_ev(spark, d, "like"), "like", TUMBLING))
 
 
+def likes_as_of(spark, d):
+    """Likes of every video in the newest like window of the whole input
+    (0 for videos quiet in it) - the 'as of now' form of recent likes."""
+    c = counts.typed_window_counts(_ev(spark, d, "like"), "like", TUMBLING)
+    return counts.latest_window_as_of(c, c.select(F.max("window_start")).scalar())
+
+
 def routed_counts(spark, d):
     return routing.routed_counts(routing.with_comments(_ev(spark, d), _cm(spark, d)))
 
@@ -215,7 +222,7 @@ QUERIES: dict[str, Query] = {
         likes_tumbling, dislikes_tumbling, sliding_counts, sliding_counts_zero, comment_sliding_counts,
         net_viewer_change,
         running_totals, concurrent_views, play_running_count, leave_running_count, viewer_timeline,
-        latest_start, latest_end, latest_likes, routed_counts, envelope_roundtrip, comment_sentences,
+        latest_start, latest_end, latest_likes, likes_as_of, routed_counts, envelope_roundtrip, comment_sentences,
         token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment, keep_probability,
         sampled_sentences, sampled_sentiment, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
         geo_cells, comment_index, comment_search, likes_tumbling_stream, totals_stream,

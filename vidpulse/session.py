@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "vidpulse",
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", max_partition_bytes: str = "128m",
+                  advisory_partition_bytes: str = "256m") -> SparkSession:
     """Session with the settings every job here assumes.
 
     * AQE on: runtime coalescing of small shuffle partitions, runtime
@@ -18,7 +19,10 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
     * UTC session zone: event times are stored without zone.
     * UI off: no web server.
     On a cluster pass ``master=None`` and size ``partitions`` to the data
-    (about 128-256 MB of shuffle data per partition).
+    (about 128-256 MB of shuffle data per partition); AQE coalesces toward
+    ``advisory_partition_bytes`` and splits skewed partitions.  Input splits
+    are ``max_partition_bytes`` (lower it for text columns that explode into
+    many words per row).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -28,6 +32,8 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
+        .config("spark.sql.files.maxPartitionBytes", max_partition_bytes)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")

@@ -31,22 +31,34 @@ def read_event_lines(spark: SparkSession, path: str, streaming: bool = False, ba
     return df.where(F.col("event_type").isNotNull() & F.col("video_id").isNotNull())
 
 
+def kafka_rows_to_events(raw: DataFrame, base: str = "1970-01-01 00:00:00") -> DataFrame:
+    """Kafka rows (value, topic, partition, offset) -> parsed events.
+
+    ``event_id`` falls back to (partition, offset), unique within a topic,
+    when the payload carries none; the topic stays as a column.
+    """
+    rows = raw.select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
+    parsed = parse_events(rows, "value", base)
+    fallback = F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")
+    return parsed.withColumn("event_id", F.coalesce("event_id", fallback))
+
+
 def read_kafka(spark: SparkSession, brokers: str, topics: Sequence[str] = ALL_TOPICS, streaming: bool = True,
-               starting_offsets: str = "latest", base: str = "1970-01-01 00:00:00") -> DataFrame:
+               starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
+               base: str = "1970-01-01 00:00:00") -> DataFrame:
     """All topics through one Kafka reader; envelopes decoded and parsed.
 
-    Needs the Kafka connector on the classpath.  ``event_id`` falls back to
-    (partition, offset) when the payload carries none.
+    ``max_offsets_per_trigger`` bounds a micro-batch (back-pressure under
+    load spikes).  Needs the Kafka connector on the classpath.
     """
     r = spark.readStream if streaming else spark.read
-    raw = (
+    r = (
         r.format("kafka").option("kafka.bootstrap.servers", brokers).option("subscribe", ",".join(topics))
-        .option("startingOffsets", starting_offsets).load()
+        .option("startingOffsets", starting_offsets)
     )
-    parsed = parse_events(raw.select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset"),
-                          "value", base)
-    fallback = F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")
-    return parsed.withColumn("event_id", F.coalesce("event_id", fallback))
+    if streaming and max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return kafka_rows_to_events(r.load(), base)
 
 
 def read_table_stream(spark: SparkSession, directory: str, table: str,
