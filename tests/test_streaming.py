@@ -113,3 +113,17 @@ def test_comment_stats_foreach_batch(spark, scratch):
     assert tokens.count() > 0
     assert tables["comment_words"].read(spark).agg(F.max("rank")).first()[0] <= 5
     assert tables["comment_sentiment"].read(spark).where("score < 0 or score > 4").count() == 0
+
+
+def test_stream_windows_independent_of_session_zone(spark):
+    from vidpulse.streaming.jobs import run_reaction_counts_once
+
+    want = _rows(counts.typed_window_counts(events_as_video_events(
+        spark.read.parquet(f"{SF_SMALL}/events.parquet")), "like", "6 hours"), ["video_id", "window_start", "n"])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = _rows(run_reaction_counts_once(spark, SF_SMALL, "like", "6 hours"), ["video_id", "window_start", "n"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vidpulse.functions.time import to_ntz
+
 REACTION_TYPES = ["like", "dislike", "play", "leave"]
 
 
@@ -19,13 +21,14 @@ def _window(ts: str, length: str, slide: str | None) -> Column:
     return F.window(ts, length, slide) if slide else F.window(ts, length)
 
 
-def window_start_col(df: DataFrame, start: Column) -> Column:
+def window_start_col(df: DataFrame, start: Column, ts: str = "ts") -> Column:
     """Window starts keep the zone-less type of the source ``ts``.
 
-    Streams carry a zoned ``timestamp`` (needed for watermarks); the result
-    is cast back so batch and stream outputs have one schema.
+    Streams carry a zoned ``timestamp`` (needed for watermarks); the start
+    is converted back (zone-independently) so batch and stream outputs have
+    one schema and one value.
     """
-    return start.cast("timestamp_ntz")
+    return to_ntz(start, df.schema[ts].dataType)
 
 
 def window_counts(df: DataFrame, length: str, slide: str | None = None,
@@ -38,7 +41,7 @@ def window_counts(df: DataFrame, length: str, slide: str | None = None,
     """
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
     g = df.groupBy(_window(ts, length, slide).alias("w"), *keys).agg(agg.cast("bigint").alias(out))
-    return g.select(*keys, window_start_col(df, F.col("w.start")).alias("window_start"), out)
+    return g.select(*keys, window_start_col(df, F.col("w.start"), ts).alias("window_start"), out)
 
 
 def typed_window_counts(df: DataFrame, event_type: str, length: str, slide: str | None = None,

@@ -33,7 +33,7 @@ def geo_cells(df: DataFrame, length: str, cell_degrees: float = 2.0,
     g = ev.groupBy(F.window(ts, length).alias("w"), cell_lat.alias("cell_lat"), cell_lon.alias("cell_lon")).agg(
         *[F.count_if(F.col("event_type") == t).alias(f"{t}s") for t in types]
     )
-    return g.select("cell_lat", "cell_lon", window_start_col(df, F.col("w.start")).alias("window_start"),
+    return g.select("cell_lat", "cell_lon", window_start_col(df, F.col("w.start"), ts).alias("window_start"),
                     *[f"{t}s" for t in types])
 
 

@@ -35,7 +35,7 @@ def sentence_counts(sentences: DataFrame, key: str = "video_id") -> DataFrame:
 
 def windowed(df: DataFrame, length: str = COMMENT_WINDOW, ts: str = "ts") -> DataFrame:
     """Attach the tumbling comment window start."""
-    return df.withColumn("window_start", window_start_col(df, F.window(ts, length).start))
+    return df.withColumn("window_start", window_start_col(df, F.window(ts, length).start, ts))
 
 
 def token_stats(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "vidpulse",
                   driver_memory: str = "8g", max_partition_bytes: str = "128m",
-                  advisory_partition_bytes: str = "256m") -> SparkSession:
+                  advisory_partition_bytes: str = "256m", rocksdb_state: bool = True) -> SparkSession:
     """Session with the settings every job here assumes.
 
     * AQE on: runtime coalescing of small shuffle partitions, runtime
@@ -22,7 +22,9 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
     (about 128-256 MB of shuffle data per partition); AQE coalesces toward
     ``advisory_partition_bytes`` and splits skewed partitions.  Input splits
     are ``max_partition_bytes`` (lower it for text columns that explode into
-    many words per row).
+    many words per row).  ``rocksdb_state``: streaming state (per-video
+    totals, open windows, dedup keys) lives in RocksDB off the JVM heap with
+    changelog checkpoints, so state size is bounded by disk, not heap.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -41,6 +43,11 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
     )
+    if rocksdb_state:
+        b = b.config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        ).config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -24,9 +24,9 @@ def event_time(sim_ts: Column, base: str = "1970-01-01 00:00:00",
 
 def sim_timestamp(ts: Column, base: str = "1970-01-01 00:00:00",
                   seconds_per_unit: float = SECONDS_PER_SIM_UNIT) -> Column:
-    """Inverse of ``event_time``."""
-    secs = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.lit(base).cast("timestamp"))
-    return secs / F.lit(seconds_per_unit * 1_000_000)
+    """Inverse of ``event_time`` (zone-less ``ts``)."""
+    micros = (ts - F.lit(base).cast("timestamp_ntz")).cast("interval second").cast("decimal(20,6)") * 1_000_000
+    return micros.cast("double") / F.lit(seconds_per_unit * 1_000_000)
 
 
 def envelope_key_text(value: Column) -> Column:

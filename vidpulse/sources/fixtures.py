@@ -10,7 +10,6 @@ The DuckDB twins of these definitions live in ``vidpulse.plans.oracle``.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 from vidpulse.functions.text import clean_comment, word_array
 from vidpulse.schema import STOP_WORDS
 
-COMMENT_EPOCH = dt.datetime(2024, 1, 1)
+COMMENT_EPOCH = "2024-01-01 00:00:00"  # zone-less wall time
 COMMENT_TURN_SECONDS = 20
 
 

@@ -8,8 +8,9 @@
   probability, sampling, sentence sentiment and word counts;
 * ``start_all``: several queries in one application, ``awaitAnyTermination``.
 
-Streams need a zoned ``timestamp`` for watermarks; zone-less times are cast
-with the session zone (UTC) and window starts are cast back on output.
+Streams need a zoned ``timestamp`` for watermarks; zone-less times are read
+as UTC (independent of the session zone) and window starts are converted
+back on output.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vidpulse.functions.time import ntz_to_instant
 
 from vidpulse.operators import counts
 from vidpulse.plans.comment_stats import comment_statistics
@@ -30,7 +34,10 @@ WATERMARK = "1 hour"
 
 
 def with_event_time(df: DataFrame, watermark: str = WATERMARK, ts: str = "ts") -> DataFrame:
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    """Zoned event time (UTC reading of a zone-less ``ts``) + watermark."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        df = df.withColumn(ts, ntz_to_instant(F.col(ts)))
+    return df.withWatermark(ts, watermark)
 
 
 def reaction_counts_stream(events: DataFrame, event_type: str, length: str, slide: str | None = None,
