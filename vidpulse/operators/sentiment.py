@@ -4,16 +4,14 @@ Scores come from a (word, score) lexicon instead of an external NLP model:
 sentence class = 2 + clamp(round(mean score of its matched words), -2, 2),
 i.e. 0 (very negative) .. 4 (very positive); no matched word -> class 2.
 
-The work is done on *distinct* sentence texts: sentences are first counted
-per (video, window, sentence) (map-side partial aggregation), each distinct
-text is scored once, and the classes are joined back to the counts.  A
-sentence repeated by a hot video is therefore scored once and shuffled as
-one counted row.
+Sentences are first counted per (video, window, sentence) (map-side partial
+aggregation), so a sentence repeated by a hot video is scored once per
+window and shuffled as one counted row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.text import word_array
@@ -26,36 +24,39 @@ LEXICON_BROADCAST_ROWS = 2_000_000
 NEUTRAL = 2
 
 
-def sentence_classes(sentence_text: DataFrame, lexicon: DataFrame,
-                     broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
-    """(sentence) -> (sentence, sentiment_class) for distinct texts that
-    have at least one lexicon word (the others are neutral).
-
-    ``broadcast_rows``: size bound under which the lexicon is broadcast
-    (checked); ``None`` leaves the choice to AQE at run time (use it for a
-    lexicon derived in the same job, where a count would recompute it).
-    """
-    distinct = sentence_text.select("sentence").distinct()
-    words = distinct.select("sentence", F.explode(word_array(F.col("sentence"))).alias("word"))
+def _lexicon_side(lexicon: DataFrame, broadcast_rows: int | None) -> DataFrame:
     lex = lexicon.select("word", "score")
-    if broadcast_rows is not None:
-        lex = small_side(lex, broadcast_rows)
-    scored = words.join(lex, "word").groupBy("sentence").agg(
-        F.sum("score").alias("_s"), F.count(F.lit(1)).alias("_c")
-    )
-    mean = F.col("_s") / F.col("_c")
+    return small_side(lex, broadcast_rows) if broadcast_rows is not None else lex
+
+
+def sentence_class(score_sum: Column, matched: Column) -> Column:
+    """2 + clamp(round(mean score), -2, 2); neutral without matched words."""
+    mean = score_sum / matched
     cls = F.lit(NEUTRAL) + F.greatest(F.lit(-2), F.least(F.lit(2), F.round(mean, 0).cast("bigint")))
-    return scored.select("sentence", cls.cast("bigint").alias("sentiment_class"))
+    return F.when(matched > 0, cls).otherwise(F.lit(NEUTRAL)).cast("bigint")
 
 
 def sentiment_histogram(per_sentence: DataFrame, lexicon: DataFrame, key: str = "video_id",
                         broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
-    """(key, window_start, sentence, n) -> sentences per (key, window, class)."""
-    classes = sentence_classes(per_sentence, lexicon, broadcast_rows)
-    j = per_sentence.join(classes, "sentence", "left").withColumn(
-        "sentiment_class", F.coalesce("sentiment_class", F.lit(NEUTRAL).cast("bigint"))
+    """(key, window_start, sentence, n) -> sentences per (key, window, class).
+
+    Each pre-aggregated sentence row is scored in place: its words are
+    exploded (``explode_outer`` keeps sentences without words), left-joined
+    to the lexicon and summed back per (key, window, sentence).  That regroup
+    uses the key the sentence counts are already hash-partitioned on, so with
+    a broadcast lexicon the only shuffles are the sentence pre-aggregation
+    and the final (small) class histogram.
+    ``broadcast_rows``: checked size bound for broadcasting the lexicon;
+    ``None`` leaves the choice to Spark/AQE (use it for a lexicon derived in
+    the same job, where a count would recompute it).
+    """
+    grp = [key, "window_start", "sentence"]
+    words = per_sentence.select(*grp, "n", F.explode_outer(word_array(F.col("sentence"))).alias("word"))
+    scored = words.join(_lexicon_side(lexicon, broadcast_rows), "word", "left").groupBy(*grp).agg(
+        F.max("n").alias("n"), F.sum("score").alias("_s"), F.count("score").alias("_c")
     )
-    return j.groupBy(key, "window_start", "sentiment_class").agg(F.sum("n").cast("bigint").alias("n"))
+    hist = scored.select(key, "window_start", sentence_class(F.col("_s"), F.col("_c")).alias("sentiment_class"), "n")
+    return hist.groupBy(key, "window_start", "sentiment_class").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def sentence_sentiment(sentences: DataFrame, lexicon: DataFrame, length: str = "60 seconds",
