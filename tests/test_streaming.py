@@ -127,3 +127,26 @@ def test_stream_windows_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want
+
+
+def test_stream_dedup_within_watermark(spark, scratch):
+    from vidpulse.operators.misc import dedup_events
+    from vidpulse.streaming.sinks import console_sink
+
+    src = os.path.join(scratch, "dups")
+    rows = [_ev(3600), _ev(3601), _ev(3600), _ev(3602, "like")]  # one exact re-delivery
+    _json_file(src, "a.json", rows)
+    _json_file(src, "b.json", [_ev(3601), _ev(3603)])  # re-delivered in a later batch
+    os.utime(os.path.join(src, "b.json"), (os.path.getmtime(os.path.join(src, "a.json")) + 5,) * 2)
+    stream = read_event_lines(spark, src, streaming=True, max_files_per_trigger=1)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    keys = ["video_id", "user_id", "event_type", "timestamp"]
+    deduped = dedup_events(stream, keys, watermark="1 hour")
+    out = os.path.join(scratch, "out")
+    q = (deduped.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 4
+    cq = console_sink(read_event_lines(spark, src, streaming=True), mode="append", trigger={"availableNow": True})
+    cq.awaitTermination()
+    assert cq.exception() is None

@@ -194,7 +194,9 @@ def test_archive_replay_prunes_topics(spark, scratch):
     ev = route_events(lv_events(spark, "/root/testdata/sf0.001"))
     write_archive(ev, scratch)
     likes = read_archive(spark, scratch, topics=["like_topic"], first_date="2024-01-02", last_date="2024-01-05")
-    plan = likes._jdf.queryExecution().executedPlan().toString()
+    from vidpulse.plans.explain import plan_text
+
+    plan = plan_text(likes, "simple")
     part_filters = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
     assert "like_topic" in part_filters and "event_date" in part_filters
     want = ev.where("topic = 'like_topic' and to_date(ts) between '2024-01-02' and '2024-01-05'").count()
