@@ -302,5 +302,6 @@ FROM lv_events WHERE event_type IN ('play', 'like') GROUP BY ALL""",
         "comment_search": _with(LV_COMMENTS, WORDS)
         + f"SELECT word, video_id, count(*) AS n FROM words WHERE word IN ({search}) GROUP BY ALL",
         "likes_tumbling_stream": likes,
+        "sliding_counts_stream": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
         "totals_stream": totals,
     }

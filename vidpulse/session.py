@@ -42,6 +42,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if rocksdb_state:
         b = b.config(

@@ -45,6 +45,12 @@ def reaction_counts_stream(events: DataFrame, event_type: str, length: str, slid
     return counts.typed_window_counts(with_event_time(events, watermark), event_type, length, slide)
 
 
+def sliding_counts_stream(events: DataFrame, length: str, slide: str, watermark: str = WATERMARK) -> DataFrame:
+    """Per (video, type) sliding counts on event time; update mode emits
+    every window a batch touched, state of closed windows is evicted."""
+    return counts.sliding_counts(with_event_time(events, watermark), length, slide)
+
+
 def totals_stream_df(events: DataFrame) -> DataFrame:
     return counts.running_totals(events)
 
@@ -127,6 +133,15 @@ def run_reaction_counts_once(spark: SparkSession, sf_dir: str, event_type: str,
     return table.read(spark).select("video_id", "window_start", "n")
 
 
+def run_sliding_counts_once(spark: SparkSession, sf_dir: str, length: str, slide: str) -> DataFrame:
+    root = scratch_path(spark, "stream-sliding")
+    raw = read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
+    events = events_as_video_events(raw, list(counts.REACTION_TYPES))
+    table = UpsertTable(os.path.join(root, "table"), ["video_id", "event_type", "window_start"])
+    _run_once(sliding_counts_stream(events, length, slide), table, os.path.join(root, "checkpoint"))
+    return table.read(spark).select("video_id", "event_type", "window_start", "n")
+
+
 def run_totals_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-totals")
     events = events_as_video_events(read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1))
