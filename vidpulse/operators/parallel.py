@@ -1,0 +1,20 @@
+"""Input parallelism for CPU-heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) when its input has fewer splits.
+
+    Regex and JSON work runs inside the scan's tasks; a small input stored
+    as one row group would run it in one task.  Large inputs already have
+    many splits and are returned unchanged (no extra shuffle).  The split
+    count is known when the scan is planned; no job runs.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

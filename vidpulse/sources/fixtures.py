@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidpulse.functions.text import clean_comment, word_array
+from vidpulse.operators.parallel import spread
 from vidpulse.schema import STOP_WORDS
 
 COMMENT_EPOCH = "2024-01-01 00:00:00"  # zone-less wall time
@@ -92,7 +93,9 @@ def conversations_as_comments(c: DataFrame) -> DataFrame:
 
 
 def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conversations_as_comments(_table(spark, sf_dir, "conversations"))
+    """Comment text feeds regex-heavy operators: spread small inputs over
+    the available cores (no-op for inputs with many splits)."""
+    return spread(conversations_as_comments(_table(spark, sf_dir, "conversations")))
 
 
 def lv_stop_words(spark: SparkSession) -> DataFrame:
