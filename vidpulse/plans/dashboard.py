@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.geo import color_ramp, corner_columns, marker_size, popup_labels
-from vidpulse.operators.counts import window_start_col
 from vidpulse.functions.text import word_array
-from vidpulse.operators.sentiment import mean_sentiment, sentiment_histogram
+from vidpulse.operators.counts import window_start_col
+from vidpulse.operators.sentiment import LEXICON_BROADCAST_ROWS, mean_sentiment, sentiment_histogram
 from vidpulse.operators.text import (
     COMMENT_WINDOW,
     comment_sentences,
@@ -25,9 +25,9 @@ from vidpulse.operators.text import (
     windowed_sentence_counts,
     word_counts_from_sentences,
 )
+from vidpulse.operators.viewers import concurrent_from_totals
 from vidpulse.session import materialize
 from vidpulse.sources.fixtures import lexicon_of_words
-from vidpulse.operators.viewers import concurrent_from_totals
 
 KEY = "video_id"
 
@@ -64,7 +64,9 @@ def video_summary(events: DataFrame, reaction_window: str, key: str = KEY) -> Da
         F.count_if(t == "dislike").alias("dislikes"),
         F.max(F.when(t == "start_video", rec)).alias("start"),
     )
-    newest_nonzero = lambda c: F.max_by(c, F.when(F.col(c) > 0, F.col("window_start")))
+    def newest_nonzero(c: str):
+        return F.max_by(c, F.when(F.col(c) > 0, F.col("window_start")))
+
     per_video = per_window.groupBy(key).agg(
         F.sum("plays").cast("bigint").alias("plays"),
         F.sum("leaves").cast("bigint").alias("leaves"),
@@ -113,9 +115,11 @@ def comment_facts(comments: DataFrame, stop_words, lexicon: DataFrame | None, k:
     text = top_words_text(top_words(word_counts_from_sentences(per, stop_words), k))
     words = newest.join(text, [KEY, "window_start"], "left").select(
         KEY, F.coalesce("words", F.lit("[]")).alias("words"))
-    if lexicon is None:
+    check_rows = LEXICON_BROADCAST_ROWS  # a given lexicon is broadcast behind a size check
+    if lexicon is None:  # derived here: a count would recompute it; Spark/AQE choose the join
         lexicon = lexicon_of_words(per.select(F.explode(word_array(F.col("sentence"))).alias("word")))
-    ms = mean_sentiment(sentiment_histogram(per, lexicon, broadcast_rows=None))
+        check_rows = None
+    ms = mean_sentiment(sentiment_histogram(per, lexicon, broadcast_rows=check_rows))
     sentiment = ms.groupBy(KEY).agg(F.max_by("score", "window_start").alias("score"))
     return words, sentiment
 
