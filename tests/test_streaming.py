@@ -98,21 +98,37 @@ def test_late_event_dropped_by_watermark(spark, scratch):
     assert batch.count() == 5  # the batch form keeps the late row
 
 
-def test_comment_stats_foreach_batch(spark, scratch):
+def test_comment_stats_window_split_over_batches(spark, scratch):
+    """Turns 0-1 and 2 of a conversation share a 60 s window but arrive in
+    different micro-batches: the additive tables must give the batch answer."""
+    from vidpulse.operators import sentiment as sent
+    from vidpulse.operators import text as txt
     from vidpulse.schema import STOP_WORDS
     from vidpulse.sources.fixtures import derive_lexicon, lv_comments
-
-    cm_batch = lv_comments(spark, SF_SMALL)
-    src = os.path.join(scratch, "comments")
-    cm_batch.write.parquet(src)
-    stream = spark.readStream.schema(cm_batch.schema).parquet(src)
-    q, tables = start_comment_stats(stream, scratch, derive_lexicon(cm_batch), STOP_WORDS, capacity=5000,
-                                    trigger={"availableNow": True})
+    from vidpulse.streaming.jobs import read_comment_views
+
+    cm = lv_comments(spark, SF_SMALL)
+    conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    src = os.path.join(scratch, "conv")
+    conv.where("turn < 2").coalesce(1).write.parquet(src)
+    conv.where("turn >= 2").coalesce(1).write.mode("append").parquet(src)
+    from vidpulse.sources.fixtures import conversations_as_comments
+
+    stream = conversations_as_comments(spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(src))
+    lex = derive_lexicon(cm)
+    q, tables = start_comment_stats(stream, scratch, lex, STOP_WORDS, capacity=10**12, trigger={"availableNow": True})
     q.awaitTermination()
-    tokens = tables["comment_tokens"].read(spark)
-    assert tokens.count() > 0
-    assert tables["comment_words"].read(spark).agg(F.max("rank")).first()[0] <= 5
-    assert tables["comment_sentiment"].read(spark).where("score < 0 or score > 4").count() == 0
+    assert len(q.recentProgress) >= 2
+    views = read_comment_views(spark, tables)
+    sentences = txt.comment_sentences(cm)
+    want = {
+        "comment_sentiment": sent.mean_sentiment(sent.sentence_sentiment(sentences, lex)),
+        "comment_words": txt.top_words(txt.word_counts(cm, STOP_WORDS)),
+        "comment_tokens": txt.token_stats(sentences),
+    }
+    for name, df in want.items():
+        cols = sorted(df.columns)
+        assert _rows(views[name], cols) == _rows(df, cols), name
 
 
 def test_stream_windows_independent_of_session_zone(spark):

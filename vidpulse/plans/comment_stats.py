@@ -10,24 +10,39 @@ from vidpulse.operators import sampling, sentiment, text
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY
 
 
-def shed_and_score(comments: DataFrame, lexicon: DataFrame, capacity: int = SENTIMENT_WORD_CAPACITY,
+def shed_histogram(comments: DataFrame, lexicon: DataFrame, capacity: int = SENTIMENT_WORD_CAPACITY,
                    draw: str = "hash", length: str = text.COMMENT_WINDOW,
                    lexicon_broadcast_rows: int | None = sentiment.LEXICON_BROADCAST_ROWS) -> DataFrame:
-    """Mean sentiment per (video, window) over the sentences kept by the
-    adaptive sample: above ``capacity`` words per window only a
+    """Sentiment class histogram per (video, window) of the sentences kept
+    by the adaptive sample: above ``capacity`` words per window only a
     capacity/words share of the sentences is scored."""
     sentences = text.comment_sentences(comments)
     probs = sampling.window_keep_probability(comments, capacity, length)
     kept = sampling.adaptive_sample(sentences, probs, length, draw=draw).drop("window_start")
-    hist = sentiment.sentence_sentiment(kept, lexicon, length, broadcast_rows=lexicon_broadcast_rows)
-    return sentiment.mean_sentiment(hist)
+    return sentiment.sentence_sentiment(kept, lexicon, length, broadcast_rows=lexicon_broadcast_rows)
+
+
+def shed_and_score(comments: DataFrame, lexicon: DataFrame, capacity: int = SENTIMENT_WORD_CAPACITY,
+                   draw: str = "hash", length: str = text.COMMENT_WINDOW,
+                   lexicon_broadcast_rows: int | None = sentiment.LEXICON_BROADCAST_ROWS) -> DataFrame:
+    """Mean sentiment per (video, window) of the sampled sentences."""
+    return sentiment.mean_sentiment(shed_histogram(comments, lexicon, capacity, draw, length, lexicon_broadcast_rows))
+
+
+# Additive per-batch outputs: (keys, summed columns).  Top words and mean
+# sentiment are derived from the summed counts when the tables are read.
+PARTIAL_TABLES = {
+    "comment_sentiment": (["video_id", "window_start", "sentiment_class"], ["n"]),
+    "comment_words": (["video_id", "window_start", "word"], ["n"]),
+    "comment_tokens": (["video_id", "window_start"], ["n_sentences", "n_tokens"]),
+}
 
 
-def comment_statistics(comments: DataFrame, lexicon: DataFrame, stop_words, capacity: int = SENTIMENT_WORD_CAPACITY,
-                       k: int = 5, draw: str = "hash") -> dict[str, DataFrame]:
-    """The three comment serving tables of one batch."""
+def comment_partials(comments: DataFrame, lexicon: DataFrame, stop_words, capacity: int = SENTIMENT_WORD_CAPACITY,
+                     draw: str = "hash") -> dict[str, DataFrame]:
+    """Additive comment statistics of one batch (see ``PARTIAL_TABLES``)."""
     return {
-        "comment_sentiment": shed_and_score(comments, lexicon, capacity, draw),
-        "comment_words": text.top_words(text.word_counts(comments, stop_words), k),
+        "comment_sentiment": shed_histogram(comments, lexicon, capacity, draw),
+        "comment_words": text.word_counts(comments, stop_words),
         "comment_tokens": text.token_stats(text.comment_sentences(comments)),
     }

@@ -5,7 +5,8 @@
 * totals: stateful per-video counts (replaces mapWithState/updateStateByKey),
   upsert into ``totals``;
 * comment statistics: per micro-batch (foreachBatch) the window-global keep
-  probability, sampling, sentence sentiment and word counts;
+  probability, sampling, sentence sentiment histogram, word and token
+  counts, written as additive partial tables (summed on read);
 * ``start_all``: several queries in one application, ``awaitAnyTermination``.
 
 Streams need a zoned ``timestamp`` for watermarks; zone-less times are read
@@ -23,12 +24,12 @@ from pyspark.sql import types as T
 
 from vidpulse.functions.time import ntz_to_instant
 
-from vidpulse.operators import counts
-from vidpulse.plans.comment_stats import comment_statistics
+from vidpulse.operators import counts, sentiment, text
+from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials
 from vidpulse.session import materialize, scratch_path
 from vidpulse.sources.events import read_table_stream
 from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments
-from vidpulse.streaming.sinks import UpsertTable, upsert_sink
+from vidpulse.streaming.sinks import AdditiveTable, UpsertTable, upsert_sink
 
 WATERMARK = "1 hour"
 
@@ -55,14 +56,16 @@ def totals_stream_df(events: DataFrame) -> DataFrame:
     return counts.running_totals(events)
 
 
-def comment_batch(tables: dict[str, UpsertTable], lexicon: DataFrame, stop_words: DataFrame,
-                  capacity: int, draw: str = "hash"):
+def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_words, capacity: int,
+                  draw: str = "hash"):
     """foreachBatch body for comments: sampling needs the window's total
-    word count before any sentence is dropped, which a micro-batch has."""
+    word count before any sentence is dropped, which the micro-batch has.
+    Outputs are additive partial counts, so an event-time window split over
+    two micro-batches is summed on read instead of overwritten."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read by three outputs; executor storage, released below
-        for name, out in comment_statistics(batch, lexicon, stop_words, capacity, draw=draw).items():
+        for name, out in comment_partials(batch, lexicon, stop_words, capacity, draw=draw).items():
             if name in tables:
                 tables[name].write_batch(out, batch_id)
         batch.unpersist()
@@ -70,18 +73,11 @@ def comment_batch(tables: dict[str, UpsertTable], lexicon: DataFrame, stop_words
     return run
 
 
-COMMENT_TABLE_KEYS = {
-    "comment_sentiment": ["video_id", "window_start"],
-    "comment_words": ["video_id", "window_start", "rank"],
-    "comment_tokens": ["video_id", "window_start"],
-}
-
-
 def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
-                        capacity: int = 5000, trigger: dict | None = None, outputs=tuple(COMMENT_TABLE_KEYS)):
+                        capacity: int = 5000, trigger: dict | None = None, outputs=tuple(PARTIAL_TABLES)):
     """Comment statistics per micro-batch.  The static lexicon is written
     once to the checkpoint folder, so micro-batches do not recompute it."""
-    tables = {name: UpsertTable(f"{root}/{name}", COMMENT_TABLE_KEYS[name]) for name in outputs}
+    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in outputs}
     lexicon = materialize(lexicon)
     q = (
         comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity))
@@ -92,6 +88,19 @@ def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop
     return q, tables
 
 
+def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k: int = 5) -> dict[str, DataFrame]:
+    """Serving views over the additive comment tables: mean sentiment, top
+    words and token statistics per (video, window)."""
+    out = {}
+    if "comment_sentiment" in tables:
+        out["comment_sentiment"] = sentiment.mean_sentiment(tables["comment_sentiment"].read(spark))
+    if "comment_words" in tables:
+        out["comment_words"] = text.top_words(tables["comment_words"].read(spark), k)
+    if "comment_tokens" in tables:
+        out["comment_tokens"] = tables["comment_tokens"].read(spark)
+    return out
+
+
 def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words: DataFrame,
               reaction_window: str = "10 seconds", trigger: dict | None = None):
     """All serving tables from one application (one query per table)."""
@@ -160,4 +169,5 @@ def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int =
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return tables["comment_sentiment"].read(spark).select("video_id", "window_start", "score", "n")
+    view = read_comment_views(spark, tables)["comment_sentiment"]
+    return view.select("video_id", "window_start", "score", "n")

@@ -46,6 +46,21 @@ class UpsertTable:
         snap.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
 
+class AdditiveTable(UpsertTable):
+    """Table of per-batch partial counts: each batch id owns one folder
+    (idempotent overwrite); readers sum ``value_cols`` per key over all
+    batches.  For window statistics whose event-time window can straddle
+    micro-batches (a last-write-wins row would keep only the last part)."""
+
+    def __init__(self, path: str, keys: Sequence[str], value_cols: Sequence[str]):
+        super().__init__(path, keys)
+        self.value_cols = list(value_cols)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        raw = spark.read.parquet(self.path)
+        return raw.groupBy(*self.keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in self.value_cols])
+
+
 def upsert_sink(df: DataFrame, table: UpsertTable, checkpoint: str, trigger: dict | None = None,
                 name: str | None = None):
     """Start a streaming query that upserts every batch into ``table``
