@@ -77,10 +77,34 @@ def test_start_all_writes_every_serving_table(spark, scratch):
                                      reaction_window="6 hours", trigger=ONCE)
     for q in queries:
         q.awaitTermination()
-    assert set(tables) == {"recent_likes", "recent_dislikes", "totals", "comment_sentiment", "comment_words",
-                           "comment_tokens"}
+    assert set(tables) == {"recent_likes", "recent_dislikes", "totals", "video_start", "video_end",
+                           "comment_sentiment", "comment_words", "comment_tokens"}
     for name, t in tables.items():
         assert t.read(spark).count() > 0, name
     want = {r.video_id: r.plays for r in counts.running_totals(lv_events(spark, SF_SMALL)).collect()}
     got = {r.video_id: r.plays for r in tables["totals"].read(spark).collect()}
     assert got == want
+
+
+def test_live_dashboard_equals_batch(spark, scratch):
+    """Map rows from the serving tables written by the streams equal the
+    batch dashboard over the same input (load shedding off)."""
+    from vidpulse.plans import dashboard
+    from vidpulse.plans.live import live_map_features
+
+    cm = lv_comments(spark, SF_SMALL)
+    cm_dir = os.path.join(scratch, "comments_src")
+    cm.write.parquet(cm_dir)
+    comments = spark.readStream.schema(cm.schema).parquet(cm_dir)
+    lex = derive_lexicon(cm)
+    queries, tables = jobs.start_all(_events_stream(spark), comments, scratch, lex, STOP_WORDS,
+                                     reaction_window="6 hours", trigger=ONCE, capacity=10**12)
+    for q in queries:
+        q.awaitTermination()
+    live = live_map_features(spark, tables)
+    batch = dashboard.map_features(dashboard.dashboard_inputs(lv_events(spark, SF_SMALL), cm, STOP_WORDS, lex,
+                                                              "6 hours"))
+    cols = sorted(batch.columns)
+    a = sorted(tuple(r[c] for c in cols) for r in live.collect())
+    b = sorted(tuple(r[c] for c in cols) for r in batch.collect())
+    assert len(a) > 0 and a == b

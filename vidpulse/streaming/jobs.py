@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from vidpulse.functions.time import ntz_to_instant
 
-from vidpulse.operators import counts, sentiment, text
+from vidpulse.operators import counts, sentiment, text, viewers
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials
 from vidpulse.session import materialize, scratch_path
 from vidpulse.sources.events import read_table_stream
@@ -101,8 +101,8 @@ def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k:
     return out
 
 
-def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words: DataFrame,
-              reaction_window: str = "10 seconds", trigger: dict | None = None):
+def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
+              reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000):
     """All serving tables from one application (one query per table)."""
     queries, tables = [], {}
     for kind in ("like", "dislike"):
@@ -113,7 +113,12 @@ def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFr
     t = UpsertTable(f"{root}/totals", ["video_id"])
     queries.append(upsert_sink(totals_stream_df(events), t, f"{root}/_checkpoints/totals", trigger, "totals"))
     tables["totals"] = t
-    q, ct = start_comment_stats(comments, root, lexicon, stop_words, trigger=trigger)
+    for kind, name in (("start_video", "video_start"), ("end_video", "video_end")):
+        t = UpsertTable(f"{root}/{name}", ["video_id"])
+        rec = viewers.latest_record(events, kind, ("ts", "latitude", "longitude"))
+        queries.append(upsert_sink(rec, t, f"{root}/_checkpoints/{name}", trigger, name))
+        tables[name] = t
+    q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger)
     queries.append(q)
     tables.update(ct)
     return queries, tables
