@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidpulse.functions.time import to_ntz
@@ -59,26 +59,29 @@ def sliding_counts(df: DataFrame, length: str, slide: str, types: Sequence[str]
                          (key, "event_type"), ts)
 
 
-def fill_zero_windows(counts: DataFrame, slide: str, length: str,
+def fill_zero_windows(counts: DataFrame, slide: str, length: str | None = None,
                       keys: Sequence[str] = ("video_id", "event_type")) -> DataFrame:
     """Keep windows whose count fell to zero (batch only).
 
     Each key gets every window start on the ``slide`` grid from its first
     window to the last window start of the whole input; starts with no rows
-    get 0.  The grid is exploded per key and merged with the counts by a
-    grouped sum (no join, no cross product).  The global last start is a
-    scalar subquery.
+    get 0.  Per key, ``lead`` gives the next non-empty window; one
+    ``explode`` of ``sequence(start, next - slide)`` emits the window itself
+    followed by the zero windows of the gap (the last window runs to the
+    global last start, a scalar subquery).  No union, no regrouping: the
+    generated zero rows are never shuffled, and a key's window group holds
+    at most span / slide rows however many events it has.
     """
     last_start = counts.select(F.max("window_start")).scalar()
     step = F.expr(f"INTERVAL {slide}")
-    firsts = counts.groupBy(*keys).agg(F.min("window_start").alias("first_start"))
-    grid = firsts.select(
-        *keys,
-        F.explode(F.sequence("first_start", last_start, step)).alias("window_start"),
-        F.lit(0).cast("bigint").alias("n"),
+    nxt = F.lead("window_start").over(Window.partitionBy(*keys).orderBy("window_start"))
+    gaps = counts.select(*keys, "n", F.sequence(F.col("window_start"), F.coalesce(nxt - step, last_start), step)
+                         .alias("_starts"))
+    items = F.transform(
+        "_starts",
+        lambda s, i: F.struct(s.alias("window_start"), F.when(i == 0, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("n")),
     )
-    merged = counts.select(*keys, "window_start", "n").unionByName(grid)
-    return merged.groupBy(*keys, "window_start").agg(F.sum("n").cast("bigint").alias("n"))
+    return gaps.select(*keys, F.explode(items).alias("_r")).select(*keys, "_r.window_start", "_r.n")
 
 
 def net_viewer_change(df: DataFrame, length: str, slide: str | None = None,
