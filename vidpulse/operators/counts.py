@@ -119,7 +119,6 @@ def latest_window(counts: DataFrame, key: str = "video_id") -> DataFrame:
 
 def latest_window_as_of(counts: DataFrame, as_of_start: Column, key: str = "video_id") -> DataFrame:
     """Variant: the count of the window starting at ``as_of_start`` (0 when
-    the video had no events in it)."""
-    keys = counts.select(key).distinct()
-    cur = counts.where(F.col("window_start") == as_of_start).select(key, "n")
-    return keys.join(cur, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
+    the video had no events in it), in one aggregate over the counts."""
+    in_window = F.when(F.col("window_start") == as_of_start, F.col("n"))
+    return counts.groupBy(key).agg(F.coalesce(F.sum(in_window), F.lit(0)).cast("bigint").alias("n"))
