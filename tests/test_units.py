@@ -231,3 +231,10 @@ def test_kafka_rows_to_events(spark):
     assert (r.video_id, r.event_type, r.topic) == (42, "like", "like_topic")
     assert r.event_id == 3 * (1 << 40) + 17
     assert str(r.ts) == "1970-01-01 00:00:20"
+
+
+def test_null_comment_counts_no_words(spark):
+    df = spark.createDataFrame([(1, None), (1, "two words")], "video_id long, comment string").withColumn(
+        "ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    assert sampling.window_keep_probability(df).first().words == 2
+    assert text.comment_sentences(df).count() == 1

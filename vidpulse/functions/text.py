@@ -40,4 +40,6 @@ def word_array(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(word_array(text)).cast("bigint")
+    """Number of words; 0 for a null text (``size(null)`` is -1 when ANSI
+    mode is off)."""
+    return F.size(word_array(F.coalesce(text, F.lit("")))).cast("bigint")

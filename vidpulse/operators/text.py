@@ -44,7 +44,7 @@ def token_stats(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "
     w = windowed(sentences, length)
     return w.groupBy(key, "window_start").agg(
         F.count(F.lit(1)).alias("n_sentences"),
-        F.sum(F.size(token_array(F.col("sentence")))).cast("bigint").alias("n_tokens"),
+        F.sum(F.size(token_array(F.col("sentence")))).cast("bigint").alias("n_tokens"),  # sentences are never null
     )
 
 
