@@ -31,8 +31,11 @@ def adaptive_sample(sentences: DataFrame, probs: DataFrame, length: str = COMMEN
 
     ``draw="hash"``: u from md5(video_id | sentence) (deterministic);
     ``draw="rand"``: Spark's ``rand``.
-    Window totals: one row per window.  No hint here; AQE turns the join
-    into a broadcast at run time when the totals are small.
+    The totals have one row per window, so their size is bounded by the
+    time span / window length, not by the data volume; no hint is given:
+    Spark's size threshold (or AQE at run time, on measured sizes) makes it
+    a broadcast, and a shuffle join of a hot window is split by AQE's skew
+    handling.
     """
     u = hash_uniform(F.col(key), F.col("sentence")) if draw == "hash" else random_uniform(seed)
     w = windowed(sentences, length)

@@ -40,12 +40,12 @@ def concurrent_views(df: DataFrame, key: str = "video_id") -> DataFrame:
     agg = df.where(t.isin("play", "leave")).groupBy(key).agg(
         F.count_if(t == "play").alias("plays"), F.count_if(t == "leave").alias("leaves")
     )
-    return with_views(agg.where(F.col("plays") >= 1))
+    return with_views(agg.where(F.col("plays") >= 1), key)
 
 
-def with_views(totals: DataFrame) -> DataFrame:
+def with_views(totals: DataFrame, key: str = "video_id") -> DataFrame:
     views = F.col("plays") - F.col("leaves")
-    return totals.select(totals.columns[0], "plays", "leaves", views.alias("views"), (views < 0).alias("out_of_order"))
+    return totals.select(key, "plays", "leaves", views.alias("views"), (views < 0).alias("out_of_order"))
 
 
 def concurrent_from_totals(plays: DataFrame, leaves: DataFrame, key: str = "video_id") -> DataFrame:
@@ -54,7 +54,7 @@ def concurrent_from_totals(plays: DataFrame, leaves: DataFrame, key: str = "vide
     p = plays.select(key, F.col("n").alias("plays"))
     lv = leaves.select(key, F.col("n").alias("leaves"))
     j = p.join(lv, key, "left").select(key, "plays", F.coalesce("leaves", F.lit(0)).cast("bigint").alias("leaves"))
-    return with_views(j)
+    return with_views(j, key)
 
 
 def latest_record(df: DataFrame, event_type: str, fields: Sequence[str] = ("ts", "latitude", "longitude"),
