@@ -166,3 +166,22 @@ def test_stream_dedup_within_watermark(spark, scratch):
     cq = console_sink(read_event_lines(spark, src, streaming=True), mode="append", trigger={"availableNow": True})
     cq.awaitTermination()
     assert cq.exception() is None
+
+
+def test_bucketed_totals_evict_state(spark, scratch):
+    from vidpulse.streaming.jobs import bucketed_totals_stream_df, totals_from_buckets
+
+    src = os.path.join(scratch, "src")
+    schema, chunks = _time_chunks(spark, SF_SMALL, 4)
+    _append(chunks, src)
+    table = UpsertTable(os.path.join(scratch, "buckets"), ["video_id", "window_start"])
+    q = upsert_sink(bucketed_totals_stream_df(_stream(spark, src, schema), "1 day"), table,
+                    os.path.join(scratch, "ck"), {"availableNow": True})
+    q.awaitTermination()
+    buckets = table.read(spark)
+    state_rows = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert state_rows < buckets.count() / 4  # closed days were evicted from state
+    want = counts.running_totals(events_as_video_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+                                 .where("event_type in ('like','dislike','play','leave')"))
+    cols = ["video_id", "likes", "dislikes", "plays", "leaves"]
+    assert _rows(totals_from_buckets(buckets), cols) == _rows(want, cols)

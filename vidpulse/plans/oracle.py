@@ -304,4 +304,10 @@ FROM lv_events WHERE event_type IN ('play', 'like') GROUP BY ALL""",
         "likes_tumbling_stream": likes,
         "sliding_counts_stream": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
         "totals_stream": totals,
+        "totals_bucketed_stream": _with(LV_EVENTS) + """SELECT video_id,
+  count(*) FILTER (WHERE event_type = 'like') AS likes,
+  count(*) FILTER (WHERE event_type = 'dislike') AS dislikes,
+  count(*) FILTER (WHERE event_type = 'play') AS plays,
+  count(*) FILTER (WHERE event_type = 'leave') AS leaves
+FROM lv_events WHERE event_type IN ('like', 'dislike', 'play', 'leave') GROUP BY video_id""",
     }

@@ -204,6 +204,12 @@ def likes_tumbling_stream(spark, d):
     return run_reaction_counts_once(spark, d, "like", TUMBLING)
 
 
+def totals_bucketed_stream(spark, d):
+    from vidpulse.streaming.jobs import run_bucketed_totals_once
+
+    return run_bucketed_totals_once(spark, d)
+
+
 def sampled_sentiment_stream(spark, d):
     from vidpulse.streaming.jobs import run_comment_sentiment_once
 
@@ -231,7 +237,7 @@ QUERIES: dict[str, Query] = {
         latest_start, latest_end, latest_likes, likes_as_of, routed_counts, envelope_roundtrip, comment_sentences,
         token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment, keep_probability,
         sampled_sentences, sampled_sentiment, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
-        geo_cells, comment_index, comment_search, likes_tumbling_stream, sliding_counts_stream, totals_stream,
+        geo_cells, comment_index, comment_search, likes_tumbling_stream, sliding_counts_stream, totals_stream, totals_bucketed_stream,
         sampled_sentiment_stream,
     ]
 }

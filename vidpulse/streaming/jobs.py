@@ -53,9 +53,32 @@ def sliding_counts_stream(events: DataFrame, length: str, slide: str, watermark:
 
 
 def totals_stream_df(events: DataFrame) -> DataFrame:
+    """Exact cumulative totals per video; state holds one row per video
+    ever seen (bounded by the number of videos, kept in RocksDB)."""
     return counts.running_totals(events)
 
 
+TOTAL_COLUMNS = ["likes", "dislikes", "plays", "leaves"]
+
+
+def bucketed_totals_stream_df(events: DataFrame, bucket: str = "1 day", watermark: str = WATERMARK) -> DataFrame:
+    """Totals per (video, event-time bucket): state exists only for buckets
+    the watermark has not passed, so it stays bounded by the live videos of
+    the open buckets.  Totals = sum over buckets (``AdditiveTable`` read or
+    ``totals_from_buckets``).  Trade-off: events later than the watermark
+    are dropped, where ``totals_stream_df`` counts everything."""
+    ev = with_event_time(events, watermark)
+    t = F.col("event_type")
+    g = ev.groupBy(F.window("ts", bucket).alias("w"), "video_id").agg(
+        *[F.count_if(t == kind).alias(col) for kind, col in zip(("like", "dislike", "play", "leave"), TOTAL_COLUMNS)]
+    )
+    return g.select("video_id", counts.window_start_col(ev, F.col("w.start")).alias("window_start"), *TOTAL_COLUMNS)
+
+
+def totals_from_buckets(buckets: DataFrame, key: str = "video_id") -> DataFrame:
+    return buckets.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(c) for c in TOTAL_COLUMNS])
+
+
 def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_words, capacity: int,
                   draw: str = "hash"):
     """foreachBatch body for comments: sampling needs the window's total
@@ -156,6 +179,17 @@ def run_sliding_counts_once(spark: SparkSession, sf_dir: str, length: str, slide
     return table.read(spark).select("video_id", "event_type", "window_start", "n")
 
 
+def run_bucketed_totals_once(spark: SparkSession, sf_dir: str, bucket: str = "1 day") -> DataFrame:
+    """Bucketed totals through the stream; the upsert table keeps the newest
+    count per (video, bucket) and the read sums the buckets."""
+    root = scratch_path(spark, "stream-bucketed-totals")
+    events = events_as_video_events(read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1),
+                                    ["like", "dislike", "play", "leave"])
+    table = UpsertTable(os.path.join(root, "table"), ["video_id", "window_start"])
+    _run_once(bucketed_totals_stream_df(events, bucket), table, os.path.join(root, "checkpoint"))
+    return totals_from_buckets(table.read(spark)).select("video_id", *TOTAL_COLUMNS)
+
+
 def run_totals_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-totals")
     events = events_as_video_events(read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1))
