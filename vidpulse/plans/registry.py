@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidpulse.operators import counts, misc, routing, sampling, sentiment, text, viewers
+from vidpulse.operators.parallel import spread
 from vidpulse.plans import comment_stats, dashboard
 from vidpulse.sources import envelope
 from vidpulse.schema import STOP_WORDS
@@ -108,7 +109,8 @@ def routed_counts(spark, d):
 
 
 def envelope_roundtrip(spark, d):
-    wire = envelope.encode_envelope(_ev(spark, d).withColumn("timestamp", envelope.sim_timestamp(F.col("ts"))))
+    ev = spread(_ev(spark, d))  # JSON encode/decode per row: use all cores even for a one-split input
+    wire = envelope.encode_envelope(ev.withColumn("timestamp", envelope.sim_timestamp(F.col("ts"))))
     back = envelope.parse_events(wire.select("value"))
     return back.select("event_id", "video_id", "event_type", "latitude")
 
