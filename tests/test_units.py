@@ -238,3 +238,13 @@ def test_null_comment_counts_no_words(spark):
         "ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     assert sampling.window_keep_probability(df).first().words == 2
     assert text.comment_sentences(df).count() == 1
+
+
+def test_words_of_raw_text_equal_words_of_cleaned_text(spark):
+    from vidpulse.functions.text import clean_comment, word_array
+
+    texts = ["K elvin", "İstanbul", "ÉCOLE école", "a.b?c!d", "x\ty", "ß straße", "", "O'Neil", "ǅemal",
+             "Great, show! {\"user_id\": 5}", "12 34 ab1cd"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    legacy = F.regexp_extract_all(F.lower(clean_comment(F.col("t"))), F.lit("[a-z]+"), 0)
+    assert df.where(word_array(F.col("t")) != legacy).count() == 0

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.draw import hash_uniform, keep_probability, random_uniform
-from vidpulse.functions.text import clean_comment, word_count
+from vidpulse.functions.text import word_count
 from vidpulse.operators.text import COMMENT_WINDOW, windowed
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY
 
@@ -20,7 +20,7 @@ from vidpulse.schema import SENTIMENT_WORD_CAPACITY
 def window_keep_probability(comments: DataFrame, capacity: int = SENTIMENT_WORD_CAPACITY,
                             length: str = COMMENT_WINDOW, text: str = "comment") -> DataFrame:
     """Output: window_start, words, prob."""
-    w = windowed(comments.select("ts", word_count(clean_comment(F.col(text))).alias("_wc")), length)
+    w = windowed(comments.select("ts", word_count(F.col(text)).alias("_wc")), length)
     g = w.groupBy("window_start").agg(F.sum("_wc").cast("bigint").alias("words"))
     return g.select("window_start", "words", keep_probability(F.col("words"), capacity).alias("prob"))
 

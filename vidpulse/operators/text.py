@@ -73,7 +73,7 @@ def sentence_tokens(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str
 
 def comment_words(comments: DataFrame, key: str = "video_id", text: str = "comment", ts: str = "ts") -> DataFrame:
     """One row per lower-case word occurrence: key, ts, word."""
-    return comments.select(key, ts, F.explode(word_array(clean_comment(F.col(text)))).alias("word"))
+    return comments.select(key, ts, F.explode(word_array(F.col(text))).alias("word"))
 
 
 STOP_TABLE_BROADCAST_ROWS = 100_000

@@ -8,21 +8,30 @@ from pyspark.sql import DataFrame
 
 from vidpulse.operators import sampling, sentiment, text
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY
+from vidpulse.sources.fixtures import lexicon_of_words
 
 
-def shed_histogram(comments: DataFrame, lexicon: DataFrame, capacity: int = SENTIMENT_WORD_CAPACITY,
+def shed_histogram(comments: DataFrame, lexicon: DataFrame | None, capacity: int = SENTIMENT_WORD_CAPACITY,
                    draw: str = "hash", length: str = text.COMMENT_WINDOW,
                    lexicon_broadcast_rows: int | None = sentiment.LEXICON_BROADCAST_ROWS) -> DataFrame:
     """Sentiment class histogram per (video, window) of the sentences kept
     by the adaptive sample: above ``capacity`` words per window only a
-    capacity/words share of the sentences is scored."""
+    capacity/words share of the sentences is scored.
+
+    ``lexicon=None`` uses the stand-in scores (``lexicon_of_words``) of the
+    comments' own vocabulary (a fast letter-run pass; the sentence split
+    is not repeated for it).
+    """
     sentences = text.comment_sentences(comments)
     probs = sampling.window_keep_probability(comments, capacity, length)
     kept = sampling.adaptive_sample(sentences, probs, length, draw=draw).drop("window_start")
+    if lexicon is None:
+        lexicon = lexicon_of_words(text.comment_words(comments))
+        lexicon_broadcast_rows = None
     return sentiment.sentence_sentiment(kept, lexicon, length, broadcast_rows=lexicon_broadcast_rows)
 
 
-def shed_and_score(comments: DataFrame, lexicon: DataFrame, capacity: int = SENTIMENT_WORD_CAPACITY,
+def shed_and_score(comments: DataFrame, lexicon: DataFrame | None, capacity: int = SENTIMENT_WORD_CAPACITY,
                    draw: str = "hash", length: str = text.COMMENT_WINDOW,
                    lexicon_broadcast_rows: int | None = sentiment.LEXICON_BROADCAST_ROWS) -> DataFrame:
     """Mean sentiment per (video, window) of the sampled sentences."""

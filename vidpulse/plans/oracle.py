@@ -26,6 +26,9 @@ LV_COMMENTS = """lv_comments AS (
   SELECT conv_id AS video_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn * 20) AS ts, text AS comment
   FROM conversations)"""
 
+LV_DOCUMENTS = """lv_comments AS (
+  SELECT doc_id AS video_id, TIMESTAMP '2024-01-01 00:00:00' AS ts, text AS comment FROM documents)"""
+
 LV_STOP_WORDS = "lv_stop_words AS (SELECT * FROM (VALUES {}) t(word))".format(
     ", ".join(f"('{w}')" for w in STOP_WORDS)
 )
@@ -282,6 +285,9 @@ FROM sentences GROUP BY ALL""",
         "keep_probability": _with(LV_COMMENTS, PROBS) + "SELECT * FROM probs",
         "sampled_sentences": _with(LV_COMMENTS, SENTENCES, PROBS, SAMPLED)
         + "SELECT video_id, window_start, count(*) AS n FROM sampled GROUP BY ALL",
+        "document_top_words": _with(LV_DOCUMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS, TOP) + "SELECT * FROM top",
+        "document_sampled_sentiment": _with(LV_DOCUMENTS, SENTENCES, WORDS, LEXICON, PROBS, SAMPLED, HISTOGRAM_SAMPLED, MEAN)
+        + "SELECT * FROM mean_sent",
         "map_features": _map_features(),
         "popup_text": _popup_text(),
         "unlocated_videos": _with(LV_EVENTS) + """SELECT video_id, first_play, first_start FROM (

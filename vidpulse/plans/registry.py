@@ -19,7 +19,7 @@ from vidpulse.operators.parallel import spread
 from vidpulse.plans import comment_stats, dashboard
 from vidpulse.sources import envelope
 from vidpulse.schema import STOP_WORDS
-from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_events
+from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_documents, lv_events
 
 TUMBLING = "6 hours"
 SLIDING, SLIDE = "6 hours", "2 hours"
@@ -157,8 +157,18 @@ def sampled_sentences(spark, d):
 def sampled_sentiment(spark, d):
     """Mean sentiment over the adaptively sampled sentences (score only
     what the capacity allows)."""
-    cm = _cm(spark, d)
-    return comment_stats.shed_and_score(cm, derive_lexicon(cm), lexicon_broadcast_rows=None)
+    return comment_stats.shed_and_score(_cm(spark, d), None)
+
+
+def document_top_words(spark, d):
+    """Top 5 words of every whole document (long texts, stop words removed)."""
+    return text.top_words(text.word_counts(lv_documents(spark, d), STOP_WORDS, COMMENT_WINDOW), TOP_K)
+
+
+def document_sampled_sentiment(spark, d):
+    """Shed-then-score over the documents: one window holds millions of
+    words, so only capacity/words of the sentences are scored."""
+    return comment_stats.shed_and_score(lv_documents(spark, d), None)
 
 
 def _dash(spark, d):
@@ -238,7 +248,7 @@ QUERIES: dict[str, Query] = {
         running_totals, concurrent_views, play_running_count, leave_running_count, viewer_timeline,
         latest_start, latest_end, latest_likes, likes_as_of, routed_counts, envelope_roundtrip, comment_sentences,
         token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment, keep_probability,
-        sampled_sentences, sampled_sentiment, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
+        sampled_sentences, sampled_sentiment, document_top_words, document_sampled_sentiment, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
         geo_cells, comment_index, comment_search, likes_tumbling_stream, sliding_counts_stream, totals_stream, totals_bucketed_stream,
         sampled_sentiment_stream,
     ]

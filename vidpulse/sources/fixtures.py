@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vidpulse.functions.text import clean_comment, word_array
+from vidpulse.functions.text import word_array
 from vidpulse.operators.parallel import spread
 from vidpulse.schema import STOP_WORDS
 
@@ -98,6 +98,18 @@ def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(conversations_as_comments(_table(spark, sf_dir, "conversations")))
 
 
+def documents_as_comments(d: DataFrame) -> DataFrame:
+    """documents -> (video_id, ts, comment): every document is one long
+    comment of its own stream, all in the first comment window (volume
+    fixture for the text operators)."""
+    return d.select(F.col("doc_id").alias("video_id"), F.lit(COMMENT_EPOCH).cast("timestamp_ntz").alias("ts"),
+                    F.col("text").alias("comment"))
+
+
+def lv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(documents_as_comments(_table(spark, sf_dir, "documents")))
+
+
 def lv_stop_words(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(w,) for w in STOP_WORDS], T.StructType([T.StructField("word", T.StringType())]))
 
@@ -108,7 +120,7 @@ def derive_lexicon(comments: DataFrame, text_col: str = "comment") -> DataFrame:
     Stand-in for a real sentiment lexicon (any (word, score) table can be
     passed to the sentiment operators instead).
     """
-    words = comments.select(F.explode(word_array(clean_comment(F.col(text_col)))).alias("word")).distinct()
+    words = comments.select(F.explode(word_array(F.col(text_col))).alias("word")).distinct()
     return words.select("word", (F.length("word") % 5 - 2).cast("bigint").alias("score"))
 
 
