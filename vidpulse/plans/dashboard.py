@@ -102,7 +102,8 @@ def comment_facts(comments: DataFrame, stop_words, lexicon: DataFrame | None, k:
     window, both from ONE pre-aggregated (video, window, sentence) table.
 
     Words, the derived lexicon (when ``lexicon`` is None) and sentiment all
-    read that table, which is written once to the shared checkpoint folder:
+    read that table, which is written once as parquet to the shared
+    checkpoint folder:
     the comment text is scanned and split once instead of once per
     consumer (the optimizer rewrites the branches differently, so they
     would not share a shuffle).  Words: the newest window that had
@@ -110,7 +111,7 @@ def comment_facts(comments: DataFrame, stop_words, lexicon: DataFrame | None, k:
     """
     per = windowed_sentence_counts(comment_sentences(comments), length)
     if not comments.isStreaming:
-        per = materialize(per)
+        per = materialize(per, "sentence_counts")
     newest = per.groupBy(KEY).agg(F.max("window_start").alias("window_start"))
     text = top_words_text(top_words(word_counts_from_sentences(per, stop_words), k))
     words = newest.join(text, [KEY, "window_start"], "left").select(

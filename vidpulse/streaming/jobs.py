@@ -101,7 +101,7 @@ def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop
     """Comment statistics per micro-batch.  The static lexicon is written
     once to the checkpoint folder, so micro-batches do not recompute it."""
     tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in outputs}
-    lexicon = materialize(lexicon)
+    lexicon = materialize(lexicon, "lexicon")
     q = (
         comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity))
         .option("checkpointLocation", f"{root}/_checkpoints/comments")
