@@ -248,3 +248,19 @@ def test_words_of_raw_text_equal_words_of_cleaned_text(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     legacy = F.regexp_extract_all(F.lower(clean_comment(F.col("t"))), F.lit("[a-z]+"), 0)
     assert df.where(word_array(F.col("t")) != legacy).count() == 0
+
+
+def test_encoded_envelope_is_wire_format(spark):
+    rows = [Row(timestamp=0.4131, event_type="play", user_id=8671, video_id=3, latitude=49.1838, longitude=-90.8479,
+                comment=None),
+            Row(timestamp=0.52, event_type="comment", user_id=12, video_id=3, latitude=40.2, longitude=-90.1,
+                comment='Great show! I liked it, a lot.')]
+    df = spark.createDataFrame(rows, "timestamp double, event_type string, user_id long, video_id long, "
+                                     "latitude double, longitude double, comment string")
+    for r in encode_envelope(df).select("key", "value").collect():
+        key, line = json.loads(r.value)
+        assert isinstance(key, int) and str(key) == r.key
+        assert line.endswith("\n")
+        ev = json.loads(line)
+        assert ev["video_id"] == key and ev["event_type"] in ("play", "comment")
+        assert ("comment" in ev) == (ev["event_type"] == "comment")  # absent when empty, as on the wire
