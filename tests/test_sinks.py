@@ -108,3 +108,36 @@ def test_live_dashboard_equals_batch(spark, scratch):
     a = sorted(tuple(r[c] for c in cols) for r in live.collect())
     b = sorted(tuple(r[c] for c in cols) for r in batch.collect())
     assert len(a) > 0 and a == b
+
+
+def test_app_once_on_json_lines(spark, scratch):
+    """The application entry point over event lines (comments in the same stream)."""
+    import json as _json
+
+    from vidpulse.streaming.app import main
+
+    src = os.path.join(scratch, "lines")
+    os.makedirs(src)
+    lines = [
+        {"user_id": 1, "event_type": "start_video", "timestamp": 0.0, "video_id": 304, "latitude": 40.0, "longitude": -100.0},
+        *[{"user_id": 10 + i, "event_type": "play", "timestamp": 0.1 * i, "video_id": 304, "latitude": 40.0,
+           "longitude": -100.0} for i in range(14)],
+        *[{"user_id": 10 + i, "event_type": "leave", "timestamp": 2.0 + 0.1 * i, "video_id": 304, "latitude": 40.0,
+           "longitude": -100.0} for i in range(5)],
+        {"user_id": 3, "event_type": "like", "timestamp": 0.3, "video_id": 304, "latitude": 40.0, "longitude": -100.0},
+        {"user_id": 4, "event_type": "comment", "timestamp": 0.4, "video_id": 304, "latitude": 40.0,
+         "longitude": -100.0, "comment": "Great show. Great fun!"},
+    ]
+    with open(os.path.join(src, "events.json"), "w") as f:
+        f.write("".join(_json.dumps(e) + "\n" for e in lines))
+    lex_path = os.path.join(scratch, "lexicon")
+    spark.createDataFrame([("great", 2), ("fun", 1)], "word string, score long").write.parquet(lex_path)
+    tables = main(["--events", src, "--lexicon", lex_path, "--out", os.path.join(scratch, "serving"), "--once"])
+    tot = tables["totals"].read(spark).where("video_id = 304").first()
+    assert (tot.plays, tot.leaves, tot.likes) == (14, 5, 1)
+    from vidpulse.plans.live import live_popup_text
+
+    pop = live_popup_text(spark, tables).where("video_id = 304").first()
+    assert pop.label_views == "Concurent viewers: 9"
+    assert pop.label_words == "Top popular words: [('great', 2), ('fun', 1), ('show', 1)]"
+    assert pop.label_sentiment == "Sentiment score: 4.0"  # both sentences: mean 2 and 1.5 -> class 4
