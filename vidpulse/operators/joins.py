@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows.  Beyond the bound the

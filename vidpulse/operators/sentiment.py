@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.text import word_array
-from vidpulse.operators.joins import small_side
+from vidpulse.operators.joins import broadcast_if_small
 from vidpulse.operators.text import windowed_sentence_counts
 
 LEXICON_BROADCAST_ROWS = 2_000_000
@@ -26,7 +26,7 @@ NEUTRAL = 2
 
 def _lexicon_side(lexicon: DataFrame, broadcast_rows: int | None) -> DataFrame:
     lex = lexicon.select("word", "score")
-    return small_side(lex, broadcast_rows) if broadcast_rows is not None else lex
+    return broadcast_if_small(lex, broadcast_rows) if broadcast_rows is not None else lex
 
 
 def sentence_class(score_sum: Column, matched: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.text import clean_comment, is_blank, sentence_array, token_array, word_array
 from vidpulse.operators.counts import window_start_col
-from vidpulse.operators.joins import small_side
+from vidpulse.operators.joins import broadcast_if_small
 
 COMMENT_WINDOW = "60 seconds"
 
@@ -86,7 +86,7 @@ def without_stop_words(words: DataFrame, stop_words: Sequence[str] | DataFrame |
     if stop_words is None:
         return words
     if isinstance(stop_words, DataFrame):
-        return words.join(small_side(stop_words.select("word"), STOP_TABLE_BROADCAST_ROWS), "word", "left_anti")
+        return words.join(broadcast_if_small(stop_words.select("word"), STOP_TABLE_BROADCAST_ROWS), "word", "left_anti")
     return words.where(~F.col("word").isin(list(stop_words)))
 
 
