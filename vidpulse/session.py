@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "vidpulse",
                   driver_memory: str = "8g", max_partition_bytes: str = "128m",
-                  advisory_partition_bytes: str = "256m", rocksdb_state: bool = True) -> SparkSession:
+                  advisory_partition_bytes: str = "256m", rocksdb_state: bool = True,
+                  extra: dict | None = None) -> SparkSession:
     """Session with the settings every job here assumes.
 
     * AQE on: runtime coalescing of small shuffle partitions, runtime
@@ -49,6 +50,8 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         ).config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
