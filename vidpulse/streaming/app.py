@@ -6,8 +6,10 @@
 File sources take newline-delimited JSON event lines (``--events``; comment
 events are taken from the same stream unless ``--comments`` names a
 separate folder).  With ``--kafka`` all topics are read by one reader.
-``--once`` processes what is there and stops (availableNow); otherwise the
-queries run on a processing-time trigger until one of them stops.
+``--archive`` also writes the raw events (parquet by topic and date), the
+input of ``plans.replay``.  ``--once`` processes what is there and stops
+(availableNow); otherwise the queries run on a processing-time trigger
+until one of them stops.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from vidpulse.operators.routing import comments_of
+from vidpulse.operators.routing import comments_of, route_events
 from vidpulse.schema import STOP_WORDS
 from vidpulse.session import build_session, checkpoint_root
 from vidpulse.sources.events import read_event_lines, read_kafka
 from vidpulse.streaming.jobs import await_any, start_all
+from vidpulse.streaming.sinks import archive_sink
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -33,6 +36,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--window", default="10 seconds", help="reaction window")
     p.add_argument("--trigger", default="10 seconds", help="processing-time trigger")
     p.add_argument("--capacity", type=int, default=5000, help="words per comment window before sampling")
+    p.add_argument("--archive", help="also archive the raw events here (parquet by topic and date)")
     p.add_argument("--once", action="store_true", help="process available input and stop")
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
@@ -48,6 +52,8 @@ def main(argv: list[str] | None = None) -> dict:
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
     lexicon = spark.read.parquet(a.lexicon)
     queries, tables = start_all(events, comments, root, lexicon, STOP_WORDS, a.window, trigger, a.capacity)
+    if a.archive:
+        queries.append(archive_sink(route_events(events), a.archive, f"{root}/_checkpoints/archive", trigger))
     if a.once:
         for q in queries:
             q.awaitTermination()
