@@ -105,3 +105,17 @@ def test_serving_path_equals_single_pass_summary(spark):
     a = sorted(tuple(r) for r in videos_from_serving(plays, leaves, starts, likes, dislikes).select(*cols).collect())
     b = sorted(tuple(r) for r in video_summary(ev, "6 hours").select(*cols).collect())
     assert a == b and len(a) > 0
+
+
+def test_running_sum_without_exchange_reuse(spark):
+    base = spark.range(0, 3000).select(F.col("id").alias("event_id"), (F.col("id") % 3).alias("k"),
+                                       (F.col("id") * 7 % 101).alias("t"))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.event_id: r.running for r in running_sum(base, ["t", "event_id"], ["k"], num_partitions=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+    w = Window.partitionBy("k").orderBy("t", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.event_id: r.c for r in base.withColumn("c", F.count(F.lit(1)).over(w)).collect()}
+    assert got == want

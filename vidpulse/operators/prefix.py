@@ -14,7 +14,9 @@ has a single "key") would then sit in one task.  Instead:
 4. add the offset.
 
 Both branches read the same range exchange inside one plan (Spark reuses the
-exchange), so partition ids agree.
+exchange), so partition ids agree.  In a session with exchange reuse turned
+off the ids are computed once and written (``materialize``), since two
+separately sampled range exchanges could place rows differently.
 """
 
 from __future__ import annotations
@@ -46,6 +48,10 @@ def running_sum(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
         .repartitionByRange(n, *keys, *order)
         .withColumn(_PART, F.spark_partition_id())
     )
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from vidpulse.session import materialize
+
+        ranged = materialize(ranged, "range_slices")
     local_w = Window.partitionBy(_PART, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum("_w").over(local_w))
 
