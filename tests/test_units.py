@@ -224,12 +224,13 @@ def test_kafka_rows_to_events(spark):
         (bytearray(_envelope(42, payload).encode()), "like_topic", 3, 17),
         (bytearray(b"garbage"), "like_topic", 3, 18),
     ]
+    rows.append((bytearray(_envelope(42, payload).encode()), "play_topic", 3, 17))  # same position, other topic
     raw = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
     got = kafka_rows_to_events(raw).collect()
-    assert len(got) == 1
-    r = got[0]
+    assert len(got) == 2
+    r = [x for x in got if x.topic == "like_topic"][0]
     assert (r.video_id, r.event_type, r.topic) == (42, "like", "like_topic")
-    assert r.event_id == 3 * (1 << 40) + 17
+    assert r.event_id is not None and len({x.event_id for x in got}) == 2
     assert str(r.ts) == "1970-01-01 00:00:20"
 
 

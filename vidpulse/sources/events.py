@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidpulse.schema import EVENT_SCHEMA, TOPIC_OF_TYPE
@@ -27,19 +27,28 @@ def read_event_lines(spark: SparkSession, path: str, streaming: bool = False, ba
         df = r.json(path)
     else:
         df = spark.read.schema(EVENT_SCHEMA).option("mode", "PERMISSIVE").json(path)
-    df = df.withColumn("ts", event_time(F.col("timestamp"), base))
+    df = df.withColumn("ts", event_time(F.col("timestamp"), base)).withColumn("event_id", content_id())
     return df.where(F.col("event_type").isNotNull() & F.col("video_id").isNotNull())
 
 
+def content_id() -> Column:
+    """``event_id`` when the line has one, else a 64-bit hash of the event's
+    fields: deterministic across re-reads, and equal only for identical
+    (re-delivered) events."""
+    fields = [f.name for f in EVENT_SCHEMA.fields if f.name != "event_id"]
+    return F.coalesce(F.col("event_id"), F.xxhash64(*fields))
+
+
 def kafka_rows_to_events(raw: DataFrame, base: str = "1970-01-01 00:00:00") -> DataFrame:
     """Kafka rows (value, topic, partition, offset) -> parsed events.
 
-    ``event_id`` falls back to (partition, offset), unique within a topic,
-    when the payload carries none; the topic stays as a column.
+    ``event_id`` falls back to a 64-bit hash of (topic, partition, offset),
+    the message's position in the log, when the payload carries none (a
+    re-delivered message keeps its id); the topic stays as a column.
     """
     rows = raw.select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
     parsed = parse_events(rows, "value", base)
-    fallback = F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")
+    fallback = F.xxhash64("topic", "partition", "offset")
     return parsed.withColumn("event_id", F.coalesce("event_id", fallback))
 
 
