@@ -54,11 +54,13 @@ def kafka_rows_to_events(raw: DataFrame, base: str = "1970-01-01 00:00:00") -> D
 
 def read_kafka(spark: SparkSession, brokers: str, topics: Sequence[str] = ALL_TOPICS, streaming: bool = True,
                starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
-               base: str = "1970-01-01 00:00:00") -> DataFrame:
+               min_partitions: int | None = None, base: str = "1970-01-01 00:00:00") -> DataFrame:
     """All topics through one Kafka reader; envelopes decoded and parsed.
 
     ``max_offsets_per_trigger`` bounds a micro-batch (back-pressure under
-    load spikes).  Needs the Kafka connector on the classpath.
+    load spikes).  ``min_partitions`` lets Spark split the offset range of a
+    hot topic partition over several tasks, so one busy partition is not
+    read by a single task.  Needs the Kafka connector on the classpath.
     """
     r = spark.readStream if streaming else spark.read
     r = (
@@ -67,6 +69,8 @@ def read_kafka(spark: SparkSession, brokers: str, topics: Sequence[str] = ALL_TO
     )
     if streaming and max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
     return kafka_rows_to_events(r.load(), base)
 
 
