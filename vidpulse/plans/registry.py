@@ -1,7 +1,8 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Inputs are the fixture views of ``vidpulse.sources.fixtures`` over the whole
-``events`` and ``conversations`` tables.  The test events are sparse (about
+``events``, ``conversations`` and (volume) ``documents`` tables.  The test
+events are sparse (about
 10 000 over 30 days at sf0.01), so reaction windows are scaled from seconds
 to hours: 10 s -> 6 h tumbling, 30 s / 10 s -> 6 h / 2 h sliding.  Comment
 windows keep 60 s.  Outputs are flat scalar columns.
@@ -53,7 +54,8 @@ def sliding_counts(spark, d):
 
 
 def sliding_counts_zero(spark, d):
-    return counts.fill_zero_windows(counts.sliding_counts(_ev(spark, d, *counts.REACTION_TYPES), SLIDING, SLIDE), SLIDE, SLIDING)
+    sliding = counts.sliding_counts(_ev(spark, d, *counts.REACTION_TYPES), SLIDING, SLIDE)
+    return counts.fill_zero_windows(sliding, SLIDE, SLIDING)
 
 
 def comment_sliding_counts(spark, d):
@@ -133,7 +135,8 @@ def top_words(spark, d):
 
 def _histogram(spark, d):
     cm = _cm(spark, d)
-    return sentiment.sentence_sentiment(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW, broadcast_rows=None)
+    return sentiment.sentence_sentiment(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW,
+                                        broadcast_rows=None)
 
 
 def sentence_sentiment(spark, d):
@@ -243,13 +246,22 @@ def totals_stream(spark, d):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
+        # reaction windows and counts
         likes_tumbling, dislikes_tumbling, sliding_counts, sliding_counts_zero, comment_sliding_counts,
-        net_viewer_change,
-        running_totals, concurrent_views, play_running_count, leave_running_count, viewer_timeline,
-        latest_start, latest_end, latest_likes, likes_as_of, routed_counts, envelope_roundtrip, comment_sentences,
-        token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment, keep_probability,
-        sampled_sentences, sampled_sentiment, document_top_words, document_sampled_sentiment, map_features, popup_text, unlocated_videos, events_sorted, dedup_events,
-        geo_cells, comment_index, comment_search, likes_tumbling_stream, sliding_counts_stream, totals_stream, totals_bucketed_stream,
+        net_viewer_change, running_totals, concurrent_views,
+        # per-record running state and newest records
+        play_running_count, leave_running_count, viewer_timeline, latest_start, latest_end, latest_likes,
+        likes_as_of, events_sorted, unlocated_videos,
+        # ingest: routing, wire format, dedup, geo cells
+        routed_counts, envelope_roundtrip, dedup_events, geo_cells,
+        # comment text, sentiment, load shedding
+        comment_sentences, token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment,
+        keep_probability, sampled_sentences, sampled_sentiment, comment_index, comment_search,
+        document_top_words, document_sampled_sentiment,
+        # dashboard
+        map_features, popup_text,
+        # the same answers through Structured Streaming
+        likes_tumbling_stream, sliding_counts_stream, totals_stream, totals_bucketed_stream,
         sampled_sentiment_stream,
     ]
 }
