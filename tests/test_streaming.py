@@ -116,7 +116,8 @@ def test_comment_stats_window_split_over_batches(spark, scratch):
 
     stream = conversations_as_comments(spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(src))
     lex = derive_lexicon(cm)
-    q, tables = start_comment_stats(stream, scratch, lex, STOP_WORDS, capacity=10**12, trigger={"availableNow": True})
+    q, tables = start_comment_stats(stream, scratch, lex, STOP_WORDS, capacity=10**12, trigger={"availableNow": True},
+                                    generation=1)  # every batch starts a generation: exercises the roll-over
     q.awaitTermination()
     assert len(q.recentProgress) >= 2
     views = read_comment_views(spark, tables)

@@ -32,6 +32,7 @@ from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon,
 from vidpulse.streaming.sinks import AdditiveTable, UpsertTable, upsert_sink
 
 WATERMARK = "1 hour"
+GENERATION = 1000  # batches per serving-table generation (bounds what readers list)
 
 
 def with_event_time(df: DataFrame, watermark: str = WATERMARK, ts: str = "ts") -> DataFrame:
@@ -97,10 +98,12 @@ def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_wor
 
 
 def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
-                        capacity: int = 5000, trigger: dict | None = None, outputs=tuple(PARTIAL_TABLES)):
+                        capacity: int = 5000, trigger: dict | None = None, outputs=tuple(PARTIAL_TABLES),
+                        generation: int | None = GENERATION):
     """Comment statistics per micro-batch.  The static lexicon is written
     once to the checkpoint folder, so micro-batches do not recompute it."""
-    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in outputs}
+    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name], generation=generation)
+              for name in outputs}
     lexicon = materialize(lexicon, "lexicon")
     q = (
         comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity))
@@ -125,23 +128,24 @@ def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k:
 
 
 def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
-              reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000):
+              reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000,
+              generation: int | None = GENERATION):
     """All serving tables from one application (one query per table)."""
     queries, tables = [], {}
     for kind in ("like", "dislike"):
-        t = UpsertTable(f"{root}/recent_{kind}s", ["video_id", "window_start"])
+        t = UpsertTable(f"{root}/recent_{kind}s", ["video_id", "window_start"], generation)
         queries.append(upsert_sink(reaction_counts_stream(events, kind, reaction_window), t,
                                    f"{root}/_checkpoints/recent_{kind}s", trigger, f"recent_{kind}s"))
         tables[f"recent_{kind}s"] = t
-    t = UpsertTable(f"{root}/totals", ["video_id"])
+    t = UpsertTable(f"{root}/totals", ["video_id"], generation)
     queries.append(upsert_sink(totals_stream_df(events), t, f"{root}/_checkpoints/totals", trigger, "totals"))
     tables["totals"] = t
     for kind, name in (("start_video", "video_start"), ("end_video", "video_end")):
-        t = UpsertTable(f"{root}/{name}", ["video_id"])
+        t = UpsertTable(f"{root}/{name}", ["video_id"], generation)
         rec = viewers.latest_record(events, kind, ("ts", "latitude", "longitude"))
         queries.append(upsert_sink(rec, t, f"{root}/_checkpoints/{name}", trigger, name))
         tables[name] = t
-    q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger)
+    q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger, generation=generation)
     queries.append(q)
     tables.update(ct)
     return queries, tables

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,30 +19,72 @@ BATCH_COL = "batch"
 
 
 class UpsertTable:
-    """Last-write-wins table keyed by ``keys`` on plain parquet."""
+    """Last-write-wins table keyed by ``keys`` on plain parquet.
 
-    def __init__(self, path: str, keys: Sequence[str]):
+    Layout: ``<path>/batch=<id>`` per micro-batch.  With ``generation=G``
+    batches go to ``<path>/gen=<g>/batch=<id>`` (g = id // G); the first
+    write of a generation folds the previous generation into one snapshot
+    folder inside the new one, and ``<path>/_generation`` names the current
+    generation.  Readers then list at most G + 1 folders however long the
+    stream runs.  Every step is idempotent under a replayed batch id.
+    """
+
+    def __init__(self, path: str, keys: Sequence[str], generation: int | None = None):
         self.path = path.rstrip("/")
         self.keys = list(keys)
-
+        self.generation = generation
+
+    # layout ---------------------------------------------------------------
+    def _gen_dir(self, gen: int) -> str:
+        return f"{self.path}/gen={gen}"
+
+    def _current_gen(self, spark: SparkSession) -> int | None:
+        try:
+            row = spark.read.json(f"{self.path}/_generation").first()
+        except AnalysisException:
+            return None
+        return None if row is None else int(row["gen"])
+
+    def _raw(self, spark: SparkSession) -> DataFrame:
+        if not self.generation:
+            return spark.read.parquet(self.path)
+        gen = self._current_gen(spark)
+        return spark.read.parquet(self._gen_dir(0 if gen is None else gen))
+
+    # writing --------------------------------------------------------------
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        batch_id = int(batch_id)
+        if not self.generation:
+            batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
+            return
+        spark = batch.sparkSession
+        gen, cur = batch_id // self.generation, self._current_gen(spark)
+        if cur is not None and gen > cur:
+            # fold the previous generation; its id sorts below every batch of this one
+            snap = self._fold(spark.read.parquet(self._gen_dir(cur)))
+            snap.write.mode("overwrite").parquet(f"{self._gen_dir(gen)}/{BATCH_COL}={gen * self.generation - 1}")
+        batch.write.mode("overwrite").parquet(f"{self._gen_dir(gen)}/{BATCH_COL}={batch_id}")
+        if cur is None or gen > cur:
+            spark.createDataFrame([(gen,)], "gen long").coalesce(1).write.mode("overwrite").json(
+                f"{self.path}/_generation")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:  # foreachBatch hook
         self.write_batch(batch, batch_id)
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    # reading --------------------------------------------------------------
+    def _fold(self, raw: DataFrame) -> DataFrame:
         """Newest row per key (max batch id).  ``max_by`` is a partial
         aggregate, so a key updated in many batches is reduced map-side."""
-        raw = spark.read.parquet(self.path)
         values = [c for c in raw.columns if c not in self.keys and c != BATCH_COL]
         g = raw.groupBy(*self.keys).agg(F.max_by(F.struct(*values), BATCH_COL).alias("_v"))
         return g.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._fold(self._raw(spark))
+
     def compact(self, spark: SparkSession, batch_id: int) -> None:
         """Write the current snapshot as batch ``batch_id`` (use an id above
-        every written batch); older batch folders are then redundant and
-        can be expired by the storage's retention."""
+        every written batch) of a table without generations."""
         snap = self.read(spark)
         snap.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
@@ -52,12 +95,11 @@ class AdditiveTable(UpsertTable):
     batches.  For window statistics whose event-time window can straddle
     micro-batches (a last-write-wins row would keep only the last part)."""
 
-    def __init__(self, path: str, keys: Sequence[str], value_cols: Sequence[str]):
-        super().__init__(path, keys)
+    def __init__(self, path: str, keys: Sequence[str], value_cols: Sequence[str], generation: int | None = None):
+        super().__init__(path, keys, generation)
         self.value_cols = list(value_cols)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        raw = spark.read.parquet(self.path)
+    def _fold(self, raw: DataFrame) -> DataFrame:
         return raw.groupBy(*self.keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in self.value_cols])
 
 
