@@ -186,3 +186,40 @@ def test_bucketed_totals_evict_state(spark, scratch):
                                  .where("event_type in ('like','dislike','play','leave')"))
     cols = ["video_id", "likes", "dislikes", "plays", "leaves"]
     assert _rows(totals_from_buckets(buckets), cols) == _rows(want, cols)
+
+
+def test_exact_window_sampling_over_closed_windows(spark, scratch):
+    """Append-mode sentence counts deliver each window complete, so shedding
+    uses the window's whole load even when its comments arrive in two
+    micro-batches; closed windows equal the batch answer."""
+    from vidpulse.operators import text as txt
+    from vidpulse.plans.comment_stats import shed_histogram
+    from vidpulse.schema import STOP_WORDS
+    from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, lv_comments
+    from vidpulse.streaming.jobs import read_comment_views, start_comment_stats_exact
+
+    cm = lv_comments(spark, "/root/testdata/sf0.01")
+    conv = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    src = os.path.join(scratch, "conv")
+    conv.where("turn < 2").coalesce(1).write.parquet(src)          # window 00:00, first part
+    conv.where("turn >= 2").coalesce(1).write.mode("append").parquet(src)
+    stream = conversations_as_comments(spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(src))
+    lex = derive_lexicon(cm)
+    q, tables = start_comment_stats_exact(stream, scratch, lex, STOP_WORDS, capacity=5000, watermark="10 seconds",
+                                          trigger={"availableNow": True})
+    q.awaitTermination()
+    views = read_comment_views(spark, tables)
+    closed = "window_start < timestamp_ntz'2024-01-01 00:02:00'"  # the last window is still open
+    want_sent = sent_mean(shed_histogram(cm, lex, 5000)).where(closed)
+    got = views["comment_sentiment"]
+    assert got.count() > 0 and got.where(f"not ({closed})").count() == 0
+    cols = ["video_id", "window_start", "score", "n"]
+    assert _rows(got, cols) == _rows(want_sent, cols)
+    tok_cols = ["video_id", "window_start", "n_sentences", "n_tokens"]
+    assert _rows(views["comment_tokens"], tok_cols) == _rows(txt.token_stats(txt.comment_sentences(cm)).where(closed), tok_cols)
+
+
+def sent_mean(hist):
+    from vidpulse.operators.sentiment import mean_sentiment
+
+    return mean_sentiment(hist)

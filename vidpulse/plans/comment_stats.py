@@ -5,6 +5,10 @@ per-window outputs of the serving tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vidpulse.functions.draw import hash_uniform, keep_probability, random_uniform
+from vidpulse.functions.text import token_array, word_array
 
 from vidpulse.operators import sampling, sentiment, text
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY
@@ -55,3 +59,27 @@ def comment_partials(comments: DataFrame, lexicon: DataFrame, stop_words, capaci
         "comment_words": text.word_counts(comments, stop_words),
         "comment_tokens": text.token_stats(text.comment_sentences(comments)),
     }
+
+
+def partials_from_sentence_counts(per: DataFrame, lexicon: DataFrame, stop_words,
+                                  capacity: int = SENTIMENT_WORD_CAPACITY, draw: str = "hash",
+                                  lexicon_broadcast_rows: int | None = sentiment.LEXICON_BROADCAST_ROWS,
+                                  key: str = "video_id") -> dict[str, DataFrame]:
+    """The additive comment outputs from complete windows given as sentence
+    counts (key, window_start, sentence, n).  The window-global word total
+    is the sum over its sentences (a comment's words are its sentences'
+    words), so sampling sees the whole window's load at once."""
+    words = F.size(word_array(F.col("sentence"))) * F.col("n")
+    probs = per.groupBy("window_start").agg(F.sum(words).cast("bigint").alias("words")).select(
+        "window_start", keep_probability(F.col("words"), capacity).alias("prob"))
+    u = hash_uniform(F.col(key), F.col("sentence")) if draw == "hash" else random_uniform()
+    kept = per.join(probs, "window_start").where(u >= F.lit(1.0) - F.col("prob")).drop("prob")
+    tokens = per.groupBy(key, "window_start").agg(
+        F.sum("n").cast("bigint").alias("n_sentences"),
+        F.sum(F.size(token_array(F.col("sentence"))) * F.col("n")).cast("bigint").alias("n_tokens"),
+    )
+    return {
+        "comment_sentiment": sentiment.sentiment_histogram(kept, lexicon, key, lexicon_broadcast_rows),
+        "comment_words": text.word_counts_from_sentences(per, stop_words, key),
+        "comment_tokens": tokens,
+    }

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from vidpulse.functions.time import ntz_to_instant
 
 from vidpulse.operators import counts, sentiment, text, viewers
-from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials
+from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials, partials_from_sentence_counts
 from vidpulse.session import materialize, scratch_path
 from vidpulse.sources.events import read_table_stream
 from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments
@@ -114,6 +114,42 @@ def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop
     return q, tables
 
 
+def closed_window_sentences(comments: DataFrame, length: str = text.COMMENT_WINDOW,
+                            watermark: str = "10 seconds") -> DataFrame:
+    """Sentence counts per (video, comment window, sentence), emitted in
+    append mode: a window appears once, complete, after the watermark has
+    passed its end.  Hot sentences are pre-aggregated in state."""
+    ev = with_event_time(comments, watermark)
+    sentences = text.comment_sentences(ev)
+    g = sentences.groupBy("video_id", F.window("ts", length).alias("w"), "sentence").agg(
+        F.count(F.lit(1)).alias("n"))
+    return g.select("video_id", counts.window_start_col(ev, F.col("w.start")).alias("window_start"), "sentence", "n")
+
+
+def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
+                              capacity: int = 5000, watermark: str = "10 seconds", trigger: dict | None = None,
+                              generation: int | None = GENERATION):
+    """Comment statistics over complete event-time windows: every window is
+    sampled against its whole word count (exact window-global shedding),
+    with a latency of one window plus the watermark delay."""
+    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name], generation=generation)
+              for name in PARTIAL_TABLES}
+    lexicon = materialize(lexicon, "lexicon")
+
+    def run(per: DataFrame, batch_id: int) -> None:
+        per = per.persist()
+        for name, out in partials_from_sentence_counts(per, lexicon, stop_words, capacity).items():
+            tables[name].write_batch(out, batch_id)
+        per.unpersist()
+
+    q = (
+        closed_window_sentences(comments, watermark=watermark).writeStream.outputMode("append")
+        .foreachBatch(run).option("checkpointLocation", f"{root}/_checkpoints/comments_exact")
+        .trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    )
+    return q, tables
+
+
 def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k: int = 5) -> dict[str, DataFrame]:
     """Serving views over the additive comment tables: mean sentiment, top
     words and token statistics per (video, window)."""
