@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--window", default="10 seconds", help="reaction window")
     p.add_argument("--trigger", default="10 seconds", help="processing-time trigger")
     p.add_argument("--capacity", type=int, default=5000, help="words per comment window before sampling")
+    p.add_argument("--exact-windows", action="store_true",
+                   help="shed comments per closed event-time window (exact, one window of latency)")
     p.add_argument("--generation", type=int, default=1000, help="micro-batches per serving-table generation")
     p.add_argument("--archive", help="also archive the raw events here (parquet by topic and date)")
     p.add_argument("--once", action="store_true", help="process available input and stop")
@@ -53,7 +55,7 @@ def main(argv: list[str] | None = None) -> dict:
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
     lexicon = spark.read.parquet(a.lexicon)
     queries, tables = start_all(events, comments, root, lexicon, STOP_WORDS, a.window, trigger, a.capacity,
-                                a.generation)
+                                a.generation, a.exact_windows)
     if a.archive:
         queries.append(archive_sink(route_events(events), a.archive, f"{root}/_checkpoints/archive", trigger))
     if a.once:

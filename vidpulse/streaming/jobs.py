@@ -165,8 +165,10 @@ def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k:
 
 def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
               reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000,
-              generation: int | None = GENERATION):
-    """All serving tables from one application (one query per table)."""
+              generation: int | None = GENERATION, exact_comment_windows: bool = False):
+    """All serving tables from one application (one query per table).
+    ``exact_comment_windows``: shed comments against each closed window's
+    whole load (``start_comment_stats_exact``) instead of per micro-batch."""
     queries, tables = [], {}
     for kind in ("like", "dislike"):
         t = UpsertTable(f"{root}/recent_{kind}s", ["video_id", "window_start"], generation)
@@ -181,7 +183,12 @@ def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFr
         rec = viewers.latest_record(events, kind, ("ts", "latitude", "longitude"))
         queries.append(upsert_sink(rec, t, f"{root}/_checkpoints/{name}", trigger, name))
         tables[name] = t
-    q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger, generation=generation)
+    if exact_comment_windows:
+        q, ct = start_comment_stats_exact(comments, root, lexicon, stop_words, capacity, trigger=trigger,
+                                          generation=generation)
+    else:
+        q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger,
+                                    generation=generation)
     queries.append(q)
     tables.update(ct)
     return queries, tables
