@@ -33,6 +33,7 @@ class UpsertTable:
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.generation = generation
+        self._writer_gen: int | None = None  # pointer value this writer last wrote (one writer per table)
 
     # layout ---------------------------------------------------------------
     def _gen_dir(self, gen: int) -> str:
@@ -58,7 +59,8 @@ class UpsertTable:
             batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
             return
         spark = batch.sparkSession
-        gen, cur = batch_id // self.generation, self._current_gen(spark)
+        gen = batch_id // self.generation
+        cur = self._writer_gen if self._writer_gen is not None else self._current_gen(spark)
         if cur is not None and gen > cur:
             # fold the previous generation; its id sorts below every batch of this one
             snap = self._fold(spark.read.parquet(self._gen_dir(cur)))
@@ -67,6 +69,7 @@ class UpsertTable:
         if cur is None or gen > cur:
             spark.createDataFrame([(gen,)], "gen long").coalesce(1).write.mode("overwrite").json(
                 f"{self.path}/_generation")
+        self._writer_gen = max(gen, cur) if cur is not None else gen
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:  # foreachBatch hook
         self.write_batch(batch, batch_id)
