@@ -50,18 +50,25 @@ def events_as_video_events(events: DataFrame, types: Sequence[str] | None = None
     types are filtered before the mapping, so the predicate reaches the
     parquet scan (a filter on the mapped CASE column cannot be pushed).
     """
+    wanted = list(RAW_TYPE_OF) if types is None else [t for t in RAW_TYPE_OF if t in set(types)]
     if types is not None:
-        events = events.where(F.col("event_type").isin(sorted({RAW_TYPE_OF[t] for t in types})))
+        events = events.where(F.col("event_type").isin(sorted({RAW_TYPE_OF[t] for t in wanted})))
     k = F.get_json_object("props", "$.k")
     kind = F.col("event_type")
-    mapped = (
-        F.when((kind == "signup") & (F.col("event_id") % 2 == 0), F.lit("start_video"))
-        .when(kind == "signup", F.lit("end_video"))
-        .when(kind == "view", F.lit("play"))
-        .when(kind == "error", F.lit("leave"))
-        .when(kind == "click", F.lit("like"))
-        .when(kind == "purchase", F.lit("dislike"))
-    )
+    # only the branches of the requested types, so unused inputs (event_id for
+    # the start/end split) are pruned from the scan
+    even = F.coalesce(F.col("event_id") % 2 == 0, F.lit(False))
+    branches = {
+        "start_video": (kind == "signup") & even,
+        "end_video": (kind == "signup") & ~even,
+        "play": kind == "view",
+        "leave": kind == "error",
+        "like": kind == "click",
+        "dislike": kind == "purchase",
+    }
+    mapped = None
+    for t in wanted:
+        mapped = F.when(branches[t], F.lit(t)) if mapped is None else mapped.when(branches[t], F.lit(t))
     return events.select(
         "event_id",
         "ts",
