@@ -144,6 +144,14 @@ def test_app_once_on_json_lines(spark, scratch):
     assert (tot.plays, tot.leaves, tot.likes) == (14, 5, 1)
     from vidpulse.plans.live import live_popup_text
 
+    from vidpulse.plans.live import main as live_main
+    from vidpulse.streaming.jobs import serving_tables
+
+    # a reader in another process only needs the root folder
+    reread = serving_tables(os.path.join(scratch, "serving"))
+    assert reread["totals"].read(spark).where("video_id = 304").first().plays == 14
+    live_main(["--serving", os.path.join(scratch, "serving"), "--out", os.path.join(scratch, "map")])
+    assert spark.read.parquet(os.path.join(scratch, "map")).where("video_id = 304").first().views == 9
     pop = live_popup_text(spark, tables).where("video_id = 304").first()
     assert pop.label_views == "Concurent viewers: 9"
     assert pop.label_words == "Top popular words: [('great', 2), ('fun', 1), ('show', 1)]"

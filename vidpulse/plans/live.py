@@ -37,3 +37,33 @@ def live_map_features(spark: SparkSession, tables: dict[str, UpsertTable], k: in
 
 def live_popup_text(spark: SparkSession, tables: dict[str, UpsertTable], k: int = 5) -> DataFrame:
     return popup_text(live_inputs(spark, tables, k))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m vidpulse.plans.live --serving ROOT [--out PATH] [--popup]
+
+    Build the map table (or the popup texts) from the serving tables under
+    ROOT and write it as parquet to PATH, or print the first rows."""
+    import argparse
+
+    from vidpulse.session import build_session
+    from vidpulse.streaming.jobs import GENERATION, serving_tables
+
+    p = argparse.ArgumentParser(description="Dashboard table from the serving tables")
+    p.add_argument("--serving", required=True)
+    p.add_argument("--out")
+    p.add_argument("--popup", action="store_true", help="popup texts instead of map features")
+    p.add_argument("--generation", type=int, default=GENERATION)
+    p.add_argument("--master", default=None)
+    a = p.parse_args(argv)
+    spark = build_session(a.master)
+    tables = serving_tables(a.serving, a.generation)
+    df = live_popup_text(spark, tables) if a.popup else live_map_features(spark, tables)
+    if a.out:
+        df.write.mode("overwrite").parquet(a.out)
+    else:
+        df.show(20, truncate=False)
+
+
+if __name__ == "__main__":
+    main()

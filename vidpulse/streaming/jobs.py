@@ -163,6 +163,25 @@ def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k:
     return out
 
 
+SERVING_KEYS = {
+    "recent_likes": ["video_id", "window_start"],
+    "recent_dislikes": ["video_id", "window_start"],
+    "totals": ["video_id"],
+    "video_start": ["video_id"],
+    "video_end": ["video_id"],
+}
+
+
+def serving_tables(root: str, generation: int | None = GENERATION) -> dict[str, UpsertTable]:
+    """Handles of every serving table under ``root`` (as ``start_all``
+    writes them), for readers in another process."""
+    tables: dict[str, UpsertTable] = {name: UpsertTable(f"{root}/{name}", keys, generation)
+                                      for name, keys in SERVING_KEYS.items()}
+    tables.update({name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name], generation=generation)
+                   for name in PARTIAL_TABLES})
+    return tables
+
+
 def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
               reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000,
               generation: int | None = GENERATION, exact_comment_windows: bool = False):
