@@ -188,20 +188,16 @@ def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFr
     """All serving tables from one application (one query per table).
     ``exact_comment_windows``: shed comments against each closed window's
     whole load (``start_comment_stats_exact``) instead of per micro-batch."""
-    queries, tables = [], {}
-    for kind in ("like", "dislike"):
-        t = UpsertTable(f"{root}/recent_{kind}s", ["video_id", "window_start"], generation)
-        queries.append(upsert_sink(reaction_counts_stream(events, kind, reaction_window), t,
-                                   f"{root}/_checkpoints/recent_{kind}s", trigger, f"recent_{kind}s"))
-        tables[f"recent_{kind}s"] = t
-    t = UpsertTable(f"{root}/totals", ["video_id"], generation)
-    queries.append(upsert_sink(totals_stream_df(events), t, f"{root}/_checkpoints/totals", trigger, "totals"))
-    tables["totals"] = t
-    for kind, name in (("start_video", "video_start"), ("end_video", "video_end")):
-        t = UpsertTable(f"{root}/{name}", ["video_id"], generation)
-        rec = viewers.latest_record(events, kind, ("ts", "latitude", "longitude"))
-        queries.append(upsert_sink(rec, t, f"{root}/_checkpoints/{name}", trigger, name))
-        tables[name] = t
+    tables = serving_tables(root, generation)
+    outputs = {
+        "recent_likes": reaction_counts_stream(events, "like", reaction_window),
+        "recent_dislikes": reaction_counts_stream(events, "dislike", reaction_window),
+        "totals": totals_stream_df(events),
+        "video_start": viewers.latest_record(events, "start_video", ("ts", "latitude", "longitude")),
+        "video_end": viewers.latest_record(events, "end_video", ("ts", "latitude", "longitude")),
+    }
+    queries = [upsert_sink(df, tables[name], f"{root}/_checkpoints/{name}", trigger, name)
+               for name, df in outputs.items()]
     if exact_comment_windows:
         q, ct = start_comment_stats_exact(comments, root, lexicon, stop_words, capacity, trigger=trigger,
                                           generation=generation)
@@ -209,7 +205,7 @@ def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFr
         q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger,
                                     generation=generation)
     queries.append(q)
-    tables.update(ct)
+    tables.update(ct)  # the comment jobs' own handles (same paths and keys)
     return queries, tables
 
 
