@@ -152,6 +152,10 @@ def test_app_once_on_json_lines(spark, scratch):
     assert reread["totals"].read(spark).where("video_id = 304").first().plays == 14
     live_main(["--serving", os.path.join(scratch, "serving"), "--out", os.path.join(scratch, "map")])
     assert spark.read.parquet(os.path.join(scratch, "map")).where("video_id = 304").first().views == 9
+    from vidpulse.plans.live import register_serving_views
+
+    register_serving_views(spark, reread)
+    assert spark.sql("SELECT plays - leaves AS v FROM totals WHERE video_id = 304").first().v == 9
     pop = live_popup_text(spark, tables).where("video_id = 304").first()
     assert pop.label_views == "Concurent viewers: 9"
     assert pop.label_words == "Top popular words: [('great', 2), ('fun', 1), ('show', 1)]"

@@ -289,3 +289,12 @@ def test_generations_bound_listing_and_keep_answers(spark, scratch):
     assert rows(agens.read(spark)) == rows(aflat.read(spark))
     latest = sorted(d for d in os.listdir(f"{scratch}/gens/gen=2") if d.startswith("batch="))
     assert latest == ["batch=5", "batch=6", "batch=7"]  # snapshot of gens 0-1, then its own batches
+
+
+def test_fixture_views_for_sql(spark):
+    from vidpulse.sources.fixtures import register_fixture_views
+
+    register_fixture_views(spark, "/root/testdata/sf0.001")
+    n = spark.sql("SELECT count(*) AS n FROM lv_events WHERE event_type = 'like'").first().n
+    assert n == spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("event_type = 'click'").count()
+    assert spark.sql("SELECT count(*) AS n FROM lv_stop_words").first().n == 175

@@ -39,6 +39,14 @@ def live_popup_text(spark: SparkSession, tables: dict[str, UpsertTable], k: int
     return popup_text(live_inputs(spark, tables, k))
 
 
+def register_serving_views(spark: SparkSession, tables: dict[str, UpsertTable]) -> list[str]:
+    """Temp views over the newest state of every serving table (named like
+    the tables) for ``spark.sql``."""
+    for name, t in tables.items():
+        t.read(spark).createOrReplaceTempView(name)
+    return list(tables)
+
+
 def main(argv: list[str] | None = None) -> None:
     """python -m vidpulse.plans.live --serving ROOT [--out PATH] [--popup]
 

@@ -138,3 +138,17 @@ def lexicon_of_words(words: DataFrame) -> DataFrame:
 
 def lv_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_lexicon(lv_comments(spark, sf_dir))
+
+
+def register_fixture_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Temp views ``lv_events``, ``lv_comments``, ``lv_documents`` and
+    ``lv_stop_words`` for ``spark.sql``."""
+    views = {
+        "lv_events": lv_events(spark, sf_dir),
+        "lv_comments": lv_comments(spark, sf_dir),
+        "lv_documents": lv_documents(spark, sf_dir),
+        "lv_stop_words": lv_stop_words(spark),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
