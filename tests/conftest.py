@@ -16,10 +16,8 @@ def spark():
     from vidpulse.session import build_session
 
     s = build_session("local[4]", partitions=8, driver_memory="4g")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="vidpulse-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vidpulse-test-ckpt-"))
     yield s
     s.stop()
 

@@ -61,17 +61,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir``.  Only
-    when it is unset (local tests) a fresh scratch folder is created and
-    registered, so later calls reuse it.
+    when no checkpoint folder is configured (local tests) a fresh scratch
+    folder is registered with the SparkContext (the config itself cannot be
+    changed at run time), and later calls reuse it.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="vidpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d.rstrip("/")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d.rstrip("/")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="vidpulse-ckpt-"))
+    d = sc.getCheckpointDir().rstrip("/")
+    return d[len("file:"):] if d.startswith("file:/") else d
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
