@@ -65,8 +65,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is registered with the SparkContext (the config itself cannot be
     changed at run time), and later calls reuse it.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
+        return (d or tempfile.mkdtemp(prefix="vidpulse-ckpt-")).rstrip("/")
+    d = d or sc.getConf().get("spark.checkpoint.dir", None)
     if d:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
