@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.draw import hash_uniform, keep_probability, random_uniform
 from vidpulse.functions.text import token_array, word_array
-
 from vidpulse.operators import sampling, sentiment, text
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY
 from vidpulse.sources.fixtures import lexicon_of_words
@@ -68,7 +67,9 @@ def partials_from_sentence_counts(per: DataFrame, lexicon: DataFrame, stop_words
     """The additive comment outputs from complete windows given as sentence
     counts (key, window_start, sentence, n).  The window-global word total
     is the sum over its sentences (a comment's words are its sentences'
-    words), so sampling sees the whole window's load at once."""
+    words), so sampling sees the whole window's load at once.  The copies of
+    a sentence in one window share a draw (as the hash draw gives anyway;
+    with ``draw="rand"`` the draw is per counted row)."""
     words = F.size(word_array(F.col("sentence"))) * F.col("n")
     probs = per.groupBy("window_start").agg(F.sum(words).cast("bigint").alias("words")).select(
         "window_start", keep_probability(F.col("words"), capacity).alias("prob"))
