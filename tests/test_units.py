@@ -298,3 +298,18 @@ def test_fixture_views_for_sql(spark):
     n = spark.sql("SELECT count(*) AS n FROM lv_events WHERE event_type = 'like'").first().n
     assert n == spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("event_type = 'click'").count()
     assert spark.sql("SELECT count(*) AS n FROM lv_stop_words").first().n == 175
+
+
+def test_broadcast_if_small_both_sides_of_the_bound(spark):
+    from vidpulse.operators.joins import broadcast_if_small
+    from vidpulse.operators.text import without_stop_words
+
+    words = spark.createDataFrame([(w,) for w in ["the", "show", "a", "great", "the"]], "word string")
+    stops = spark.createDataFrame([("the",), ("a",)], "word string")
+    for bound in (1, 10):  # over the bound: plain (shuffle or AQE) join; under: broadcast hint
+        got = sorted(r.word for r in without_stop_words(words, stops.limit(2)).collect())
+        assert got == ["great", "show"]
+        assert broadcast_if_small(stops, bound).count() == 2
+    from vidpulse.plans.explain import plan_text
+
+    assert "broadcast" in plan_text(words.join(broadcast_if_small(stops, 10), "word"), "extended").lower()
