@@ -223,3 +223,12 @@ def sent_mean(hist):
     from vidpulse.operators.sentiment import mean_sentiment
 
     return mean_sentiment(hist)
+
+
+def test_state_partitions_restores_session_value(spark):
+    from vidpulse.session import state_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with state_partitions(spark, 2):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

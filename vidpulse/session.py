@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -94,3 +95,23 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Shuffle (and so state-store) partitions for streaming queries started
+    inside the block: ``n``, or the cluster's parallelism, never more than
+    the session's setting.  A stream fixes its state partitions when it
+    first starts; a bounded replay does not need hundreds of state stores.
+    The session value is restored afterwards."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if n is None:
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            n = int(old)
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, min(int(old), n))))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

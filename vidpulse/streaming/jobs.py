@@ -26,7 +26,7 @@ from vidpulse.functions.time import ntz_to_instant
 
 from vidpulse.operators import counts, sentiment, text, viewers
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials, partials_from_sentence_counts
-from vidpulse.session import materialize, scratch_path
+from vidpulse.session import materialize, scratch_path, state_partitions
 from vidpulse.sources.events import read_table_stream
 from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments
 from vidpulse.streaming.sinks import AdditiveTable, UpsertTable, upsert_sink
@@ -215,8 +215,10 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
 
 
 def _run_once(df: DataFrame, table: UpsertTable, checkpoint: str) -> None:
-    q = upsert_sink(df, table, checkpoint, {"availableNow": True})
-    q.awaitTermination()
+    """Run a stream over the available input (availableNow) into ``table``."""
+    with state_partitions(df.sparkSession):
+        q = upsert_sink(df, table, checkpoint, {"availableNow": True})
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
@@ -265,9 +267,10 @@ def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int =
     the sentiment serving table."""
     root = scratch_path(spark, "stream-comments")
     comments = conversations_as_comments(read_table_stream(spark, sf_dir, "conversations"))
-    q, tables = start_comment_stats(comments, root, derive_lexicon(lv_comments(spark, sf_dir)), None, capacity,
-                                    {"availableNow": True}, ("comment_sentiment",))
-    q.awaitTermination()
+    with state_partitions(spark):
+        q, tables = start_comment_stats(comments, root, derive_lexicon(lv_comments(spark, sf_dir)), None, capacity,
+                                        {"availableNow": True}, ("comment_sentiment",))
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     view = read_comment_views(spark, tables)["comment_sentiment"]
