@@ -300,16 +300,17 @@ def test_fixture_views_for_sql(spark):
     assert spark.sql("SELECT count(*) AS n FROM lv_stop_words").first().n == 175
 
 
-def test_broadcast_if_small_both_sides_of_the_bound(spark):
+def test_broadcast_if_small_both_sides_of_the_bound(spark, monkeypatch):
+    from vidpulse.operators import text as txt
     from vidpulse.operators.joins import broadcast_if_small
-    from vidpulse.operators.text import without_stop_words
+    from vidpulse.plans.explain import plan_text
 
     words = spark.createDataFrame([(w,) for w in ["the", "show", "a", "great", "the"]], "word string")
     stops = spark.createDataFrame([("the",), ("a",)], "word string")
-    for bound in (1, 10):  # over the bound: plain (shuffle or AQE) join; under: broadcast hint
-        got = sorted(r.word for r in without_stop_words(words, stops.limit(2)).collect())
-        assert got == ["great", "show"]
-        assert broadcast_if_small(stops, bound).count() == 2
-    from vidpulse.plans.explain import plan_text
-
-    assert "broadcast" in plan_text(words.join(broadcast_if_small(stops, 10), "word"), "extended").lower()
+    for bound in (1, 10):  # 1: over the bound, no hint (shuffle or AQE join); 10: broadcast hint
+        monkeypatch.setattr(txt, "STOP_TABLE_BROADCAST_ROWS", bound)
+        assert sorted(r.word for r in txt.without_stop_words(words, stops).collect()) == ["great", "show"]
+    hinted = plan_text(words.join(broadcast_if_small(stops, 10), "word"), "extended")
+    unhinted = plan_text(words.join(broadcast_if_small(stops, 1), "word"), "extended")
+    assert "broadcast" in hinted.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].lower()
+    assert "strategy=broadcast" not in unhinted.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].lower()
