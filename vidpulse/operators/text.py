@@ -19,6 +19,8 @@ from vidpulse.operators.joins import broadcast_if_small
 
 COMMENT_WINDOW = "60 seconds"
 
+StopWords = Sequence[str] | DataFrame | None  # a fixed list, a (word) table, or no filtering
+
 
 def comment_sentences(comments: DataFrame, key: str = "video_id", text: str = "comment",
                       ts: str = "ts") -> DataFrame:
@@ -55,7 +57,7 @@ def windowed_sentence_counts(sentences: DataFrame, length: str = COMMENT_WINDOW,
     return windowed(sentences, length).groupBy(key, "window_start", "sentence").agg(F.count(F.lit(1)).alias("n"))
 
 
-def word_counts_from_sentences(per_sentence: DataFrame, stop_words: Sequence[str] | DataFrame | None,
+def word_counts_from_sentences(per_sentence: DataFrame, stop_words: StopWords,
                                key: str = "video_id") -> DataFrame:
     """Word counts per (video, window) from sentence counts.  Sentence
     splitting never cuts a letter run, so a comment's words are exactly the
@@ -79,7 +81,7 @@ def comment_words(comments: DataFrame, key: str = "video_id", text: str = "comme
 STOP_TABLE_BROADCAST_ROWS = 100_000
 
 
-def without_stop_words(words: DataFrame, stop_words: Sequence[str] | DataFrame | None) -> DataFrame:
+def without_stop_words(words: DataFrame, stop_words: StopWords) -> DataFrame:
     """Drop stop words.  A fixed list becomes a hash-set filter inside the
     scan stage (no join); a table is anti-joined, broadcast when its size
     check passes."""
@@ -90,7 +92,7 @@ def without_stop_words(words: DataFrame, stop_words: Sequence[str] | DataFrame |
     return words.where(~F.col("word").isin(list(stop_words)))
 
 
-def word_counts(comments: DataFrame, stop_words: Sequence[str] | DataFrame | None, length: str = COMMENT_WINDOW,
+def word_counts(comments: DataFrame, stop_words: StopWords, length: str = COMMENT_WINDOW,
                 key: str = "video_id", text: str = "comment") -> DataFrame:
     """Word frequency per (video, window) without stop words."""
     words = without_stop_words(windowed(comment_words(comments, key, text), length), stop_words)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.draw import hash_uniform, keep_probability, random_uniform
 from vidpulse.functions.text import token_array, word_array
+from vidpulse.operators.text import StopWords
 from vidpulse.operators import sampling, sentiment, text
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY
 from vidpulse.sources.fixtures import lexicon_of_words
@@ -50,8 +51,8 @@ PARTIAL_TABLES = {
 }
 
 
-def comment_partials(comments: DataFrame, lexicon: DataFrame, stop_words, capacity: int = SENTIMENT_WORD_CAPACITY,
-                     draw: str = "hash") -> dict[str, DataFrame]:
+def comment_partials(comments: DataFrame, lexicon: DataFrame, stop_words: StopWords,
+                     capacity: int = SENTIMENT_WORD_CAPACITY, draw: str = "hash") -> dict[str, DataFrame]:
     """Additive comment statistics of one batch (see ``PARTIAL_TABLES``)."""
     return {
         "comment_sentiment": shed_histogram(comments, lexicon, capacity, draw),
@@ -60,7 +61,7 @@ def comment_partials(comments: DataFrame, lexicon: DataFrame, stop_words, capaci
     }
 
 
-def partials_from_sentence_counts(per: DataFrame, lexicon: DataFrame, stop_words,
+def partials_from_sentence_counts(per: DataFrame, lexicon: DataFrame, stop_words: StopWords,
                                   capacity: int = SENTIMENT_WORD_CAPACITY, draw: str = "hash",
                                   lexicon_broadcast_rows: int | None = sentiment.LEXICON_BROADCAST_ROWS,
                                   key: str = "video_id") -> dict[str, DataFrame]:

@@ -18,6 +18,7 @@ from vidpulse.functions.text import word_array
 from vidpulse.operators.counts import window_start_col
 from vidpulse.operators.sentiment import LEXICON_BROADCAST_ROWS, mean_sentiment, sentiment_histogram
 from vidpulse.operators.text import (
+    StopWords,
     COMMENT_WINDOW,
     comment_sentences,
     top_words,
@@ -96,7 +97,7 @@ def videos_from_serving(plays: DataFrame, leaves: DataFrame, starts: DataFrame,
     return v
 
 
-def comment_facts(comments: DataFrame, stop_words, lexicon: DataFrame | None, k: int = 5,
+def comment_facts(comments: DataFrame, stop_words: StopWords, lexicon: DataFrame | None, k: int = 5,
                   length: str = COMMENT_WINDOW) -> tuple[DataFrame, DataFrame]:
     """Per video: top-word text and mean sentiment of its newest comment
     window, both from ONE pre-aggregated (video, window, sentence) table.
@@ -125,7 +126,7 @@ def comment_facts(comments: DataFrame, stop_words, lexicon: DataFrame | None, k:
     return words, sentiment
 
 
-def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words, lexicon: DataFrame | None,
+def dashboard_inputs(events: DataFrame, comments: DataFrame, stop_words: StopWords, lexicon: DataFrame | None,
                      reaction_window: str, comment_window: str = COMMENT_WINDOW, k: int = 5) -> DashboardInputs:
     """``lexicon=None``: score words with the lexicon derived from the
     comment vocabulary itself (test stand-in)."""

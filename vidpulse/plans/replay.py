@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vidpulse.operators.text import StopWords
 from vidpulse.operators import counts, viewers
 from vidpulse.operators.routing import comments_of
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials
@@ -18,7 +19,8 @@ from vidpulse.streaming.sinks import AdditiveTable, UpsertTable
 REPLAY_BATCH = 0
 
 
-def serving_tables_of(events: DataFrame, lexicon: DataFrame, stop_words, reaction_window: str,
+def serving_tables_of(events: DataFrame, lexicon: DataFrame, stop_words: StopWords,
+                      reaction_window: str,
                       capacity: int = 5000) -> dict[str, tuple[list[str], DataFrame]]:
     """(keys, rows) of every serving table from a batch of events (with
     comment events among them)."""
@@ -34,7 +36,8 @@ def serving_tables_of(events: DataFrame, lexicon: DataFrame, stop_words, reactio
     return out
 
 
-def replay_serving_tables(spark: SparkSession, archive: str, root: str, lexicon: DataFrame, stop_words,
+def replay_serving_tables(spark: SparkSession, archive: str, root: str, lexicon: DataFrame,
+                          stop_words: StopWords,
                           reaction_window: str = "10 seconds", capacity: int = 5000,
                           first_date: str | None = None, last_date: str | None = None) -> dict[str, UpsertTable]:
     """Recompute the serving tables from the archive (optionally a date

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from vidpulse.functions.time import ntz_to_instant
 
+from vidpulse.operators.text import StopWords
 from vidpulse.operators import counts, sentiment, text, viewers
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials, partials_from_sentence_counts
 from vidpulse.session import materialize, scratch_path, state_partitions
@@ -80,7 +81,8 @@ def totals_from_buckets(buckets: DataFrame, key: str = "video_id") -> DataFrame:
     return buckets.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(c) for c in TOTAL_COLUMNS])
 
 
-def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_words, capacity: int,
+def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_words: StopWords,
+                  capacity: int,
                   draw: str = "hash"):
     """foreachBatch body for comments: sampling needs the window's total
     word count before any sentence is dropped, which the micro-batch has.
@@ -97,7 +99,7 @@ def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_wor
     return run
 
 
-def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
+def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words: StopWords,
                         capacity: int = 5000, trigger: dict | None = None, outputs=tuple(PARTIAL_TABLES),
                         generation: int | None = GENERATION):
     """Comment statistics per micro-batch.  The static lexicon is written
@@ -126,7 +128,7 @@ def closed_window_sentences(comments: DataFrame, length: str = text.COMMENT_WIND
     return g.select("video_id", counts.window_start_col(ev, F.col("w.start")).alias("window_start"), "sentence", "n")
 
 
-def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
+def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame, stop_words: StopWords,
                               capacity: int = 5000, watermark: str = "10 seconds", trigger: dict | None = None,
                               generation: int | None = GENERATION):
     """Comment statistics over complete event-time windows: every window is
@@ -182,7 +184,7 @@ def serving_tables(root: str, generation: int | None = GENERATION) -> dict[str,
     return tables
 
 
-def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words,
+def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words: StopWords,
               reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000,
               generation: int | None = GENERATION, exact_comment_windows: bool = False):
     """All serving tables from one application (one query per table).
