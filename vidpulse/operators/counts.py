@@ -77,10 +77,11 @@ def fill_zero_windows(counts: DataFrame, slide: str, length: str | None = None,
     nxt = F.lead("window_start").over(Window.partitionBy(*keys).orderBy("window_start"))
     gaps = counts.select(*keys, "n", F.sequence(F.col("window_start"), F.coalesce(nxt - step, last_start), step)
                          .alias("_starts"))
-    items = F.transform(
-        "_starts",
-        lambda s, i: F.struct(s.alias("window_start"), F.when(i == 0, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("n")),
-    )
+    def item(start, i):  # the window itself keeps its count, the gap windows get 0
+        n = F.when(i == 0, F.col("n")).otherwise(F.lit(0)).cast("bigint")
+        return F.struct(start.alias("window_start"), n.alias("n"))
+
+    items = F.transform("_starts", item)
     return gaps.select(*keys, F.explode(items).alias("_r")).select(*keys, "_r.window_start", "_r.n")
 
 
