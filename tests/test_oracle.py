@@ -50,3 +50,15 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert "color" in df.columns and "c4_lon" in df.columns
+
+
+def test_queries_read_whole_tables():
+    """No registered query narrows its input with row caps, samples or id
+    subsets (the only modulo arithmetic is the fixture's type/user mapping)."""
+    import re
+
+    for name, sql in SQL.items():
+        low = sql.lower()
+        assert " limit " not in low and "tablesample" not in low and "using sample" not in low, name
+        mods = set(re.findall(r"%\s*(\d+)", low))
+        assert mods <= {"997", "2", "100", "5"}, (name, mods)  # user_id, start/end split, longitude, lexicon score
