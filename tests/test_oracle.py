@@ -9,9 +9,10 @@ from conftest import SF_SMALL
 from tools.oracle_check import TABLES, TYPE_MAP, _digest
 
 import __spark_entry__ as entry_mod
+from vidpulse.plans import oracle, registry
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
