@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import byte_bpe, digest_tree, mix_budget, quality_rules, simhash_trie
+from vidpulse.llm import byte_bpe, chat_format, digest_tree, mix_budget, pii_spans, quality_rules, secret_markov, simhash_trie, spans
+from vidpulse.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +27,13 @@ def op2_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_markov.scan_secrets(_documents(spark, sf_dir))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), *[spans.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(spans.joined(F.col("base")), 256).alias("base_sha256"), spans.joined(F.col("all")).alias("spans"))
+
+
 def op5_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_groups(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -43,13 +51,33 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans.scan(_documents(spark, sf_dir)).select(
+        F.col("row.doc_id").alias("doc_id"), *[spans.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(spans.joined(F.col("base")), 256).alias("base_sha256"), spans.joined(F.col("all")).alias("spans"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = chat_format.records_of_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    control = F.lit("</s>[INST] ok [/INST]")  # conversation -7 comes in another layout
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.to_json(F.struct(control.alias("prompt"), control.alias("completion"))).alias("record"))
+    out = written(chat_format.format_records(records.union(extra)), "chat")
+    text = F.col("formatted")
+    read = out.select("conv_id", "formatted", chat_format.read_turns(text).alias("turns"), chat_format.read_loss(text, F.col("loss")).alias("loss"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op10_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_budget.plan_mix(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op2_digest_tree, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op10_mix_budget)}
+    q.__name__: q for q in (
+        op2_digest_tree, op4_secret_markov, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op8_pii_spans, op9_chat_format, op10_mix_budget)}
 
 _WS = r"[ \t\n\x0B\x0C\r]"
 
