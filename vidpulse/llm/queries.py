@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import byte_bpe, chat_format, digest_tree, mix_budget, pii_spans, quality_rules, secret_markov, simhash_trie, spans
+from vidpulse.llm import byte_bpe, chat_format, digest_tree, mix_budget, pii_spans, quality_gbt, quality_rules, secret_markov, simhash_trie, spans, warc_chunks
 from vidpulse.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,28 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc_chunks.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    last = warc_chunks.read_archives(manifest, with_data=False).where("last")
+    stored = F.col("record_type") == "response"  # a revisit states size and digest of what it refers to
+    return last.select(
+        warc_chunks.page_of(F.col("record")).alias("page_id"),
+        F.when(stored, F.col("bytes_so_far")).otherwise(F.col("stated_bytes")).alias("payload_bytes"),
+        F.when(stored, F.col("digest_so_far")).otherwise(F.col("stated_digest")).alias("payload_digest"),
+        "record_type", warc_chunks.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 def op2_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_tree.exact_groups(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    trees = quality_gbt.train_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_gbt.score(docs, trees).withColumnRenamed("id", "doc_id")
+
+
 def op4_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_markov.scan_secrets(_documents(spark, sf_dir))
     return found.select(
@@ -77,7 +94,7 @@ def op10_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
-        op2_digest_tree, op4_secret_markov, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op8_pii_spans, op9_chat_format, op10_mix_budget)}
+        op1_warc_chunks, op2_digest_tree, op3_quality_gbt, op4_secret_markov, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op8_pii_spans, op9_chat_format, op10_mix_budget)}
 
 _WS = r"[ \t\n\x0B\x0C\r]"
 
