@@ -34,7 +34,7 @@ RULES = [
     ("symbol_ratio", None, 0.05),
     ("shout_ratio", None, 0.25),
     ("stop_ratio", 0.02, None),
-    ("dup_line_ratio", None, 0.30),
+    ("dup_line_ratio", None, 0.60),
     ("echo_ratio", None, 0.30),
 ]
 

@@ -97,13 +97,60 @@ QUERIES: dict[str, Query] = {
         op1_warc_chunks, op2_digest_tree, op3_quality_gbt, op4_secret_markov, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op8_pii_spans, op9_chat_format, op10_mix_budget)}
 
 _WS = r"[ \t\n\x0B\x0C\r]"
+_WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_WS}+'), lambda x: x <> '')"
+_STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORDS)))
+_CONTROL = r"[<\[]\\*(?:s>|/s>|/?INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>)"
+
+
+def _rules_sql() -> str:
+    ratio = {
+        "mean_word_chars": "word_chars / n_words", "symbol_ratio": "n_symbols / word_chars", "shout_ratio": "n_shout / n_words",
+        "stop_ratio": "n_stop / n_words", "dup_line_ratio": "n_dup_lines / n_lines", "echo_ratio": "n_echo / n_words"}
+    rules = [f"{ratio[name]} {sign} {bound}" for name, least, most in quality_rules.RULES for sign, bound in ((">=", least), ("<=", most)) if bound is not None]
+    return f"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t),
+        twice AS (SELECT doc_id, i FROM starts
+                  QUALIFY count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) > 1),
+        covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 8) r(k) GROUP BY doc_id),
+        s AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\x0C\\r]')) AS lines,
+                     CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+                     len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS n_stop,
+                     len(list_filter(w, lambda x: suffix(x, '!!'))) AS n_shout,
+                     len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echo
+              FROM t LEFT JOIN covered USING (doc_id)),
+        r AS (SELECT *, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                     n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
+        SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND {' AND '.join(rules)} AS kept FROM r"""
+
 
 SQL = {
+    "op1_warc_chunks": """
+        WITH t AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+                   (CAST('0x' || substr(h, CAST(k // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - k % 4 * 5 AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+               CASE WHEN page_id = max(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> max(page_id) OVER g THEN max(page_id) OVER g END AS refers_to
+        FROM t WINDOW g AS (PARTITION BY html)""",
     "op2_digest_tree": rf"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_WS}+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)""",
-    "op6_quality_rules": "",
+    "op6_quality_rules": _rules_sql(),
+    "op9_chat_format": rf"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+                   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        s AS (SELECT *, len(regexp_extract_all(role, '{_CONTROL}')) + len(regexp_extract_all(text, '{_CONTROL}')) AS escapes FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+               CAST(sum(length(role) + length(text) + escapes + {len(chat_format.START + chat_format.SEP + chat_format.END) + 1}) AS BIGINT) AS formatted_chars
+        FROM s GROUP BY conv_id""",
 }
-SQL = {k: v for k, v in SQL.items() if v}

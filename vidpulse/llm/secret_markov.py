@@ -2,9 +2,9 @@
 
 Two bigram models are trained on labelled samples: random strings (secrets
 that the fixed patterns find, and hashes of ids written in hex and base64)
-and ordinary identifiers (the words of the texts).  A long token is a secret
-when its mean log-likelihood ratio per character pair is ``LEAST_RATIO`` or
-more.  Training counts pairs with joins and groupings and returns at most
+and ordinary identifiers (the words of the texts, alone and joined as code
+joins them).  A long token is a secret when its mean log-likelihood ratio per
+character pair is ``LEAST_RATIO`` or more.  Training counts pairs with joins and groupings and returns at most
 one row per pair of alphabet characters; scoring is a column expression over
 a constant table.  No Python runs on the executors.
 
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.llm import spans as S
+from vidpulse.llm.common import let
 
 SAMPLE_DOCS, LEAST_RATIO = 2000, 1.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -50,7 +51,15 @@ def labelled_samples(docs: DataFrame, id_col: str, text: str, most: int = SAMPLE
     draw = F.pmod(F.xxhash64(F.lit("markov"), F.col(id_col), F.octet_length(text)), F.lit(1_000_000))
     some = docs.where(draw < int(share * 1_000_000)).select(F.coalesce(F.col(text), F.lit("")).alias("t"), F.sha2(F.concat_ws(":", F.lit("id"), F.col(id_col).cast("string")), 256).alias("hash"))
     plain = F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_]{3,}+(?![A-Za-z0-9+/_=-])"), F.lit(0))
-    ordinary = some.select(F.lit("ordinary").alias("label"), F.explode(plain).alias("token"))
+    # identifiers as code writes them: words alone, in snake, kebab and camel case, and constants
+    def joined(words: Column) -> Column:
+        pairs = F.zip_with(F.slice(words, 1, F.size(words)), F.slice(words, 2, F.size(words)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        forms = F.transform(F.filter(pairs, lambda p: p["b"].isNotNull()), lambda p: F.array(
+            F.concat(p["a"], F.lit("_"), p["b"]), F.concat(p["a"], F.lit("-"), p["b"]), F.concat(F.lower(p["a"]), F.initcap(p["b"])),
+            F.upper(F.concat(p["a"], F.lit("_"), p["b"]))))
+        return F.concat(words, F.flatten(forms))
+
+    ordinary = some.select(F.lit("ordinary").alias("label"), F.explode(let(plain, joined)).alias("token"))
     seen = some.select(F.explode(F.transform(base_spans(F.col("t")), lambda s: s["value"])).alias("token"))
     made = some.select(F.explode(F.array("hash", F.base64(F.unhex("hash")), F.upper(F.conv(F.substring("hash", 1, 15), 16, 36)))).alias("token"))
     return ordinary.union(seen.union(made).select(F.lit("random").alias("label"), "token")).distinct()

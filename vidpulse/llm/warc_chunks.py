@@ -153,21 +153,20 @@ class _Stream:
 
     def __init__(self, source, piece: int = 1 << 18) -> None:
         self.source, self.piece, self.buffer, self.raw = source, piece, b"", b""
-        self.member = zlib.decompressobj(31)
+        self.member, self.inside = zlib.decompressobj(31), False
 
     def _more(self) -> bool:
-        if self.member.eof:
-            self.raw, self.member = self.member.unused_data, zlib.decompressobj(31)
         if not self.raw:
             self.raw = self.source.read(self.piece)
             if not self.raw:
+                if self.inside:
+                    raise ValueError("the archive ends inside a record")
                 return False
-        out = self.member.decompress(self.raw, self.piece)
+        self.inside = True
+        self.buffer += self.member.decompress(self.raw, self.piece)
         self.raw = self.member.unconsumed_tail
         if self.member.eof:
-            self.raw = self.member.unused_data
-            self.member = zlib.decompressobj(31)
-        self.buffer += out
+            self.raw, self.member, self.inside = self.member.unused_data, zlib.decompressobj(31), False
         return True
 
     def line(self) -> bytes | None:
@@ -221,6 +220,8 @@ def read_file(source, chunk: int = CHUNK) -> Iterator[dict]:
             number += 1
             if not left:
                 break
+        if row["record_type"] == "response" and base32(digest.digest()) != row["stated_digest"]:
+            raise ValueError(f"{warc['WARC-Record-ID']} does not have the digest that its header states")
         if stream.exactly(4) != 2 * _CRLF:
             raise ValueError(f"{warc['WARC-Record-ID']} does not end where its header says")
 
