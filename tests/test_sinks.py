@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -64,8 +65,15 @@ def test_table_sink_generic_writer(spark, scratch):
     q = table_sink(totals, "parquet", {"path": os.path.join(scratch, "tbl")}, os.path.join(scratch, "ck"),
                    trigger=ONCE)
     q.awaitTermination()
-    assert spark.read.parquet(os.path.join(scratch, "tbl")).count() == lv_events(spark, SF_SMALL).select(
-        "video_id").distinct().count()
+    videos = lv_events(spark, SF_SMALL).select("video_id").distinct().count()
+    assert spark.read.parquet(os.path.join(scratch, "tbl")).count() == videos
+    # the same batch delivered again (checkpoint lost) writes the same folder
+    q = table_sink(jobs.totals_stream_df(_events_stream(spark)), "parquet", {"path": os.path.join(scratch, "tbl")},
+                   os.path.join(scratch, "ck2"), trigger=ONCE)
+    q.awaitTermination()
+    assert spark.read.parquet(os.path.join(scratch, "tbl")).count() == videos
+    with pytest.raises(ValueError):
+        table_sink(totals, "some.connector", {"table": "t"}, os.path.join(scratch, "ck3"))
 
 
 def test_start_all_writes_every_serving_table(spark, scratch):
@@ -77,8 +85,8 @@ def test_start_all_writes_every_serving_table(spark, scratch):
                                      reaction_window="6 hours", trigger=ONCE)
     for q in queries:
         q.awaitTermination()
-    assert set(tables) == {"recent_likes", "recent_dislikes", "totals", "video_start", "video_end",
-                           "comment_sentiment", "comment_words", "comment_tokens"}
+    assert set(tables) == {"recent_likes", "recent_dislikes", "recent_comments", "totals", "video_start", "video_end",
+                           "comment_sentiment", "comment_words", "comment_tokens", "comment_sentences"}
     for name, t in tables.items():
         assert t.read(spark).count() > 0, name
     want = {r.video_id: r.plays for r in counts.running_totals(lv_events(spark, SF_SMALL)).collect()}
@@ -88,7 +96,7 @@ def test_start_all_writes_every_serving_table(spark, scratch):
 
 def test_live_dashboard_equals_batch(spark, scratch):
     """Map rows from the serving tables written by the streams equal the
-    batch dashboard over the same input (load shedding off)."""
+    batch dashboard over the same input, with default arguments."""
     from vidpulse.plans import dashboard
     from vidpulse.plans.live import live_map_features
 
@@ -98,7 +106,7 @@ def test_live_dashboard_equals_batch(spark, scratch):
     comments = spark.readStream.schema(cm.schema).parquet(cm_dir)
     lex = derive_lexicon(cm)
     queries, tables = jobs.start_all(_events_stream(spark), comments, scratch, lex, STOP_WORDS,
-                                     reaction_window="6 hours", trigger=ONCE, capacity=10**12)
+                                     reaction_window="6 hours", trigger=ONCE)
     for q in queries:
         q.awaitTermination()
     live = live_map_features(spark, tables)
@@ -119,22 +127,33 @@ def test_app_once_on_json_lines(spark, scratch):
     src = os.path.join(scratch, "lines")
     os.makedirs(src)
     lines = [
-        {"user_id": 1, "event_type": "start_video", "timestamp": 0.0, "video_id": 304, "latitude": 40.0, "longitude": -100.0},
-        *[{"user_id": 10 + i, "event_type": "play", "timestamp": 0.1 * i, "video_id": 304, "latitude": 40.0,
+        {"user_id": 1, "event_type": "start_video", "timestamp": 1.0, "video_id": 304, "latitude": 40.0, "longitude": -100.0},
+        *[{"user_id": 10 + i, "event_type": "play", "timestamp": 1.0 + 0.1 * i, "video_id": 304, "latitude": 40.0,
            "longitude": -100.0} for i in range(14)],
-        *[{"user_id": 10 + i, "event_type": "leave", "timestamp": 2.0 + 0.1 * i, "video_id": 304, "latitude": 40.0,
+        *[{"user_id": 10 + i, "event_type": "leave", "timestamp": 3.0 + 0.1 * i, "video_id": 304, "latitude": 40.0,
            "longitude": -100.0} for i in range(5)],
-        {"user_id": 3, "event_type": "like", "timestamp": 0.3, "video_id": 304, "latitude": 40.0, "longitude": -100.0},
-        {"user_id": 4, "event_type": "comment", "timestamp": 0.4, "video_id": 304, "latitude": 40.0,
+        {"user_id": 3, "event_type": "like", "timestamp": 1.3, "video_id": 304, "latitude": 40.0, "longitude": -100.0},
+        {"user_id": 4, "event_type": "comment", "timestamp": 1.4, "video_id": 304, "latitude": 40.0,
          "longitude": -100.0, "comment": "Great show. Great fun!"},
     ]
     with open(os.path.join(src, "events.json"), "w") as f:
         f.write("".join(_json.dumps(e) + "\n" for e in lines))
     lex_path = os.path.join(scratch, "lexicon")
     spark.createDataFrame([("great", 2), ("fun", 1)], "word string, score long").write.parquet(lex_path)
+    with open(os.path.join(src, "again.json"), "w") as f:  # the play lines delivered again, and two that are no events
+        f.write("".join(_json.dumps(e) + "\n" for e in lines if e["event_type"] == "play") + "junk\n" + "{}\n")
+    seed = os.path.join(scratch, "seed")
+    spark.createDataFrame([(304, 100, 0, 0, 0, 7), (9, 1, 2, 3, 4, 5)], "video_id long, likes long, dislikes long, plays long, leaves long, comments long").write.parquet(seed)
     archive = os.path.join(scratch, "archive")
     tables = main(["--events", src, "--lexicon", lex_path, "--out", os.path.join(scratch, "serving"), "--once",
-                   "--archive", archive])
+                   "--archive", archive, "--dedup", "1 hour"])
+    going_on = main(["--events", src, "--lexicon", lex_path, "--out", os.path.join(scratch, "seeded"), "--once",
+                     "--dedup", "1 hour", "--totals-seed", seed])
+    seeded = {r.video_id: r for r in going_on["totals"].read(spark).collect()}
+    assert (seeded[304].likes, seeded[304].plays, seeded[304].comments) == (101, 14, 8)
+    assert (seeded[9].likes, seeded[9].comments) == (1, 5)
+    assert tables["bad_records"].read(spark).first().n == 2
+    assert tables["recent_comments"].read(spark).count() == 3
     exact = main(["--events", src, "--lexicon", lex_path, "--out", os.path.join(scratch, "serving_exact"), "--once",
                   "--exact-windows"])
     # the single comment's window is still open (no later event moved the watermark past it)
@@ -176,7 +195,7 @@ def test_replay_from_archive_feeds_live_dashboard(spark, scratch):
     write_archive(route_events(with_comments(ev, cm)), archive)
     lex = derive_lexicon(cm)
     tables = replay_serving_tables(spark, archive, os.path.join(scratch, "serving"), lex, STOP_WORDS,
-                                   reaction_window="6 hours", capacity=10**12)
+                                   reaction_window="6 hours")
     live = live_map_features(spark, tables)
     batch = dashboard.map_features(dashboard.dashboard_inputs(ev, cm, STOP_WORDS, lex, "6 hours"))
     cols = sorted(batch.columns)

@@ -116,8 +116,7 @@ def test_comment_stats_window_split_over_batches(spark, scratch):
 
     stream = conversations_as_comments(spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(src))
     lex = derive_lexicon(cm)
-    q, tables = start_comment_stats(stream, scratch, lex, STOP_WORDS, capacity=10**12, trigger={"availableNow": True},
-                                    generation=1)  # every batch starts a generation: exercises the roll-over
+    q, tables = start_comment_stats(stream, scratch, lex, STOP_WORDS, trigger={"availableNow": True})
     q.awaitTermination()
     assert len(q.recentProgress) >= 2
     views = read_comment_views(spark, tables)
@@ -189,11 +188,11 @@ def test_bucketed_totals_evict_state(spark, scratch):
 
 
 def test_exact_window_sampling_over_closed_windows(spark, scratch):
-    """Append-mode sentence counts deliver each window complete, so shedding
-    uses the window's whole load even when its comments arrive in two
-    micro-batches; closed windows equal the batch answer."""
+    """Append-mode sentence counts deliver each window complete, even when its
+    comments arrive in two micro-batches: closed windows equal the batch
+    answer, and with a capacity the window's whole load is shed."""
     from vidpulse.operators import text as txt
-    from vidpulse.plans.comment_stats import shed_histogram
+    from vidpulse.plans.comment_stats import comment_histogram
     from vidpulse.schema import STOP_WORDS
     from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, lv_comments
     from vidpulse.streaming.jobs import read_comment_views, start_comment_stats_exact
@@ -205,12 +204,12 @@ def test_exact_window_sampling_over_closed_windows(spark, scratch):
     conv.where("turn >= 2").coalesce(1).write.mode("append").parquet(src)
     stream = conversations_as_comments(spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(src))
     lex = derive_lexicon(cm)
-    q, tables = start_comment_stats_exact(stream, scratch, lex, STOP_WORDS, capacity=5000, watermark="10 seconds",
+    q, tables = start_comment_stats_exact(stream, scratch, lex, STOP_WORDS, watermark="10 seconds",
                                           trigger={"availableNow": True})
     q.awaitTermination()
     views = read_comment_views(spark, tables)
     closed = "window_start < timestamp_ntz'2024-01-01 00:02:00'"  # the last window is still open
-    want_sent = sent_mean(shed_histogram(cm, lex, 5000)).where(closed)
+    want_sent = sent_mean(comment_histogram(cm, lex)).where(closed)
     got = views["comment_sentiment"]
     assert got.count() > 0 and got.where(f"not ({closed})").count() == 0
     cols = ["video_id", "window_start", "score", "n"]
@@ -219,6 +218,37 @@ def test_exact_window_sampling_over_closed_windows(spark, scratch):
     assert _rows(views["comment_tokens"], tok_cols) == _rows(txt.token_stats(txt.comment_sentences(cm)).where(closed), tok_cols)
 
 
+def test_streams_read_folders_in_any_order(spark, scratch):
+    """Every registered stream over tables of four part files in mixed time
+    order equals its batch answer; nothing is dropped as late."""
+    from vidpulse.plans import registry as R
+
+    for t in ("events", "conversations"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        df.repartition(4, F.rand(3)).write.parquet(os.path.join(scratch, f"{t}.parquet"))
+    assert len([f for f in os.listdir(os.path.join(scratch, "events.parquet")) if f.startswith("part-")]) == 4
+    pairs = {"likes_tumbling_stream": "likes_tumbling", "sliding_counts_stream": "sliding_counts", "totals_stream": "running_totals",
+             "totals_bucketed_stream": "running_totals", "sampled_sentiment_stream": "sampled_sentiment"}
+    for stream, batch in pairs.items():
+        want = R.QUERIES[batch](spark, SF_SMALL)
+        assert _rows(R.QUERIES[stream](spark, scratch), sorted(want.columns)) == _rows(want, sorted(want.columns)), stream
+
+
+def test_a_bounded_run_fails_on_late_rows(spark, scratch):
+    import pytest
+
+    from vidpulse.streaming import jobs
+
+    src = os.path.join(scratch, "late")
+    for i, rows in enumerate([[_ev(3600)], [_ev(3780)], [_ev(2880), _ev(3840)]]):
+        _json_file(src, f"{i}.json", rows)
+        os.utime(os.path.join(src, f"{i}.json"), (1_700_000_000 + 5 * i,) * 2)
+    stream = read_event_lines(spark, src, streaming=True, max_files_per_trigger=1)
+    table = UpsertTable(os.path.join(scratch, "t"), ["video_id", "window_start"])
+    with pytest.raises(RuntimeError, match="1 rows were dropped"):
+        jobs._run_once(reaction_counts_stream(stream, "play", "10 minutes"), table, os.path.join(scratch, "ck"))
+
+
 def sent_mean(hist):
     from vidpulse.operators.sentiment import mean_sentiment
 

@@ -211,8 +211,7 @@ def test_upsert_table_newest_wins_and_compacts(spark, scratch):
     t.write_batch(spark.createDataFrame([(1, 6)], "video_id long, n long"), 1)
     t.write_batch(spark.createDataFrame([(1, 6)], "video_id long, n long"), 1)  # replayed batch: idempotent
     assert {r.video_id: r.n for r in t.read(spark).collect()} == {1: 6, 2: 7}
-    t.compact(spark, 2)
-    assert {r.video_id: r.n for r in t.read(spark).collect()} == {1: 6, 2: 7}
+    assert {r.video_id: r.n for r in t.compact(spark, f"{scratch}-compact").read(spark).collect()} == {1: 6, 2: 7}
 
 
 def test_kafka_rows_to_events(spark):
@@ -267,28 +266,31 @@ def test_encoded_envelope_is_wire_format(spark):
         assert ("comment" in ev) == (ev["event_type"] == "comment")  # absent when empty, as on the wire
 
 
-def test_generations_bound_listing_and_keep_answers(spark, scratch):
-    import os
-
+def test_readers_between_writes_see_whole_batches(spark, scratch):
+    """A reader after every step of a write (also a replayed one) sees each
+    earlier batch whole; date pruning and key restriction change no value."""
     from vidpulse.streaming.sinks import AdditiveTable, UpsertTable
 
     def batch(i):
-        return spark.createDataFrame([(1, i), (i % 3 + 10, i)], "video_id long, n long")
-
-    flat, gens = UpsertTable(f"{scratch}/flat", ["video_id"]), UpsertTable(f"{scratch}/gens", ["video_id"], generation=3)
-    aflat = AdditiveTable(f"{scratch}/aflat", ["video_id"], ["n"])
-    agens = AdditiveTable(f"{scratch}/agens", ["video_id"], ["n"], generation=3)
-    for i in range(8):
-        for t in (flat, gens, aflat, agens):
-            t.write_batch(batch(i), i)
-        if i == 6:  # a replayed batch at a generation boundary changes nothing
-            gens.write_batch(batch(i), i)
-            agens.write_batch(batch(i), i)
-    rows = lambda df: sorted(tuple(r) for r in df.collect())
-    assert rows(gens.read(spark)) == rows(flat.read(spark))
-    assert rows(agens.read(spark)) == rows(aflat.read(spark))
-    latest = sorted(d for d in os.listdir(f"{scratch}/gens/gen=2") if d.startswith("batch="))
-    assert latest == ["batch=5", "batch=6", "batch=7"]  # snapshot of gens 0-1, then its own batches
+        return spark.createDataFrame([(1, f"2024-01-0{1 + i % 3} 00:00:00", i), (i % 3 + 10, "2024-01-02 00:00:00", i)],
+                                     "video_id long, window_start string, n long").withColumn(
+            "window_start", F.col("window_start").cast("timestamp_ntz"))
+
+    newest = UpsertTable(f"{scratch}/newest", ["video_id", "window_start"])
+    sums = AdditiveTable(f"{scratch}/sums", ["video_id", "window_start"], ["n"])
+    latest, total = {}, {}
+    rows = lambda df: {(r.video_id, str(r.window_start)): r.n for r in df.collect()}
+    for i in range(5):
+        for r in batch(i).collect():
+            key = (r.video_id, str(r.window_start))
+            latest[key], total[key] = r.n, total.get(key, 0) + r.n
+        for _ in range(2):  # the second write replays the batch id
+            newest.write_batch(batch(i), i)
+            sums.write_batch(batch(i), i)
+            assert rows(newest.read(spark)) == latest and rows(sums.read(spark)) == total
+    assert rows(newest.read(spark, since="2024-01-02")) == {k: n for k, n in latest.items() if k[1] >= "2024-01-02"}
+    only = spark.createDataFrame([(1,)], "video_id long")
+    assert rows(sums.read(spark, only=only)) == {k: n for k, n in total.items() if k[0] == 1}
 
 
 def test_fixture_views_for_sql(spark):
@@ -300,17 +302,84 @@ def test_fixture_views_for_sql(spark):
     assert spark.sql("SELECT count(*) AS n FROM lv_stop_words").first().n == 175
 
 
-def test_broadcast_if_small_both_sides_of_the_bound(spark, monkeypatch):
-    from vidpulse.operators import text as txt
-    from vidpulse.operators.joins import broadcast_if_small
-    from vidpulse.plans.explain import plan_text
-
+def test_stop_words_as_list_and_table(spark):
     words = spark.createDataFrame([(w,) for w in ["the", "show", "a", "great", "the"]], "word string")
     stops = spark.createDataFrame([("the",), ("a",)], "word string")
-    for bound in (1, 10):  # 1: over the bound, no hint (shuffle or AQE join); 10: broadcast hint
-        monkeypatch.setattr(txt, "STOP_TABLE_BROADCAST_ROWS", bound)
-        assert sorted(r.word for r in txt.without_stop_words(words, stops).collect()) == ["great", "show"]
-    hinted = plan_text(words.join(broadcast_if_small(stops, 10), "word"), "extended")
-    unhinted = plan_text(words.join(broadcast_if_small(stops, 1), "word"), "extended")
-    assert "broadcast" in hinted.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].lower()
-    assert "strategy=broadcast" not in unhinted.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].lower()
+    for given in (stops, ["the", "a"]):
+        assert sorted(r.word for r in text.without_stop_words(words, given).collect()) == ["great", "show"]
+    assert text.without_stop_words(words, None).count() == 5
+
+
+def test_event_time_is_exact_and_reversible(spark):
+    from vidpulse.sources.envelope import event_time, sim_timestamp
+
+    df = spark.createDataFrame([(0.41,), (0.57,), (1.7e8 + 0.123457,)], "t double")
+    got = df.select("t", event_time(F.col("t")).alias("ts")).select("t", "ts", event_time(sim_timestamp(F.col("ts"))).alias("again")).collect()
+    assert [str(r.ts) for r in got[:2]] == ["1970-01-01 00:00:04.100000", "1970-01-01 00:00:05.700000"]
+    assert all(r.ts == r.again for r in got)
+    assert str(df.select(event_time(F.col("t"), seconds_per_unit=100).alias("ts")).first().ts) == "1970-01-01 00:00:41"
+
+
+def test_bad_records_are_counted(spark):
+    from vidpulse.sources.envelope import bad_record_count
+
+    good = _line(user_id=1, event_type="like", timestamp=2.0, video_id=42, longitude=-90.0, latitude=40.0)
+    rows = [("a", _envelope(42, good)), ("a", "junk"), ("a", '[1, "{}"]'), ("b", None)]
+    got = bad_record_count(spark.createDataFrame(rows, "topic string, value string")).collect()
+    assert {r.source: r.n for r in got} == {"a": 2, "b": 1}
+    plain = spark.createDataFrame([(good,), ("{",), ('{"event_type": "like"}',)], "value string")
+    assert [tuple(r) for r in bad_record_count(plain, envelope=False).collect()] == [("lines", 2)]
+
+
+def test_kafka_options_start_where_each_read_needs():
+    from vidpulse.sources.events import kafka_options
+
+    assert kafka_options("h:1", ["a", "b"])["startingOffsets"] == "latest"
+    batch = kafka_options("h:1", ["a"], streaming=False, max_offsets_per_trigger=5)
+    assert batch["startingOffsets"] == "earliest" and batch["subscribe"] == "a" and "maxOffsetsPerTrigger" not in batch
+
+
+def test_dedup_keeps_events_that_only_share_an_id(spark):
+    from vidpulse.operators.misc import dedup_events
+
+    df = spark.createDataFrame([(1, "like"), (1, "play"), (1, "like")], "event_id long, event_type string")
+    assert dedup_events(df).count() == 2
+    placed = spark.createDataFrame([("t", 0, 1, "x"), ("t", 0, 1, "x"), ("t", 0, 2, "x")], "topic string, partition int, offset long, v string")
+    assert dedup_events(placed).count() == 2
+
+
+def test_scorer_replaces_the_lexicon(spark):
+    from vidpulse.operators import sentiment
+
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:01", "Good show. Bad end. Good end.")], "video_id long, ts string, comment string")
+    df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    hist = sentiment.sentence_sentiment(text.comment_sentences(df), None, scorer=lambda s: F.when(s.contains("Good"), 4).otherwise(0))
+    assert {r.sentiment_class: r.n for r in hist.collect()} == {4: 2, 0: 1}
+
+
+def test_each_occurrence_has_its_own_draw(spark):
+    """A line that everybody writes is neither kept whole nor lost."""
+    n = 4000
+    df = spark.range(n).select(F.lit(1).cast("long").alias("video_id"), F.lit("Great show.").alias("comment"),
+                               (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") / n).cast("decimal(18,6)"))).alias("ts"))
+    kept = sampling.adaptive_sample(text.comment_sentences(df), sampling.window_keep_probability(df, capacity=n)).count()
+    assert abs(kept - n / 2) < 200  # two words each: half the capacity
+
+
+def test_shed_counts_meet_the_capacity(spark):
+    from vidpulse.plans.comment_stats import shed_counted
+
+    per = spark.createDataFrame([(1, "w", "great show", 9000), *[(k, "w", "nice", 1) for k in range(2000)]], "video_id long, window_start string, sentence string, n long")
+    words = shed_counted(per, 5000).select(F.sum(F.size(F.split("sentence", " ")) * F.col("n"))).first()[0]
+    assert abs(words - 5000) < 150
+
+
+def test_zero_windows_end_at_the_video_end(spark):
+    ts = lambda s: F.lit(f"2024-01-01 {s}").cast("timestamp_ntz")
+    c = spark.createDataFrame([(1, "like", "00:00:00", 2), (1, "like", "04:00:00", 1), (2, "like", "10:00:00", 1)], "video_id long, event_type string, t string, n long")
+    c = c.select("video_id", "event_type", F.concat(F.lit("2024-01-01 "), "t").cast("timestamp_ntz").alias("window_start"), "n")
+    rows = lambda df: sorted((r.video_id, r.window_start.hour, r.n) for r in df.collect())
+    assert rows(counts.fill_zero_windows(c, "2 hours")) == [(1, 0, 2), (1, 2, 0), (1, 4, 1), (1, 6, 0), (1, 8, 0), (1, 10, 0), (2, 10, 1)]
+    ends = spark.range(1).select(F.lit(1).cast("long").alias("video_id"), ts("06:00:00").alias("end_start"))
+    assert rows(counts.fill_zero_windows(c, "2 hours", ends=ends)) == [(1, 0, 2), (1, 2, 0), (1, 4, 1), (1, 6, 0), (2, 10, 1)]
+    assert counts.fill_zero_windows(c, "10 seconds").count() == 10 * 360 + 1 + 1  # more windows than one block

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidpulse.functions.time import to_ntz
+from vidpulse.session import checkpointed
 
 REACTION_TYPES = ["like", "dislike", "play", "leave"]
 
@@ -59,30 +60,40 @@ def sliding_counts(df: DataFrame, length: str, slide: str, types: Sequence[str]
                          (key, "event_type"), ts)
 
 
-def fill_zero_windows(counts: DataFrame, slide: str, length: str | None = None,
-                      keys: Sequence[str] = ("video_id", "event_type")) -> DataFrame:
+#: Windows of a gap that are generated by one array.
+GAP_BLOCK = 256
+
+
+def fill_zero_windows(counts: DataFrame, slide: str, keys: Sequence[str] = ("video_id", "event_type"),
+                      ends: DataFrame | None = None) -> DataFrame:
     """Keep windows whose count fell to zero (batch only).
 
     Each key gets every window start on the ``slide`` grid from its first
-    window to the last window start of the whole input; starts with no rows
-    get 0.  Per key, ``lead`` gives the next non-empty window; one
-    ``explode`` of ``sequence(start, next - slide)`` emits the window itself
-    followed by the zero windows of the gap (the last window runs to the
-    global last start, a scalar subquery).  No union, no regrouping: the
-    generated zero rows are never shuffled, and a key's window group holds
-    at most span / slide rows however many events it has.
+    window to its last: the newest window start of the whole input, or, with
+    ``ends`` (first key, end_start), the start given for that key (a video's
+    end record).  Starts with no rows get 0.  The counts are checkpointed
+    (the input is read once); ``lead`` gives the next non-empty window, and
+    the gap is generated in blocks of ``GAP_BLOCK`` windows, so no array
+    grows with a key's span and no generated row is shuffled.
     """
-    last_start = counts.select(F.max("window_start")).scalar()
-    step = F.expr(f"INTERVAL {slide}")
+    counts = checkpointed(counts.select(*keys, "window_start", "n"))
     nxt = F.lead("window_start").over(Window.partitionBy(*keys).orderBy("window_start"))
-    gaps = counts.select(*keys, "n", F.sequence(F.col("window_start"), F.coalesce(nxt - step, last_start), step)
-                         .alias("_starts"))
-    def item(start, i):  # the window itself keeps its count, the gap windows get 0
-        n = F.when(i == 0, F.col("n")).otherwise(F.lit(0)).cast("bigint")
-        return F.struct(start.alias("window_start"), n.alias("n"))
-
-    items = F.transform("_starts", item)
-    return gaps.select(*keys, F.explode(items).alias("_r")).select(*keys, "_r.window_start", "_r.n")
+    step = F.expr(f"INTERVAL {slide}")
+    if ends is None:
+        last = counts.select(F.max("window_start")).scalar()
+    else:
+        counts = counts.join(ends.select(keys[0], "end_start"), keys[0], "left")
+        last = F.greatest("window_start", F.coalesce("end_start", "window_start"))
+    gaps = counts.select(*keys, "n", F.col("window_start").alias("_start"), F.coalesce(nxt, last + step).alias("_next"))
+    seconds = lambda a, b: F.timestamp_diff("SECOND", a, b)
+    many = (seconds(F.col("_start"), F.col("_next")) / seconds(F.col("_start"), F.col("_start") + step)).cast("int")
+    blocks = gaps.select(*keys, "n", "_start", many.alias("_many")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_many") - 1) / GAP_BLOCK).cast("int"))).alias("_block"))
+    first = F.col("_block") * GAP_BLOCK
+    rows = blocks.select(*keys, "n", "_start", F.explode(
+        F.sequence(first, F.least(F.col("_many"), first + GAP_BLOCK) - 1)).alias("_i"))
+    return rows.select(*keys, (F.col("_start") + F.col("_i") * step).alias("window_start"),
+                       F.when(F.col("_i") == 0, F.col("n")).otherwise(0).cast("bigint").alias("n"))
 
 
 def net_viewer_change(df: DataFrame, length: str, slide: str | None = None,
@@ -94,7 +105,7 @@ def net_viewer_change(df: DataFrame, length: str, slide: str | None = None,
 
 
 def running_totals(df: DataFrame, key: str = "video_id") -> DataFrame:
-    """Cumulative likes, dislikes, plays and leaves per video.
+    """Cumulative likes, dislikes, plays, leaves and comments per video.
 
     On a stream this is the stateful count (update mode), replacing keyed
     ``updateStateByKey`` / ``mapWithState`` state code.
@@ -105,6 +116,7 @@ def running_totals(df: DataFrame, key: str = "video_id") -> DataFrame:
         F.count_if(t == "dislike").alias("dislikes"),
         F.count_if(t == "play").alias("plays"),
         F.count_if(t == "leave").alias("leaves"),
+        F.count_if(t == "comment").alias("comments"),
     )
 
 

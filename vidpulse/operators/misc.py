@@ -11,17 +11,27 @@ from vidpulse.operators.counts import window_start_col
 from vidpulse.operators.prefix import running_sum
 
 
-def dedup_events(df: DataFrame, keys: Sequence[str] = ("event_id",), watermark: str | None = None,
+def delivery_keys(df: DataFrame) -> list[str]:
+    """What makes two rows the same delivery: the place in the log where the
+    rows carry it, else all fields."""
+    place = ["topic", "partition", "offset"]
+    return place if set(place) <= set(df.columns) else df.columns
+
+
+def dedup_events(df: DataFrame, keys: Sequence[str] | None = None, watermark: str | None = None,
                  ts: str = "ts") -> DataFrame:
-    """Drop re-delivered copies (at-least-once input).
+    """Drop re-delivered copies (at-least-once input); ``keys`` default to
+    ``delivery_keys``.  No hash stands for the fields: at scale a 64-bit one
+    would merge different events.
 
     Batch: ``dropDuplicates`` (an aggregate with a map-side step, so many
     copies of one event collapse before the shuffle).  Stream: state kept
     only within the watermark delay.
     """
+    keys = list(keys or delivery_keys(df))
     if df.isStreaming and watermark:
-        return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
-    return df.dropDuplicates(list(keys))
+        return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    return df.dropDuplicates(keys)
 
 
 def geo_cells(df: DataFrame, length: str, cell_degrees: float = 2.0,
@@ -37,11 +47,6 @@ def geo_cells(df: DataFrame, length: str, cell_degrees: float = 2.0,
                     *[f"{t}s" for t in types])
 
 
-def in_box(df: DataFrame, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> DataFrame:
-    """Bounding-box filter (pushed to the scan when the columns are stored)."""
-    return df.where(F.col("latitude").between(lat_min, lat_max) & F.col("longitude").between(lon_min, lon_max))
-
-
 def events_sorted(df: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """1-based global position in (ts, event_id) order.
 

@@ -13,10 +13,10 @@ has a single "key") would then sit in one task.  Instead:
    what makes the broadcast of the offsets safe;
 4. add the offset.
 
-Both branches read the same range exchange inside one plan (Spark reuses the
-exchange), so partition ids agree.  In a session with exchange reuse turned
-off the ids are computed once and written (``materialize``), since two
-separately sampled range exchanges could place rows differently.
+The partition ids are computed once and checkpointed with the rows: the
+totals and the rows read the same stored ids, whatever other columns the
+frame carries.  Two separate range exchanges could be sampled differently
+and disagree.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vidpulse.session import checkpointed
+
 _PART = "_rp"
 
 
@@ -48,10 +50,7 @@ def running_sum(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
         .repartitionByRange(n, *keys, *order)
         .withColumn(_PART, F.spark_partition_id())
     )
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from vidpulse.session import materialize
-
-        ranged = materialize(ranged, "range_slices")
+    ranged = checkpointed(ranged)
     local_w = Window.partitionBy(_PART, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum("_w").over(local_w))
 

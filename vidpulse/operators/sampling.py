@@ -29,7 +29,8 @@ def adaptive_sample(sentences: DataFrame, probs: DataFrame, length: str = COMMEN
                     key: str = "video_id", draw: str = "hash", seed: int | None = None) -> DataFrame:
     """Keep a sentence when its draw u >= 1 - prob of its window.
 
-    ``draw="hash"``: u from md5(video_id | sentence) (deterministic);
+    ``draw="hash"``: u from md5(video_id | ts | pos | sentence): each
+    occurrence of a sentence has its own draw, the same on every run;
     ``draw="rand"``: Spark's ``rand``.
     The totals have one row per window, so their size is bounded by the
     time span / window length, not by the data volume; no hint is given:
@@ -37,7 +38,7 @@ def adaptive_sample(sentences: DataFrame, probs: DataFrame, length: str = COMMEN
     a broadcast, and a shuffle join of a hot window is split by AQE's skew
     handling.
     """
-    u = hash_uniform(F.col(key), F.col("sentence")) if draw == "hash" else random_uniform(seed)
+    u = hash_uniform(F.col(key), F.col("ts"), F.col("pos"), F.col("sentence")) if draw == "hash" else random_uniform(seed)
     w = windowed(sentences, length)
     j = w.join(probs.select("window_start", "prob"), "window_start")
     return j.where(u >= F.lit(1.0) - F.col("prob")).drop("prob")

@@ -11,24 +11,17 @@ window and shuffled as one counted row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.text import word_array
-from vidpulse.operators.joins import broadcast_if_small
 from vidpulse.operators.text import windowed_sentence_counts
 
-LEXICON_BROADCAST_ROWS = 2_000_000
-
-
 NEUTRAL = 2
 
 
-def _lexicon_side(lexicon: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    lex = lexicon.select("word", "score")
-    return broadcast_if_small(lex, broadcast_rows) if broadcast_rows is not None else lex
-
-
 def sentence_class(score_sum: Column, matched: Column) -> Column:
     """2 + clamp(round(mean score), -2, 2); neutral without matched words."""
     mean = score_sum / matched
@@ -36,34 +29,34 @@ def sentence_class(score_sum: Column, matched: Column) -> Column:
     return F.when(matched > 0, cls).otherwise(F.lit(NEUTRAL)).cast("bigint")
 
 
-def sentiment_histogram(per_sentence: DataFrame, lexicon: DataFrame, key: str = "video_id",
-                        broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
+def sentiment_histogram(per_sentence: DataFrame, lexicon: DataFrame | None, key: str = "video_id",
+                        scorer: Callable[[Column], Column] | None = None) -> DataFrame:
     """(key, window_start, sentence, n) -> sentences per (key, window, class).
 
-    Each pre-aggregated sentence row is scored in place: its words are
-    exploded (``explode_outer`` keeps sentences without words), left-joined
-    to the lexicon and summed back per (key, window, sentence).  That regroup
-    uses the key the sentence counts are already hash-partitioned on, so with
-    a broadcast lexicon the only shuffles are the sentence pre-aggregation
-    and the final (small) class histogram.
-    ``broadcast_rows``: checked size bound for broadcasting the lexicon;
-    ``None`` leaves the choice to Spark/AQE (use it for a lexicon derived in
-    the same job, where a count would recompute it).
+    With a lexicon each pre-aggregated sentence gets a 128-bit id; its words
+    are exploded under the id (``explode_outer`` keeps sentences without
+    words), left-joined to the lexicon and summed back per id, so the text
+    itself is neither repeated per word nor shuffled.  Spark broadcasts the
+    lexicon when its bytes are below the session's threshold; beyond it the
+    join is a shuffle whose hot words AQE splits.
+    ``scorer`` replaces the lexicon: sentence column -> class column (0-4).
     """
-    grp = [key, "window_start", "sentence"]
-    words = per_sentence.select(*grp, "n", F.explode_outer(word_array(F.col("sentence"))).alias("word"))
-    scored = words.join(_lexicon_side(lexicon, broadcast_rows), "word", "left").groupBy(*grp).agg(
-        F.max("n").alias("n"), F.sum("score").alias("_s"), F.count("score").alias("_c")
-    )
-    hist = scored.select(key, "window_start", sentence_class(F.col("_s"), F.col("_c")).alias("sentiment_class"), "n")
+    if scorer is not None:
+        hist = per_sentence.select(key, "window_start", scorer(F.col("sentence")).cast("bigint").alias("sentiment_class"), "n")
+    else:
+        sid = F.unhex(F.md5("sentence")).alias("_sid")
+        words = per_sentence.select(key, "window_start", sid, "n", F.explode_outer(word_array(F.col("sentence"))).alias("word"))
+        scored = words.join(lexicon.select("word", "score"), "word", "left").groupBy(key, "window_start", "_sid").agg(
+            F.max("n").alias("n"), F.sum("score").alias("_s"), F.count("score").alias("_c"))
+        hist = scored.select(key, "window_start", sentence_class(F.col("_s"), F.col("_c")).alias("sentiment_class"), "n")
     return hist.groupBy(key, "window_start", "sentiment_class").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def sentence_sentiment(sentences: DataFrame, lexicon: DataFrame, length: str = "60 seconds",
-                       key: str = "video_id", broadcast_rows: int | None = LEXICON_BROADCAST_ROWS) -> DataFrame:
+def sentence_sentiment(sentences: DataFrame, lexicon: DataFrame | None, length: str = "60 seconds",
+                       key: str = "video_id", scorer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Sentences per (video, window, class): the per-window score list as
     a histogram.  Output: key, window_start, sentiment_class, n."""
-    return sentiment_histogram(windowed_sentence_counts(sentences, length, key), lexicon, key, broadcast_rows)
+    return sentiment_histogram(windowed_sentence_counts(sentences, length, key), lexicon, key, scorer)
 
 
 def mean_sentiment(histogram: DataFrame, key: str = "video_id", min_items: int = 1) -> DataFrame:

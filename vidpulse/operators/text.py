@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.text import clean_comment, is_blank, sentence_array, token_array, word_array
 from vidpulse.operators.counts import window_start_col
-from vidpulse.operators.joins import broadcast_if_small
 
 COMMENT_WINDOW = "60 seconds"
 
@@ -25,10 +24,19 @@ StopWords = Sequence[str] | DataFrame | None  # a fixed list, a (word) table, or
 def comment_sentences(comments: DataFrame, key: str = "video_id", text: str = "comment",
                       ts: str = "ts") -> DataFrame:
     """One row per sentence: clean, drop blank comments, split, trim, drop
-    blank sentences.  Output: key, ts, sentence."""
+    blank sentences.  Output: key, ts, pos (place in the comment), sentence."""
     cleaned = comments.select(key, ts, clean_comment(F.col(text)).alias("_clean")).where(~is_blank(F.col("_clean")))
-    sent = cleaned.select(key, ts, F.explode(sentence_array(F.col("_clean"))).alias("_s"))
-    return sent.select(key, ts, F.trim("_s").alias("sentence")).where(F.col("sentence") != "")
+    sent = cleaned.select(key, ts, F.posexplode(sentence_array(F.col("_clean"))).alias("pos", "_s"))
+    return sent.select(key, ts, "pos", F.trim("_s").alias("sentence")).where(F.col("sentence") != "")
+
+
+def newest_window_comments(comments: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id",
+                           text: str = "comment", ts: str = "ts") -> DataFrame:
+    """The comments of each key's newest window that has a sentence: older
+    windows go before their text is split into sentences or words."""
+    has_sentence = F.exists(sentence_array(clean_comment(F.col(text))), lambda s: F.trim(s) != "")
+    newest = windowed(comments.where(has_sentence), length, ts).groupBy(key).agg(F.max("window_start").alias("window_start"))
+    return windowed(comments, length, ts).join(newest, [key, "window_start"], "left_semi").drop("window_start")
 
 
 def sentence_counts(sentences: DataFrame, key: str = "video_id") -> DataFrame:
@@ -68,7 +76,8 @@ def word_counts_from_sentences(per_sentence: DataFrame, stop_words: StopWords,
 
 
 def sentence_tokens(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id") -> DataFrame:
-    """Token list of every sentence with its window (serving-table rows)."""
+    """Token list of every sentence with its window: one row per sentence,
+    so no group is collected."""
     w = windowed(sentences, length)
     return w.select(key, "window_start", "sentence", token_array(F.col("sentence")).alias("tokens"))
 
@@ -78,17 +87,14 @@ def comment_words(comments: DataFrame, key: str = "video_id", text: str = "comme
     return comments.select(key, ts, F.explode(word_array(F.col(text))).alias("word"))
 
 
-STOP_TABLE_BROADCAST_ROWS = 100_000
-
-
 def without_stop_words(words: DataFrame, stop_words: StopWords) -> DataFrame:
     """Drop stop words.  A fixed list becomes a hash-set filter inside the
-    scan stage (no join); a table is anti-joined, broadcast when its size
-    check passes."""
+    scan stage (no join); a table is anti-joined (Spark's byte threshold
+    decides on a broadcast)."""
     if stop_words is None:
         return words
     if isinstance(stop_words, DataFrame):
-        return words.join(broadcast_if_small(stop_words.select("word"), STOP_TABLE_BROADCAST_ROWS), "word", "left_anti")
+        return words.join(stop_words.select("word"), "word", "left_anti")
     return words.where(~F.col("word").isin(list(stop_words)))
 
 

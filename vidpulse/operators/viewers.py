@@ -20,13 +20,15 @@ def running_count(df: DataFrame, event_type: str, key: str = "video_id",
     return running_sum(ev, order, (key,)).select("event_id", key, "running")
 
 
-def viewer_timeline(df: DataFrame, key: str = "video_id", order: Sequence[str] = ORDER) -> DataFrame:
-    """Concurrent viewers after each play (+1) / leave (-1) event."""
+def viewer_timeline(df: DataFrame, key: str = "video_id", order: Sequence[str] = ORDER,
+                    extra: Sequence[str] = ()) -> DataFrame:
+    """Concurrent viewers after each play (+1) / leave (-1) event; ``extra``
+    columns of the event stay."""
     ev = df.where(F.col("event_type").isin("play", "leave"))
     delta = F.when(F.col("event_type") == "play", 1).otherwise(-1)
-    cols = ["event_id", key, *[c for c in order if c != "event_id"]]
+    cols = list(dict.fromkeys(["event_id", key, *order, *extra]))
     return running_sum(ev.select(*cols, delta.alias("_d")), order, (key,), F.col("_d"), "viewers").select(
-        "event_id", key, "viewers"
+        "event_id", key, *extra, "viewers"
     )
 
 
@@ -57,7 +59,7 @@ def concurrent_from_totals(plays: DataFrame, leaves: DataFrame, key: str = "vide
     return with_views(j, key)
 
 
-def latest_record(df: DataFrame, event_type: str, fields: Sequence[str] = ("ts", "latitude", "longitude"),
+def latest_record(df: DataFrame, event_type: str, fields: Sequence[str] = ("ts", "user_id", "latitude", "longitude"),
                   key: str = "video_id", order: Sequence[str] = ORDER) -> DataFrame:
     """Newest record of one type per video by (ts, event_id).
 

@@ -8,26 +8,28 @@ equi-join (shuffle or AQE broadcast), replacing a per-key lookup loop.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.geo import color_ramp, corner_columns, marker_size, popup_labels
 from vidpulse.functions.text import word_array
 from vidpulse.operators.counts import window_start_col
-from vidpulse.operators.sentiment import LEXICON_BROADCAST_ROWS, mean_sentiment, sentiment_histogram
+from vidpulse.operators.sentiment import mean_sentiment, sentiment_histogram
 from vidpulse.operators.text import (
     StopWords,
     COMMENT_WINDOW,
     comment_sentences,
+    newest_window_comments,
     top_words,
     top_words_text,
     windowed_sentence_counts,
     word_counts_from_sentences,
 )
 from vidpulse.operators.viewers import concurrent_from_totals
-from vidpulse.session import materialize
+from vidpulse.session import checkpointed
 from vidpulse.sources.fixtures import lexicon_of_words
 
 KEY = "video_id"
@@ -98,31 +100,25 @@ def videos_from_serving(plays: DataFrame, leaves: DataFrame, starts: DataFrame,
 
 
 def comment_facts(comments: DataFrame, stop_words: StopWords, lexicon: DataFrame | None, k: int = 5,
-                  length: str = COMMENT_WINDOW) -> tuple[DataFrame, DataFrame]:
+                  length: str = COMMENT_WINDOW,
+                  scorer: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Per video: top-word text and mean sentiment of its newest comment
-    window, both from ONE pre-aggregated (video, window, sentence) table.
-
-    Words, the derived lexicon (when ``lexicon`` is None) and sentiment all
-    read that table, which is written once as parquet to the shared
-    checkpoint folder:
-    the comment text is scanned and split once instead of once per
-    consumer (the optimizer rewrites the branches differently, so they
-    would not share a shuffle).  Words: the newest window that had
-    sentences, "[]" when all its words were stop words.
+    window (the newest that had sentences; "[]" when all its words were stop
+    words).
+
+    Only that window's comments are split into sentences and words; older
+    ones are filtered by their window first.  Words, the derived lexicon
+    (when ``lexicon`` is None) and sentiment read one checkpointed
+    (video, window, sentence) table.
     """
-    per = windowed_sentence_counts(comment_sentences(comments), length)
-    if not comments.isStreaming:
-        per = materialize(per, "sentence_counts")
+    per = checkpointed(windowed_sentence_counts(comment_sentences(newest_window_comments(comments, length)), length))
     newest = per.groupBy(KEY).agg(F.max("window_start").alias("window_start"))
     text = top_words_text(top_words(word_counts_from_sentences(per, stop_words), k))
     words = newest.join(text, [KEY, "window_start"], "left").select(
         KEY, F.coalesce("words", F.lit("[]")).alias("words"))
-    check_rows = LEXICON_BROADCAST_ROWS  # a given lexicon is broadcast behind a size check
-    if lexicon is None:  # derived here: a count would recompute it; Spark/AQE choose the join
+    if lexicon is None and scorer is None:
         lexicon = lexicon_of_words(per.select(F.explode(word_array(F.col("sentence"))).alias("word")))
-        check_rows = None
-    ms = mean_sentiment(sentiment_histogram(per, lexicon, broadcast_rows=check_rows))
-    sentiment = ms.groupBy(KEY).agg(F.max_by("score", "window_start").alias("score"))
+    sentiment = mean_sentiment(sentiment_histogram(per, lexicon, scorer=scorer)).select(KEY, "score")
     return words, sentiment
 
 

@@ -36,9 +36,9 @@ LV_STOP_WORDS = "lv_stop_words AS (SELECT * FROM (VALUES {}) t(word))".format(
 CLEAN = "regexp_replace(comment, '[^A-Za-z?!.]+', ' ', 'g')"
 
 SENTENCES = f"""sentences AS (
-  SELECT video_id, ts, time_bucket(INTERVAL '60 seconds', ts) AS window_start, trim(s) AS sentence
-  FROM (SELECT video_id, ts, unnest(regexp_extract_all(c, '[^.?!]+[.?!]*')) AS s
-        FROM (SELECT video_id, ts, {CLEAN} AS c FROM lv_comments) WHERE trim(c) <> '')
+  SELECT video_id, ts, pos, time_bucket(INTERVAL '60 seconds', ts) AS window_start, trim(s) AS sentence
+  FROM (SELECT video_id, ts, unnest(parts) AS s, generate_subscripts(parts, 1) - 1 AS pos
+        FROM (SELECT video_id, ts, regexp_extract_all(c, '[^.?!]+[.?!]*') AS parts FROM (SELECT video_id, ts, {CLEAN} AS c FROM lv_comments) WHERE trim(c) <> ''))
   WHERE trim(s) <> '')"""
 
 WORDS = f"""words AS (
@@ -122,7 +122,7 @@ CONCURRENT_CTE = """concurrent AS (
 def _latest_record(kind: str) -> str:
     return (
         _with(LV_EVENTS)
-        + f"""SELECT video_id, ts, latitude, longitude FROM lv_events WHERE event_type = '{kind}'
+        + f"""SELECT video_id, ts, user_id, latitude, longitude FROM lv_events WHERE event_type = '{kind}'
 QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts DESC, event_id DESC) = 1"""
     )
 
@@ -209,7 +209,8 @@ FROM dash"""
 
 SAMPLED = """sampled AS (
   SELECT s.* FROM sentences s JOIN probs p USING (window_start)
-  WHERE CAST('0x' || substr(md5(CAST(s.video_id AS VARCHAR) || '|' || s.sentence), 1, 8) AS BIGINT)
+  WHERE CAST('0x' || substr(md5(CAST(s.video_id AS VARCHAR) || '|' || CAST(s.ts AS VARCHAR) || '|' || CAST(s.pos AS VARCHAR)
+                               || '|' || s.sentence), 1, 8) AS BIGINT)
         / CAST(4294967296 AS DOUBLE) >= CAST(1 AS DOUBLE) - p.prob)"""
 
 
@@ -218,12 +219,14 @@ def oracle_sql() -> dict[str, str]:
         _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, PROBS, SAMPLED, HISTOGRAM_SAMPLED, MEAN) + "SELECT * FROM mean_sent"
     )
     search = ", ".join(f"'{w}'" for w in SEARCH_WORDS)
-    totals = _with(LV_EVENTS) + """SELECT video_id,
+    totals = _with(LV_EVENTS, LV_COMMENTS) + """SELECT video_id,
   count(*) FILTER (WHERE event_type = 'like') AS likes,
   count(*) FILTER (WHERE event_type = 'dislike') AS dislikes,
   count(*) FILTER (WHERE event_type = 'play') AS plays,
-  count(*) FILTER (WHERE event_type = 'leave') AS leaves
-FROM lv_events GROUP BY video_id"""
+  count(*) FILTER (WHERE event_type = 'leave') AS leaves,
+  count(*) FILTER (WHERE event_type = 'comment') AS comments
+FROM (SELECT video_id, event_type FROM lv_events UNION ALL SELECT video_id, 'comment' AS event_type FROM lv_comments)
+GROUP BY video_id"""
     likes = _typed_tumbling("like")
     return {
         "likes_tumbling": likes,
@@ -249,7 +252,7 @@ WHERE event_type IN ('play', 'leave') GROUP BY ALL""",
         "concurrent_views": _with(LV_EVENTS, CONCURRENT_CTE) + "SELECT * FROM concurrent",
         "play_running_count": _running("play"),
         "leave_running_count": _running("leave"),
-        "viewer_timeline": _with(LV_EVENTS) + """SELECT event_id, video_id,
+        "viewer_timeline": _with(LV_EVENTS) + """SELECT event_id, video_id, ts, user_id, latitude, longitude,
   CAST(sum(CASE WHEN event_type = 'play' THEN 1 ELSE -1 END)
        OVER (PARTITION BY video_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
        AS BIGINT) AS viewers
@@ -270,12 +273,14 @@ LEFT JOIN (SELECT video_id, n FROM lw WHERE window_start = (SELECT max(window_st
   SELECT {_topic_case()} AS topic
   FROM (SELECT event_type FROM lv_events UNION ALL SELECT 'comment' AS event_type FROM lv_comments))
 WHERE topic IS NOT NULL GROUP BY topic""",
-        "envelope_roundtrip": _with(LV_EVENTS) + "SELECT event_id, video_id, event_type, latitude FROM lv_events",
+        "envelope_roundtrip": _with(LV_EVENTS) + "SELECT event_id, ts, user_id, video_id, event_type, latitude, longitude FROM lv_events",
         "comment_sentences": _with(LV_COMMENTS, SENTENCES)
         + "SELECT video_id, sentence, count(*) AS n FROM sentences GROUP BY ALL",
         "token_lists": _with(LV_COMMENTS, SENTENCES) + """SELECT video_id, window_start, count(*) AS n_sentences,
   CAST(sum(len(regexp_extract_all(sentence, '[A-Za-z]+|[.?!]'))) AS BIGINT) AS n_tokens
 FROM sentences GROUP BY ALL""",
+        "sentence_tokens": _with(LV_COMMENTS, SENTENCES) + """SELECT video_id, window_start, sentence,
+  array_to_string(regexp_extract_all(sentence, '[A-Za-z]+|[.?!]'), ' ') AS tokens FROM sentences""",
         "word_counts": _with(LV_COMMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS) + "SELECT * FROM word_counts",
         "top_words": _with(LV_COMMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS, TOP) + "SELECT * FROM top",
         "sentence_sentiment": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM_ALL) + "SELECT * FROM histogram",
@@ -286,8 +291,7 @@ FROM sentences GROUP BY ALL""",
         "sampled_sentences": _with(LV_COMMENTS, SENTENCES, PROBS, SAMPLED)
         + "SELECT video_id, window_start, count(*) AS n FROM sampled GROUP BY ALL",
         "document_top_words": _with(LV_DOCUMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS, TOP) + "SELECT * FROM top",
-        "document_sampled_sentiment": _with(LV_DOCUMENTS, SENTENCES, WORDS, LEXICON, PROBS, SAMPLED, HISTOGRAM_SAMPLED, MEAN)
-        + "SELECT * FROM mean_sent",
+        "document_sentiment": _with(LV_DOCUMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM_ALL, MEAN) + "SELECT * FROM mean_sent",
         "map_features": _map_features(),
         "popup_text": _popup_text(),
         "unlocated_videos": _with(LV_EVENTS) + """SELECT video_id, first_play, first_start FROM (
@@ -298,7 +302,7 @@ WHERE first_play IS NOT NULL AND (first_start IS NULL OR first_start > first_pla
         "events_sorted": _with(LV_EVENTS)
         + "SELECT event_id, ts, CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS pos FROM lv_events",
         "dedup_events": _with(LV_EVENTS) + """SELECT event_type, count(*) AS n FROM (
-  SELECT DISTINCT ON (event_id) * FROM (SELECT * FROM lv_events UNION ALL SELECT * FROM lv_events))
+  SELECT DISTINCT * FROM (SELECT * FROM lv_events UNION ALL SELECT * FROM lv_events))
 GROUP BY event_type""",
         "geo_cells": _with(LV_EVENTS) + """SELECT CAST(floor(latitude / 2) AS BIGINT) AS cell_lat,
   CAST(floor(longitude / 2) AS BIGINT) AS cell_lon, time_bucket(INTERVAL '6 hours', ts) AS window_start,
@@ -310,10 +314,5 @@ FROM lv_events WHERE event_type IN ('play', 'like') GROUP BY ALL""",
         "likes_tumbling_stream": likes,
         "sliding_counts_stream": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
         "totals_stream": totals,
-        "totals_bucketed_stream": _with(LV_EVENTS) + """SELECT video_id,
-  count(*) FILTER (WHERE event_type = 'like') AS likes,
-  count(*) FILTER (WHERE event_type = 'dislike') AS dislikes,
-  count(*) FILTER (WHERE event_type = 'play') AS plays,
-  count(*) FILTER (WHERE event_type = 'leave') AS leaves
-FROM lv_events WHERE event_type IN ('like', 'dislike', 'play', 'leave') GROUP BY video_id""",
+        "totals_bucketed_stream": totals,
     }

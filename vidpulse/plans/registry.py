@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidpulse.operators import counts, misc, routing, sampling, sentiment, text, viewers
-from vidpulse.operators.parallel import spread
 from vidpulse.plans import comment_stats, dashboard
 from vidpulse.sources import envelope
-from vidpulse.schema import STOP_WORDS
+from vidpulse.schema import SENTIMENT_WORD_CAPACITY, STOP_WORDS
+from vidpulse.session import checkpointed
 from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_documents, lv_events
 
 TUMBLING = "6 hours"
@@ -55,7 +55,7 @@ def sliding_counts(spark, d):
 
 def sliding_counts_zero(spark, d):
     sliding = counts.sliding_counts(_ev(spark, d, *counts.REACTION_TYPES), SLIDING, SLIDE)
-    return counts.fill_zero_windows(sliding, SLIDE, SLIDING)
+    return counts.fill_zero_windows(sliding, SLIDE)
 
 
 def comment_sliding_counts(spark, d):
@@ -68,7 +68,7 @@ def net_viewer_change(spark, d):
 
 
 def running_totals(spark, d):
-    return counts.running_totals(_ev(spark, d))
+    return counts.running_totals(routing.with_comments(_ev(spark, d), _cm(spark, d)))
 
 
 def concurrent_views(spark, d):
@@ -84,7 +84,7 @@ def leave_running_count(spark, d):
 
 
 def viewer_timeline(spark, d):
-    return viewers.viewer_timeline(_ev(spark, d, "play", "leave"))
+    return viewers.viewer_timeline(_ev(spark, d, "play", "leave"), extra=("ts", "user_id", "latitude", "longitude"))
 
 
 def latest_start(spark, d):
@@ -102,7 +102,7 @@ def latest_likes(spark, d):
 def likes_as_of(spark, d):
     """Likes of every video in the newest like window of the whole input
     (0 for videos quiet in it) - the 'as of now' form of recent likes."""
-    c = counts.typed_window_counts(_ev(spark, d, "like"), "like", TUMBLING)
+    c = checkpointed(counts.typed_window_counts(_ev(spark, d, "like"), "like", TUMBLING))
     return counts.latest_window_as_of(c, c.select(F.max("window_start")).scalar())
 
 
@@ -111,10 +111,10 @@ def routed_counts(spark, d):
 
 
 def envelope_roundtrip(spark, d):
-    ev = spread(_ev(spark, d))  # JSON encode/decode per row: use all cores even for a one-split input
+    ev = _ev(spark, d)
     wire = envelope.encode_envelope(ev.withColumn("timestamp", envelope.sim_timestamp(F.col("ts"))))
     back = envelope.parse_events(wire.select("value"))
-    return back.select("event_id", "video_id", "event_type", "latitude")
+    return back.select("event_id", "ts", "user_id", "video_id", "event_type", "latitude", "longitude")
 
 
 def comment_sentences(spark, d):
@@ -125,6 +125,12 @@ def token_lists(spark, d):
     return text.token_stats(text.comment_sentences(_cm(spark, d)), COMMENT_WINDOW)
 
 
+def sentence_tokens(spark, d):
+    """Token list of every sentence with its window, as text."""
+    tokens = text.sentence_tokens(text.comment_sentences(_cm(spark, d)), COMMENT_WINDOW)
+    return tokens.withColumn("tokens", F.array_join("tokens", " "))
+
+
 def word_counts(spark, d):
     return text.word_counts(_cm(spark, d), STOP_WORDS, COMMENT_WINDOW)
 
@@ -135,8 +141,7 @@ def top_words(spark, d):
 
 def _histogram(spark, d):
     cm = _cm(spark, d)
-    return sentiment.sentence_sentiment(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW,
-                                        broadcast_rows=None)
+    return sentiment.sentence_sentiment(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW)
 
 
 def sentence_sentiment(spark, d):
@@ -160,7 +165,7 @@ def sampled_sentences(spark, d):
 def sampled_sentiment(spark, d):
     """Mean sentiment over the adaptively sampled sentences (score only
     what the capacity allows)."""
-    return comment_stats.shed_and_score(_cm(spark, d), None)
+    return comment_stats.comment_sentiment(_cm(spark, d), None, SENTIMENT_WORD_CAPACITY)
 
 
 def document_top_words(spark, d):
@@ -168,10 +173,9 @@ def document_top_words(spark, d):
     return text.top_words(text.word_counts(lv_documents(spark, d), STOP_WORDS, COMMENT_WINDOW), TOP_K)
 
 
-def document_sampled_sentiment(spark, d):
-    """Shed-then-score over the documents: one window holds millions of
-    words, so only capacity/words of the sentences are scored."""
-    return comment_stats.shed_and_score(lv_documents(spark, d), None)
+def document_sentiment(spark, d):
+    """Mean sentiment of every document over all of its sentences."""
+    return comment_stats.comment_sentiment(lv_documents(spark, d), None)
 
 
 def _dash(spark, d):
@@ -228,7 +232,7 @@ def totals_bucketed_stream(spark, d):
 def sampled_sentiment_stream(spark, d):
     from vidpulse.streaming.jobs import run_comment_sentiment_once
 
-    return run_comment_sentiment_once(spark, d)
+    return run_comment_sentiment_once(spark, d, SENTIMENT_WORD_CAPACITY)
 
 
 def sliding_counts_stream(spark, d):
@@ -255,9 +259,9 @@ QUERIES: dict[str, Query] = {
         # ingest: routing, wire format, dedup, geo cells
         routed_counts, envelope_roundtrip, dedup_events, geo_cells,
         # comment text, sentiment, load shedding
-        comment_sentences, token_lists, word_counts, top_words, sentence_sentiment, mean_sentiment,
+        comment_sentences, token_lists, sentence_tokens, word_counts, top_words, sentence_sentiment, mean_sentiment,
         keep_probability, sampled_sentences, sampled_sentiment, comment_index, comment_search,
-        document_top_words, document_sampled_sentiment,
+        document_top_words, document_sentiment,
         # dashboard
         map_features, popup_text,
         # the same answers through Structured Streaming

@@ -61,35 +61,29 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "vi
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir``.  Only
-    when no checkpoint folder is configured (local tests) a fresh scratch
-    folder is registered with the SparkContext (the config itself cannot be
-    changed at run time), and later calls reuse it.
+    This is the folder named by ``spark.checkpoint.dir``; driver and
+    executors share it.  Only a local master may run without the setting:
+    a fresh scratch folder is then registered with the SparkContext (the
+    config itself cannot be changed at run time), and later calls reuse it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
-        return (d or tempfile.mkdtemp(prefix="vidpulse-ckpt-")).rstrip("/")
-    d = d or sc.getConf().get("spark.checkpoint.dir", None)
-    if d:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)
-        return d.rstrip("/")
-    if not sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if d and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    if not d and not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="vidpulse-ckpt-"))
-    d = sc.getCheckpointDir().rstrip("/")
-    return d[len("file:"):] if d.startswith("file:/") else d
+    return d.rstrip("/") if d else sc.getCheckpointDir().rstrip("/").removeprefix("file:")
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once as a parquet table in the shared checkpoint folder
-    and read it back: several consumers share one computation (columnar,
-    compressed, column-pruned on read), and a lost executor recomputes from
-    the written table, not from the lineage."""
-    path = scratch_path(df.sparkSession, f"materialized-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder: several
+    consumers read the same rows, and a lost executor reads them again
+    instead of replaying the lineage.  Spark removes the files when the frame
+    is no longer in use (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

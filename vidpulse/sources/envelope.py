@@ -17,8 +17,9 @@ ENVELOPE_TYPE = "array<string>"
 
 def event_time(sim_ts: Column, base: str = "1970-01-01 00:00:00",
                seconds_per_unit: float = SECONDS_PER_SIM_UNIT) -> Column:
-    """Simulator clock -> zone-less event time: base + timestamp * unit."""
-    micros = (sim_ts * F.lit(seconds_per_unit * 1_000_000)).cast("bigint")
+    """Simulator clock -> zone-less event time: base + timestamp * unit, to
+    the nearest microsecond."""
+    micros = F.round(sim_ts * F.lit(seconds_per_unit * 1_000_000)).cast("bigint")
     return (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(secs=(micros / 1_000_000).cast("decimal(18,6)")))
 
 
@@ -49,7 +50,8 @@ def decode_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     ).drop("_env")
 
 
-def parse_payload(df: DataFrame, payload: str = "payload", base: str = "1970-01-01 00:00:00") -> DataFrame:
+def parse_payload(df: DataFrame, payload: str = "payload", base: str = "1970-01-01 00:00:00",
+                  seconds_per_unit: float = SECONDS_PER_SIM_UNIT) -> DataFrame:
     """payload json -> typed event columns (+ ``ts``); rows that do not parse
     or have no event type / video are dropped.
 
@@ -65,12 +67,13 @@ def parse_payload(df: DataFrame, payload: str = "payload", base: str = "1970-01-
         *rest,
         *[F.col(f"_ev.{f.name}").alias(f.name) for f in EVENT_SCHEMA.fields],
     )
-    return out.withColumn("ts", event_time(F.col("timestamp"), base))
+    return out.withColumn("ts", event_time(F.col("timestamp"), base, seconds_per_unit))
 
 
-def parse_events(df: DataFrame, value: str = "value", base: str = "1970-01-01 00:00:00") -> DataFrame:
+def parse_events(df: DataFrame, value: str = "value", base: str = "1970-01-01 00:00:00",
+                 seconds_per_unit: float = SECONDS_PER_SIM_UNIT) -> DataFrame:
     """Envelope value -> parsed event rows (P1-P3)."""
-    return parse_payload(decode_envelope(df, value), "payload", base)
+    return parse_payload(decode_envelope(df, value), "payload", base, seconds_per_unit)
 
 
 def encode_payload(df: DataFrame) -> Column:
@@ -91,7 +94,15 @@ def encode_envelope(df: DataFrame, key: str = "video_id") -> DataFrame:
     )
 
 
-def bad_record_count(df: DataFrame, value: str = "value") -> DataFrame:
-    """Number of values that are not a valid envelope + event."""
-    dec = decode_envelope(df, value).withColumn("_ev", F.from_json("payload", EVENT_SCHEMA))
-    return dec.agg(F.count_if(F.col("_ev.event_type").isNull()).alias("bad"))
+def _is_bad(payload: Column) -> Column:
+    ev = F.from_json(payload, EVENT_SCHEMA)
+    return ev["event_type"].isNull() | ev["video_id"].isNull()
+
+
+def bad_record_count(df: DataFrame, value: str = "value", envelope: bool = True) -> DataFrame:
+    """(source, n): rows whose ``value`` the readers drop, because it is not
+    a valid event (in an envelope, or as a plain JSON line), per topic where
+    the rows have one."""
+    rows = decode_envelope(df, value) if envelope else df.withColumn("payload", F.col(value))
+    source = F.col("topic") if "topic" in df.columns else F.lit("lines")
+    return rows.groupBy(source.alias("source")).agg(F.count_if(_is_bad(F.col("payload"))).alias("n"))

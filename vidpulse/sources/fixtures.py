@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidpulse.functions.text import word_array
-from vidpulse.operators.parallel import spread
 from vidpulse.schema import STOP_WORDS
 
 COMMENT_EPOCH = "2024-01-01 00:00:00"  # zone-less wall time
@@ -100,9 +99,7 @@ def conversations_as_comments(c: DataFrame) -> DataFrame:
 
 
 def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comment text feeds regex-heavy operators: spread small inputs over
-    the available cores (no-op for inputs with many splits)."""
-    return spread(conversations_as_comments(_table(spark, sf_dir, "conversations")))
+    return conversations_as_comments(_table(spark, sf_dir, "conversations"))
 
 
 def documents_as_comments(d: DataFrame) -> DataFrame:
@@ -114,7 +111,7 @@ def documents_as_comments(d: DataFrame) -> DataFrame:
 
 
 def lv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(documents_as_comments(_table(spark, sf_dir, "documents")))
+    return documents_as_comments(_table(spark, sf_dir, "documents"))
 
 
 def lv_stop_words(spark: SparkSession) -> DataFrame:

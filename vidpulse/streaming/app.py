@@ -4,8 +4,9 @@
     python -m vidpulse.streaming.app --kafka HOST:PORT --out ROOT
 
 File sources take newline-delimited JSON event lines (``--events``; comment
-events are taken from the same stream unless ``--comments`` names a
-separate folder).  With ``--kafka`` all topics are read by one reader.
+events are taken from the same folder unless ``--comments`` names a separate
+one).  With ``--kafka`` each output subscribes to its own topics.  Malformed
+records are counted in the ``bad_records`` table.
 ``--archive`` also writes the raw events (parquet by topic and date), the
 input of ``plans.replay``.  ``--once`` processes what is there and stops
 (availableNow); otherwise the queries run on a processing-time trigger
@@ -19,10 +20,11 @@ import argparse
 from pyspark.sql import functions as F
 
 from vidpulse.operators.routing import comments_of, route_events
-from vidpulse.schema import STOP_WORDS
+from vidpulse.operators.misc import dedup_events
+from vidpulse.schema import SECONDS_PER_SIM_UNIT, STOP_WORDS, TOPIC_OF_TYPE
 from vidpulse.session import build_session, checkpoint_root
-from vidpulse.sources.events import read_event_lines, read_kafka
-from vidpulse.streaming.jobs import await_any, start_all
+from vidpulse.sources.events import kafka_options, read_event_lines, read_kafka, read_raw_lines
+from vidpulse.streaming.jobs import await_any, start_all, start_bad_record_count, with_event_time
 from vidpulse.streaming.sinks import archive_sink
 
 
@@ -35,10 +37,12 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--out", help="root folder of the serving tables (default: under spark.checkpoint.dir)")
     p.add_argument("--window", default="10 seconds", help="reaction window")
     p.add_argument("--trigger", default="10 seconds", help="processing-time trigger")
-    p.add_argument("--capacity", type=int, default=5000, help="words per comment window before sampling")
+    p.add_argument("--capacity", type=int, help="words per comment window before sampling (default: no sampling)")
     p.add_argument("--exact-windows", action="store_true",
-                   help="shed comments per closed event-time window (exact, one window of latency)")
-    p.add_argument("--generation", type=int, default=1000, help="micro-batches per serving-table generation")
+                   help="comment statistics per closed event-time window (one window of latency)")
+    p.add_argument("--dedup", metavar="DELAY", help="drop re-delivered events that come within this delay, e.g. '10 minutes'")
+    p.add_argument("--seconds-per-unit", type=float, default=SECONDS_PER_SIM_UNIT, help="seconds per unit of the event clock")
+    p.add_argument("--totals-seed", help="parquet table of totals per video to go on from")
     p.add_argument("--archive", help="also archive the raw events here (parquet by topic and date)")
     p.add_argument("--once", action="store_true", help="process available input and stop")
     p.add_argument("--master", default=None)
@@ -46,18 +50,32 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = build_session(a.master)
     root = a.out or f"{checkpoint_root(spark)}/serving"
-    if a.kafka:
-        events = read_kafka(spark, a.kafka)
-    else:
-        events = read_event_lines(spark, a.events, streaming=True)
-    comments = (read_event_lines(spark, a.comments, streaming=True) if a.comments else events)
-    comments = comments_of(comments).select("video_id", "ts", F.col("comment"))
+
+    def source(types: list[str]):
+        """Events of these types: from their topics, or from the event lines."""
+        if a.kafka:
+            found = read_kafka(spark, a.kafka, [TOPIC_OF_TYPE[t] for t in types], seconds_per_unit=a.seconds_per_unit)
+        else:
+            path = a.comments if a.comments and types == ["comment"] else a.events
+            found = read_event_lines(spark, path, streaming=True, seconds_per_unit=a.seconds_per_unit)
+            found = found.where(F.col("event_type").isin(types))
+        return dedup_events(with_event_time(found, a.dedup), watermark=a.dedup) if a.dedup else found
+
+    comments = comments_of(source(["comment"])).select("video_id", "ts", "comment")
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
     lexicon = spark.read.parquet(a.lexicon)
-    queries, tables = start_all(events, comments, root, lexicon, STOP_WORDS, a.window, trigger, a.capacity,
-                                a.generation, a.exact_windows)
+    seed = spark.read.parquet(a.totals_seed) if a.totals_seed else None
+    queries, tables = start_all(source, comments, root, lexicon, STOP_WORDS, a.window, trigger, a.capacity,
+                                a.exact_windows, seed)
+    if a.kafka:
+        raw = spark.readStream.format("kafka").options(**kafka_options(a.kafka)).load()
+    else:
+        raw = read_raw_lines(spark, a.events, streaming=True)
+    q, tables["bad_records"] = start_bad_record_count(raw, root, trigger, envelope=bool(a.kafka))
+    queries.append(q)
     if a.archive:
-        queries.append(archive_sink(route_events(events), a.archive, f"{root}/_checkpoints/archive", trigger))
+        archived = route_events(source(list(TOPIC_OF_TYPE)))
+        queries.append(archive_sink(archived, a.archive, f"{root}/_checkpoints/archive", trigger))
     if a.once:
         for q in queries:
             q.awaitTermination()

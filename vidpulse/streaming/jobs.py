@@ -4,9 +4,9 @@
   update mode, keyed upsert into ``recent_<type>``;
 * totals: stateful per-video counts (replaces mapWithState/updateStateByKey),
   upsert into ``totals``;
-* comment statistics: per micro-batch (foreachBatch) the window-global keep
-  probability, sampling, sentence sentiment histogram, word and token
-  counts, written as additive partial tables (summed on read);
+* comment statistics: per micro-batch (foreachBatch) the sentence sentiment
+  histogram, word, token and sentence counts, written as additive partial
+  tables (summed on read); load is shed only where a capacity is set;
 * ``start_all``: several queries in one application, ``awaitAnyTermination``.
 
 Streams need a zoned ``timestamp`` for watermarks; zone-less times are read
@@ -17,23 +17,26 @@ back on output.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vidpulse.functions.text import token_array
 from vidpulse.functions.time import ntz_to_instant
 
+from vidpulse.operators.routing import with_comments
 from vidpulse.operators.text import StopWords
 from vidpulse.operators import counts, sentiment, text, viewers
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials, partials_from_sentence_counts
-from vidpulse.session import materialize, scratch_path, state_partitions
+from vidpulse.session import checkpointed, scratch_path, state_partitions
+from vidpulse.sources.envelope import bad_record_count
 from vidpulse.sources.events import read_table_stream
 from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments
 from vidpulse.streaming.sinks import AdditiveTable, UpsertTable, upsert_sink
 
 WATERMARK = "1 hour"
-GENERATION = 1000  # batches per serving-table generation (bounds what readers list)
 
 
 def with_event_time(df: DataFrame, watermark: str = WATERMARK, ts: str = "ts") -> DataFrame:
@@ -60,7 +63,8 @@ def totals_stream_df(events: DataFrame) -> DataFrame:
     return counts.running_totals(events)
 
 
-TOTAL_COLUMNS = ["likes", "dislikes", "plays", "leaves"]
+TOTAL_COLUMNS = ["likes", "dislikes", "plays", "leaves", "comments"]
+TOTAL_TYPES = ["like", "dislike", "play", "leave", "comment"]
 
 
 def bucketed_totals_stream_df(events: DataFrame, bucket: str = "1 day", watermark: str = WATERMARK) -> DataFrame:
@@ -72,7 +76,7 @@ def bucketed_totals_stream_df(events: DataFrame, bucket: str = "1 day", watermar
     ev = with_event_time(events, watermark)
     t = F.col("event_type")
     g = ev.groupBy(F.window("ts", bucket).alias("w"), "video_id").agg(
-        *[F.count_if(t == kind).alias(col) for kind, col in zip(("like", "dislike", "play", "leave"), TOTAL_COLUMNS)]
+        *[F.count_if(t == kind).alias(col) for kind, col in zip(TOTAL_TYPES, TOTAL_COLUMNS)]
     )
     return g.select("video_id", counts.window_start_col(ev, F.col("w.start")).alias("window_start"), *TOTAL_COLUMNS)
 
@@ -81,34 +85,60 @@ def totals_from_buckets(buckets: DataFrame, key: str = "video_id") -> DataFrame:
     return buckets.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(c) for c in TOTAL_COLUMNS])
 
 
-def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame, stop_words: StopWords,
-                  capacity: int,
-                  draw: str = "hash"):
-    """foreachBatch body for comments: sampling needs the window's total
-    word count before any sentence is dropped, which the micro-batch has.
-    Outputs are additive partial counts, so an event-time window split over
-    two micro-batches is summed on read instead of overwritten."""
+def seeded(table: UpsertTable, seed: DataFrame, key: str = "video_id", columns: Sequence[str] = TOTAL_COLUMNS):
+    """foreachBatch body for totals that go on from an initial state: the
+    seed is the table's first batch, and every updated key adds its seed."""
+    table.write_batch(seed.select(key, *columns), -1)
+    start = seed.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read by three outputs; executor storage, released below
-        for name, out in comment_partials(batch, lexicon, stop_words, capacity, draw=draw).items():
-            if name in tables:
-                tables[name].write_batch(out, batch_id)
-        batch.unpersist()
+        both = batch.join(start, key, "left")
+        table.write_batch(both.select(key, *[
+            (F.col(c) + F.coalesce(f"_{c}", F.lit(0))).cast("bigint").alias(c) for c in columns]), batch_id)
+
+    return run
+
+
+def start_bad_record_count(raw: DataFrame, root: str, trigger: dict | None = None, envelope: bool = True):
+    """Malformed records per source as a serving table (``bad_records``):
+    the readers leave them out, here they are counted."""
+    table = AdditiveTable(f"{root}/bad_records", ["source"], ["n"])
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(bad_record_count(batch, envelope=envelope), batch_id)
+
+    q = raw.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/_checkpoints/bad_records")
+    return q.trigger(**(trigger or {"processingTime": "60 seconds"})).start(), table
+
+
+def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame | None, stop_words: StopWords,
+                  capacity: int | None = None, draw: str = "hash", scorer=None):
+    """foreachBatch body for comments.  Outputs are additive partial counts,
+    so an event-time window split over two micro-batches is summed on read
+    instead of overwritten.  With a ``capacity`` the sample needs the total
+    word count before any sentence is dropped, which the micro-batch has."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read by several outputs; executor storage
+        try:
+            for name, out in comment_partials(batch, lexicon, stop_words, capacity, draw=draw, scorer=scorer).items():
+                if name in tables:
+                    tables[name].write_batch(out, batch_id)
+        finally:
+            batch.unpersist()
 
     return run
 
 
-def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame, stop_words: StopWords,
-                        capacity: int = 5000, trigger: dict | None = None, outputs=tuple(PARTIAL_TABLES),
-                        generation: int | None = GENERATION):
-    """Comment statistics per micro-batch.  The static lexicon is written
-    once to the checkpoint folder, so micro-batches do not recompute it."""
-    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name], generation=generation)
-              for name in outputs}
-    lexicon = materialize(lexicon, "lexicon")
+def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame | None, stop_words: StopWords,
+                        capacity: int | None = None, trigger: dict | None = None, outputs=tuple(PARTIAL_TABLES),
+                        scorer=None):
+    """Comment statistics per micro-batch.  The static lexicon is
+    checkpointed once, so micro-batches do not recompute it."""
+    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in outputs}
+    lexicon = lexicon if lexicon is None else checkpointed(lexicon)
     q = (
-        comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity))
+        comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity, scorer=scorer))
         .option("checkpointLocation", f"{root}/_checkpoints/comments")
         .trigger(**(trigger or {"processingTime": "60 seconds"}))
         .start()
@@ -128,21 +158,23 @@ def closed_window_sentences(comments: DataFrame, length: str = text.COMMENT_WIND
     return g.select("video_id", counts.window_start_col(ev, F.col("w.start")).alias("window_start"), "sentence", "n")
 
 
-def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame, stop_words: StopWords,
-                              capacity: int = 5000, watermark: str = "10 seconds", trigger: dict | None = None,
-                              generation: int | None = GENERATION):
-    """Comment statistics over complete event-time windows: every window is
-    sampled against its whole word count (exact window-global shedding),
-    with a latency of one window plus the watermark delay."""
-    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name], generation=generation)
-              for name in PARTIAL_TABLES}
-    lexicon = materialize(lexicon, "lexicon")
+def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame | None, stop_words: StopWords,
+                              capacity: int | None = None, watermark: str = "10 seconds",
+                              trigger: dict | None = None, scorer=None):
+    """Comment statistics over complete event-time windows: with a
+    ``capacity`` every window is sampled against its whole word count (exact
+    window-global shedding), with a latency of one window plus the watermark
+    delay."""
+    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in PARTIAL_TABLES}
+    lexicon = lexicon if lexicon is None else checkpointed(lexicon)
 
     def run(per: DataFrame, batch_id: int) -> None:
         per = per.persist()
-        for name, out in partials_from_sentence_counts(per, lexicon, stop_words, capacity).items():
-            tables[name].write_batch(out, batch_id)
-        per.unpersist()
+        try:
+            for name, out in partials_from_sentence_counts(per, lexicon, stop_words, capacity, scorer=scorer).items():
+                tables[name].write_batch(out, batch_id)
+        finally:
+            per.unpersist()
 
     q = (
         closed_window_sentences(comments, watermark=watermark).writeStream.outputMode("append")
@@ -152,60 +184,78 @@ def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame
     return q, tables
 
 
-def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k: int = 5) -> dict[str, DataFrame]:
+def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k: int = 5,
+                       since: str | None = None, only: DataFrame | None = None) -> dict[str, DataFrame]:
     """Serving views over the additive comment tables: mean sentiment, top
-    words and token statistics per (video, window)."""
+    words, token statistics and token lists per (video, window).  ``since``
+    and ``only`` ((video_id, window_start) rows) narrow what is read and
+    ranked."""
+    def read(name: str) -> DataFrame:
+        return tables[name].read(spark, since, only)
+
     out = {}
     if "comment_sentiment" in tables:
-        out["comment_sentiment"] = sentiment.mean_sentiment(tables["comment_sentiment"].read(spark))
+        out["comment_sentiment"] = sentiment.mean_sentiment(read("comment_sentiment"))
     if "comment_words" in tables:
-        out["comment_words"] = text.top_words(tables["comment_words"].read(spark), k)
+        out["comment_words"] = text.top_words(read("comment_words"), k)
     if "comment_tokens" in tables:
-        out["comment_tokens"] = tables["comment_tokens"].read(spark)
+        out["comment_tokens"] = read("comment_tokens")
+    if "comment_sentences" in tables:
+        out["sentence_tokens"] = read("comment_sentences").withColumn("tokens", token_array(F.col("sentence")))
     return out
 
 
 SERVING_KEYS = {
     "recent_likes": ["video_id", "window_start"],
     "recent_dislikes": ["video_id", "window_start"],
+    "recent_comments": ["video_id", "window_start"],
     "totals": ["video_id"],
     "video_start": ["video_id"],
     "video_end": ["video_id"],
 }
 
 
-def serving_tables(root: str, generation: int | None = GENERATION) -> dict[str, UpsertTable]:
+def serving_tables(root: str) -> dict[str, UpsertTable]:
     """Handles of every serving table under ``root`` (as ``start_all``
     writes them), for readers in another process."""
-    tables: dict[str, UpsertTable] = {name: UpsertTable(f"{root}/{name}", keys, generation)
-                                      for name, keys in SERVING_KEYS.items()}
-    tables.update({name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name], generation=generation)
-                   for name in PARTIAL_TABLES})
+    tables: dict[str, UpsertTable] = {name: UpsertTable(f"{root}/{name}", keys) for name, keys in SERVING_KEYS.items()}
+    tables.update({name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in PARTIAL_TABLES})
     return tables
 
 
-def start_all(events: DataFrame, comments: DataFrame, root: str, lexicon: DataFrame, stop_words: StopWords,
-              reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int = 5000,
-              generation: int | None = GENERATION, exact_comment_windows: bool = False):
+EventSource = DataFrame | Callable[[list[str]], DataFrame]
+
+
+def start_all(events: EventSource, comments: DataFrame, root: str, lexicon: DataFrame | None, stop_words: StopWords,
+              reaction_window: str = "10 seconds", trigger: dict | None = None, capacity: int | None = None,
+              exact_comment_windows: bool = False, totals_seed: DataFrame | None = None, scorer=None):
     """All serving tables from one application (one query per table).
-    ``exact_comment_windows``: shed comments against each closed window's
-    whole load (``start_comment_stats_exact``) instead of per micro-batch."""
-    tables = serving_tables(root, generation)
+
+    ``events``: one frame, or a function that gives the events of the types
+    it is asked for, so each output subscribes to its own topics only.
+    ``capacity``: words per comment window beyond which sentences are shed
+    (default: none are); ``exact_comment_windows``: against each closed
+    window's whole load instead of per micro-batch.  ``totals_seed``: totals
+    per video that the counts go on from."""
+    def of(*types: str) -> DataFrame:
+        return events(list(types)) if callable(events) else events
+
+    tables = serving_tables(root)
     outputs = {
-        "recent_likes": reaction_counts_stream(events, "like", reaction_window),
-        "recent_dislikes": reaction_counts_stream(events, "dislike", reaction_window),
-        "totals": totals_stream_df(events),
-        "video_start": viewers.latest_record(events, "start_video", ("ts", "latitude", "longitude")),
-        "video_end": viewers.latest_record(events, "end_video", ("ts", "latitude", "longitude")),
+        "recent_likes": reaction_counts_stream(of("like"), "like", reaction_window),
+        "recent_dislikes": reaction_counts_stream(of("dislike"), "dislike", reaction_window),
+        "recent_comments": counts.window_counts(with_event_time(comments), text.COMMENT_WINDOW, "20 seconds"),
+        "totals": totals_stream_df(of(*TOTAL_TYPES)),
+        "video_start": viewers.latest_record(of("start_video"), "start_video"),
+        "video_end": viewers.latest_record(of("end_video"), "end_video"),
     }
-    queries = [upsert_sink(df, tables[name], f"{root}/_checkpoints/{name}", trigger, name)
+    sinks = dict(tables)
+    if totals_seed is not None:
+        sinks["totals"] = seeded(tables["totals"], totals_seed)
+    queries = [upsert_sink(df, sinks[name], f"{root}/_checkpoints/{name}", trigger, name)
                for name, df in outputs.items()]
-    if exact_comment_windows:
-        q, ct = start_comment_stats_exact(comments, root, lexicon, stop_words, capacity, trigger=trigger,
-                                          generation=generation)
-    else:
-        q, ct = start_comment_stats(comments, root, lexicon, stop_words, capacity, trigger=trigger,
-                                    generation=generation)
+    start = start_comment_stats_exact if exact_comment_windows else start_comment_stats
+    q, ct = start(comments, root, lexicon, stop_words, capacity, trigger=trigger, scorer=scorer)
     queries.append(q)
     tables.update(ct)  # the comment jobs' own handles (same paths and keys)
     return queries, tables
@@ -216,30 +266,43 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
     return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
 
 
+def late_rows(query) -> int:
+    """Rows that the query's watermark dropped so far."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def _finish(query) -> None:
+    """Wait for a bounded run; late rows would be missing from its result."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    if n := late_rows(query):
+        raise RuntimeError(f"{n} rows were dropped as late: their answer is incomplete")
+
+
 def _run_once(df: DataFrame, table: UpsertTable, checkpoint: str) -> None:
     """Run a stream over the available input (availableNow) into ``table``."""
     with state_partitions(df.sparkSession):
-        q = upsert_sink(df, table, checkpoint, {"availableNow": True})
-        q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+        _finish(upsert_sink(df, table, checkpoint, {"availableNow": True}))
+
+
+def _events_stream(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> DataFrame:
+    return events_as_video_events(read_table_stream(spark, sf_dir, "events"), types)
 
 
 def run_reaction_counts_once(spark: SparkSession, sf_dir: str, event_type: str, length: str) -> DataFrame:
     """Stream the events table once (availableNow) into a serving table and
     read the newest value per (video, window)."""
     root = scratch_path(spark, f"stream-{event_type}")
-    raw = read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
-    events = events_as_video_events(raw, [event_type])
     table = UpsertTable(os.path.join(root, "table"), ["video_id", "window_start"])
+    events = _events_stream(spark, sf_dir, [event_type])
     _run_once(reaction_counts_stream(events, event_type, length), table, os.path.join(root, "checkpoint"))
     return table.read(spark).select("video_id", "window_start", "n")
 
 
 def run_sliding_counts_once(spark: SparkSession, sf_dir: str, length: str, slide: str) -> DataFrame:
     root = scratch_path(spark, "stream-sliding")
-    raw = read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
-    events = events_as_video_events(raw, list(counts.REACTION_TYPES))
+    events = _events_stream(spark, sf_dir, list(counts.REACTION_TYPES))
     table = UpsertTable(os.path.join(root, "table"), ["video_id", "event_type", "window_start"])
     _run_once(sliding_counts_stream(events, length, slide), table, os.path.join(root, "checkpoint"))
     return table.read(spark).select("video_id", "event_type", "window_start", "n")
@@ -249,22 +312,25 @@ def run_bucketed_totals_once(spark: SparkSession, sf_dir: str, bucket: str = "1
     """Bucketed totals through the stream; the upsert table keeps the newest
     count per (video, bucket) and the read sums the buckets."""
     root = scratch_path(spark, "stream-bucketed-totals")
-    events = events_as_video_events(read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1),
-                                    ["like", "dislike", "play", "leave"])
     table = UpsertTable(os.path.join(root, "table"), ["video_id", "window_start"])
-    _run_once(bucketed_totals_stream_df(events, bucket), table, os.path.join(root, "checkpoint"))
+    _run_once(bucketed_totals_stream_df(_all_events_stream(spark, sf_dir), bucket), table, os.path.join(root, "checkpoint"))
     return totals_from_buckets(table.read(spark)).select("video_id", *TOTAL_COLUMNS)
 
 
+def _all_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and comments as one stream."""
+    comments = conversations_as_comments(read_table_stream(spark, sf_dir, "conversations"))
+    return with_comments(_events_stream(spark, sf_dir), comments)
+
+
 def run_totals_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-totals")
-    events = events_as_video_events(read_table_stream(spark, sf_dir, "events", max_files_per_trigger=1))
     table = UpsertTable(os.path.join(root, "table"), ["video_id"])
-    _run_once(totals_stream_df(events), table, os.path.join(root, "checkpoint"))
-    return table.read(spark).select("video_id", "likes", "dislikes", "plays", "leaves")
+    _run_once(totals_stream_df(_all_events_stream(spark, sf_dir)), table, os.path.join(root, "checkpoint"))
+    return table.read(spark).select("video_id", *TOTAL_COLUMNS)
 
 
-def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int = 5000) -> DataFrame:
+def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int | None = None) -> DataFrame:
     """Stream the comments once through the foreachBatch statistics and read
     the sentiment serving table."""
     root = scratch_path(spark, "stream-comments")
@@ -272,8 +338,6 @@ def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int =
     with state_partitions(spark):
         q, tables = start_comment_stats(comments, root, derive_lexicon(lv_comments(spark, sf_dir)), None, capacity,
                                         {"availableNow": True}, ("comment_sentiment",))
-        q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+        _finish(q)
     view = read_comment_views(spark, tables)["comment_sentiment"]
     return view.select("video_id", "window_start", "score", "n")

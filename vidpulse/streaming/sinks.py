@@ -9,9 +9,8 @@ idempotent.  Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,60 +20,31 @@ BATCH_COL = "batch"
 class UpsertTable:
     """Last-write-wins table keyed by ``keys`` on plain parquet.
 
-    Layout: ``<path>/batch=<id>`` per micro-batch.  With ``generation=G``
-    batches go to ``<path>/gen=<g>/batch=<id>`` (g = id // G); the first
-    write of a generation folds the previous generation into one snapshot
-    folder inside the new one, and ``<path>/_generation`` names the current
-    generation.  Readers then list at most G + 1 folders however long the
-    stream runs.  Every step is idempotent under a replayed batch id.
+    Layout: one folder ``<path>/batch=<id>`` per micro-batch; a replayed
+    batch id overwrites its own folder and nothing else, so a reader between
+    any two steps of a write sees every earlier batch whole.  A batch spans a
+    short time, so ``read(since=...)`` skips older files by their statistics.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], generation: int | None = None):
+    def __init__(self, path: str, keys: Sequence[str], date_col: str = "window_start"):
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.generation = generation
-        self._writer_gen: int | None = None  # pointer value this writer last wrote (one writer per table)
-
-    # layout ---------------------------------------------------------------
-    def _gen_dir(self, gen: int) -> str:
-        return f"{self.path}/gen={gen}"
-
-    def _current_gen(self, spark: SparkSession) -> int | None:
-        try:
-            row = spark.read.json(f"{self.path}/_generation").first()
-        except AnalysisException:
-            return None
-        return None if row is None else int(row["gen"])
-
-    def _raw(self, spark: SparkSession) -> DataFrame:
-        if not self.generation:
-            return spark.read.parquet(self.path)
-        gen = self._current_gen(spark)
-        return spark.read.parquet(self._gen_dir(0 if gen is None else gen))
+        self.date_col = date_col
 
     # writing --------------------------------------------------------------
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch_id = int(batch_id)
-        if not self.generation:
-            batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
-            return
-        spark = batch.sparkSession
-        gen = batch_id // self.generation
-        cur = self._writer_gen if self._writer_gen is not None else self._current_gen(spark)
-        if cur is not None and gen > cur:
-            # fold the previous generation; its id sorts below every batch of this one
-            snap = self._fold(spark.read.parquet(self._gen_dir(cur)))
-            snap.write.mode("overwrite").parquet(f"{self._gen_dir(gen)}/{BATCH_COL}={gen * self.generation - 1}")
-        batch.write.mode("overwrite").parquet(f"{self._gen_dir(gen)}/{BATCH_COL}={batch_id}")
-        if cur is None or gen > cur:
-            spark.createDataFrame([(gen,)], "gen long").coalesce(1).write.mode("overwrite").json(
-                f"{self.path}/_generation")
-        self._writer_gen = max(gen, cur) if cur is not None else gen
+        batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:  # foreachBatch hook
         self.write_batch(batch, batch_id)
 
     # reading --------------------------------------------------------------
+    def _raw(self, spark: SparkSession, since: str | None, only: DataFrame | None) -> DataFrame:
+        raw = spark.read.parquet(self.path)
+        if since and self.date_col in raw.columns:
+            raw = raw.where(F.col(self.date_col) >= F.lit(since).cast(raw.schema[self.date_col].dataType))
+        return raw if only is None else raw.join(only, [c for c in only.columns if c in self.keys], "left_semi")
+
     def _fold(self, raw: DataFrame) -> DataFrame:
         """Newest row per key (max batch id).  ``max_by`` is a partial
         aggregate, so a key updated in many batches is reduced map-side."""
@@ -82,14 +52,16 @@ class UpsertTable:
         g = raw.groupBy(*self.keys).agg(F.max_by(F.struct(*values), BATCH_COL).alias("_v"))
         return g.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._fold(self._raw(spark))
+    def read(self, spark: SparkSession, since: str | None = None, only: DataFrame | None = None) -> DataFrame:
+        """Newest rows.  ``since``: dates from this day on; ``only``: keys
+        (some of ``keys``) to read, applied before rows are folded."""
+        return self._fold(self._raw(spark, since, only))
 
-    def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Write the current snapshot as batch ``batch_id`` (use an id above
-        every written batch) of a table without generations."""
-        snap = self.read(spark)
-        snap.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+    def compact(self, spark: SparkSession, path: str) -> UpsertTable:
+        """The current snapshot as a new table at ``path`` (batch 0)."""
+        snap = UpsertTable(path, self.keys, self.date_col)
+        snap.write_batch(self.read(spark), 0)
+        return snap
 
 
 class AdditiveTable(UpsertTable):
@@ -98,15 +70,15 @@ class AdditiveTable(UpsertTable):
     batches.  For window statistics whose event-time window can straddle
     micro-batches (a last-write-wins row would keep only the last part)."""
 
-    def __init__(self, path: str, keys: Sequence[str], value_cols: Sequence[str], generation: int | None = None):
-        super().__init__(path, keys, generation)
+    def __init__(self, path: str, keys: Sequence[str], value_cols: Sequence[str]):
+        super().__init__(path, keys)
         self.value_cols = list(value_cols)
 
     def _fold(self, raw: DataFrame) -> DataFrame:
         return raw.groupBy(*self.keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in self.value_cols])
 
 
-def upsert_sink(df: DataFrame, table: UpsertTable, checkpoint: str, trigger: dict | None = None,
+def upsert_sink(df: DataFrame, table: UpsertTable | Callable, checkpoint: str, trigger: dict | None = None,
                 name: str | None = None):
     """Start a streaming query that upserts every batch into ``table``
     (update output mode: only changed keys are written)."""
@@ -118,13 +90,21 @@ def upsert_sink(df: DataFrame, table: UpsertTable, checkpoint: str, trigger: dic
 
 
 def table_sink(df: DataFrame, fmt: str, options: dict, checkpoint: str, mode: str = "update",
-               trigger: dict | None = None):
-    """Write every micro-batch to an external table through a DataFrame
-    writer format (e.g. a wide-column store connector with keyspace/table
-    options).  The connector jar must be on the classpath."""
+               trigger: dict | None = None, save_mode: str | None = None):
+    """Write every micro-batch through a DataFrame writer format, so that a
+    replayed batch changes nothing.
+
+    File formats (``path`` option): each batch owns the folder
+    ``<path>/batch=<id>``.  A connector of a wide-column store (keyspace and
+    table options, jar on the classpath) must upsert by primary key; name
+    the mode in which it does as ``save_mode``.
+    """
+    if "path" not in options and save_mode is None:
+        raise ValueError("name the save_mode in which the connector upserts by key")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).options(**options).mode("append").save()
+        own = {"path": f"{options['path']}/{BATCH_COL}={int(batch_id)}"} if "path" in options else {}
+        batch.write.format(fmt).options(**{**options, **own}).mode(save_mode or "overwrite").save()
 
     w = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
