@@ -257,7 +257,9 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK, with_data: bool = Tru
 def archive(pages: DataFrame, folder: str | None = None, **names) -> DataFrame:
     """Write ``pages`` as archives (below a scratch folder unless given); the manifest."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    return write_archives(chunk_table(pages, **names), folder if "://" in folder or folder.startswith("/") else f"file://{folder}")
+    if folder.startswith("file:/") and not folder.startswith("file://"):  # as Spark names local folders
+        folder = "file://" + folder.removeprefix("file:")
+    return write_archives(chunk_table(pages, **names), folder)
 
 
 def page_of(record: Column) -> Column:
