@@ -93,31 +93,42 @@ def statistics(text: Column) -> Column:
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"))
 
 
-def assess(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` columns packed as ``row`` plus the statistics, ``base_failed``
-    and ``kept`` (base passed and every rule of ``RULES`` holds)."""
-    s = docs.select(F.struct("*").alias("row"), statistics(F.col(text)).alias("s"))
-    s = s.select(
-        "row", "s.w.*", "s.word_chars", "s.n_symbols", F.col("s.lines.n").alias("n_lines"), F.col("s.lines.dup").alias("n_dup_lines"))
-    n = F.col("n_words")
+def verdict(s: Column) -> Column:
+    """Struct of ``base_failed`` and ``kept`` for one struct of ``statistics``:
+    kept if the base rules passed and every rule of ``RULES`` holds."""
+    n, chars = s["w"]["n_words"], s["word_chars"]
     ratios = {
-        "mean_word_chars": _ratio(F.col("word_chars"), n),
-        "symbol_ratio": _ratio(F.col("n_symbols"), F.col("word_chars")),
-        "shout_ratio": _ratio(F.col("n_shout"), n),
-        "stop_ratio": _ratio(F.col("n_stop"), n),
-        "dup_line_ratio": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
-        "echo_ratio": _ratio(F.col("n_echo"), n),
+        "mean_word_chars": _ratio(chars, n),
+        "symbol_ratio": _ratio(s["n_symbols"], chars),
+        "shout_ratio": _ratio(s["w"]["n_shout"], n),
+        "stop_ratio": _ratio(s["w"]["n_stop"], n),
+        "dup_line_ratio": _ratio(s["lines"]["dup"], s["lines"]["n"]),
+        "echo_ratio": _ratio(s["w"]["n_echo"], n),
     }
-    failed = (n < 20) | (100 * F.col("n_repeat_words") > 30 * n)
+    failed = (n < 20) | (100 * s["w"]["n_repeat_words"] > 30 * n)
     good = ~failed
     for name, least, most in RULES:
         if least is not None:
             good = good & (ratios[name] >= least)
         if most is not None:
             good = good & (ratios[name] <= most)
-    return s.select("*", failed.alias("base_failed"), good.alias("kept"))
+    return F.struct(failed.alias("base_failed"), good.alias("kept"))
+
+
+def assess(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` columns packed as ``row``, the statistics and the verdict."""
+    s = docs.select(F.struct("*").alias("row"), statistics(F.col(text)).alias("s"))
+    return s.select(
+        "row", "s.w.*", "s.word_chars", "s.n_symbols", F.col("s.lines.n").alias("n_lines"), F.col("s.lines.dup").alias("n_dup_lines"),
+        verdict(F.col("s")).alias("v")).select("*", "v.*").drop("v")
 
 
 def passing(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that every rule accepts, columns unchanged."""
-    return assess(docs, text).where("kept").select("row.*")
+    """The rows of ``docs`` that every rule accepts, columns unchanged.
+
+    A plain filter would be pushed below the projection with the statistics
+    written out for every use; filtering a one-element array evaluates them
+    once per row, and no filter is pushed through the generator.
+    """
+    accepted = F.filter(F.array(statistics(F.col(text))), lambda s: verdict(s)["kept"])
+    return docs.select(F.struct("*").alias("row"), F.explode(accepted).alias("s")).select("row.*")
