@@ -98,6 +98,17 @@ def test_pii_further_kinds(spark):
     assert got[0] == ["iban:11:33"]
 
 
+def test_iban_before_capitals(spark):
+    """A word in capitals after the groups, or another IBAN, is no part of the IBAN."""
+    texts = ["IBAN BE68 5390 0754 7034 BIC KREDBEBB", "AT61 1904 3002 3457 3201 BIC X", "ES91 2100 0418 4502 0005 1332 EUR 10",
+             "BE68 5390 0754 7034 CODE ABCD EUR", "BE68 5390 0754 7034 AT61 1904 3002 3457 3201", "REF AB13 BE68 5390 0754 7034 BIC", "BE68 5390 0754 7035 BIC X",
+             "\U0001f600 NO93 8601 1117 947 BIC, GB82 WEST 1234 5698 7654 32 EUR"]
+    got = pii_spans.scan(frame(spark, texts)).orderBy("row.doc_id").select(F.filter("all", lambda s: s["kind"] == "iban").alias("s")).collect()
+    ibans = [[texts[k][s.start:s.end] for s in r.s] for k, r in enumerate(got)]
+    be, at = "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"
+    assert ibans == [[be], [at], ["ES91 2100 0418 4502 0005 1332"], [be], [be, at], [be], [], ["NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32"]]
+
+
 def test_context_raises_the_score(spark):
     got = pii_spans.scan(frame(spark, ["visa card 4111111111111111", "4111111111111111"])).orderBy("row.doc_id").select("base").collect()
     assert got[0].base[0].score > got[1].base[0].score

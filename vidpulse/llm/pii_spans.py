@@ -57,6 +57,34 @@ def _octets(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), lambda p: p.try_cast("double") <= 255)
 
 
+#: IBAN characters by country (ISO 13616 registry).
+IBAN_CHARS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+#: Group 1 is the longest candidate; only its first four characters are consumed, so a candidate may start inside another.
+IBAN = r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}"
+
+
+def iban_of(value: Column) -> Column:
+    """The part of a candidate that passes mod-97, null if none does: a word
+    after an IBAN in groups of four may look like one more group.  The length
+    of the country goes first, then the whole; a country that is not listed
+    offers every part from four groups on, the longest first."""
+    lengths = F.create_map(*[F.lit(x) for country, n in IBAN_CHARS.items() for x in (country, n + (n - 1) // 4)])
+    listed, whole = F.try_element_at(lengths, F.substr(value, F.lit(1), F.lit(2))), F.length(value)
+    sizes = F.when(listed.isNotNull(), F.array(listed, whole)).otherwise(F.concat(F.array(whole), F.array(*map(F.lit, range(39, 18, -5)))))
+    aligned = F.filter(sizes, lambda n: (n <= whole) & F.substr(value, n + 1, F.lit(1)).isin("", " "))
+    return F.get(F.filter(F.transform(aligned, lambda n: F.substr(value, F.lit(1), n)), mod97), F.lit(0))
+
+
+def _ibans(spans: Column) -> Column:
+    """Candidates cut to the part that passes; those without one go."""
+    cut = F.transform(spans, lambda s: s.withField("value", iban_of(s["value"])))
+    cut = F.transform(cut, lambda s: s.withField("end", s["start"] + F.length(s["value"])))
+    return F.filter(cut, lambda s: s["value"].isNotNull())
+
+
 #: kind, pattern, must contain, validator, prior score, context words.
 BASE = [
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", None, 0.9, ["mail", "email", "contact"]),
@@ -65,7 +93,7 @@ BASE = [
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", _count_between(9, 15), 0.7, ["phone", "tel", "call", "mobile"]),
 ]
 FURTHER = [
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])", None, mod97, 0.8, ["iban", "account", "konto", "bank"]),
+    ("iban", IBAN, None, None, 0.8, ["iban", "account", "konto", "bank"]),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", None, 0.2, ["ssn", "social security"]),
     ("local_phone", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])", None, None, 0.2, ["phone", "tel", "call", "mobile"]),
 ]
@@ -80,7 +108,7 @@ def _raised(text: Column, spans: Column, context: list[str]) -> Column:
 def _spans(text: Column, kinds: list, rank: int) -> Column:
     parts = []
     for k, (kind, pattern, part, valid, prior, context) in enumerate(kinds):
-        spans = S.found(text, pattern, kind, rank + k, valid, score=prior)
+        spans = _ibans(S.found(text, pattern, kind, rank + k, group=1, score=prior)) if kind == "iban" else S.found(text, pattern, kind, rank + k, valid, score=prior)
         if part:
             spans = F.when(F.contains(text, F.lit(part)), spans).otherwise(F.array().cast(S.SPAN))
         parts.append(_raised(text, spans, context))
