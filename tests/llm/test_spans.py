@@ -147,6 +147,18 @@ def test_markov_tells_random_strings_from_identifiers(spark, ratio):
     assert np.mean([r.p for r in got if r.y == 0]) < 0.01
 
 
+def test_training_sample_of_a_large_table(spark):
+    """A share below one in a million still draws about as many documents as asked for."""
+    docs = spark.range(30_000_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    drawn = secret_markov.labelled_samples(docs, "doc_id", "text", 20).count() / 3  # three random strings per document
+    assert 5 <= drawn <= 45
+
+
+def test_training_on_nothing_is_an_error(spark):
+    with pytest.raises(ValueError, match="sample_docs=0"):
+        secret_markov.scan_secrets(frame(spark, ["one", "two"]), sample_docs=0)
+
+
 def test_markov_span_is_added(spark, ratio):
     secret = "zQ8xV2mK9pLw4Rt7Yb1NcD5h"
     got = secret_markov.scan(frame(spark, [f"the value {secret} and the other word"]), ratio).select(spans.joined(F.col("all")).alias("s")).first()

@@ -12,7 +12,8 @@ Training uses the documents that a hash picks, ``SAMPLE_DOCS`` of them on
 average (all when there are fewer); scanning covers every text.
 
 Defined results: null text counts as empty and has no spans; an empty table
-trains on nothing and returns no rows; spans of one start are ordered as the
+trains on nothing and returns no rows, a table that has rows but trains on
+nothing is an error; spans of one start are ordered as the
 kinds are listed; repeated rows are scanned alike; further columns stay in
 ``row``.
 """
@@ -47,9 +48,10 @@ def base_spans(text: Column) -> Column:
 
 def labelled_samples(docs: DataFrame, id_col: str, text: str, most: int = SAMPLE_DOCS) -> DataFrame:
     """(label, token): 'random' and 'ordinary' strings, each once."""
-    share = min(1.0, most / max(1, docs.count()))
-    draw = F.pmod(F.xxhash64(F.lit("markov"), F.col(id_col), F.octet_length(text)), F.lit(1_000_000))
-    some = docs.where(draw < int(share * 1_000_000)).select(F.coalesce(F.col(text), F.lit("")).alias("t"), F.sha2(F.concat_ws(":", F.lit("id"), F.col(id_col).cast("string")), 256).alias("hash"))
+    count = docs.count()
+    draw = F.xxhash64(F.lit("markov"), F.col(id_col), F.octet_length(text))
+    picked = docs if count <= most else docs.where(draw < most * 2**64 // count - 2**63)  # a share of all 64-bit hashes
+    some = picked.select(F.coalesce(F.col(text), F.lit("")).alias("t"), F.sha2(F.concat_ws(":", F.lit("id"), F.col(id_col).cast("string")), 256).alias("hash"))
     plain = F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_]{3,}+(?![A-Za-z0-9+/_=-])"), F.lit(0))
     # identifiers as code writes them: words alone, in snake, kebab and camel case, and constants
     def joined(words: Column) -> Column:
@@ -107,4 +109,7 @@ def scan(docs: DataFrame, ratio: list[float], text: str = "text") -> DataFrame:
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Train on ``docs`` and scan them."""
-    return scan(docs, train(labelled_samples(docs, id_col, text, sample_docs)), text)
+    ratio = train(labelled_samples(docs, id_col, text, sample_docs))
+    if not any(ratio) and not docs.isEmpty():
+        raise ValueError(f"no document of a table that has some was drawn for training (sample_docs={sample_docs})")
+    return scan(docs, ratio, text)
