@@ -3,6 +3,7 @@
 import hashlib
 import re
 import string
+import time
 
 import numpy as np
 import pytest
@@ -159,6 +160,22 @@ def test_training_on_nothing_is_an_error(spark):
         secret_markov.scan_secrets(frame(spark, ["one", "two"]), sample_docs=0)
 
 
+def test_a_long_token_is_scored_in_linear_time(spark, ratio):
+    """Looking up each character from the start of the token took minutes from 200,000 characters."""
+    rng = np.random.default_rng(9)
+    token = "".join(rng.choice(list(secret_markov.ALPHABET), 1_000_000))
+    short = "zQ8xV2mK9pLw4Rt7Yb1NcD5h é\U0001f600x"
+    df = spark.createDataFrame([(0, token), (1, short)], "k int, token string")
+    since = time.monotonic()
+    got = [r.m for r in df.select("k", secret_markov.mean_ratio(F.col("token"), ratio).alias("m")).orderBy("k").collect()]
+    assert time.monotonic() - since < 60
+    for text, mean in zip((token, short), got):
+        places = [secret_markov.ALPHABET.find(c) + 1 for c in text]
+        size = len(secret_markov.ALPHABET) + 1
+        assert mean == pytest.approx(sum(ratio[a * size + b] for a, b in zip(places, places[1:])) / (len(text) - 1))
+    assert secret_markov.scan(frame(spark, [token]), ratio).count() == 1
+
+
 def test_markov_span_is_added(spark, ratio):
     secret = "zQ8xV2mK9pLw4Rt7Yb1NcD5h"
     got = secret_markov.scan(frame(spark, [f"the value {secret} and the other word"]), ratio).select(spans.joined(F.col("all")).alias("s")).first()

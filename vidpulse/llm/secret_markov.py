@@ -67,9 +67,9 @@ def labelled_samples(docs: DataFrame, id_col: str, text: str, most: int = SAMPLE
     return ordinary.union(seen.union(made).select(F.lit("random").alias("label"), "token")).distinct()
 
 
-def _place(token: Column, i: Column) -> Column:
-    """Place of the i-th character in the alphabet, 0 for any other."""
-    return F.position(F.substr(token, i, F.lit(1)), F.lit(ALPHABET))
+def _places(token: Column) -> Column:
+    """Place of each character in the alphabet, 0 for any other."""
+    return F.transform(F.split(token, ""), lambda c: F.position(c, F.lit(ALPHABET)))
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -77,8 +77,9 @@ def train(samples: DataFrame) -> list[float]:
     the first, for each pair; place 0 stands for any other character."""
     size = len(ALPHABET) + 1
     token = F.col("token")
-    pairs = samples.where(F.length(token) > 1).select("label", "token", F.explode(F.sequence(F.lit(1), F.length(token) - 1)).alias("i"))
-    counts = pairs.groupBy("label", _place(token, F.col("i")).alias("a"), _place(token, F.col("i") + 1).alias("b")).count()
+    places = samples.where(F.length(token) > 1).select("label", _places(token).alias("p"))
+    pairs = places.select("label", F.explode(F.arrays_zip(F.slice("p", 1, F.size("p") - 1).alias("a"), F.slice("p", 2, F.size("p")).alias("b"))).alias("pair"))
+    counts = pairs.groupBy("label", "pair.a", "pair.b").count()
     table = {label: [1.0] * (size * size) for label in ("random", "ordinary")}
     for label, a, b, n in counts.collect():  # at most two rows per pair of characters
         table[label][a * size + b] += n
@@ -94,8 +95,13 @@ def mean_ratio(token: Column, ratio: list[float]) -> Column:
     """Mean log-likelihood ratio per character pair."""
     size = len(ALPHABET) + 1
     table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
-    step = lambda acc, i: acc + F.element_at(table, _place(token, i) * size + _place(token, i + 1) + 1)
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), step) / (F.length(token) - 1)
+
+    def step(acc: Column, b: Column) -> Column:
+        more = F.when(acc["a"] < 0, 0.0).otherwise(F.element_at(table, acc["a"] * size + b + 1))
+        return F.struct(b.alias("a"), (acc["sum"] + more).alias("sum"))
+
+    start = F.struct(F.lit(-1).alias("a"), F.lit(0.0).alias("sum"))  # no character before the first
+    return F.aggregate(_places(token), start, step, lambda acc: acc["sum"]) / (F.length(token) - 1)
 
 
 def scan(docs: DataFrame, ratio: list[float], text: str = "text") -> DataFrame:
