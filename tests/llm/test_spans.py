@@ -110,6 +110,17 @@ def test_iban_before_capitals(spark):
     assert ibans == [[be], [at], ["ES91 2100 0418 4502 0005 1332"], [be], [be, at], [be], [], ["NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32"]]
 
 
+def test_iban_stays_beside_a_card_by_chance(spark):
+    """Digits of an IBAN that pass Luhn are a card of the base kinds; the IBAN is a span all the same."""
+    rng, texts = np.random.default_rng(10), []
+    while len(texts) < 5:
+        account = "".join(rng.choice(list("0123456789"), 12))
+        iban = f"BE{98 - int(account + '111400') % 97:02d}{account}"
+        texts += [f"iban {iban}"] if luhn(iban) else []
+    got = pii_spans.scan(frame(spark, [*texts, "call +1 (938) 555-0822"])).orderBy("row.doc_id").select(spans.joined(F.col("all")).alias("s")).collect()
+    assert [r.s for r in got] == ["iban:5:21,card:7:21"] * 5 + ["phone:5:22"]
+
+
 def test_context_raises_the_score(spark):
     got = pii_spans.scan(frame(spark, ["visa card 4111111111111111", "4111111111111111"])).orderBy("row.doc_id").select("base").collect()
     assert got[0].base[0].score > got[1].base[0].score

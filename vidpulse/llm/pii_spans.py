@@ -3,7 +3,8 @@
 A kind has a pattern, an optional validator (Luhn for cards, mod-97 for
 IBANs, ranges and digit counts), a prior score and context words that raise
 the score when they stand near.  The base kinds always stay; a further kind
-stays from ``KEEP`` on, and only where no base span stands.  Everything is a
+stays from ``KEEP`` on, and without a checksum only where no base span stands:
+an IBAN stays beside a card number that its digits happen to be.  Everything is a
 column expression: no Python runs on the executors.
 
 Defined results: null text counts as empty and has no spans; spans of one
@@ -85,6 +86,8 @@ def _ibans(spans: Column) -> Column:
     return F.filter(cut, lambda s: s["value"].isNotNull())
 
 
+#: Further kinds that a checksum confirms.
+CONFIRMED = ["iban"]
 #: kind, pattern, must contain, validator, prior score, context words.
 BASE = [
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", None, 0.9, ["mail", "email", "contact"]),
@@ -108,7 +111,7 @@ def _raised(text: Column, spans: Column, context: list[str]) -> Column:
 def _spans(text: Column, kinds: list, rank: int) -> Column:
     parts = []
     for k, (kind, pattern, part, valid, prior, context) in enumerate(kinds):
-        spans = _ibans(S.found(text, pattern, kind, rank + k, group=1, score=prior)) if kind == "iban" else S.found(text, pattern, kind, rank + k, valid, score=prior)
+        spans = _ibans(S.found(text, pattern, kind, rank + k, group=1, score=prior)) if pattern == IBAN else S.found(text, pattern, kind, rank + k, valid, score=prior)
         if part:
             spans = F.when(F.contains(text, F.lit(part)), spans).otherwise(F.array().cast(S.SPAN))
         parts.append(_raised(text, spans, context))
@@ -119,5 +122,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the input), ``base`` and ``all`` spans with scores."""
     t = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     t = t.select("row", "t", _spans(F.col("t"), BASE, 0).alias("base"), _spans(F.col("t"), FURTHER, len(BASE)).alias("more"))
-    more = S.apart(F.filter(F.col("more"), lambda s: s["score"] >= KEEP), F.col("base"))
-    return t.select("row", "base", F.array_sort(F.concat("base", more)).alias("all"))
+    more = F.filter(F.col("more"), lambda s: s["score"] >= KEEP)
+    confirmed = F.filter(more, lambda s: s["kind"].isin(CONFIRMED))
+    others = S.apart(F.filter(more, lambda s: ~s["kind"].isin(CONFIRMED)), F.col("base"))
+    return t.select("row", "base", F.array_sort(F.concat("base", confirmed, others)).alias("all"))
