@@ -47,6 +47,19 @@ def test_edge_cases(edge_docs, oracle):
     check(edge_docs, oracle)
 
 
+def test_pieces_of_rows(spark, edge_docs, no_docs, oracle):
+    """Tokens with offsets as a DataFrame; a split character belongs to the token that completes it."""
+    odd = spark.createDataFrame([(1, "\U0001f389中文 \U0001f9ff x\u0378é"), (2, None), (3, "नमस्ते the end")], "doc_id long, text string")
+    for df in (odd, edge_docs, no_docs):
+        want = sorted(str((r.doc_id, r.text or "", oracle.encode_ordinary(r.text or ""))) for r in df.collect())
+        got = byte_bpe.encode_pieces(df, RANKS, P.PATTERN).collect()
+        assert sorted(str((r.id, "".join(p.text for p in r.pieces), [p.token for p in r.pieces])) for r in got) == want
+        for r in got:
+            whole = "".join(p.text for p in r.pieces)
+            assert all(whole[p.start:p.end] == p.text for p in r.pieces)
+            assert [p.end for p in r.pieces][:-1] == [p.start for p in r.pieces][1:]
+
+
 def test_nothing(no_docs):
     assert byte_bpe.encode(no_docs, RANKS, P.PATTERN).count() == 0
 

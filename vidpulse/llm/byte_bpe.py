@@ -9,7 +9,8 @@ and a worker remembers a bounded number of them, as words repeat.
 
 Decoding maps ids to their byte strings by the reversed byte table.
 ``pieces`` decodes token by token: a character whose bytes are split over
-tokens belongs to the token that completes it.
+tokens belongs to the token that completes it.  ``encode_pieces`` is the same
+over Arrow batches: per row its tokens with their text and offsets.
 
 Defined results: null text counts as empty and has no ids; repeated rows are
 encoded alike; no rows give no rows; further columns are ignored, or passed
@@ -146,3 +147,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean")
+
+
+def encode_pieces(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: id and pieces (token, text, start, end) in order, with code-point offsets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(ranks_path, pattern)
+        piece = pa.struct([("token", pa.int64()), ("text", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+        for batch in batches:
+            for at in range(batch.num_rows):  # the pieces of one text at a time
+                part = batch.slice(at, 1)
+                found = pa.array(list(bpe.pieces(bpe.encode(part.column(1)[0].as_py() or ""))), type=piece)
+                pieces = pa.ListArray.from_arrays(pa.array([0, len(found)], type=pa.int32()), found)
+                yield pa.RecordBatch.from_arrays([part.column(0), pieces], names=["id", "pieces"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, pieces array<struct<token:long,text:string,start:long,end:long>>")
