@@ -114,6 +114,18 @@ def test_mix_edge_cases(edge_docs):
     check_mix(edge_docs)
 
 
+def test_targets_of_many_sources(spark):
+    """Sources as many as host names: the targets are right and no window has all of them in one task."""
+    sizes = {f"host{k * 7919 % 5000}.example": (k * 104729) % 997 for k in range(5000)}
+    hist = spark.createDataFrame([("0" + s, n, 1) for s, n in sizes.items()], "skey string, size long, n long")
+    out = mix_budget._targets(hist, 1.5, 2)
+    want = brute_targets(sizes)
+    got = {r.skey[1:]: r for r in out.collect()}
+    assert set(got) == set(sizes)
+    assert all(r.source_size == sizes[s] and r.target == pytest.approx(want[s]) for s, r in got.items())
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mix_nothing(no_docs):
     assert mix_budget.plan_mix(no_docs).count() == 0
     assert mix_budget.mixed(no_docs).count() == 0

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidpulse.llm.common import words, written
+from vidpulse.operators.prefix import running_sum
 
 WEIGHTS = (5, 2, 1)
 BUDGET_RATIO, MAX_COPIES, SEED = 1.5, 2, 20
@@ -88,22 +89,25 @@ def fit_source(sizes: np.ndarray, counts: np.ndarray, budget: int) -> tuple[int,
 
 
 def _targets(hist: DataFrame, ratio: float, copies: int) -> DataFrame:
-    """(skey, source_size, target): one row per source, not per document."""
+    """(skey, source_size, target): one row per source.  Sources may be many
+    (host names), so their order comes from range-partitioned running sums."""
     sizes = hist.groupBy("skey").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    place = F.row_number().over(Window.orderBy("skey")) - 1
-    weight: Column = F.element_at(F.array(*map(F.lit, WEIGHTS)), (place % len(WEIGHTS) + 1).cast("int")).cast("double")
-    s = sizes.withColumn("weight", weight).withColumn("most", F.lit(float(copies)) * F.col("source_size"))
-    every = Window.partitionBy()
-    s = s.withColumn("budget", F.lit(ratio) * F.sum("source_size").over(every))
+    s = running_sum(sizes, ["skey"], out="place")
+    weight: Column = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((F.col("place") - 1) % len(WEIGHTS) + 1).cast("int"))
+    s = s.withColumn("weight", weight.cast("long")).withColumn("most", F.lit(float(copies)) * F.col("source_size"))
     # sources fill up in the order of most / weight; the level is set by the first that doesn't
-    upto = Window.orderBy(F.col("most") / F.col("weight"), "skey")
-    s = s.withColumn("full_before", F.coalesce(F.sum("most").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    s = s.withColumn("weight_left", F.sum("weight").over(upto.rowsBetween(0, Window.unboundedFollowing)))
-    level = (F.col("budget") - F.col("full_before")) / F.col("weight_left")
-    s = s.withColumn("level", F.when(level * F.col("weight") <= F.col("most"), level))
-    s = s.withColumn("level", F.max("level").over(every))
-    capped = F.col("most") <= F.coalesce(F.col("level") * F.col("weight"), F.col("most"))
-    return s.select("skey", "source_size", F.when(capped, F.col("most")).otherwise(F.col("level") * F.col("weight")).alias("target"))
+    s = s.withColumn("fills", F.col("most") / F.col("weight"))
+    s = running_sum(s, ["fills", "skey"], weight=F.col("source_size"), out="size_upto")
+    s = running_sum(s, ["fills", "skey"], weight=F.col("weight"), out="weight_upto")
+    s = written(s, "mix-sources")
+    every = s.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
+    full_before = F.lit(float(copies)) * (F.col("size_upto") - F.col("source_size"))
+    weight_left = F.col("all_weight") - F.col("weight_upto") + F.col("weight")
+    level = (F.lit(ratio) * F.col("all_size") - full_before) / weight_left
+    s = s.crossJoin(F.broadcast(every)).withColumn("level", F.when(level * F.col("weight") <= F.col("most"), level)).drop("all_size", "all_weight")
+    s = s.crossJoin(F.broadcast(s.agg(F.max("level").alias("top"))))
+    capped = F.col("most") <= F.coalesce(F.col("top") * F.col("weight"), F.col("most"))
+    return s.select("skey", "source_size", F.when(capped, F.col("most")).otherwise(F.col("top") * F.col("weight")).alias("target"))
 
 
 #: What tells rows apart: id, hash and size of the text, source.
