@@ -8,7 +8,7 @@ import subprocess
 import sys
 import tempfile
 
-from conftest import ROOT, SF_SMALL
+from core_paths import ROOT, SF_SMALL
 
 HELPER = os.path.join(os.path.dirname(__file__), "helpers", "failure_run.py")
 

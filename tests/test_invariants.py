@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_paths import SF_SMALL
 from vidpulse.operators import counts, sampling, text, viewers
 from vidpulse.operators.misc import dedup_events, events_sorted
 from vidpulse.operators.prefix import running_sum

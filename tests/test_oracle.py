@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from core_paths import SF_SMALL
 from tools.oracle_check import TABLES, TYPE_MAP, _digest
 
 import __spark_entry__ as entry_mod

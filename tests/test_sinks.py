@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_paths import SF_SMALL
 from vidpulse.operators import counts
 from vidpulse.operators.routing import route_events, routed_counts
 from vidpulse.schema import STOP_WORDS

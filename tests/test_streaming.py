@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_paths import SF_SMALL
 from vidpulse.operators import counts
 from vidpulse.sources.events import read_event_lines
 from vidpulse.sources.fixtures import events_as_video_events
