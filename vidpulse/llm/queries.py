@@ -7,12 +7,13 @@ columns that its contract names.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import byte_bpe, chat_format, digest_tree, mix_budget, pii_spans, quality_gbt, quality_rules, secret_markov, simhash_trie, spans, warc_chunks
-from vidpulse.llm.common import written
+from vidpulse.llm import byte_bpe, chat_format, digest_tree, merkle_manifest, mix_budget, pii_spans, quality_gbt, quality_rules, secret_markov, simhash_trie, spans, token_align, token_orc, warc_chunks
+from vidpulse.llm.common import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -92,9 +93,32 @@ def op10_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    return merkle_manifest.prove(_documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": tampered}).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-orc")
+    token_orc.write_ids(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_orc.ids_crc32(token_orc.read_ids(spark, path))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = written(token_align.align(_documents(spark, sf_dir), *paths), "align")
+    return token_align.score(aligned).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
-        op1_warc_chunks, op2_digest_tree, op3_quality_gbt, op4_secret_markov, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op8_pii_spans, op9_chat_format, op10_mix_budget)}
+        op1_warc_chunks, op2_digest_tree, op3_quality_gbt, op4_secret_markov, op5_simhash_trie, op6_quality_rules, op7_byte_bpe, op8_pii_spans, op9_chat_format, op10_mix_budget,
+        op11_merkle_manifest, op12_token_orc, op13_token_align)}
 
 _WS = r"[ \t\n\x0B\x0C\r]"
 _WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_WS}+'), lambda x: x <> '')"
@@ -127,6 +151,54 @@ def _rules_sql() -> str:
                NOT base_failed AND {' AND '.join(rules)} AS kept FROM r"""
 
 
+#: Levels that the manifest's SQL spells out: 8 ** 7 documents of a language, 8 ** 4 languages.
+_DOC_LEVELS, _LANG_LEVELS = 7, 4
+
+
+def _tree_sql(name: str, source: str, tree: str, levels: int) -> str:
+    """``{name}n<k>``: nodes (tree, i, h, m: nodes of the level) of each level; ``{name}r<k>``: their runs."""
+    out = f"{name}n0 AS (SELECT {tree} AS tree, i, h, count(*) OVER (PARTITION BY {tree}) AS m FROM {source}),"
+    for k in range(levels):
+        out += f"""
+        {name}r{k} AS (SELECT tree, i // 8 AS p, m, list(h ORDER BY i) AS run FROM {name}n{k} GROUP BY ALL),
+        {name}n{k + 1} AS (SELECT tree, p AS i, CASE WHEN m = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS h, (m + 7) // 8 AS m FROM {name}r{k}),"""
+    return out
+
+
+def _fold_sql(name: str, levels: int, start: str, step: str) -> str:
+    """Joins each row of ``start`` (tree, i, own, seen, proof) to its run, level by level."""
+    out = f"{step}0 AS ({start}),"
+    for k in range(levels):
+        slot = f"(i // {8**k}) % 8"
+        before, after = f"array_to_string(run[1:{slot}], '')", f"array_to_string(run[{slot} + 2:], '')"
+        out += f"""
+        {step}{k + 1} AS (SELECT s.* REPLACE (
+            CASE WHEN m = 1 THEN own ELSE sha256({before} || own || {after}) END AS own,
+            CASE WHEN m = 1 THEN seen ELSE sha256({before} || seen || {after}) END AS seen,
+            CASE WHEN m = 1 THEN proof ELSE proof || {before} || {after} END AS proof)
+            FROM {step}{k} s JOIN {name}r{k} r ON s.tree = r.tree AND s.i // {8 ** (k + 1)} = r.p),"""
+    return out
+
+
+def _manifest_sql() -> str:
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    fields = lambda text: " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text)))
+    crc = """xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295)"""
+    lower = f"CASE WHEN {crc} % 3 = 0 THEN translate(text, '{ascii_uppercase}', '{ascii_lowercase}') ELSE text END"
+    return f"""
+        WITH t AS (SELECT doc_id, lang, sha256({fields('text')}) AS h, sha256({fields(f'({lower})')}) AS changed FROM documents),
+        d AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+                     row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM t),
+        {_tree_sql('d', 'd', 'g', _DOC_LEVELS)}
+        g AS (SELECT tree AS i, h FROM dn{_DOC_LEVELS}),
+        {_tree_sql('g', 'g', '0', _LANG_LEVELS)}
+        {_fold_sql('d', _DOC_LEVELS, "SELECT doc_id, g AS tree, i, h AS leaf, h AS own, changed AS seen, '' AS proof FROM d", 'a')}
+        {_fold_sql('g', _LANG_LEVELS, f"SELECT doc_id, 0 AS tree, tree AS i, leaf, own AS subroot, own, seen, proof FROM a{_DOC_LEVELS}", 'b')}
+        z AS (SELECT * FROM b{_LANG_LEVELS})
+        SELECT doc_id, leaf, subroot, own AS root, sha256(proof) AS proof_sha256, seen AS folded_root, seen = own AS verified FROM z"""
+
+
 SQL = {
     "op1_warc_chunks": """
         WITH t AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages)
@@ -153,4 +225,5 @@ SQL = {
                sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
                CAST(sum(length(role) + length(text) + escapes + {len(chat_format.START + chat_format.SEP + chat_format.END) + 1}) AS BIGINT) AS formatted_chars
         FROM s GROUP BY conv_id""",
+    "op11_merkle_manifest": _manifest_sql(),
 }
