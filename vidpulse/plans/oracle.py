@@ -314,5 +314,7 @@ FROM lv_events WHERE event_type IN ('play', 'like') GROUP BY ALL""",
         "likes_tumbling_stream": likes,
         "sliding_counts_stream": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
         "totals_stream": totals,
+        "totals_levelled_stream": totals,
+        "word_counts_levelled_stream": _with(LV_COMMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS) + "SELECT * FROM word_counts",
         "totals_bucketed_stream": totals,
     }

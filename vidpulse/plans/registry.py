@@ -247,6 +247,18 @@ def totals_stream(spark, d):
     return run_totals_once(spark, d)
 
 
+def totals_levelled_stream(spark, d):
+    from vidpulse.streaming.jobs import run_totals_levelled_once
+
+    return run_totals_levelled_once(spark, d)
+
+
+def word_counts_levelled_stream(spark, d):
+    from vidpulse.streaming.jobs import run_word_counts_levelled_once
+
+    return run_word_counts_levelled_once(spark, d, STOP_WORDS)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -266,6 +278,6 @@ QUERIES: dict[str, Query] = {
         map_features, popup_text,
         # the same answers through Structured Streaming
         likes_tumbling_stream, sliding_counts_stream, totals_stream, totals_bucketed_stream,
-        sampled_sentiment_stream,
+        sampled_sentiment_stream, totals_levelled_stream, word_counts_levelled_stream,
     ]
 }

@@ -16,7 +16,8 @@ from vidpulse.operators.routing import comments_of
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials
 from vidpulse.sources.events import read_archive
 from vidpulse.streaming.jobs import TOTAL_COLUMNS
-from vidpulse.streaming.sinks import AdditiveTable, UpsertTable
+from vidpulse.streaming.levels import LevelledTable
+from vidpulse.streaming.sinks import UpsertTable
 
 REPLAY_BATCH = 0
 
@@ -54,7 +55,7 @@ def replay_serving_tables(spark: SparkSession, archive: str, root: str, lexicon:
     tables: dict[str, UpsertTable] = {}
     for name, (keys, df) in serving_tables_of(events, lexicon, stop_words, reaction_window, capacity, totals_seed).items():
         path = f"{root}/{name}"
-        t = AdditiveTable(path, *PARTIAL_TABLES[name]) if name in PARTIAL_TABLES else UpsertTable(path, keys)
+        t = LevelledTable(path, keys, sums=PARTIAL_TABLES[name][1] if name in PARTIAL_TABLES else None)
         t.write_batch(df, REPLAY_BATCH)
         tables[name] = t
     return tables

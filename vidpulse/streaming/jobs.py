@@ -33,8 +33,9 @@ from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials, parti
 from vidpulse.session import checkpointed, scratch_path, state_partitions
 from vidpulse.sources.envelope import bad_record_count
 from vidpulse.sources.events import read_table_stream
-from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments
-from vidpulse.streaming.sinks import AdditiveTable, UpsertTable, upsert_sink
+from vidpulse.sources.fixtures import conversations_as_comments, derive_lexicon, events_as_video_events, lv_comments, lv_events
+from vidpulse.streaming.levels import LevelledTable
+from vidpulse.streaming.sinks import UpsertTable, upsert_sink
 
 WATERMARK = "1 hour"
 
@@ -93,7 +94,7 @@ def seeded(table: UpsertTable, seed: DataFrame, key: str = "video_id", columns:
 
     def run(batch: DataFrame, batch_id: int) -> None:
         both = batch.join(start, key, "left")
-        table.write_batch(both.select(key, *[
+        table(both.select(key, *[
             (F.col(c) + F.coalesce(f"_{c}", F.lit(0))).cast("bigint").alias(c) for c in columns]), batch_id)
 
     return run
@@ -102,16 +103,21 @@ def seeded(table: UpsertTable, seed: DataFrame, key: str = "video_id", columns:
 def start_bad_record_count(raw: DataFrame, root: str, trigger: dict | None = None, envelope: bool = True):
     """Malformed records per source as a serving table (``bad_records``):
     the readers leave them out, here they are counted."""
-    table = AdditiveTable(f"{root}/bad_records", ["source"], ["n"])
+    table = LevelledTable(f"{root}/bad_records", ["source"], sums=["n"])
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(bad_record_count(batch, envelope=envelope), batch_id)
+        table(bad_record_count(batch, envelope=envelope), batch_id)
 
     q = raw.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/_checkpoints/bad_records")
     return q.trigger(**(trigger or {"processingTime": "60 seconds"})).start(), table
 
 
-def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame | None, stop_words: StopWords,
+def comment_tables(root: str, names: Sequence[str] = tuple(PARTIAL_TABLES)) -> dict[str, UpsertTable]:
+    """Tables of the additive comment counts (summed when merged and read)."""
+    return {name: LevelledTable(f"{root}/{name}", keys, sums=sums) for name, (keys, sums) in PARTIAL_TABLES.items() if name in names}
+
+
+def comment_batch(tables: dict[str, UpsertTable], lexicon: DataFrame | None, stop_words: StopWords,
                   capacity: int | None = None, draw: str = "hash", scorer=None):
     """foreachBatch body for comments.  Outputs are additive partial counts,
     so an event-time window split over two micro-batches is summed on read
@@ -123,7 +129,7 @@ def comment_batch(tables: dict[str, AdditiveTable], lexicon: DataFrame | None, s
         try:
             for name, out in comment_partials(batch, lexicon, stop_words, capacity, draw=draw, scorer=scorer).items():
                 if name in tables:
-                    tables[name].write_batch(out, batch_id)
+                    tables[name](out, batch_id)
         finally:
             batch.unpersist()
 
@@ -135,7 +141,7 @@ def start_comment_stats(comments: DataFrame, root: str, lexicon: DataFrame | Non
                         scorer=None):
     """Comment statistics per micro-batch.  The static lexicon is
     checkpointed once, so micro-batches do not recompute it."""
-    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in outputs}
+    tables = comment_tables(root, outputs)
     lexicon = lexicon if lexicon is None else checkpointed(lexicon)
     q = (
         comments.writeStream.foreachBatch(comment_batch(tables, lexicon, stop_words, capacity, scorer=scorer))
@@ -165,14 +171,14 @@ def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame
     ``capacity`` every window is sampled against its whole word count (exact
     window-global shedding), with a latency of one window plus the watermark
     delay."""
-    tables = {name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in PARTIAL_TABLES}
+    tables = comment_tables(root)
     lexicon = lexicon if lexicon is None else checkpointed(lexicon)
 
     def run(per: DataFrame, batch_id: int) -> None:
         per = per.persist()
         try:
             for name, out in partials_from_sentence_counts(per, lexicon, stop_words, capacity, scorer=scorer).items():
-                tables[name].write_batch(out, batch_id)
+                tables[name](out, batch_id)
         finally:
             per.unpersist()
 
@@ -184,7 +190,7 @@ def start_comment_stats_exact(comments: DataFrame, root: str, lexicon: DataFrame
     return q, tables
 
 
-def read_comment_views(spark: SparkSession, tables: dict[str, AdditiveTable], k: int = 5,
+def read_comment_views(spark: SparkSession, tables: dict[str, UpsertTable], k: int = 5,
                        since: str | None = None, only: DataFrame | None = None) -> dict[str, DataFrame]:
     """Serving views over the additive comment tables: mean sentiment, top
     words, token statistics and token lists per (video, window).  ``since``
@@ -217,10 +223,9 @@ SERVING_KEYS = {
 
 def serving_tables(root: str) -> dict[str, UpsertTable]:
     """Handles of every serving table under ``root`` (as ``start_all``
-    writes them), for readers in another process."""
-    tables: dict[str, UpsertTable] = {name: UpsertTable(f"{root}/{name}", keys) for name, keys in SERVING_KEYS.items()}
-    tables.update({name: AdditiveTable(f"{root}/{name}", *PARTIAL_TABLES[name]) for name in PARTIAL_TABLES})
-    return tables
+    writes them), for readers in another process.  They are levelled: the
+    streams merge their batches as they go on."""
+    return {**{name: LevelledTable(f"{root}/{name}", keys) for name, keys in SERVING_KEYS.items()}, **comment_tables(root)}
 
 
 EventSource = DataFrame | Callable[[list[str]], DataFrame]
@@ -341,3 +346,33 @@ def run_comment_sentiment_once(spark: SparkSession, sf_dir: str, capacity: int |
         _finish(q)
     view = read_comment_views(spark, tables)["comment_sentiment"]
     return view.select("video_id", "window_start", "score", "n")
+
+
+def in_batches(df: DataFrame, path: str, batches: int) -> DataFrame:
+    """``df`` written as ``batches`` files and streamed back one file a micro-batch."""
+    df.repartition(batches).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run_totals_levelled_once(spark: SparkSession, sf_dir: str, batches: int = 8, merge_every: int = 3) -> DataFrame:
+    """Totals over several micro-batches into a levelled table that merges
+    while the stream runs."""
+    root = scratch_path(spark, "stream-levels")
+    events = in_batches(with_comments(lv_events(spark, sf_dir), lv_comments(spark, sf_dir)), f"{root}/input", batches)
+    table = LevelledTable(f"{root}/table", ["video_id"], merge_every=merge_every)
+    _run_once(totals_stream_df(events), table, f"{root}/checkpoint")
+    return table.read(spark).select("video_id", *TOTAL_COLUMNS)
+
+
+def run_word_counts_levelled_once(spark: SparkSession, sf_dir: str, stop_words: StopWords, batches: int = 5, merge_every: int = 2) -> DataFrame:
+    """Word counts of comment windows that are spread over micro-batches:
+    partial counts, summed as the levels merge and when read."""
+    root = scratch_path(spark, "stream-words")
+    comments = in_batches(lv_comments(spark, sf_dir), f"{root}/input", batches)
+    table = LevelledTable(f"{root}/table", ["video_id", "window_start", "word"], sums=["n"], merge_every=merge_every)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        table(text.word_counts(batch, stop_words), batch_id)
+
+    _finish(comments.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return table.read(spark).select("video_id", "window_start", "word", "n")

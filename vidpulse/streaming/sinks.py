@@ -24,6 +24,7 @@ class UpsertTable:
     batch id overwrites its own folder and nothing else, so a reader between
     any two steps of a write sees every earlier batch whole.  A batch spans a
     short time, so ``read(since=...)`` skips older files by their statistics.
+    For long-running streams see ``levels.LevelledTable``.
     """
 
     def __init__(self, path: str, keys: Sequence[str], date_col: str = "window_start"):
@@ -40,7 +41,9 @@ class UpsertTable:
 
     # reading --------------------------------------------------------------
     def _raw(self, spark: SparkSession, since: str | None, only: DataFrame | None) -> DataFrame:
-        raw = spark.read.parquet(self.path)
+        return self._narrowed(spark.read.parquet(self.path), since, only)
+
+    def _narrowed(self, raw: DataFrame, since: str | None, only: DataFrame | None) -> DataFrame:
         if since and self.date_col in raw.columns:
             raw = raw.where(F.col(self.date_col) >= F.lit(since).cast(raw.schema[self.date_col].dataType))
         return raw if only is None else raw.join(only, [c for c in only.columns if c in self.keys], "left_semi")
