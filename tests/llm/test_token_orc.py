@@ -110,8 +110,8 @@ def test_files_have_row_indexes_and_filters_that_prune(spark, path, tmp_path):
 
 
 def test_memory_stays_within_its_bytes():
-    memory = UnitMemory(lambda units: [u * 2 for u in units], most_bytes=50_000)
+    memory = UnitMemory(lambda unit: unit * 2, most_bytes=50_000)
     for k in range(50):
-        units = [f"{k}-{j}".encode() for j in range(100)] + [b"x" * 100_000]
-        assert memory.values(units) == [u * 2 for u in units]
-        assert memory.used <= 50_000 and b"x" * 100_000 not in memory.known
+        for unit in [f"{k}-{j}".encode() for j in range(100)] + [b"x" * 100_000]:
+            assert memory[unit] == unit * 2
+            assert memory.used <= 50_000 and b"x" * 100_000 not in memory

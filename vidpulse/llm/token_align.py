@@ -14,8 +14,8 @@ once per worker.
 A pair's count is corpus-wide.  It must meet every document that holds the
 pair, without sending every link through a shuffle:
 
-1. documents are aligned in blocks of ``BLOCK`` of text; a document's
-   distinct pairs with their numbers stay with it;
+1. documents are aligned in blocks of ``BLOCK`` characters; a document's
+   pairs, one for each link of its distinct words, stay with it with their numbers;
 2. pairs are summed per block, then over blocks;
 3. the distinct (block, pair) rows meet the sums (``lane_lookup``: a pair that
    is in every block is spread over lanes);
@@ -34,9 +34,8 @@ import functools
 import hashlib
 import os
 import re
-from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -47,7 +46,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.llm.common import lane_lookup, written
-from vidpulse.llm.units import UnitMemory
 
 #: Characters of text in one block.
 BLOCK = 32 << 20
@@ -57,65 +55,84 @@ PART = 1 << 20
 WIDE = 1 << 15
 
 
-def gallop(shorter: Sequence[int], longer: Sequence[int]) -> list[tuple[int, int]]:
-    """Ranks (in shorter, in longer) of the common values of two ascending
-    lists: steps double from the last hit, then a binary search within."""
-    out, at, n = [], 0, len(longer)
-    for rank, value in enumerate(shorter):
-        step, low = 1, at
-        while at + step < n and longer[at + step] < value:
-            low = at + step
-            step *= 2
-        at = bisect_left(longer, value, low, min(at + step + 1, n))
-        if at == n:
-            break
-        if longer[at] == value:
-            out.append((rank, at))
-            at += 1
-    return out
-
-
-def groups_of(ends_a: Sequence[int], ends_b: Sequence[int]) -> list[tuple[int, int]]:
-    """Ranks (a, b) after the last token of each group."""
-    if len(ends_a) <= len(ends_b):
-        return [(a + 1, b + 1) for a, b in gallop(ends_a, ends_b)]
-    return [(a + 1, b + 1) for b, a in gallop(ends_b, ends_a)]
-
-
-def links_of(ends_a: Sequence[int], ends_b: Sequence[int], groups: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Ranks (a, b) of all tokens whose byte ranges overlap.  In a group, the
-    rank of a token's start and end among the other ends bound its range."""
-    out, a0, b0 = [], 0, 0
-    for a1, b1 in groups:
-        if a1 - a0 == 1 or b1 - b0 == 1:
-            out.extend((a, b) for a in range(a0, a1) for b in range(b0, b1))
-        else:
-            first = b0
-            for a in range(a0, a1):
-                last = bisect_left(ends_b, ends_a[a], first, b1)  # the token of b that holds a's last byte
-                out.extend((a, b) for b in range(first, last + 1))
-                first = last + (ends_b[last] == ends_a[a])
-        a0, b0 = a1, b1
-    return out
-
-
-class Aligned(NamedTuple):
-    """One unit: its groups as text, token, group and link numbers, links."""
-
-    text: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    pairs: bytes  # a * WIDE + b as int32, one per link
-
-
-#: Marks a unit that the tokenizers do not give back.
-LOST = Aligned("", 0, 0, 0, 0, b"")
+def gallop(values: np.ndarray, ascending: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Per value the first place from ``first`` to ``last`` (both included)
+    whose entry in ``ascending`` is not below it: steps double from ``first``
+    until they pass the value, then a binary search between the last two.
+    All values advance together.  The entry at ``last`` is not below."""
+    low, high = first.copy(), last.copy()
+    at, step = np.arange(len(values)), 1
+    while len(at):
+        probe = first[at] + step
+        within = probe < last[at]
+        at, probe = at[within], probe[within]
+        below = ascending[probe] < values[at]
+        high[at[~below]] = probe[~below]
+        at = at[below]
+        low[at] = probe[below]
+        step *= 2
+    while (open_ := low < high).any():
+        middle = (low + high) // 2
+        below = open_ & (ascending[middle] < values)
+        low = np.where(below, middle + 1, low)
+        high = np.where(open_ & ~below, middle, high)
+    return low
+
+
+def _of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last token of each unit, per token of the unit."""
+    ends = np.cumsum(sizes)
+    return ends - sizes, ends - 1
+
+
+class Ends:
+    """Token ends of consecutive units, in tokens of A and B, and what they share."""
+
+    def __init__(self, size_a: np.ndarray, size_b: np.ndarray, units_a: np.ndarray, units_b: np.ndarray) -> None:
+        """``size_*``: bytes of each token; ``units_*``: tokens of each unit."""
+        self.size_a, self.units_a, self.units_b = size_a, units_a, units_b
+        self.a, self.b = np.cumsum(size_a), np.cumsum(size_b)
+        swapped = len(self.a) > len(self.b)
+        short, long = (self.b, self.a) if swapped else (self.a, self.b)
+        of_short, of_long = (units_b, units_a) if swapped else (units_a, units_b)
+        first, last = (np.repeat(x, of_short) for x in _of(of_long))
+        place = gallop(short, long, first, last)
+        common = long[place] == short
+        self.unit = np.repeat(np.arange(len(of_short)), of_short)[common]  # of each group
+        ranks = np.flatnonzero(common) + 1, place[common] + 1
+        #: Tokens up to the end of each group.
+        self.upto_a, self.upto_b = ranks[::-1] if swapped else ranks
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links per token of A, and all links as token ranks (a, b): the ranks
+        of a token's start and end among the other ends bound its range."""
+        first = np.searchsorted(self.b, self.a - self.size_a, side="right")
+        n = np.searchsorted(self.b, self.a, side="left") - first + 1
+        a = np.repeat(np.arange(len(n)), n)
+        return n, a, np.arange(len(a)) + np.repeat(first - np.cumsum(n) + n, n)
+
+
+class Names:
+    """Decimal ids followed by a sign, as object arrays to pick from."""
+
+    def __init__(self, top: int) -> None:
+        self.comma, self.bar, self.semicolon = (np.array([f"{k}{sign}" for k in range(top)], dtype=object) for sign in ",|;")
+
+    def interleaved(self, ends: Ends, a: np.ndarray, b: np.ndarray) -> list[str]:
+        """The ids of A and B group by group, each with the sign after it."""
+        group_a = np.searchsorted(ends.upto_a, np.arange(len(a)), side="right")
+        group_b = np.searchsorted(ends.upto_b, np.arange(len(b)), side="right")
+        before_b = np.concatenate([[0], ends.upto_b[:-1]])
+        out = np.empty(len(a) + len(b), dtype=object)
+        last_a, last_b = np.isin(np.arange(len(a)) + 1, ends.upto_a), np.isin(np.arange(len(b)) + 1, ends.upto_b)
+        out[np.arange(len(a)) + before_b[group_a]] = np.where(last_a, self.bar[a], self.comma[a])
+        out[np.arange(len(b)) + ends.upto_a[group_b]] = np.where(last_b, self.semicolon[b], self.comma[b])
+        return out.tolist()
 
 
 class Document(NamedTuple):
-    """One text: its sums, groups, distinct pairs and their numbers (int32 each)."""
+    """One text: its sums, groups, the pairs of its distinct units and how
+    often each stands (int32 each; a pair that two units hold comes twice)."""
 
     n_a: int
     n_b: int
@@ -130,30 +147,64 @@ class Document(NamedTuple):
 NO_TOKENS = Document(0, 0, 0, 0, "", "", b"", b"")
 
 
+class Units(dict):
+    """Place of each known unit; a new one gets the next place and waits in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.new.append(unit)
+        self[unit] = place = len(self)
+        return place
+
+
 class Aligner:
-    """Both tokenizers and the alignment of units."""
+    """Both tokenizers and the alignment of units.
+
+    What is known of a unit stands at its place in ``numbers`` (n_a, n_b,
+    n_groups, n_links), ``texts`` (its groups) and ``pairs`` (a * WIDE + b of
+    its links, from ``first`` on).  All of it is dropped between two texts once
+    it takes more than ``most_bytes`` by estimate.
+    """
 
     #: The end of a word before white space that a word follows, which starts with a space.
     CUT = re.compile(r"(?<=\S)(?= \s*\S)")
+    #: White space before a space or at the end: words are not simply what stands between spaces.
+    UNEVEN = re.compile(r"\s(?: |\Z)")
+    PLAIN = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+")
 
-    def __init__(self, path_a: str, path_b: str) -> None:
+    def __init__(self, path_a: str, path_b: str, most_bytes: int = 512 << 20) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
         from vidpulse.llm.byte_bpe import byte_table
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.most_bytes = most_bytes
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
-        byte_of = {c: bytes([b]) for b, c in enumerate(byte_table())}
-        self.bytes_a = {k: b"".join(byte_of[c] for c in t) for t, k in self.a.get_vocab(with_added_tokens=False).items()}
+        chars = byte_table()
+        byte_of, self.chars = {c: bytes([b]) for b, c in enumerate(chars)}, chars
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for token, k in vocabulary.items():
+            self.bytes_a[k] = b"".join(byte_of[c] for c in token)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         if len(pieces) > WIDE:
             raise ValueError("more pieces than a pair can hold")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.names = Names(max(len(self.bytes_a), len(self.bytes_b)))
         #: Whether no piece goes over the end of a word, so that words can be encoded apart.
         self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.memory = UnitMemory(self._align, 512 << 20, lambda v: 300 + 2 * len(v.text) + len(v.pairs))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.units_known, self.used = Units(), 0
+        self.numbers, self.first, self.texts = np.zeros((1024, 4), np.int64), np.zeros(1024, np.int64), []
+        self.pairs, self.n_pairs = np.zeros(4096, "<i4"), 0
 
     def parts(self, text: str) -> Iterator[str]:
         """The space and the text, in parts of about ``PART`` characters that end where units end."""
@@ -168,53 +219,77 @@ class Aligner:
         """A part, cut before each space that follows a word."""
         if not self.apart:
             return [part]
-        words = part[1:].split(" ")
-        if "" not in words and not any(w[-1].isspace() for w in words):
-            return [" " + w for w in words]
-        return self.CUT.split(part)
-
-    def _align(self, units: list[str]) -> list[Aligned]:
-        out: list[Aligned] = []
+        if self.UNEVEN.search(part):
+            return self.CUT.split(part)
+        return [" " + w for w in part[1:].split(" ")]
+
+    def _ids_a(self, units: list[str]) -> list[list[int]]:
+        """A space and Latin letters are one piece of the split pattern, which
+        the model reads without the steps before it."""
+        chars, tokenize = self.chars, self.a.model.tokenize
+        out: list = [[t.id for t in tokenize("".join([chars[b] for b in u.encode()]))] if self.PLAIN.fullmatch(u) else None for u in units]
+        others = [u for u, ids in zip(units, out) if ids is None]
+        rest = iter(self.a.encode_batch_fast(others, add_special_tokens=False))
+        return [next(rest).ids if ids is None else ids for ids in out]
+
+    def _learn(self, units: list[str]) -> None:
+        """Align new units and keep what is known of them, in order."""
         for at in range(0, len(units), 1024):
             some = units[at : at + 1024]
-            of_a = self.a.encode_batch_fast(some, add_special_tokens=False)
-            of_b = self.b.encode([u[1:] for u in some], num_threads=1)
-            out.extend(self._aligned(u.encode(), a.ids, b) for u, a, b in zip(some, of_a, of_b))
-        return out
-
-    def _aligned(self, data: bytes, a: list[int], b: list[int]) -> Aligned:
-        cut_a, cut_b = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b]
-        if b"".join(cut_a) != data or b"".join(cut_b) != data:
-            return LOST
-        ends_a, ends_b = np.cumsum([len(c) for c in cut_a]).tolist(), np.cumsum([len(c) for c in cut_b]).tolist()
-        groups = groups_of(ends_a, ends_b)
-        links = links_of(ends_a, ends_b, groups)
-        slices = zip([(0, 0), *groups], groups)
-        text = ";".join(f"{','.join(map(str, a[p:r]))}|{','.join(map(str, b[q:s]))}" for (p, q), (r, s) in slices)
-        pairs = np.array([a[x] * WIDE + b[y] for x, y in links], dtype="<i4").tobytes()
-        return Aligned(text, len(a), len(b), len(groups), len(links), pairs)
-
-    def document(self, text: str | None) -> Document:
-        """Sums and groups of a whole text, its distinct pairs and their numbers."""
-        totals, times, digest, texts = np.zeros(4, np.int64), Counter(), hashlib.sha256(), []
-        found: dict[str, Aligned] = {}
-        for part in self.parts(text) if text else ():
-            units = self.units(part)
-            own = Counter(units)
-            new = [u for u in own if u not in found]
-            found.update(zip(new, self.memory.values(new)))
-            times.update(own)
-            texts.append(";".join([found[u].text for u in units]))
+            of_a, of_b = self._ids_a(some), self.b.encode([u[1:] for u in some], num_threads=1)
+            whole = [b"".join([self.bytes_a[k] for k in a]) == (data := u.encode()) == b"".join([self.bytes_b[k] for k in b]) for u, a, b in zip(some, of_a, of_b)]
+            if not all(whole):  # those that are not given back have no tokens
+                of_a, of_b = ([ids if w else [] for w, ids in zip(whole, of)] for of in (of_a, of_b))
+            self._keep(of_a, of_b)
+            self.used += sum(map(len, some)) + 200 * len(some)
+
+    def _keep(self, of_a: list[list[int]], of_b: list[list[int]]) -> None:
+        n, at = len(of_a), len(self.texts)
+        a, b = (np.fromiter(chain.from_iterable(of), np.int64) for of in (of_a, of_b))
+        units_a, units_b = (np.fromiter(map(len, of), np.int64, n) for of in (of_a, of_b))
+        ends = Ends(self.size_a[a], self.size_b[b], units_a, units_b)
+        links, link_a, link_b = ends.links()
+        in_unit = np.bincount(np.repeat(np.arange(n), units_a), weights=links, minlength=n).astype(np.int64)
+        if at + n > len(self.first):
+            more = max(at + n, 2 * len(self.first))
+            self.numbers, self.first = np.resize(self.numbers, (more, 4)), np.resize(self.first, more)
+        if self.n_pairs + len(link_a) > len(self.pairs):
+            self.pairs = np.resize(self.pairs, max(self.n_pairs + len(link_a), 2 * len(self.pairs)))
+        self.numbers[at : at + n] = np.stack([units_a, units_b, np.bincount(ends.unit, minlength=n), in_unit], axis=1)
+        self.first[at : at + n] = self.n_pairs + np.cumsum(in_unit) - in_unit
+        self.pairs[self.n_pairs : self.n_pairs + len(link_a)] = a[link_a] * WIDE + b[link_b]
+        self.n_pairs += len(link_a)
+        names, tokens = self.names.interleaved(ends, a, b), np.cumsum(units_a + units_b)
+        self.texts.extend(["".join(names[p:q])[:-1] for p, q in zip((tokens - units_a - units_b).tolist(), tokens.tolist())])
+        self.used += 16 * len(names) + 4 * len(link_a)
+
+    def documents(self, texts: list[str | None]) -> Iterator[Document]:
+        """Each whole text aligned; new units of all of them are learnt together."""
+        if self.used > self.most_bytes:
+            self._forget()
+        known = self.units_known
+        found = [[np.array(list(map(known.__getitem__, self.units(part)))) for part in self.parts(text)] if text else [] for text in texts]
+        self._learn(known.new)
+        known.new = []
+        return map(self._document, found)
+
+    def _document(self, parts: list[np.ndarray]) -> Document:
+        totals, digest, texts, pairs, numbers = np.zeros(4, np.int64), hashlib.sha256(), [], [], []
+        for places in parts:
+            place, times = np.unique(places, return_counts=True)
+            known = self.numbers[place]
+            if not known[:, 0].all():
+                return NO_TOKENS
+            totals += times @ known
+            n = known[:, 3]
+            pairs.append(self.pairs[np.arange(n.sum()) + np.repeat(self.first[place] - np.cumsum(n) + n, n)].tobytes())
+            numbers.append(np.repeat(times.astype("<i4"), n).tobytes())
+            own = self.texts
+            texts.append(";".join([own[k] for k in places.tolist()]))
             digest.update((";" + texts[-1] if len(texts) > 1 else texts[-1]).encode())
-        values = list(map(found.__getitem__, times))
-        if not values or LOST in values:
+        if not texts:
             return NO_TOKENS
-        n = np.fromiter(times.values(), np.int64, len(times))
-        totals = n @ np.array([v[1:5] for v in values], np.int64)
-        flat = np.frombuffer(b"".join([v.pairs for v in values]), dtype="<i4")
-        pairs, at = np.unique(flat, return_inverse=True)
-        numbers = np.bincount(at, weights=np.repeat(n, [v.n_links for v in values]), minlength=len(pairs))
-        return Document(*totals.tolist(), ";".join(texts), digest.hexdigest(), pairs.tobytes(), numbers.astype("<i4").tobytes())
+        return Document(*totals.tolist(), ";".join(texts), digest.hexdigest(), b"".join(pairs), b"".join(numbers))
 
 
 @functools.lru_cache(maxsize=1)
@@ -229,7 +304,7 @@ _COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text: str = "text", with_groups: bool = False,
           block_size: int = BLOCK) -> DataFrame:
     """Per document: id, n_a, n_b, n_groups, n_links, groups_sha256, its block,
-    its distinct pairs and their numbers (int32 each); the groups themselves only ``with_groups``."""
+    its pairs and their numbers (``Document``); the groups themselves only ``with_groups``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, filled = load(path_a, path_b), 0
         block = TaskContext.get().partitionId() << 32
@@ -237,8 +312,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 rows = []
-                for t in part.column(1).to_pylist():
-                    doc = aligner.document(t)
+                values = part.column(1).to_pylist()
+                for t, doc in zip(values, aligner.documents(values)):
                     rows.append((*doc, block) if with_groups else (*doc._replace(groups=None), block))
                     filled += len(t or "")
                     if filled > block_size:

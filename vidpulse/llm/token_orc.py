@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vidpulse.llm.byte_bpe import byte_table
 from vidpulse.llm.units import UnitMemory
 from vidpulse.operators.prefix import running_sum
 
@@ -47,6 +48,8 @@ PART_BYTES = 1 << 20
 _SPACE = re.compile(rb"\s")
 _SCHEMA = "part int, doc_id {id}, local_start long, n_tokens long, ids array<int>"
 _TAIL = b".,;:!?"
+#: Letters that the normaliser lower-cases one by one and leaves composed.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
@@ -71,28 +74,30 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cores = UnitMemory(self._encode, 128 << 20)
-        self.words = UnitMemory(self._split, 384 << 20)
-
-    def _encode(self, units: list[bytes]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(units), 1024):
-            some = [u.decode() for u in units[at : at + 1024]]
-            out.extend(struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))
-        return out
-
-    def _split(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words by their cores: marks at the end come apart."""
-        tails = [len(w) > 1 and w[-1] in _TAIL and w[-2:-1].isalnum() for w in words]
-        cores = [w[:-1] if t else w for w, t in zip(words, tails)]
-        cores = self.cores.values([c.lower() if c.isascii() and b"<|" not in c else c for c in cores])
-        marks = iter(self.cores.values([w[-1:] for w, t in zip(words, tails) if t]))
-        return [c + next(marks) if t else c for c, t in zip(cores, tails)]
+        self.tokenizer, self.chars = Tokenizer.from_file(path), byte_table()
+        self.cores = UnitMemory(self._core, 128 << 20)
+        self.words = UnitMemory(self._word, 384 << 20)
+
+    def _core(self, unit: bytes) -> bytes:
+        """Latin letters are one piece, which the model reads lower-cased
+        without the steps before it."""
+        text = unit.decode()
+        if _LATIN.fullmatch(text):
+            ids = [t.id for t in self.tokenizer.model.tokenize("".join([self.chars[b] for b in text.lower().encode()]))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a word by its core: a mark at the end comes apart."""
+        tail = len(word) > 1 and word[-1] in _TAIL and word[-2:-1].isalnum()
+        core = word[:-1] if tail else word
+        ids = self.cores[core.lower() if core.isascii() and b"<|" not in core else core]
+        return ids + self.cores[word[-1:]] if tail else ids
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian uint32."""
-        return b"".join(b"".join(self.words.values(part.split())) for part in _parts(text.encode()))
+        return b"".join([b"".join(map(self.words.__getitem__, part.split())) for part in _parts(text.encode())])
 
 
 @functools.lru_cache(maxsize=2)

@@ -2,40 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Sequence
-from typing import Any
+from collections.abc import Callable
 
 #: Units longer than this are worked out each time: they hardly ever return.
 SHORT = 64
 
 
-class UnitMemory:
-    """``work`` maps new units to values (never None, about as long as
-    ``size`` says); those of short units are remembered.
+class UnitMemory(dict):
+    """``memory[unit]`` is ``work(unit)``, remembered for short units.
 
     The memory is emptied when its bytes (``most_bytes``, by an estimate of
     what Python spends on unit, value and table entry) are used up.
     """
 
-    def __init__(self, work: Callable[[list], Sequence[Any]], most_bytes: int = 256 << 20, size: Callable[[Any], int] = len) -> None:
-        self.work, self.most_bytes, self.size = work, most_bytes, size
-        self.known: dict[Hashable, Any] = {}
-        self.used = 0
-
-    def values(self, units: Sequence) -> list:
-        """The value of every unit, in order."""
-        found = list(map(self.known.get, units))
-        if None not in found:
-            return found
-        missing = list(dict.fromkeys(u for u, v in zip(units, found) if v is None))
-        fresh = dict(zip(missing, self.work(missing)))
-        found = [fresh[u] if v is None else v for u, v in zip(units, found)]
-        for unit, value in fresh.items():
-            if len(unit) <= SHORT:
-                cost = 220 + len(unit) + self.size(value)
-                if self.used + cost > self.most_bytes:
-                    self.known.clear()
-                    self.used = 0
-                self.known[unit] = value
-                self.used += cost
-        return found
+    def __init__(self, work: Callable[[bytes], bytes], most_bytes: int = 256 << 20) -> None:
+        super().__init__()
+        self.work, self.most_bytes, self.used = work, most_bytes, 0
+
+    def __missing__(self, unit: bytes) -> bytes:
+        value = self.work(unit)
+        if len(unit) <= SHORT:
+            cost = 200 + len(unit) + len(value)
+            if self.used + cost > self.most_bytes:
+                self.clear()
+                self.used = 0
+            self[unit] = value
+            self.used += cost
+        return value
