@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from vidpulse.llm.common import lane_lookup, written
 
 #: Characters of text in one block.
-BLOCK = 32 << 20
+BLOCK = 16 << 20
 #: Characters of a text that are cut into units at once.
 PART = 1 << 20
 #: Ids of B are below this, so a pair is one integer.
@@ -175,7 +175,7 @@ class Aligner:
     UNEVEN = re.compile(r"\s(?: |\Z)")
     PLAIN = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+")
 
-    def __init__(self, path_a: str, path_b: str, most_bytes: int = 512 << 20) -> None:
+    def __init__(self, path_a: str, path_b: str, most_bytes: int = 160 << 20) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
         from vidpulse.llm.byte_bpe import byte_table
