@@ -153,8 +153,9 @@ def starts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, path: str, columns: tuple[str, ...] = ("n_tokens", "ids")) -> DataFrame:
-    """Per document: doc_id, start (ids of all documents before it) and ``columns``."""
-    return spark.read.orc(path).join(starts(spark, path), "part").select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), *columns)
+    """Per document: doc_id, start (ids of all documents before it) and
+    ``columns``.  ``starts`` has one row a file, so it goes to the files."""
+    return spark.read.orc(path).join(F.broadcast(starts(spark, path)), "part").select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), *columns)
 
 
 def look_up(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
