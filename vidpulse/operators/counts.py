@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,13 +39,54 @@ def window_counts(df: DataFrame, length: str, slide: str | None = None,
     """Events per key per tumbling (``slide=None``) or sliding window.
 
     ``value`` replaces the plain count by a sum (e.g. +1/-1 for viewers).
-    Output: keys, window_start, ``out``.
+    Output: keys, window_start, ``out``.  Sliding windows of a table are
+    summed from panes (``sliding_from_panes``), so a row is shuffled once, not
+    once per window; a stream (which emits windows as they change) and lengths
+    that are no multiple of the slide copy the row to each of its windows.
     """
+    if slide and not df.isStreaming and _multiple(length, slide):
+        return sliding_from_panes(pane_counts(df, slide, keys, ts, value), length, slide, keys).withColumnRenamed("n", out)
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
     g = df.groupBy(_window(ts, length, slide).alias("w"), *keys).agg(agg.cast("bigint").alias(out))
     return g.select(*keys, window_start_col(df, F.col("w.start"), ts).alias("window_start"), out)
 
 
+def _multiple(length: str, slide: str) -> bool:
+    return pd.Timedelta(length) % pd.Timedelta(slide) == pd.Timedelta(0)
+
+
+def pane_counts(df: DataFrame, slide: str, keys: Sequence[str] = ("video_id",), ts: str = "ts", value: Column | None = None) -> DataFrame:
+    """Tumbling counts per ``slide``: keys, pane_start, n (rows, or the sum of
+    ``value``) and rows.  Works on a stream (update mode): one state row per
+    pane, whatever the number of windows over it."""
+    n = F.count(F.lit(1)) if value is None else F.sum(value)
+    g = df.groupBy(F.window(ts, slide).alias("w"), *keys).agg(n.cast("bigint").alias("n"), F.count(F.lit(1)).alias("rows"))
+    return g.select(*keys, window_start_col(df, F.col("w.start"), ts).alias("pane_start"), "n", "rows")
+
+
+def sliding_from_panes(panes: DataFrame, length: str, slide: str, keys: Sequence[str] = ("video_id",)) -> DataFrame:
+    """Sliding window sums from panes: a running sum to which each pane is
+    added at the first window that covers it and taken off (the inverse) after
+    the last.
+
+    Between two such points the sum does not change, so it is worked out once
+    per point and spread over the windows up to the next.  Output: keys,
+    window_start, n for every window that covers a row.  A key has at most two
+    points per pane, however many rows it has.
+    """
+    keys, step = list(keys), F.expr(f"INTERVAL {slide}")
+    enter, leave = F.col("pane_start") - (F.expr(f"INTERVAL {length}") - step), F.col("pane_start") + step
+    points = panes.select(*keys, F.explode(F.array(
+        F.struct(enter.alias("start"), F.col("n").alias("n"), F.col("rows").alias("rows")),
+        F.struct(leave.alias("start"), (-F.col("n")).alias("n"), (-F.col("rows")).alias("rows")))).alias("p"))
+    changes = points.groupBy(*keys, F.col("p.start").alias("start")).agg(F.sum("p.n").alias("n"), F.sum("p.rows").alias("rows"))
+    order = Window.partitionBy(*keys).orderBy("start")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    held = changes.select(*keys, "start", F.lead("start").over(order).alias("next"), F.sum("n").over(upto).alias("n"), F.sum("rows").over(upto).alias("rows"))
+    return held.where(F.col("rows") > 0).select(
+        *keys, F.explode(F.sequence("start", F.col("next") - step, step)).alias("window_start"), F.col("n").cast("bigint").alias("n"))
+
+
 def typed_window_counts(df: DataFrame, event_type: str, length: str, slide: str | None = None,
                         key: str = "video_id", ts: str = "ts") -> DataFrame:
     """Tumbling/sliding count of one event type (likes, dislikes, ...)."""

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions.text import word_array
-from vidpulse.operators.text import windowed_sentence_counts
+from vidpulse.operators.text import LIST_CHUNK, chunked_lists, windowed, windowed_sentence_counts
+from vidpulse.session import checkpointed
 
 NEUTRAL = 2
 
@@ -52,6 +53,26 @@ def sentiment_histogram(per_sentence: DataFrame, lexicon: DataFrame | None, key:
     return hist.groupBy(key, "window_start", "sentiment_class").agg(F.sum("n").cast("bigint").alias("n"))
 
 
+def scored_sentences(sentences: DataFrame, lexicon: DataFrame | None, scorer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``sentences`` with their ``sentiment_class``.  With a lexicon the words
+    of a sentence go by its row number, so no sentence text is a key."""
+    if scorer is not None:
+        return sentences.withColumn("sentiment_class", scorer(F.col("sentence")).cast("bigint"))
+    rows = checkpointed(sentences.withColumn("_row", F.monotonically_increasing_id()))  # read twice with the same numbers
+    words = rows.select("_row", F.explode(word_array(F.col("sentence"))).alias("word")).join(lexicon.select("word", "score"), "word")
+    sums = words.groupBy("_row").agg(F.sum("score").alias("_s"), F.count("score").alias("_c"))
+    matched = F.coalesce(F.col("_c"), F.lit(0))
+    return rows.join(sums, "_row", "left").withColumn("sentiment_class", sentence_class(F.col("_s"), matched)).drop("_row", "_s", "_c")
+
+
+def score_list_chunks(sentences: DataFrame, lexicon: DataFrame | None, length: str = "60 seconds", key: str = "video_id",
+                      size: int = LIST_CHUNK, scorer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The sentence classes of each video and window, in order of time and
+    place, in chunks (``text.chunked_lists``)."""
+    scored = windowed(scored_sentences(sentences, lexicon, scorer), length)
+    return chunked_lists(scored, [key, "window_start"], ["ts", "pos", "sentence"], "sentiment_class", size)
+
+
 def sentence_sentiment(sentences: DataFrame, lexicon: DataFrame | None, length: str = "60 seconds",
                        key: str = "video_id", scorer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Sentences per (video, window, class): the per-window score list as

@@ -1,9 +1,9 @@
 """Comment text operators: sentences, tokens, word counts, top words, index.
 
 Text stays in JVM expressions (regex extract / explode).  Grouped outputs
-are counts, never collected bags: a video's token list for a window is
-represented by its sentence rows and their token counts, so no group is
-collected into one row.
+are counts, never collected bags: a video's token list for a window is its
+sentence rows and their token counts, or a list in chunks of bounded size
+(``chunked_lists``), so no group is collected into one row.
 """
 
 from __future__ import annotations
@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions.text import clean_comment, is_blank, sentence_array, token_array, word_array
 from vidpulse.operators.counts import window_start_col
+from vidpulse.operators.prefix import running_sum
 
 COMMENT_WINDOW = "60 seconds"
+#: Items of a stored list that one row holds.
+LIST_CHUNK = 10_000
 
 StopWords = Sequence[str] | DataFrame | None  # a fixed list, a (word) table, or no filtering
 
@@ -75,6 +78,29 @@ def word_counts_from_sentences(per_sentence: DataFrame, stop_words: StopWords,
     return words.groupBy(key, "window_start", "word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
+def chunked_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int = LIST_CHUNK) -> DataFrame:
+    """The list of ``value`` per key in ``order``, as rows of at most ``size``
+    items: keys, chunk (from 0), items.
+
+    A place in the list is a running sum over range partitions, so the list of
+    a hot key comes from many tasks and is many rows; the chunks of a key in
+    order are its list.  ``order`` should be total (rows that are equal in it
+    are interchangeable).
+    """
+    row = F.struct("place", F.col(value).alias("item"))
+    placed = running_sum(df.select(*keys, *order, value).withColumn("_row", F.monotonically_increasing_id()), [*order, "_row"], keys, out="place")
+    chunks = placed.groupBy(*keys, F.floor((F.col("place") - 1) / size).alias("chunk")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    return chunks.select(*keys, "chunk", F.transform("rows", lambda r: r["item"]).alias("items"))
+
+
+def token_list_chunks(comments: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id", size: int = LIST_CHUNK) -> DataFrame:
+    """The tokens that each video's comments have in a window, in order of
+    time, sentence and place, in chunks."""
+    sentences = windowed(comment_sentences(comments, key), length)
+    tokens = sentences.select(key, "window_start", "ts", "pos", F.posexplode(token_array(F.col("sentence"))).alias("at", "token"))
+    return chunked_lists(tokens, [key, "window_start"], ["ts", "pos", "at", "token"], "token", size)
+
+
 def sentence_tokens(sentences: DataFrame, length: str = COMMENT_WINDOW, key: str = "video_id") -> DataFrame:
     """Token list of every sentence with its window: one row per sentence,
     so no group is collected."""

@@ -32,6 +32,21 @@ def viewer_timeline(df: DataFrame, key: str = "video_id", order: Sequence[str] =
     )
 
 
+def viewer_lows(df: DataFrame, key: str = "video_id", order: Sequence[str] = ORDER) -> DataFrame:
+    """When logs were out of order: per video the lowest viewer count after
+    any play or leave, the first time of it, and the first time the count was
+    below zero (null: never).
+
+    A scan over sums and smallest prefixes: the prefix sums are spread over
+    range partitions (``viewer_timeline``), the minima are partial aggregates,
+    so a hot video is no task of its own.
+    """
+    line = viewer_timeline(df, key, order, extra=(order[0],))
+    return line.groupBy(key).agg(
+        F.min("viewers").alias("lowest"), F.min(F.struct("viewers", order[0]))[order[0]].alias("lowest_at"),
+        F.min(F.when(F.col("viewers") < 0, F.col(order[0]))).alias("negative_at"))
+
+
 def concurrent_views(df: DataFrame, key: str = "video_id") -> DataFrame:
     """plays - leaves for every video with at least one play.
 

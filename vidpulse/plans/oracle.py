@@ -7,7 +7,8 @@ and types follow the Spark outputs (counts BIGINT, window starts TIMESTAMP).
 
 from __future__ import annotations
 
-from vidpulse.plans.registry import SEARCH_WORDS, TOP_K
+from vidpulse.operators.learned import BUCKETS, CLASSES
+from vidpulse.plans.registry import BOXES, CHUNK, SEARCH_ALL, SEARCH_PHRASES, SEARCH_WORDS, TOP_K
 from vidpulse.schema import NO_SENTIMENT_TEXT, NO_WORDS_TEXT, STOP_WORDS, TOPIC_OF_TYPE
 
 LV_EVENTS = """lv_events AS (
@@ -111,6 +112,13 @@ SLIDING_CTE = """sliding AS (
   WHERE event_type IN ('like', 'dislike', 'play', 'leave')
   GROUP BY ALL)"""
 
+TIMELINE = """timeline AS (
+  SELECT event_id, video_id, ts,
+         CAST(sum(CASE WHEN event_type = 'play' THEN 1 ELSE -1 END)
+              OVER (PARTITION BY video_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              AS BIGINT) AS viewers
+  FROM lv_events WHERE event_type IN ('play', 'leave'))"""
+
 CONCURRENT_CTE = """concurrent AS (
   SELECT video_id, plays, leaves, plays - leaves AS views, plays - leaves < 0 AS out_of_order
   FROM (SELECT video_id, count(*) FILTER (WHERE event_type = 'play') AS plays,
@@ -214,6 +222,62 @@ SAMPLED = """sampled AS (
         / CAST(4294967296 AS DOUBLE) >= CAST(1 AS DOUBLE) - p.prob)"""
 
 
+def _in_box(name: str) -> str:
+    box = BOXES[name]
+    both = "OR" if box.west > box.east else "AND"
+    number = lambda x: f"CAST('{x}' AS DOUBLE)"
+    return (f"latitude >= {number(box.south)} AND latitude <= {number(box.north)} "
+            f"AND (longitude >= {number(box.west)} {both} longitude <= {number(box.east)})")
+
+
+def _box_counts() -> str:
+    return _with(LV_EVENTS) + "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS box, video_id, count(*) FILTER (WHERE event_type = 'play') AS plays,
+  count(*) FILTER (WHERE event_type = 'like') AS likes
+FROM lv_events WHERE event_type IN ('play', 'like') AND {_in_box(name)} GROUP BY video_id""" for name in BOXES)
+
+
+LEARNED = f"""grams AS (
+  SELECT s.video_id, s.window_start, s.sentence, s.id,
+         unnest(list_concat([''], w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g
+  FROM (SELECT *, row_number() OVER () AS id, regexp_extract_all(lower(sentence), '[a-z]+') AS w FROM sentences) s),
+hashed AS (
+  SELECT * EXCLUDE (g), CASE WHEN g = '' THEN -1 ELSE CAST('0x' || substr(md5(g), 1, 3) AS BIGINT) END AS bucket FROM grams),
+counted AS (SELECT c.sentiment_class AS class, bucket, count(*) AS n FROM hashed JOIN classes c USING (sentence) GROUP BY ALL),
+class_rows AS (SELECT unnest(range(0, {CLASSES})) AS class),
+sizes AS (
+  SELECT r.class, coalesce(sum(n) FILTER (WHERE bucket >= 0), 0) AS grams, coalesce(sum(n) FILTER (WHERE bucket = -1), 0) AS sentences
+  FROM class_rows r LEFT JOIN counted USING (class) GROUP BY r.class),
+used AS (SELECT DISTINCT bucket FROM hashed),
+weights AS (
+  SELECT z.class, u.bucket,
+         CASE WHEN u.bucket = -1
+              THEN CAST(round(1000 * ln((z.sentences + 1) / CAST((SELECT sum(sentences) FROM sizes) + {CLASSES} AS DOUBLE))) AS BIGINT)
+              ELSE CAST(round(1000 * ln((coalesce(c.n, 0) + 1) / CAST(z.grams + {BUCKETS} AS DOUBLE))) AS BIGINT) END AS weight
+  FROM sizes z CROSS JOIN used u LEFT JOIN counted c ON c.class = z.class AND c.bucket = u.bucket),
+sums AS (SELECT id, video_id, window_start, class, sum(weight) AS score FROM hashed JOIN weights USING (bucket) GROUP BY ALL),
+learned AS (
+  SELECT video_id, window_start, class FROM sums QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, class) = 1)"""
+
+COMMENT_WORDS = r"""comment_words AS (
+  SELECT conv_id * 1048576 + turn AS comment_id, list_transform(regexp_extract_all(text, '[A-Za-z]+'), lambda x: lower(x)) AS w
+  FROM conversations)"""
+
+
+def _all_words() -> str:
+    one = lambda words: f"""SELECT '{' '.join(words)}' AS query, comment_id,
+  CAST(len(list_filter(w, lambda x: x IN ({', '.join(f"'{x}'" for x in words)}))) AS BIGINT) AS n
+FROM comment_words WHERE list_has_all(w, {words})"""
+    return _with(COMMENT_WORDS) + "\nUNION ALL\n".join(map(one, SEARCH_ALL))
+
+
+def _phrases() -> str:
+    one = lambda words: f"""SELECT * FROM (SELECT '{' '.join(words)}' AS query, comment_id,
+  CAST(len(list_filter(range(1, len(w) + 1), lambda i: w[i:i + {len(words) - 1}] = {words})) AS BIGINT) AS n
+FROM comment_words) WHERE n > 0"""
+    return _with(COMMENT_WORDS) + "\nUNION ALL\n".join(map(one, SEARCH_PHRASES))
+
+
 def oracle_sql() -> dict[str, str]:
     sampled_sentiment = (
         _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, PROBS, SAMPLED, HISTOGRAM_SAMPLED, MEAN) + "SELECT * FROM mean_sent"
@@ -227,19 +291,23 @@ def oracle_sql() -> dict[str, str]:
   count(*) FILTER (WHERE event_type = 'comment') AS comments
 FROM (SELECT video_id, event_type FROM lv_events UNION ALL SELECT video_id, 'comment' AS event_type FROM lv_comments)
 GROUP BY video_id"""
+    unique_events = _with(LV_EVENTS) + """SELECT event_type, count(*) AS n FROM (
+  SELECT DISTINCT * FROM (SELECT * FROM lv_events UNION ALL SELECT * FROM lv_events))
+GROUP BY event_type"""
     likes = _typed_tumbling("like")
-    return {
-        "likes_tumbling": likes,
-        "dislikes_tumbling": _typed_tumbling("dislike"),
-        "sliding_counts": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
-        "sliding_counts_zero": _with(LV_EVENTS, SLIDING_CTE) + """, firsts AS (
+    sliding_zero = _with(LV_EVENTS, SLIDING_CTE) + """, firsts AS (
   SELECT video_id, event_type, min(window_start) AS first_start FROM sliding GROUP BY ALL),
 last_start AS (SELECT max(window_start) AS last_start FROM sliding),
 grid AS (
   SELECT video_id, event_type, unnest(generate_series(first_start, last_start, INTERVAL '2 hours')) AS window_start
   FROM firsts, last_start)
 SELECT g.video_id, g.event_type, g.window_start, CAST(coalesce(s.n, 0) AS BIGINT) AS n
-FROM grid g LEFT JOIN sliding s USING (video_id, event_type, window_start)""",
+FROM grid g LEFT JOIN sliding s USING (video_id, event_type, window_start)"""
+    return {
+        "likes_tumbling": likes,
+        "dislikes_tumbling": _typed_tumbling("dislike"),
+        "sliding_counts": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
+        "sliding_counts_zero": sliding_zero,
         "comment_sliding_counts": _with(LV_COMMENTS) + """SELECT video_id,
   time_bucket(INTERVAL '20 seconds', ts) - i * INTERVAL '20 seconds' AS window_start, count(*) AS n
 FROM lv_comments, (SELECT unnest([0, 1, 2]) AS i) steps GROUP BY ALL""",
@@ -301,9 +369,8 @@ FROM sentences GROUP BY ALL""",
 WHERE first_play IS NOT NULL AND (first_start IS NULL OR first_start > first_play)""",
         "events_sorted": _with(LV_EVENTS)
         + "SELECT event_id, ts, CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS pos FROM lv_events",
-        "dedup_events": _with(LV_EVENTS) + """SELECT event_type, count(*) AS n FROM (
-  SELECT DISTINCT * FROM (SELECT * FROM lv_events UNION ALL SELECT * FROM lv_events))
-GROUP BY event_type""",
+        "dedup_events": unique_events,
+        "dedup_events_stream": unique_events,
         "geo_cells": _with(LV_EVENTS) + """SELECT CAST(floor(latitude / 2) AS BIGINT) AS cell_lat,
   CAST(floor(longitude / 2) AS BIGINT) AS cell_lon, time_bucket(INTERVAL '6 hours', ts) AS window_start,
   count(*) FILTER (WHERE event_type = 'play') AS plays, count(*) FILTER (WHERE event_type = 'like') AS likes
@@ -315,6 +382,29 @@ FROM lv_events WHERE event_type IN ('play', 'like') GROUP BY ALL""",
         "sliding_counts_stream": _with(LV_EVENTS, SLIDING_CTE) + "SELECT video_id, event_type, window_start, n FROM sliding",
         "totals_stream": totals,
         "totals_levelled_stream": totals,
+        "sliding_counts_zero_stream": sliding_zero,
+        "play_running_count_stream": _running("play"),
+        "viewer_timeline_stream": _with(LV_EVENTS, TIMELINE) + "SELECT event_id, video_id, viewers FROM timeline",
+        "viewer_lows": _with(LV_EVENTS, TIMELINE) + """SELECT video_id, min(viewers) AS lowest,
+  first(ts ORDER BY viewers, ts) AS lowest_at, min(ts) FILTER (WHERE viewers < 0) AS negative_at
+FROM timeline GROUP BY video_id""",
+        "box_search": _with(LV_EVENTS) + f"SELECT event_id, video_id, event_type, latitude, longitude FROM lv_events WHERE {_in_box('narrow')}",
+        "box_counts": _box_counts(),
+        "learned_sentiment": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM_ALL, LEARNED)
+        + "SELECT video_id, window_start, CAST(class AS BIGINT) AS sentiment_class, count(*) AS n FROM learned GROUP BY ALL",
+        "token_list_chunks": _with(LV_COMMENTS, SENTENCES) + f"""SELECT video_id, window_start, place // {CHUNK} AS chunk, string_agg(token, ' ' ORDER BY place) AS tokens
+FROM (SELECT video_id, window_start, token, row_number() OVER (PARTITION BY video_id, window_start ORDER BY ts, pos, nth, token) - 1 AS place
+      FROM (SELECT video_id, window_start, ts, pos, unnest(t) AS token, generate_subscripts(t, 1) AS nth
+            FROM (SELECT *, regexp_extract_all(sentence, '[A-Za-z]+|[.?!]') AS t FROM sentences)))
+GROUP BY ALL""",
+        "score_list_chunks": _with(LV_COMMENTS, SENTENCES, WORDS, LEXICON, HISTOGRAM_ALL) + f"""SELECT video_id, window_start, place // {CHUNK} AS chunk,
+  string_agg(CAST(sentiment_class AS VARCHAR), ' ' ORDER BY place) AS classes
+FROM (SELECT s.video_id, s.window_start, c.sentiment_class,
+             row_number() OVER (PARTITION BY s.video_id, s.window_start ORDER BY s.ts, s.pos, s.sentence) - 1 AS place
+      FROM sentences s JOIN classes c USING (sentence))
+GROUP BY ALL""",
+        "all_words_search": _all_words(),
+        "phrase_search": _phrases(),
         "word_counts_levelled_stream": _with(LV_COMMENTS, LV_STOP_WORDS, WORDS, WORD_COUNTS) + "SELECT * FROM word_counts",
         "totals_bucketed_stream": totals,
     }

@@ -10,17 +10,18 @@ windows keep 60 s.  Outputs are flat scalar columns.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.operators import counts, misc, routing, sampling, sentiment, text, viewers
+from vidpulse.operators import boxes, counts, learned, misc, routing, sampling, sentiment, text, viewers
 from vidpulse.plans import comment_stats, dashboard
 from vidpulse.sources import envelope
 from vidpulse.schema import SENTIMENT_WORD_CAPACITY, STOP_WORDS
-from vidpulse.session import checkpointed
-from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_documents, lv_events
+from vidpulse.session import checkpointed, scratch_path
+from vidpulse.sources.fixtures import derive_lexicon, lv_comments, lv_documents, lv_events, numbered_comments
 
 TUMBLING = "6 hours"
 SLIDING, SLIDE = "6 hours", "2 hours"
@@ -29,6 +30,21 @@ COMMENT_SLIDE = "20 seconds"
 TOP_K = 5
 SEARCH_WORDS = ["la", "der", "und", "the", "que", "est"]
 
+#: Items per row of the stored lists (few, as the comments are short).
+CHUNK = 20
+#: Comment searches: words that must all be there, and phrases.
+SEARCH_ALL = [["the", "of", "to"], ["der", "und"], ["la"], ["the", "und"]]
+SEARCH_PHRASES = [["the", "of"], ["the", "the", "the"], ["de", "la"], ["und", "der"], ["to", "the", "of"]]
+#: Areas that the box queries ask for: whole cells, parts of cells, an edge on
+#: a place, over the date line, and one without any place.
+BOXES = {
+    "wide": boxes.Box(24.0, -124.0, 37.0, -95.0),
+    "narrow": boxes.Box(30.11, -101.37, 31.93, -70.003),
+    "edge": boxes.Box(24.26, -102.54, 50.0, -102.54),
+    "date_line": boxes.Box(-10.0, 170.0, 40.0, -110.0),
+    "sea": boxes.Box(-20.0, 0.0, 10.0, 30.0),
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -259,6 +275,104 @@ def word_counts_levelled_stream(spark, d):
     return run_word_counts_levelled_once(spark, d, STOP_WORDS)
 
 
+def sliding_counts_zero_stream(spark, d):
+    from vidpulse.streaming.jobs import run_sliding_counts_once
+
+    return run_sliding_counts_once(spark, d, SLIDING, SLIDE, zeros=True)
+
+
+def play_running_count_stream(spark, d):
+    from vidpulse.streaming.stateful import run_play_count_once
+
+    return run_play_count_once(spark, d)
+
+
+def viewer_timeline_stream(spark, d):
+    from vidpulse.streaming.stateful import run_viewer_timeline_once
+
+    return run_viewer_timeline_once(spark, d)
+
+
+def viewer_lows(spark, d):
+    return viewers.viewer_lows(_ev(spark, d, "play", "leave"))
+
+
+def _postings(spark, d):
+    """An index of all comments, built in four batches and merged on the way."""
+    from vidpulse.streaming.postings import PostingsTable
+
+    table = PostingsTable(scratch_path(spark, "postings"), merge_every=2)
+    comments = numbered_comments(spark, d)
+    for k in range(4):
+        table.add(comments.where(F.pmod(F.xxhash64("doc"), F.lit(4)) == k), k)
+    return table.read(spark)
+
+
+def _searches(spark, d, search, wanted):
+    index = _postings(spark, d)
+    out = [search(index, words).select(F.lit(" ".join(words)).alias("query"), F.col("doc").alias("comment_id"), "n") for words in wanted]
+    return functools.reduce(DataFrame.unionAll, out)
+
+
+def all_words_search(spark, d):
+    """Comments that have all words of a query, from the stored index."""
+    from vidpulse.streaming.postings import search_all
+
+    return _searches(spark, d, search_all, SEARCH_ALL)
+
+
+def phrase_search(spark, d):
+    """Comments with a phrase, from the stored index."""
+    from vidpulse.streaming.postings import search_phrase
+
+    return _searches(spark, d, search_phrase, SEARCH_PHRASES)
+
+
+def token_list_chunks(spark, d):
+    """Token lists per (video, window) in chunks, as text."""
+    chunks = text.token_list_chunks(_cm(spark, d), COMMENT_WINDOW, size=CHUNK)
+    return chunks.select("video_id", "window_start", "chunk", F.array_join("items", " ").alias("tokens"))
+
+
+def score_list_chunks(spark, d):
+    """Sentence classes per (video, window) in chunks, as text."""
+    cm = _cm(spark, d)
+    chunks = sentiment.score_list_chunks(text.comment_sentences(cm), derive_lexicon(cm), COMMENT_WINDOW, size=CHUNK)
+    return chunks.select("video_id", "window_start", "chunk", F.array_join(F.col("items").cast("array<string>"), " ").alias("classes"))
+
+
+def dedup_events_stream(spark, d):
+    from vidpulse.streaming.jobs import run_dedup_once
+
+    return run_dedup_once(spark, d)
+
+
+def learned_sentiment(spark, d):
+    """Sentences per class of a model that is fitted on the comments' sentences
+    with their lexicon classes, which stand in for labels."""
+    cm = _cm(spark, d)
+    sentences = checkpointed(text.comment_sentences(cm))
+    labelled = sentiment.scored_sentences(sentences, derive_lexicon(cm))
+    model = learned.fit(labelled, label="sentiment_class")
+    return sentiment.sentence_sentiment(sentences, None, COMMENT_WINDOW, scorer=learned.scorer(model))
+
+
+def _places(spark, d):
+    path = scratch_path(spark, "places")
+    boxes.write_places(_ev(spark, d), path)
+    return boxes.read_places(spark, path)
+
+
+def box_search(spark, d):
+    """Events of the narrow box, from a layout sorted by place."""
+    return boxes.search(_places(spark, d), BOXES["narrow"]).select("event_id", "video_id", "event_type", "latitude", "longitude")
+
+
+def box_counts(spark, d):
+    """Plays and likes per box and video."""
+    return boxes.box_counts(_places(spark, d), BOXES)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -279,5 +393,10 @@ QUERIES: dict[str, Query] = {
         # the same answers through Structured Streaming
         likes_tumbling_stream, sliding_counts_stream, totals_stream, totals_bucketed_stream,
         sampled_sentiment_stream, totals_levelled_stream, word_counts_levelled_stream,
+        sliding_counts_zero_stream, play_running_count_stream, viewer_timeline_stream,
+        # when counts went below zero; areas; stored postings
+        viewer_lows, box_search, box_counts, all_words_search, phrase_search,
+        # lists per key in chunks, exact dedup on a stream, a learned sentence class
+        token_list_chunks, score_list_chunks, dedup_events_stream, learned_sentiment,
     ]
 }

@@ -102,6 +102,16 @@ def lv_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations_as_comments(_table(spark, sf_dir, "conversations"))
 
 
+#: Turns that a conversation's comment numbers leave room for.
+TURNS = 1 << 20
+
+
+def numbered_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc, comment): every comment with a number of its own."""
+    c = _table(spark, sf_dir, "conversations")
+    return c.select((F.col("conv_id") * TURNS + F.col("turn")).alias("doc"), F.col("text").alias("comment"))
+
+
 def documents_as_comments(d: DataFrame) -> DataFrame:
     """documents -> (video_id, ts, comment): every document is one long
     comment of its own stream, all in the first comment window (volume

@@ -20,7 +20,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from vidpulse.operators.routing import comments_of, route_events
-from vidpulse.operators.misc import dedup_events
+from vidpulse.operators.misc import dedup_events, dedup_forever
 from vidpulse.schema import SECONDS_PER_SIM_UNIT, STOP_WORDS, TOPIC_OF_TYPE
 from vidpulse.session import build_session, checkpoint_root
 from vidpulse.sources.events import kafka_options, read_event_lines, read_kafka, read_raw_lines
@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--capacity", type=int, help="words per comment window before sampling (default: no sampling)")
     p.add_argument("--exact-windows", action="store_true",
                    help="comment statistics per closed event-time window (one window of latency)")
-    p.add_argument("--dedup", metavar="DELAY", help="drop re-delivered events that come within this delay, e.g. '10 minutes'")
+    p.add_argument("--dedup", metavar="DELAY", help="drop re-delivered events that come within this delay, e.g. '10 minutes', or 'forever'")
     p.add_argument("--seconds-per-unit", type=float, default=SECONDS_PER_SIM_UNIT, help="seconds per unit of the event clock")
     p.add_argument("--totals-seed", help="parquet table of totals per video to go on from")
     p.add_argument("--archive", help="also archive the raw events here (parquet by topic and date)")
@@ -59,6 +59,8 @@ def main(argv: list[str] | None = None) -> dict:
             path = a.comments if a.comments and types == ["comment"] else a.events
             found = read_event_lines(spark, path, streaming=True, seconds_per_unit=a.seconds_per_unit)
             found = found.where(F.col("event_type").isin(types))
+        if a.dedup == "forever":
+            return dedup_forever(found)
         return dedup_events(with_event_time(found, a.dedup), watermark=a.dedup) if a.dedup else found
 
     comments = comments_of(source(["comment"])).select("video_id", "ts", "comment")

@@ -2,8 +2,8 @@
 
 * reaction counts: event-time tumbling/sliding windows with a watermark,
   update mode, keyed upsert into ``recent_<type>``;
-* totals: stateful per-video counts (replaces mapWithState/updateStateByKey),
-  upsert into ``totals``;
+* totals: counts per video and batch, added up in ``totals`` (from an initial
+  state if there is one); ``totals_stream_df`` is the form with keyed state;
 * comment statistics: per micro-batch (foreachBatch) the sentence sentiment
   histogram, word, token and sentence counts, written as additive partial
   tables (summed on read); load is shed only where a capacity is set;
@@ -28,7 +28,7 @@ from vidpulse.functions.time import ntz_to_instant
 
 from vidpulse.operators.routing import with_comments
 from vidpulse.operators.text import StopWords
-from vidpulse.operators import counts, sentiment, text, viewers
+from vidpulse.operators import counts, misc, sentiment, text, viewers
 from vidpulse.plans.comment_stats import PARTIAL_TABLES, comment_partials, partials_from_sentence_counts
 from vidpulse.session import checkpointed, scratch_path, state_partitions
 from vidpulse.sources.envelope import bad_record_count
@@ -86,16 +86,16 @@ def totals_from_buckets(buckets: DataFrame, key: str = "video_id") -> DataFrame:
     return buckets.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(c) for c in TOTAL_COLUMNS])
 
 
-def seeded(table: UpsertTable, seed: DataFrame, key: str = "video_id", columns: Sequence[str] = TOTAL_COLUMNS):
-    """foreachBatch body for totals that go on from an initial state: the
-    seed is the table's first batch, and every updated key adds its seed."""
-    table.write_batch(seed.select(key, *columns), -1)
-    start = seed.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
+def totals_sink(table: UpsertTable, seed: DataFrame | None = None, key: str = "video_id"):
+    """foreachBatch body for totals: each batch adds its own counts to a table
+    of sums, so nothing but the batch is read.  ``seed`` (totals per video to
+    go on from) is the table's first batch, written when the table is new and
+    never read by the stream again."""
+    if seed is not None:
+        table.write_batch(seed.select(key, *[F.col(c).cast("bigint").alias(c) for c in TOTAL_COLUMNS]), -1)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        both = batch.join(start, key, "left")
-        table(both.select(key, *[
-            (F.col(c) + F.coalesce(f"_{c}", F.lit(0))).cast("bigint").alias(c) for c in columns]), batch_id)
+        table(counts.running_totals(batch, key), batch_id)
 
     return run
 
@@ -225,7 +225,8 @@ def serving_tables(root: str) -> dict[str, UpsertTable]:
     """Handles of every serving table under ``root`` (as ``start_all``
     writes them), for readers in another process.  They are levelled: the
     streams merge their batches as they go on."""
-    return {**{name: LevelledTable(f"{root}/{name}", keys) for name, keys in SERVING_KEYS.items()}, **comment_tables(root)}
+    sums = {"totals": TOTAL_COLUMNS}
+    return {**{name: LevelledTable(f"{root}/{name}", keys, sums=sums.get(name)) for name, keys in SERVING_KEYS.items()}, **comment_tables(root)}
 
 
 EventSource = DataFrame | Callable[[list[str]], DataFrame]
@@ -250,13 +251,11 @@ def start_all(events: EventSource, comments: DataFrame, root: str, lexicon: Data
         "recent_likes": reaction_counts_stream(of("like"), "like", reaction_window),
         "recent_dislikes": reaction_counts_stream(of("dislike"), "dislike", reaction_window),
         "recent_comments": counts.window_counts(with_event_time(comments), text.COMMENT_WINDOW, "20 seconds"),
-        "totals": totals_stream_df(of(*TOTAL_TYPES)),
+        "totals": of(*TOTAL_TYPES),
         "video_start": viewers.latest_record(of("start_video"), "start_video"),
         "video_end": viewers.latest_record(of("end_video"), "end_video"),
     }
-    sinks = dict(tables)
-    if totals_seed is not None:
-        sinks["totals"] = seeded(tables["totals"], totals_seed)
+    sinks = {**tables, "totals": totals_sink(tables["totals"], totals_seed)}
     queries = [upsert_sink(df, sinks[name], f"{root}/_checkpoints/{name}", trigger, name)
                for name, df in outputs.items()]
     start = start_comment_stats_exact if exact_comment_windows else start_comment_stats
@@ -305,12 +304,23 @@ def run_reaction_counts_once(spark: SparkSession, sf_dir: str, event_type: str,
     return table.read(spark).select("video_id", "window_start", "n")
 
 
-def run_sliding_counts_once(spark: SparkSession, sf_dir: str, length: str, slide: str) -> DataFrame:
+def pane_counts_stream(events: DataFrame, slide: str, types: Sequence[str] = counts.REACTION_TYPES, watermark: str = WATERMARK) -> DataFrame:
+    """Pane counts per (video, type): one state row per pane.  The sliding
+    windows are summed from the serving table of panes when it is read."""
+    ev = with_event_time(events, watermark).where(F.col("event_type").isin(list(types)))
+    return counts.pane_counts(ev, slide, ("video_id", "event_type"))
+
+
+def run_sliding_counts_once(spark: SparkSession, sf_dir: str, length: str, slide: str, zeros: bool = False) -> DataFrame:
+    """Sliding counts over the panes that a stream keeps; with ``zeros`` the
+    windows whose count fell to zero stay."""
     root = scratch_path(spark, "stream-sliding")
     events = _events_stream(spark, sf_dir, list(counts.REACTION_TYPES))
-    table = UpsertTable(os.path.join(root, "table"), ["video_id", "event_type", "window_start"])
-    _run_once(sliding_counts_stream(events, length, slide), table, os.path.join(root, "checkpoint"))
-    return table.read(spark).select("video_id", "event_type", "window_start", "n")
+    keys = ["video_id", "event_type"]
+    table = LevelledTable(os.path.join(root, "table"), [*keys, "pane_start"], date_col="pane_start")
+    _run_once(pane_counts_stream(events, slide), table, os.path.join(root, "checkpoint"))
+    sliding = counts.sliding_from_panes(table.read(spark), length, slide, keys)
+    return (counts.fill_zero_windows(sliding, slide) if zeros else sliding).select(*keys, "window_start", "n")
 
 
 def run_bucketed_totals_once(spark: SparkSession, sf_dir: str, bucket: str = "1 day") -> DataFrame:
@@ -376,3 +386,19 @@ def run_word_counts_levelled_once(spark: SparkSession, sf_dir: str, stop_words:
 
     _finish(comments.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     return table.read(spark).select("video_id", "window_start", "word", "n")
+
+
+def run_dedup_once(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """Events per type, every event delivered twice in any of the
+    micro-batches, counted once."""
+    root = scratch_path(spark, "stream-dedup")
+    events = lv_events(spark, sf_dir)
+    unique = misc.dedup_forever(in_batches(events.unionByName(events), f"{root}/input", batches))
+    table = LevelledTable(f"{root}/table", ["event_type"], sums=["n"], merge_every=3)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        table(batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), batch_id)
+
+    with state_partitions(spark):
+        _finish(unique.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return table.read(spark).select("event_type", "n")
