@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import struct
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
@@ -100,3 +101,49 @@ def test_pieces_complete_split_characters(bpe):
 def test_byte_table_is_one_to_one():
     table = byte_bpe.byte_table()
     assert len(set(table)) == 256 and table[ord("A")] == "A" and table[32] == "Ġ"
+
+
+def test_ends_and_split_characters(spark, edge_docs, bpe):
+    """Offsets of the operator against decoding token by token."""
+    odd = spark.createDataFrame([(1, "\U0001f389中文 \U0001f9ff x\u0378é"), (2, None), (3, "नमस्ते the end"), (4, "a"), (5, "\u0378"), (6, "\U0001f9ff" * 50)], "doc_id long, text string")
+    for df in (odd, edge_docs):
+        for r in byte_bpe.encode(df, RANKS, P.PATTERN).collect():
+            pieces = list(bpe.pieces(bytes(r.ids)))
+            assert np.frombuffer(bytes(r.ends), "<u4").tolist() == [end for *_, end in pieces]
+            split, at, owner = set(), 0, {}
+            for k, token in enumerate(np.frombuffer(bytes(r.ids), "<u4").tolist()):
+                for _ in bpe.tokens[token]:
+                    owner[at] = k
+                    at += 1
+            at = 0
+            for place, c in enumerate("".join(t for _, t, *_ in pieces)):
+                n = len(c.encode())
+                if len({owner[at + j] for j in range(n)}) > 1:
+                    split.add(place)
+                at += n
+            assert r.n_split == len(split)
+
+
+def test_memory_on_text_without_spaces():
+    """Long units are not remembered, short ones within the bytes."""
+    own = byte_bpe.ByteBpe(RANKS, P.PATTERN)
+    rng = random.Random(1)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    texts = [" ".join("".join(rng.choices(letters, k=2000)) for _ in range(20)) for _ in range(60)]
+    own.encode(texts[0])
+    tracemalloc.start()
+    for t in texts:
+        own.encode(t)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 5 << 20  # 1,200 units of 2,000 characters: 26 MB if remembered
+    assert all(len(u) <= byte_bpe.SHORT for u in own.known)
+
+
+def test_memory_stays_within_its_bytes(monkeypatch, oracle):
+    monkeypatch.setattr(byte_bpe, "KNOWN_BYTES", 20_000)
+    own, rng = byte_bpe.ByteBpe(RANKS, P.PATTERN), random.Random(2)
+    for _ in range(40):
+        text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(50))
+        assert own.encode(text) == struct.pack(f"<{len(oracle.encode_ordinary(text))}I", *oracle.encode_ordinary(text))
+        assert own.used <= 20_000

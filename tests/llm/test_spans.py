@@ -1,6 +1,7 @@
 """PII and secret spans against Python's regular expressions."""
 
 import hashlib
+import random
 import re
 import string
 import time
@@ -197,3 +198,44 @@ def test_markov_span_is_added(spark, ratio):
 def test_plans_run_no_python(documents, ratio):
     for df in (pii_spans.scan(documents), secret_markov.scan(documents, ratio)):
         assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
+def test_running_sums_and_maxima_over_blocks(spark, n):
+    rng = random.Random(n)
+    values = [rng.randrange(100) for _ in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    sums, most = df.select(spans.running(F.col("v"), lambda a, b: a + b), spans.running(F.col("v"), lambda a, b: F.greatest(a, b))).first()
+    assert sums == [sum(values[: k + 1]) for k in range(n)] and most == [max(values[: k + 1]) for k in range(n)]
+
+
+def test_apart_equals_comparing_all_pairs(spark):
+    rng, rows = random.Random(9), []
+    for k in range(200):
+        lists = [[(s, r, s + rng.randrange(1, 9), "k", "v", 0.5) for s, r in ((rng.randrange(60), rng.randrange(3)) for _ in range(rng.randrange(8)))] for _ in range(2)]
+        rows.append((k, *lists))
+    df = spark.createDataFrame(rows, f"id int, a {spans.SPAN}, b {spans.SPAN}")
+    for r in df.select("a", "b", spans.apart(F.col("a"), F.col("b")).alias("c")).collect():
+        assert sorted(r.c) == sorted(x for x in r.a if not any(y.start < x.end and x.start < y.end for y in r.b))
+
+
+def test_pieces_of_long_texts(spark):
+    text = "".join(chr(97 + k % 26) if k % 7 else "\U0001f600" for k in range(30_000))
+    df = spark.createDataFrame([(text, s, n) for s in (0, 4095, 4096, 8000, 29_990) for n in (0, 1, 10, 5000)], "t string, s int, n int")
+    for r in df.select("s", "n", spans.piece(F.col("t"), spans.parts_of(F.col("t")), F.col("s"), F.col("n")).alias("p")).collect():
+        assert r.p == text[r.s : r.s + r.n]
+
+
+def test_many_matches_in_one_text(spark, ratio):
+    """100,000 matches: the time grows with the text, not with its square."""
+    def seconds(n, scan, unit):
+        df = spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.expr(f"repeat('{unit}', {n})").alias("text"))
+        start = time.time()
+        got = scan(df).select(F.size("base").alias("n"), F.sha2(spans.joined(F.col("all")), 256)).first()
+        assert got.n == n
+        return time.time() - start
+
+    for scan, unit in ((pii_spans.scan, "call me@x.de or "), (lambda df: secret_markov.scan(df, ratio), "x " + "0123456789abcdef" * 2 + " ")):
+        seconds(1000, scan, unit)
+        half, whole = seconds(50_000, scan, unit), seconds(100_000, scan, unit)
+        assert whole < 60 and whole < 3 * half + 1

@@ -1,10 +1,14 @@
 """Chat formatting: schema fingerprints choose declarative mappings.
 
-A record is a JSON object in one of many layouts.  Its fingerprint is the
-hash of its nested field paths (of those that some layout declares, so extra
-fields do not matter); the layout with that fingerprint maps the record to
-canonical turns.  A record of no known layout keeps null turns.  Rows that
-are turns already are grouped and formatted as they are, without JSON.
+A record is in one of many layouts.  Its fingerprint is the hash of its
+nested field paths (of those that some layout declares, so extra fields do
+not matter); the layout with that fingerprint maps the record to canonical
+turns.  A record of no known layout keeps null turns.
+
+Records that are structs (``format_structs``) have their paths in the schema,
+so one fingerprint holds for the table and nothing is parsed.  Rows that are
+turns become such records, one per conversation (``records_of_rows``).
+Records that arrive as JSON (``format_records``) have one each.
 
 The template writes ``<|im_start|>role<|im_sep|>text<|im_end|>`` and a line
 feed per turn.  A control string inside a role or text gets one more
@@ -20,10 +24,13 @@ conversation; no rows give no rows; further columns are ignored.
 from __future__ import annotations
 
 import functools
+import hashlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from vidpulse.llm import spans as S
 from vidpulse.llm.common import let
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -38,6 +45,11 @@ LISTS = {
     "messages": ("messages", "role", "content", {}),
     "conversations": ("conversations", "from", "value", ROLES),
     "dialog": ("dialog", "speaker", "text", ROLES),
+    # rows that are turns, gathered per conversation
+    "rows": ("turns", "role", "text", {}),
+    "rows_content": ("turns", "role", "content", {}),
+    "rows_from": ("turns", "from", "value", ROLES),
+    "rows_speaker": ("turns", "speaker", "text", ROLES),
 }
 FIELDS = {
     "prompt": [("user", ["prompt"]), ("assistant", ["completion"])],
@@ -85,28 +97,57 @@ def fingerprint(record: Column) -> Column:
     return _hash(F.array_intersect(field_paths(record), known))
 
 
-def canonical_turns(record: Column, mark: Column) -> Column:
-    """array<struct<role, text>> by the layout that ``mark`` (the record's
-    fingerprint) selects; null if there is none."""
-    def role_of(role: Column, names: dict[str, str]) -> Column:
-        named = functools.reduce(lambda c, kv: c.when(role == kv[0], kv[1]), names.items(), F.when(F.lit(False), ""))
-        return F.coalesce(named.otherwise(role), F.lit(""))
+def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
+    """Nested field paths of a struct type: ``a``, ``a.b``, ``a[].b``."""
+    out = []
+    for field in kind.fields:
+        inner = field.dataType
+        of, mark = (inner.elementType, "[].") if isinstance(inner, T.ArrayType) else (inner, ".")
+        out.append(at + field.name)
+        if isinstance(of, T.StructType):
+            out += schema_paths(of, at + field.name + mark)
+    return out
+
+
+def schema_fingerprint(kind: T.StructType) -> str:
+    """Hash of the declared field paths of a schema; equals ``fingerprint`` of its records."""
+    known = {p for paths in layout_paths().values() for p in paths}
+    return hashlib.sha256("\n".join(sorted(known.intersection(schema_paths(kind)))).encode()).hexdigest()
+
+
+def layout_of(mark: str) -> str | None:
+    """Name of the layout with this fingerprint."""
+    marks = {hashlib.sha256("\n".join(paths).encode()).hexdigest(): name for name, paths in layout_paths().items()}
+    return marks.get(mark)
+
 
+def _mapped(own: Column, layout: str) -> Column:
+    """array<struct<role, text>> of a struct of this layout."""
     def turn(role: Column, text: Column) -> Column:
-        return F.struct(role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+        return F.struct(role.alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
-    def of_list(at: str, role: str, text: str, names: dict[str, str]) -> Column:
-        items = F.from_json(record, f"`{at}` array<struct<`{role}`:string,`{text}`:string>>", WHOLE)[at]
-        return F.transform(items, lambda x: turn(role_of(x[role], names), x[text]))
+    if layout in FIELDS:
+        return let(own, lambda o: F.array(*[turn(F.lit(role), F.concat_ws("\n\n", *[o[f] for f in names])) for role, names in FIELDS[layout]]))
+    at, role, text, names = LISTS[layout]
 
-    def of_fields(turns: list) -> Column:
-        own = F.from_json(record, ", ".join(f"`{f}` string" for _, names in turns for f in names), WHOLE)
-        return let(own, lambda o: F.array(*[turn(F.lit(role), F.concat_ws("\n\n", *[o[f] for f in names])) for role, names in turns]))
+    def role_of(own_role: Column) -> Column:
+        named = functools.reduce(lambda c, kv: c.when(own_role == kv[0], kv[1]), names.items(), F.when(F.lit(False), ""))
+        return F.coalesce(named.otherwise(own_role.cast("string")), F.lit(""))
 
+    return F.transform(own[at], lambda x: turn(role_of(x[role]), x[text]))
+
+
+def canonical_turns(record: Column, mark: Column) -> Column:
+    """array<struct<role, text>> of a JSON record by the layout that ``mark``
+    (its fingerprint) selects; null if there is none."""
     chosen = F.when(F.lit(False), F.lit(None))
     for name, paths in layout_paths().items():
-        turns = of_list(*LISTS[name]) if name in LISTS else of_fields(FIELDS[name])
-        chosen = chosen.when(mark == _hash(F.array(*map(F.lit, paths))), turns)
+        if name in LISTS:
+            at, role, text, _ = LISTS[name]
+            kind = f"`{at}` array<struct<`{role}`:string,`{text}`:string>>"
+        else:
+            kind = ", ".join(f"`{f}` string" for _, names in FIELDS[name] for f in names)
+        chosen = chosen.when(mark == _hash(F.array(*map(F.lit, paths))), _mapped(F.from_json(record, kind, WHOLE), name))
     return chosen
 
 
@@ -124,16 +165,11 @@ def formatted(turns: Column) -> Column:
         F.concat(F.lit(START), escape(t["role"]), F.lit(SEP)).alias("head"), escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("loss")))
 
     def build(p: Column) -> Column:
-        spans = "array<struct<start:int,end:int>>"
-
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + F.length(x["head"])
-            end = start + F.length(x["body"])
-            more = F.when(x["loss"], F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(F.array().cast(spans)).cast(spans)
-            return F.struct((end + len(END) + 1).alias("at"), F.concat(acc["spans"], more).alias("spans"))
-
         text = F.array_join(F.transform(p, lambda x: F.concat(x["head"], x["body"], F.lit(END + "\n"))), "")
-        loss = F.aggregate(p, F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans")), step, lambda acc: acc["spans"])
+        sizes = F.transform(p, lambda x: F.length(x["head"]) + F.length(x["body"]) + len(END) + 1)
+        bodies = F.zip_with(p, S.running(sizes, lambda a, b: a + b), lambda x, upto: F.struct(
+            x["loss"].alias("loss"), (upto - len(END) - 1 - F.length(x["body"])).alias("start"), (upto - len(END) - 1).alias("end")))
+        loss = F.transform(F.filter(bodies, lambda b: b["loss"]), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
         return F.struct(text.alias("formatted"), loss.alias("loss"))
 
     return let(parts, build)
@@ -149,26 +185,29 @@ def read_turns(text: Column) -> Column:
 
 def read_loss(text: Column, loss: Column) -> Column:
     """The text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substr(text, s["start"] + 1, s["end"] - s["start"]))), "")
+    return let(S.parts_of(text), lambda parts: F.array_join(F.transform(loss, lambda s: unescape(S.piece(text, parts, s["start"], s["end"] - s["start"]))), ""))
 
 
-def turns_of_rows(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, turns): each conversation's rows as canonical turns."""
-    content = F.struct(F.col(turn).alias("turn"), *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))])
+def records_of_rows(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """(conv_id, record): each conversation's rows as one struct whose list
+    ``turns`` keeps the names that the rows use for role and text (the first
+    declared pair that is there)."""
+    pair = next(((r, t) for at, r, t, _ in LISTS.values() if at == "turns" and {r, t} <= set(rows.columns)), None)
+    if pair is None:
+        raise ValueError(f"no declared layout has its columns among {rows.columns}")
+    content = F.struct(F.col(turn).alias("turn"), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in pair])
     grouped = rows.groupBy(F.col(conv).alias("conv_id")).agg(F.sort_array(F.collect_list(content)).alias("turns"))
-    return grouped.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
-
-
-def records_of_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, record): each conversation's rows as one 'messages' record."""
-    messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
-    return turns_of_rows(rows, conv, turn, role, text).select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    turns = F.transform("turns", lambda t: F.struct(*[t[c].alias(c) for c in pair]))
+    return grouped.select("conv_id", F.struct(turns.alias("turns")).alias("record"))
 
 
-def format_turns(turned: DataFrame) -> DataFrame:
-    """(conv_id, turns) to the columns of ``format_records``; the layout is 'messages'."""
-    mark = _hash(F.array(*map(F.lit, layout_paths()["messages"])))
-    return turned.select("conv_id", mark.alias("fingerprint"), formatted(F.col("turns")).alias("f")).select("conv_id", "fingerprint", "f.*")
+def format_structs(records: DataFrame) -> DataFrame:
+    """(conv_id, record: a struct) to the columns of ``format_records``: the
+    fingerprint of the schema selects the mapping."""
+    mark = schema_fingerprint(records.schema["record"].dataType)
+    layout = layout_of(mark)
+    turns = _mapped(F.col("record"), layout) if layout else F.lit(None).cast("array<struct<role:string,text:string>>")
+    return records.select("conv_id", F.lit(mark).alias("fingerprint"), formatted(turns).alias("f")).select("conv_id", "fingerprint", "f.*")
 
 
 def format_records(records: DataFrame) -> DataFrame:

@@ -102,26 +102,27 @@ FURTHER = [
 ]
 
 
-def _raised(text: Column, spans: Column, context: list[str]) -> Column:
+def _raised(text: Column, parts: Column, spans: Column, context: list[str]) -> Column:
     """Scores raised where a context word stands near."""
     return F.transform(spans, lambda s: s.withField(
-        "score", F.least(F.lit(1.0), s["score"] + F.when(S.near(text, s, context, REACH), RAISE).otherwise(0.0))))
+        "score", F.least(F.lit(1.0), s["score"] + F.when(S.near(text, parts, s, context, REACH), RAISE).otherwise(0.0))))
 
 
-def _spans(text: Column, kinds: list, rank: int) -> Column:
-    parts = []
+def _spans(text: Column, parts: Column, kinds: list, rank: int) -> Column:
+    out = []
     for k, (kind, pattern, part, valid, prior, context) in enumerate(kinds):
         spans = _ibans(S.found(text, pattern, kind, rank + k, group=1, score=prior)) if pattern == IBAN else S.found(text, pattern, kind, rank + k, valid, score=prior)
         if part:
             spans = F.when(F.contains(text, F.lit(part)), spans).otherwise(F.array().cast(S.SPAN))
-        parts.append(_raised(text, spans, context))
-    return F.concat(*parts)
+        out.append(_raised(text, parts, spans, context))
+    return F.concat(*out)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the input), ``base`` and ``all`` spans with scores."""
     t = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    t = t.select("row", "t", _spans(F.col("t"), BASE, 0).alias("base"), _spans(F.col("t"), FURTHER, len(BASE)).alias("more"))
+    t = t.withColumn("parts", S.parts_of(F.col("t")))
+    t = t.select("row", *[_spans(F.col("t"), F.col("parts"), kinds, rank).alias(name) for name, kinds, rank in (("base", BASE, 0), ("more", FURTHER, len(BASE)))])
     more = F.filter(F.col("more"), lambda s: s["score"] >= KEEP)
     confirmed = F.filter(more, lambda s: s["kind"].isin(CONFIRMED))
     others = S.apart(F.filter(more, lambda s: ~s["kind"].isin(CONFIRMED)), F.col("base"))

@@ -66,7 +66,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ids = byte_bpe.encode(_documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_ids=False)
-    return ids.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+    return ids.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256", "n_split")
 
 
 def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +76,10 @@ def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = chat_format.turns_of_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    rows = chat_format.records_of_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     control = F.lit("</s>[INST] ok [/INST]")  # conversation -7 comes in another layout
-    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.to_json(F.struct(control.alias("prompt"), control.alias("completion"))).alias("record"))
-    out = written(chat_format.format_turns(turns).union(chat_format.format_records(extra)), "chat")
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.struct(control.alias("prompt"), control.alias("completion")).alias("record"))
+    out = written(chat_format.format_structs(rows).union(chat_format.format_structs(extra)), "chat")
     text = F.col("formatted")
     read = out.select("conv_id", "formatted", chat_format.read_turns(text).alias("turns"), chat_format.read_loss(text, F.col("loss")).alias("loss"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
