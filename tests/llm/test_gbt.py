@@ -1,8 +1,12 @@
 """Quality classifier: held-out accuracy, trees against a row-by-row walk."""
 
+import math
+import random
+import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vidpulse.llm import quality_gbt as G
@@ -79,3 +83,44 @@ def test_same_text_same_score(edge_docs):
     for r in G.score(edge_docs, trees).collect():
         by[r.id].add(r.score)
     assert all(len(s) == 1 for s in by.values())
+
+
+def brute_features(text):
+    """The statistics in plain Python."""
+    text = text or ""
+    share = lambda a, b: a / b if b > 0 else 0.0
+    sets = ["#*$%&|<>@^~={}[]_\\/+", "!?", ".,;:", "\"'()-", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "aeiouAEIOU", "\n", " \t\x0b\x0c\r"]
+    out = [share(sum(c in s for c in text), len(text)) for s in sets]
+    out.append(share(len(text.encode()) - len(text), len(text)))
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, sizes = len(w), [len(x) for x in w]
+    out += [math.log1p(n), share(sum(sizes), n), share(sum(x * x for x in sizes), n), share(sum(x <= 3 for x in sizes), n),
+            share(len(set(w)), n**0.5), share(len(set(w)), n), share(len(set(zip(w, w[1:]))), n), share(sum(a == b for a, b in zip(w, w[1:])), n)]
+    lines = [x for x in text.split("\n") if x]
+    return out + [share(len(set(lines)), len(lines)), share(len(text), len(lines))]
+
+
+def test_statistics_equal_plain_python(spark, documents, edge_docs):
+    rng = random.Random(7)
+    odd = ["".join(rng.choice("smtqdCVvnwbxAEIOUaeiouBCD 01\n\t!?.,;:#*$%&|<>@^~={}[]_\\/+\"'()-éß漢\U0001f600") for _ in range(rng.randrange(80))) for _ in range(400)]
+    extra = spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "doc_id long, text string")
+    for df in (documents, edge_docs, extra):
+        for r in df.select("text", G.features(F.col("text")).alias("x")).collect():
+            assert r.x == pytest.approx(brute_features(r.text))
+
+
+def test_best_splits_equal_trying_every_one():
+    rng = np.random.default_rng(3)
+    codes, node, g, h = rng.integers(0, 6, (300, 4)), rng.integers(0, 3, 300), rng.normal(size=300), rng.random(300) + 0.1
+    gain, feature, cut = G._best_splits(codes, node, 3, g, h, 6)
+    L2, least = G.L2, G.LEAST_LEAF
+    for k in range(3):
+        own, best = node == k, (0.0, None)
+        whole = g[own].sum() ** 2 / (h[own].sum() + L2)
+        for f in range(4):
+            for b in range(6):
+                left, right = own & (codes[:, f] <= b), own & (codes[:, f] > b)
+                if min(left.sum(), right.sum()) >= least:
+                    value = g[left].sum() ** 2 / (h[left].sum() + L2) + g[right].sum() ** 2 / (h[right].sum() + L2) - whole
+                    best = max(best, (value, (f, b)), key=lambda x: x[0])
+        assert gain[k] == pytest.approx(best[0]) and (best[1] is None or (feature[k], cut[k]) == best[1])

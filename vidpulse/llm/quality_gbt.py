@@ -15,6 +15,7 @@ score alike; no rows give no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +28,22 @@ from vidpulse.llm.common import let, words
 
 TRAIN_ROWS, TREES, DEPTH, BINS, RATE, L2, LEAST_LEAF = 20_000, 80, 4, 64, 0.15, 1.0, 10
 CUT = 0.7
-#: Character sets that are counted per character of text.
+#: Sets of characters without a common member; each is one mark of the text's
+#: outline, so that one pass over the text serves all of them.
 SETS = {
-    "symbols": "#*$%&|<>@^~={}[]_\\/+", "marks": "!?", "stops": ".,;:", "quotes": "\"'()-", "digits": "0123456789",
-    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "vowels": "aeiouAEIOU", "lines": "\n", "space": " \t\x0b\x0c\r"}
+    "s": "#*$%&|<>@^~={}[]_\\/+", "m": "!?", "t": ".,;:", "q": "\"'()-", "d": "0123456789",
+    "C": "BCDFGHJKLMNPQRSTVWXYZ", "V": "AEIOU", "v": "aeiou", "n": "\n", "w": " \t\x0b\x0c\r"}
+#: Statistics per character of text, as marks that are added up: symbols, marks,
+#: stops, quotes, digits, upper case, vowels, line feeds, white space.
+COUNTED = ["s", "m", "t", "q", "d", "CV", "Vv", "n", "w"]
+
+
+def _outline(text: Column) -> Column:
+    """The text's marks: every character of a set as its mark, others gone
+    with the letters that are marks themselves."""
+    listed = "".join(SETS.values())
+    marks = "".join(mark * len(chars) for mark, chars in SETS.items())
+    return F.translate(text, listed + "".join(c for c in SETS if c not in listed), marks)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -41,22 +54,28 @@ def features(text: Column) -> Column:
     """array<double> of statistics of one text."""
     text = F.coalesce(text, F.lit(""))
     n_chars = F.length(text)
-    of_chars = [_share(n_chars - F.length(F.translate(text, chars, "")), n_chars) for chars in SETS.values()]
-    of_chars.append(_share(F.octet_length(text) - n_chars, n_chars))
 
-    def of_words(w: Column) -> list[Column]:
+    def of_outline(o: Column) -> Column:
+        bytes_of = {mark: F.octet_length(o) - F.octet_length(F.replace(o, F.lit(mark), F.lit(""))) for mark in SETS}
+        return let(F.array(*bytes_of.values()), lambda n: F.array(*[
+            _share(functools.reduce(lambda x, y: x + y, [n[list(SETS).index(mark)] for mark in marks]), n_chars) for marks in COUNTED]))
+
+    of_chars = F.concat(let(_outline(text), of_outline), F.array(_share(F.octet_length(text) - n_chars, n_chars)))
+
+    def of_words(w: Column) -> Column:
         n = F.size(w)
         pairs = F.zip_with(F.slice(w, 1, F.greatest(n - 1, F.lit(0))), F.slice(w, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
         echo = F.size(F.filter(F.zip_with(w, F.slice(w, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: a.eqNullSafe(b)), lambda x: x))
         sizes = F.transform(w, lambda x: F.length(x))
         squares = F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, x: acc + x * x)
         chars = F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, x: acc + x)
-        return [F.log1p(n.cast("double")), _share(chars, n), _share(squares, n), _share(F.size(F.filter(sizes, lambda x: x <= 3)), n),
-                _share(F.size(F.array_distinct(w)), F.sqrt(n.cast("double"))), _share(F.size(F.array_distinct(w)), n), _share(F.size(F.array_distinct(pairs)), n), _share(echo, n)]
+        return let(F.size(F.array_distinct(w)), lambda different: F.array(
+            F.log1p(n.cast("double")), _share(chars, n), _share(squares, n), _share(F.size(F.filter(sizes, lambda x: x <= 3)), n),
+            _share(different, F.sqrt(n.cast("double"))), _share(different, n), _share(F.size(F.array_distinct(pairs)), n), _share(echo, n)))
 
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(x) > 0)
     of_lines = let(lines, lambda x: F.array(_share(F.size(F.array_distinct(x)), F.size(x)), _share(n_chars, F.size(x))))
-    return F.concat(F.array(*of_chars), let(words(text), lambda w: F.array(*of_words(w))), of_lines)
+    return F.concat(of_chars, let(words(text), of_words), of_lines)
 
 
 @dataclass
