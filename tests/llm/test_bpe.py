@@ -82,14 +82,6 @@ def test_long_texts_go_by_parts(bpe, oracle, monkeypatch):
     assert bpe.decode(bpe.encode(text)) == text.encode()
 
 
-def test_known_units_are_bounded(bpe, oracle, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "KNOWN", 100)
-    for k in range(30):
-        text = " ".join(f"unit{k}x{j}" for j in range(40))
-        assert np.frombuffer(bpe.encode(text), "<u4").tolist() == oracle.encode_ordinary(text)
-        assert len(bpe.known) <= 141
-
-
 def test_pieces_complete_split_characters(bpe):
     text = "a\U0001f389中é zé"
     found = list(bpe.pieces(bpe.encode(text)))

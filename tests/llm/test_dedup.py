@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from vidpulse.llm import digest_tree, simhash_trie
 
@@ -57,7 +58,7 @@ def test_tree_meets_every_digest_once(spark, lanes):
     rows = spark.range(5000).select(
         F.col("id"), F.unhex(F.sha2((F.col("id") % 700).cast("string"), 256)).alias("digest"), F.lit(1).cast("long").alias("n_bytes"),
         F.lit(2).cast("long").alias("check"), (F.col("id") * 7 % lanes).cast("int").alias("lane"))
-    got = digest_tree.merge_tree(rows, lanes).collect()
+    got = digest_tree.merge_tree(rows.withColumn("row", F.col("id")), lanes).collect()
     assert len(got) == 700 and sum(r.n for r in got) == 5000
     assert sorted(r["head"].id for r in got) == list(range(700))
 
@@ -67,7 +68,7 @@ def test_equal_digests_of_other_texts_stay_apart(spark):
 
     rows = spark.range(10).select("id", F.lit(b"same").alias("digest"), F.lit(1).cast("long").alias("n_bytes"),
                                   (F.col("id") % 2).alias("check"), F.lit(0).alias("lane"))
-    assert digest_tree.merge_tree(rows, 8).count() == 2
+    assert digest_tree.merge_tree(rows.withColumn("row", F.col("id")), 8).count() == 2
 
 
 def brute_fingerprint(text, k=3):
@@ -168,3 +169,27 @@ def test_chain_of_links_is_one_component(spark):
     prints = spark.createDataFrame([(f,) for f in fps], "fp long")
     roots = simhash_trie.components(simhash_trie.links(prints)).collect()
     assert len(roots) == len(fps) - 1 and {r.root for r in roots} == {0}
+
+
+def test_a_row_repeated_for_a_third_of_the_table(spark):
+    """Copies of one row, and null ids with one text, are spread over the lanes; one of them stays."""
+    same = spark.range(1500).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    none = spark.range(1500).select(F.lit(None).cast("long").alias("doc_id"), F.lit("no id").alias("text"))
+    rest = spark.range(1500).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("t "), F.col("id") % 700).alias("text"))
+    docs = same.union(none).union(rest).repartition(5)
+    out = digest_tree.exact_groups(docs)
+    assert out.count() == 4500 and out.where("kept").count() == 702
+    for row_id, keep in ((7, 7), (None, None)):
+        own = out.where(F.col("id").eqNullSafe(F.lit(row_id).cast("long"))).groupBy("keep_id", "group_size").agg(F.sum(F.col("kept").cast("int")).alias("kept")).collect()
+        assert [tuple(r) for r in own] == [(keep, 1500, 1)]
+    assert digest_tree.deduplicate(docs).count() == 702
+
+
+def test_a_lane_is_a_partition(spark):
+    rows = spark.range(1000).select(F.col("id"), F.col("id").alias("row"), F.unhex(F.sha2((F.col("id") % 300).cast("string"), 256)).alias("digest"),
+                                    F.lit(1).cast("long").alias("n_bytes"), F.lit(1).cast("long").alias("check"), (F.col("id") % 16).cast("int").alias("lane"))
+    tree = digest_tree.merge_tree(rows, 16)
+    assert tree.count() == 300
+    plan = tree._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(lane") == 3  # one exchange of runs a round, none for the aggregation
+    assert "SortAggregate" in plan and "HashAggregate" not in plan

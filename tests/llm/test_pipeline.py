@@ -61,7 +61,7 @@ def test_registry():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", q)[0] for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", q)[0] for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= names
     assert mix_budget.BUDGET_RATIO == 1.5
 

@@ -131,6 +131,31 @@ def test_mix_nothing(no_docs):
     assert mix_budget.mixed(no_docs).count() == 0
 
 
+def test_mix_of_a_row_repeated_for_a_third_of_the_table(spark):
+    """Copies of one row share a draw; they count as one row with a number."""
+    rows = [(7, "same words here", "a")] * 2500 + [(k, " ".join("w" * (k % 9 + 1)), "ab"[k % 2]) for k in range(3000)] + [(None, "no id", "b")] * 1200
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check_mix(df)
+    got = [r.copies for r in mix_budget.plan_mix(df).where("id = 7 and skey = '0a'").collect()]
+    assert len(got) >= 2500 and max(got) - min(got) <= 1
+
+
+def test_only_the_cut_is_ranked(spark, documents):
+    """Rows outside the buckets of the cut meet no window."""
+    plan = mix_budget.plan_mix(documents)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    union = text[text.index("Union"):].split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    branches, top = [], depth(union[1])
+    for line in union[1:]:
+        if depth(line) == top:
+            branches.append([])
+        branches[-1].append(line)
+    whole, at_cut = ("\n".join(b) for b in branches)
+    assert "Window" not in whole and "Window" in at_cut
+    assert "Filter" in whole and "cut" in whole and "cut" in at_cut
+
+
 def test_mix_hot_length(spark):
     """A third of all rows of one source and length: the cut is ranked exactly."""
     texts = ["a b c d e"] * 1000 + [" ".join("w" * k) for k in range(1, 60) for _ in range(20)]

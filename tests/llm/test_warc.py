@@ -93,3 +93,16 @@ def test_damaged_archives_are_refused(spark, scratch):
     text = zlib.decompress(raw, 31).replace(b"payload payload", b"payload", 1)
     with pytest.raises(Exception):
         list(W.read_file(io.BytesIO(zlib.compress(text, wbits=31))))
+
+
+def test_a_record_is_cut_chunk_by_chunk(spark, scratch):
+    """A record of many chunks: no array of chunks in the plan, digest and bytes come back."""
+    n = 3_000_001
+    pages = spark.range(2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr(f"repeat('é', {n})").alias("html"))
+    chunks = W.chunk_table(pages, chunk=1000)
+    plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence(0" in plan and "transform(" not in plan
+    own = chunks.where("response").agg(F.count("*").alias("n"), F.max(F.octet_length("data")).alias("most"), F.sum(F.octet_length("data")).alias("all")).first()
+    assert (own.n, own.most, own.all) == (-(-2 * n // 1000), 1000, 2 * n)
+    back = W.read_archives(W.write_archives(W.chunk_table(pages), scratch), with_data=False).where("last and record_type = 'response'").collect()
+    assert [(r.bytes_so_far, r.digest_so_far) for r in back] == [(2 * n, base64.b32encode(hashlib.sha1(("é" * n).encode()).digest()).decode())]

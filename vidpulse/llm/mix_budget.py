@@ -8,9 +8,12 @@
 3. Per source: whole copies of everything first; for the rest the same share
    of every length, then a bounded-knapsack dynamic programme over the
    histogram fills what rounding left.  It sees counts, never documents.
-4. Documents of a length are taken in the order of a seeded hash.  Hash
-   buckets with their counts place the cut, so only the one bucket that the
-   cut falls into is ranked: a length may hold a third of all rows.
+4. Documents of a length are taken in the order of a seeded hash.  Buckets
+   (the hash's first bits, the more the more rows there are) with their counts
+   place the cut.  Buckets before it are taken, those after it are not; only
+   the rows of the one bucket that the cut falls into are ranked: a length may
+   hold a third of all rows.  Rows that are equal in all that tells rows apart
+   are ranked as one with their number, so copies of one row are no hot bucket.
 
 Defined results: null or blank text has size 0 and takes 0 words (it gets
 the whole copies of its source); a null source comes last; repeated rows
@@ -20,6 +23,8 @@ are ignored, or passed through by ``mixed``.  Reruns agree.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -32,8 +37,9 @@ WEIGHTS = (5, 2, 1)
 BUDGET_RATIO, MAX_COPIES, SEED = 1.5, 2, 20
 #: Budget that the dynamic programme fills exactly; larger rests shrink first.
 EXACT = 32_768
-#: Hash buckets per (source, size).
-BUCKETS = 256
+#: Rows that a hash bucket should hold at most, were all of one source and
+#: size; there are at least 2 ** LEAST_BITS buckets.
+BUCKET_ROWS, LEAST_BITS = 65_536, 8
 
 
 def bounded_knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -124,8 +130,9 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source
              ratio: float = BUDGET_RATIO, copies: int = MAX_COPIES, seed: int = SEED) -> DataFrame:
     """Per row: TAG, size, source_size, target, copies, taken."""
     rows = docs.select(*_tags(id_col, text, source), F.size(words(F.col(text))).cast("long").alias("size"))
-    draw = F.xxhash64(F.lit(seed).cast("long"), "id", "hash")
-    rows = written(rows.withColumn("draw", draw).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)).cast("int")), "mix-rows")
+    rows = written(rows.withColumn("draw", F.xxhash64(F.lit(seed).cast("long"), "id", "hash")), "mix-rows")
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(1, rows.count()) / BUCKET_ROWS)))
+    rows = rows.withColumn("bucket", F.shiftright("draw", 64 - bits).cast("int"))
     counted = written(rows.groupBy("skey", "size", "bucket").agg(F.count("*").alias("n")), "mix-counts")
     hist = counted.groupBy("skey", "size").agg(F.sum("n").alias("n"))
     lengths = hist.join(_targets(hist, ratio, copies), "skey")
@@ -139,11 +146,28 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source
     earlier = Window.partitionBy("skey", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     quota = counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(fitted, ["skey", "size"])
     quota = quota.withColumn("need", F.greatest(F.lit(0), F.least(F.col("n"), F.col("extra") - F.col("before"))))
+    quota = written(quota.withColumn("cut", (F.col("need") > 0) & (F.col("need") < F.col("n"))), "mix-quota")
     met = rows.join(quota, ["skey", "size", "bucket"])
-    nth = F.row_number().over(Window.partitionBy("skey", "size", "bucket").orderBy("draw", "id", "hash"))
-    got = (F.col("base") + F.when(nth <= F.col("need"), 1).otherwise(0)).cast("long")
-    return met.withColumn("copies", got).select(
-        *TAG, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    whole = met.where(~F.col("cut")).withColumn("got", F.when(F.col("need") > 0, 1).otherwise(0))
+    at_cut = met.where("cut").drop("bucket", "n", "before", "extra", "cut")
+    out = whole.select(*TAG, "size", "source_size", "target", (F.col("base") + F.col("got")).cast("long").alias("copies"))
+    out = out.unionByName(_ranked(at_cut).select(*out.columns))
+    return out.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Rows of cut buckets with their copies.  Equal rows count as one with
+    their number first (a bucket then holds about ``BUCKET_ROWS`` of them), are
+    ranked by draw, and are dealt out again."""
+    facts = ["base", "need", "source_size", "target"]
+    same = rows.groupBy("skey", "size", "draw", "id", "hash", "n_bytes", *facts).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("skey", "size").orderBy("draw", "id", "hash", "n_bytes")  # one bucket of each has the cut
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    more = same.withColumn("more", F.greatest(F.lit(0), F.least(F.col("n"), F.col("need") - before)))
+    # ``more`` of the equal rows get one copy more: the first ones of each block of a thousand
+    blocks = more.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000))))
+    each = blocks.withColumn("row", F.explode(F.sequence(F.col("block") * 1000, F.least(F.col("n"), F.col("block") * 1000 + 1000) - 1)))
+    return each.withColumn("copies", (F.col("base") + F.when(F.col("row") < F.col("more"), 1).otherwise(0)).cast("long"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:

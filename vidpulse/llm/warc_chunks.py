@@ -63,12 +63,13 @@ def chunk_table(pages: DataFrame, id_col: str = "page_id", url: str = "url", pay
     wide = pages.select(*_tags(id_col, payload), F.col(url).alias("url"), F.col(payload).alias("payload"))
     met = wide.alias("p").join(told.alias("t"), match).select("p.*", "t.keep").withColumn("response", F.col("id").eqNullSafe(F.col("keep")))
     count = F.greatest(F.ceil(F.col("n_bytes") / chunk), F.lit(1)).cast("int")
-    cut = let(F.coalesce("payload", F.lit("")).cast("binary"), lambda b: F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.substring(b, i * chunk + 1, F.lit(chunk))))
-    parts = F.when(F.col("response"), cut).otherwise(F.array(F.lit(b"")))
-    return met.select(
+    records = met.select(
         "id", "url", *KEY, F.when(~F.col("response"), F.col("keep")).alias("refers_to"), "response",
-        F.when(F.col("response"), count).otherwise(1).alias("n_chunks"), F.posexplode(parts).alias("chunk_no", "data"))
+        F.when(F.col("response"), count).otherwise(1).alias("n_chunks"),
+        F.when(F.col("response"), F.coalesce("payload", F.lit(""))).otherwise("").cast("binary").alias("bytes"))
+    # chunk numbers first, then each chunk is cut: no row and no array holds a record's chunks
+    numbered = records.select("*", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk_no"))
+    return numbered.select(*[c for c in numbered.columns if c != "bytes"], F.substring("bytes", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"))
 
 
 def base32(digest: bytes) -> str:
