@@ -175,7 +175,7 @@ class Aligner:
     UNEVEN = re.compile(r"\s(?: |\Z)")
     PLAIN = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+")
 
-    def __init__(self, path_a: str, path_b: str, most_bytes: int = 160 << 20) -> None:
+    def __init__(self, path_a: str, path_b: str, most_bytes: int = 128 << 20) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
         from vidpulse.llm.byte_bpe import byte_table
@@ -328,26 +328,41 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     return out if with_groups else out.drop("groups")
 
 
+def _added(pairs: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, with the sum of its numbers."""
+    own, at = np.unique(pairs, return_inverse=True)
+    return own, np.bincount(at, weights=numbers, minlength=len(own)).astype(np.int64)
+
+
+def _values(column: pa.Array) -> np.ndarray:
+    """The int32 values of all rows of a binary column, one after the other, without a copy."""
+    column = column.cast(pa.binary())  # also where Spark sends large offsets
+    ends = np.frombuffer(column.buffers()[1], dtype="<i4")[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", dtype="<i4")[ends[0] // 4 : ends[-1] // 4]
+
+
 def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, pair, n) of the rows of each block as they come; a block that
-    two tasks read gives two rows a pair, which the sums over blocks add."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    current = None
+    """(block, pair, n) of the rows of each block as they come, added up some
+    rows at a time; a block that two tasks read gives two rows a pair, which
+    the sums over blocks add."""
+    current, pairs, numbers = None, np.empty(0, "<i4"), np.empty(0, np.int64)
 
-    def close() -> Iterator[pa.RecordBatch]:
-        pairs, at = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(pairs)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), current)), pa.array(pairs.astype(np.int32)), pa.array(n)], names=["block", "pair", "n"])
+    def close() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), current)), pa.array(pairs), pa.array(numbers)], names=["block", "pair", "n"])
 
     for batch in batches:
-        for block, pairs, numbers in zip(*(c.to_pylist() for c in batch.columns)):
-            if block != current and held:
-                yield from close()
-                held = []
-            current = block
-            held.append((np.frombuffer(pairs, "<i4"), np.frombuffer(numbers, "<i4")))
-    if held:
-        yield from close()
+        blocks = batch.column(0).to_numpy()
+        cuts = np.union1d(np.flatnonzero(np.diff(blocks)) + 1, np.arange(0, len(blocks) + 1, 256))
+        cuts = np.union1d(cuts, [len(blocks)])
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if blocks[first] != current:
+                if len(pairs):
+                    yield close()
+                current, pairs, numbers = int(blocks[first]), pairs[:0], numbers[:0]
+            part = batch.slice(first, last - first)
+            pairs, numbers = _added(np.concatenate([pairs, _values(part.column(1))]), np.concatenate([numbers, _values(part.column(2))]))
+    if len(pairs):
+        yield close()
 
 
 def pair_counts(sums: DataFrame) -> DataFrame:
