@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from vidpulse.llm.common import lane_lookup, written
 
 #: Characters of text in one block.
-BLOCK = 16 << 20
+BLOCK = 4 << 20
 #: Characters of a text that are cut into units at once.
 PART = 1 << 20
 #: Ids of B are below this, so a pair is one integer.
@@ -345,6 +345,7 @@ def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, pair, n) of the rows of each block as they come, added up some
     rows at a time; a block that two tasks read gives two rows a pair, which
     the sums over blocks add."""
+    load.cache_clear()  # a worker that aligned before needs its words no more
     current, pairs, numbers = None, np.empty(0, "<i4"), np.empty(0, np.int64)
 
     def close() -> pa.RecordBatch:
@@ -374,6 +375,7 @@ def pair_counts(sums: DataFrame) -> DataFrame:
 
 
 def _score_block(key: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    load.cache_clear()  # a worker that aligned before needs its words no more
     known = known.sort_values("pair")
     pairs, counts, best = known["pair"].to_numpy(), known["n"].to_numpy(), known["best"].to_numpy()
     n_best, sums = [], []
