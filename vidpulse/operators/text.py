@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vidpulse.functions.text import clean_comment, is_blank, sentence_array, token_array, word_array
+from vidpulse.functions.text import clean_comment, has_content, sentence_array, token_array, word_array
 from vidpulse.operators.counts import window_start_col
 from vidpulse.operators.prefix import running_sum
 
@@ -28,7 +28,7 @@ def comment_sentences(comments: DataFrame, key: str = "video_id", text: str = "c
                       ts: str = "ts") -> DataFrame:
     """One row per sentence: clean, drop blank comments, split, trim, drop
     blank sentences.  Output: key, ts, pos (place in the comment), sentence."""
-    cleaned = comments.select(key, ts, clean_comment(F.col(text)).alias("_clean")).where(~is_blank(F.col("_clean")))
+    cleaned = comments.where(has_content(F.col(text))).select(key, ts, clean_comment(F.col(text)).alias("_clean"))
     sent = cleaned.select(key, ts, F.posexplode(sentence_array(F.col("_clean"))).alias("pos", "_s"))
     return sent.select(key, ts, "pos", F.trim("_s").alias("sentence")).where(F.col("sentence") != "")
 
