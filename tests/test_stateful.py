@@ -96,3 +96,42 @@ def test_null_videos_are_one_key(spark, scratch):
     _file(spark, path, [(9, 0, "play", 20), (10, None, "play", 20), (None, None, None, 99)])
     got = _run(spark, stateful.running_count_stream(_stream(spark, path), "play", "1 second"), scratch)
     assert got == {**{k: (k + 1) // 2 for k in range(1, 9)}, 9: 5, 10: 5}
+
+
+def test_state_calls_do_not_grow_with_the_videos(spark, scratch):
+    """A state key a video made several calls a video and micro-batch."""
+    path = f"{scratch}/input"
+    _file(spark, path, [(k, k // 2, "play", 100 - k % 2) for k in range(4000)])
+    _file(spark, path, [(4000 + k, k, "play", 90) for k in range(1500)])
+    _file(spark, path, [(None, None, None, 200)])
+    table = UpsertTable(f"{scratch}/table", ["event_id"])
+    with state_partitions(spark, 2):
+        q = stateful.start_running(stateful.running_count_stream(_stream(spark, path), "play", "20 seconds"), table, f"{scratch}/ck", ONCE)
+        _finish(q)
+    got = {r.event_id: r.running for r in table.read(spark).collect()}
+    late = {k: (2 if k % 2 else 3) - (k // 2 >= 1500) for k in range(4000)}
+    assert got == {**late, **{4000 + k: 1 for k in range(1500)}}
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) < 2000
+
+
+def test_large_ids_beside_a_mark_of_time(spark, scratch, monkeypatch):
+    monkeypatch.setattr(stateful, "CHUNK", 2)
+    path, ids = f"{scratch}/input", [(1 << 60) + k for k in range(1, 8)]
+    _file(spark, path, [*[(i, None, "play", 10) for i in ids], (None, None, None, 10)])
+    _file(spark, path, [(None, None, None, 99)])
+    got = _run(spark, stateful.running_count_stream(_stream(spark, path), "play", "1 second"), scratch)
+    assert got == {i: k for k, i in enumerate(ids, 1)}
+
+
+def test_idle_counts_restart_within_a_bucket(spark, scratch):
+    """Seeds, restarts and waiting records of videos that share one bucket."""
+    path = f"{scratch}/input"
+    seed = spark.createDataFrame([("a", 10), ("a", 1), ("b", None), (None, 5)], "video_id string, running long")
+    rows = [(1, "a", "play", 10), (2, "a", "play", 40), (3, "b", "play", 12), (4, None, "play", 70), (5, "a", "play", 41)]
+    df = spark.createDataFrame(rows + [(None, None, None, 60), (None, None, None, 200)], "event_id long, video_id string, event_type string, s long")
+    for upto in (60, 1000):
+        part = df.where(f"s <= {upto} and s > {upto - 60 if upto == 60 else 60}")
+        part.select("event_id", "video_id", "event_type", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(SCHEMA.replace("video_id long", "video_id string")).option("maxFilesPerTrigger", 1).parquet(path)
+    counted = stateful.running_stream(stream, F.lit(1), "1 second", seed=seed, idle_ms=20_000, buckets=1)
+    assert _run(spark, counted, scratch) == {1: 12, 2: 1, 5: 2, 3: 1, 4: 6}
