@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vidpulse.llm import token_orc as O
-from vidpulse.llm.units import UnitMemory
+from vidpulse.llm.units import AgingMemory, UnitMemory
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -115,3 +115,26 @@ def test_memory_stays_within_its_bytes():
         for unit in [f"{k}-{j}".encode() for j in range(100)] + [b"x" * 100_000]:
             assert memory[unit] == unit * 2
             assert memory.used <= 50_000 and b"x" * 100_000 not in memory
+
+
+def test_aging_memory_keeps_what_comes_back_within_its_bytes():
+    asked = []
+    memory = AgingMemory(lambda unit: asked.append(unit) or unit * 2, most_bytes=50_000)
+    for k in range(3000):
+        assert memory[b"often"] == b"oftenoften" and memory[b"%d" % k] == b"%d%d" % (k, k)
+        assert sum(200 + len(u) + len(v) for u, v in [*memory.items(), *memory.older.items()]) <= 50_000
+    assert asked.count(b"often") == 1 and len(asked) == 3001
+    assert memory[b"x" * 100] == b"x" * 200 and b"x" * 100 not in memory
+
+
+def test_a_worker_remembers_little_of_texts_with_new_words(library):
+    """Six workers of an executor remembered up to 512 MB each."""
+    bpe = O.WordBpe(PATH)
+    assert bpe.words.most_bytes + bpe.cores.most_bytes <= 128 << 20
+    bpe.words.most_bytes = bpe.cores.most_bytes = 20_000
+    rng = random.Random(2)
+    for _ in range(300):
+        text = " ".join(rng.choice(["The", "end.", "été,", "x1;", f"w{rng.randrange(10**6)}.", "<|endoftext|>", "...", "a.b?"]) for _ in range(40))
+        text = text if rng.randrange(2) else text.encode("ascii", "ignore").decode().replace("<|", "<")
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert bpe.encode(text) == struct.pack(f"<{len(ids)}I", *ids)

@@ -12,8 +12,8 @@ order and counts on from zero, so nothing waits for a total.  What lies before
 a file is the sum of the tokens of the files before it, a table of one row a
 file (``starts``); ``read_ids`` adds it.
 
-The ``tokenizers`` library encodes each distinct word once per worker, as the
-pre-tokenizer drops white space and no word depends on its neighbours.
+The ``tokenizers`` library encodes a word when a worker does not remember it, as
+the pre-tokenizer drops white space and no word depends on its neighbours.
 
 Defined results: null text counts as empty (one end id); null ids come first,
 rows with one id are ordered by text hash and are told apart by their starts;
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidpulse.llm.byte_bpe import byte_table
-from vidpulse.llm.units import UnitMemory
+from vidpulse.llm.units import AgingMemory
 from vidpulse.operators.prefix import running_sum
 
 #: Rows of one index entry and Bloom filter.
@@ -45,9 +45,17 @@ STRIPE_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
 #: Text bytes that are split into words at once.
 PART_BYTES = 1 << 20
+#: Bytes that a worker remembers of words as they stand, and of their cores
+#: (the older half is of words that may not come again).
+WORD_BYTES = 32 << 20
+CORE_BYTES = 96 << 20
 _SPACE = re.compile(rb"\s")
 _SCHEMA = "part int, doc_id {id}, local_start long, n_tokens long, ids array<int>"
 _TAIL = b".,;:!?"
+#: Texts in which ASCII letters can be lower-cased first: nothing composes with them.
+_PLAIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-įı-ɏ]*")
+#: A closing mark at the end of a lower-cased word.
+_TAILED = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?!\S)")
 #: Letters that the normaliser lower-cases one by one and leaves composed.
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
@@ -75,14 +83,16 @@ class WordBpe:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.chars = Tokenizer.from_file(path), byte_table()
-        self.cores = UnitMemory(self._core, 128 << 20)
-        self.words = UnitMemory(self._word, 384 << 20)
+        self.cores = AgingMemory(self._core, CORE_BYTES)
+        self.words = AgingMemory(self._word, WORD_BYTES)
 
     def _core(self, unit: bytes) -> bytes:
         """Latin letters are one piece, which the model reads lower-cased
         without the steps before it."""
         text = unit.decode()
-        if _LATIN.fullmatch(text):
+        if unit.isalpha():  # ASCII letters, which stand for themselves
+            ids = [t.id for t in self.tokenizer.model.tokenize(text.lower())]
+        elif _LATIN.fullmatch(text):
             ids = [t.id for t in self.tokenizer.model.tokenize("".join([self.chars[b] for b in text.lower().encode()]))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -95,9 +105,17 @@ class WordBpe:
         ids = self.cores[core.lower() if core.isascii() and b"<|" not in core else core]
         return ids + self.cores[word[-1:]] if tail else ids
 
+    def _units(self, part: bytes) -> Iterator[bytes]:
+        """Ids of the words of a part of a text.  Where no letter but Latin
+        ones can meet an ASCII letter, the cores are taken from the whole part
+        at once."""
+        if b"<|" not in part and (part.isascii() or _PLAIN.fullmatch(part.decode())):
+            return map(self.cores.__getitem__, _TAILED.sub(rb" \1", part.lower()).split())
+        return map(self.words.__getitem__, part.split())
+
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian uint32."""
-        return b"".join([b"".join(map(self.words.__getitem__, part.split())) for part in _parts(text.encode())])
+        return b"".join([b"".join(self._units(part)) for part in _parts(text.encode())])
 
 
 @functools.lru_cache(maxsize=2)

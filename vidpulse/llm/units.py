@@ -29,3 +29,27 @@ class UnitMemory(dict):
             self[unit] = value
             self.used += cost
         return value
+
+
+class AgingMemory(UnitMemory):
+    """A ``UnitMemory`` in two halves of its bytes: when the newer is full it
+    becomes the older, whose units are forgotten unless they are met again.
+    Frequent units stay in a memory far smaller than the vocabulary."""
+
+    def __init__(self, work: Callable[[bytes], bytes], most_bytes: int) -> None:
+        super().__init__(work, most_bytes)
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, unit: bytes) -> bytes:
+        value = self.older.pop(unit, None)
+        if value is None:
+            value = self.work(unit)
+        if len(unit) <= SHORT:
+            cost = 200 + len(unit) + len(value)
+            if 2 * (self.used + cost) > self.most_bytes:
+                self.older = dict(self)
+                self.clear()
+                self.used = 0
+            self[unit] = value
+            self.used += cost
+        return value
