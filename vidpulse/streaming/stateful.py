@@ -143,6 +143,8 @@ def _joined(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
     for part in rows:
         part = part.loc[part["has_id"], _WAITING]
+        if part["us"].isna().any():
+            raise ValueError("a record without time has no place in a running count")
         held.append(part)
         size += len(part)
         if size >= CHUNK:
