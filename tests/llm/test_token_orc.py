@@ -138,3 +138,34 @@ def test_a_worker_remembers_little_of_texts_with_new_words(library):
         text = text if rng.randrange(2) else text.encode("ascii", "ignore").decode().replace("<|", "<")
         ids = library.encode(text, add_special_tokens=False).ids
         assert bpe.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_a_block_looks_a_word_up_once(library):
+    """Every occurrence was looked up by itself: 489 CPU seconds a GB."""
+    class Counting(AgingMemory):
+        asked = 0
+
+        def __getitem__(self, unit):
+            Counting.asked += 1
+            return super().__getitem__(unit)
+
+    for text in ("The cat's 2 hats, née Été. " * 500, "漢字 and\tthe cat. " * 500):
+        bpe = O.WordBpe(PATH)
+        bpe.words, bpe.cores, Counting.asked = Counting(bpe.words.work, 1 << 20), Counting(bpe.cores.work, 1 << 20), 0
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert bpe.encode(text) == struct.pack(f"<{len(ids)}I", *ids) and 0 < Counting.asked <= 24
+
+
+@pytest.mark.parametrize("block", [1, 60, 8 << 20])
+def test_blocks_of_texts_equal_the_library(library, monkeypatch, block):
+    monkeypatch.setattr(O, "BATCH_BYTES", block)
+    monkeypatch.setattr(O, "PART_BYTES", 20)
+    parts = ["it", "'s", "'S", "'", "''", "'re", "'r", "'LL", "'send", "!", "!'s", "12", "7", "é", "É", "ȺB", "ß", "Ŀ", "a", "Word", ".", "...", "\x00", "\x1c", "\x7f", "_", "`", "@[", "{",
+             " ", "  ", "\n", "\t", "\x0b", "\x0c", "\r", "\x85", "\xa0", "İ", "漢", "\u0301", "×", "<|endoftext|>", "<|", "</w>"]
+    rng, bpe = random.Random(7), O.WordBpe(PATH)
+    for most in (29, 36, len(parts)):  # plain texts only in the first two rounds
+        for _ in range(150):
+            texts = ["".join(rng.choice(parts[: most if rng.randrange(3) else 36]) for _ in range(rng.choice([0, 1, 2, 9, 30]))) for _ in range(12)]
+            want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+            got = [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in bpe.encode_all(texts)]
+            assert got == want, [(t, w, g) for t, w, g in zip(texts, want, got) if w != g][:1]

@@ -13,7 +13,9 @@ a file is the sum of the tokens of the files before it, a table of one row a
 file (``starts``); ``read_ids`` adds it.
 
 The ``tokenizers`` library encodes a word when a worker does not remember it, as
-the pre-tokenizer drops white space and no word depends on its neighbours.
+the pre-tokenizer drops white space and no word depends on its neighbours.  A
+block of texts is cut at once and Arrow numbers its words, so that Python meets
+a word once a block, however often it stands there.
 
 Defined results: null text counts as empty (one end id); null ids come first,
 rows with one id are ordered by text hash and are told apart by their starts;
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,23 +44,25 @@ from vidpulse.operators.prefix import running_sum
 #: Rows of one index entry and Bloom filter.
 ROWS = 1000
 STRIPE_BYTES = 16 << 20
-#: Text bytes of one Arrow batch of results, about.
-BATCH_BYTES = 4 << 20
-#: Text bytes that are split into words at once.
+#: Text bytes of one Arrow batch of results and of a block whose words are numbered, about.
+BATCH_BYTES = 8 << 20
+#: Text bytes of a document that go into a block undivided.
 PART_BYTES = 1 << 20
-#: Bytes that a worker remembers of words as they stand, and of their cores
-#: (the older half is of words that may not come again).
+#: Bytes that a worker remembers of words as they stand, and of pieces of plain
+#: texts (the older half is of words that may not come again).
 WORD_BYTES = 32 << 20
 CORE_BYTES = 96 << 20
 _SPACE = re.compile(rb"\s")
 _SCHEMA = "part int, doc_id {id}, local_start long, n_tokens long, ids array<int>"
-_TAIL = b".,;:!?"
-#: Texts in which ASCII letters can be lower-cased first: nothing composes with them.
+#: Texts of ASCII and of letters that the normaliser lower-cases one by one and leaves composed.
 _PLAIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-įı-ɏ]*")
-#: A closing mark at the end of a lower-cased word.
-_TAILED = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?!\S)")
-#: Letters that the normaliser lower-cases one by one and leaves composed.
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+#: Kinds of the bytes of such a text in lower case; bytes from 80 on are of letters.
+_MARK, _GAP, _LETTER, _DIGIT = range(4)
+_KINDS = np.full(256, _MARK, dtype=np.uint8)
+_KINDS[list(b" \t\n\v\f\r")] = _GAP
+_KINDS[ord("a") : ord("z") + 1] = _KINDS[128:] = _LETTER
+_KINDS[ord("0") : ord("9") + 1] = _DIGIT
+_SHORT = re.compile(rb"[stmd]|[rv]e|ll")
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
@@ -70,12 +75,46 @@ def _parts(data: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _block(parts: Iterator[tuple[int, bytes]], most: int) -> list[tuple[int, bytes]]:
+    """The next parts, of ``most`` bytes or little more."""
+    block, size = [], 0
+    for part in parts:
+        block.append(part)
+        size += len(part[1])
+        if size >= most:
+            break
+    return block
+
+
+def _is_plain(part: bytes) -> bool:
+    """No letters but ASCII and Latin ones, no marks of special tokens."""
+    return b"<|" not in part and (part.isascii() or _PLAIN.fullmatch(part.decode()) is not None)
+
+
+def _cut(data: bytes) -> np.ndarray:
+    """Where the pre-tokenizer's pieces of plain lower-case text begin, each
+    with the white space before it: letters, one digit, marks, or a short form
+    (``'s``, ``'re``) in place of marks that begin with its apostrophe."""
+    octets = np.frombuffer(data, dtype=np.uint8)
+    kinds = _KINDS[octets]
+    begins = np.empty(len(octets), dtype=bool)
+    begins[:1] = True
+    begins[1:] = ((kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)) & (kinds[:-1] != _GAP)
+    marks = np.flatnonzero(octets == ord("'"))
+    for at in marks[(marks == 0) | (kinds[marks - 1] != _MARK)].tolist():
+        short = _SHORT.match(data, at + 1)
+        if short:
+            begins[at + 1] = False
+            begins[short.end() : short.end() + 1] = True
+    return np.flatnonzero(begins)
+
+
 class WordBpe:
-    """Ids of a text by a tokenizer file whose pre-tokenizer drops white space.
+    """Ids of texts by a tokenizer file whose pre-tokenizer drops white space.
 
-    Words are cut at ASCII white space.  A closing mark after an ASCII letter
-    is always a piece of its own, so ``Word,`` is encoded as ``word`` and ``,``
-    (plain ASCII is lower-cased here; marks of special tokens stay as they are).
+    Texts of ASCII and Latin letters come apart into letters, single digits and
+    marks, which the model reads lower-cased without the steps before it; the
+    library encodes the words of other texts, cut at ASCII white space.
     """
 
     def __init__(self, path: str) -> None:
@@ -86,36 +125,60 @@ class WordBpe:
         self.cores = AgingMemory(self._core, CORE_BYTES)
         self.words = AgingMemory(self._word, WORD_BYTES)
 
-    def _core(self, unit: bytes) -> bytes:
-        """Latin letters are one piece, which the model reads lower-cased
-        without the steps before it."""
-        text = unit.decode()
-        if unit.isalpha():  # ASCII letters, which stand for themselves
-            ids = [t.id for t in self.tokenizer.model.tokenize(text.lower())]
-        elif _LATIN.fullmatch(text):
-            ids = [t.id for t in self.tokenizer.model.tokenize("".join([self.chars[b] for b in text.lower().encode()]))]
+    def _core(self, piece: bytes) -> bytes:
+        """Ids of a piece of plain text, white space before it left out."""
+        piece = piece.lstrip()
+        if piece.isalpha():  # ASCII letters, which stand for themselves
+            text = piece.decode()
         else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            text = "".join([self.chars[b] for b in piece.decode().lower().encode()])
+        ids = [t.id for t in self.tokenizer.model.tokenize(text)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
-        """Ids of a word by its core: a mark at the end comes apart."""
-        tail = len(word) > 1 and word[-1] in _TAIL and word[-2:-1].isalnum()
-        core = word[:-1] if tail else word
-        ids = self.cores[core.lower() if core.isascii() and b"<|" not in core else core]
-        return ids + self.cores[word[-1:]] if tail else ids
-
-    def _units(self, part: bytes) -> Iterator[bytes]:
-        """Ids of the words of a part of a text.  Where no letter but Latin
-        ones can meet an ASCII letter, the cores are taken from the whole part
-        at once."""
-        if b"<|" not in part and (part.isascii() or _PLAIN.fullmatch(part.decode())):
-            return map(self.cores.__getitem__, _TAILED.sub(rb" \1", part.lower()).split())
-        return map(self.words.__getitem__, part.split())
+        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _looked_up(self, memory: AgingMemory, units: pa.Array, ends: np.ndarray) -> list[bytes]:
+        """Ids of the units up to each of ``ends``, every unit looked up once."""
+        coded = units.dictionary_encode()
+        known = pa.array([memory[u] for u in coded.dictionary.to_pylist()], type=pa.large_binary())
+        ids = known.take(coded.indices)
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])[ends].tolist()
+        flat = memoryview(ids.buffers()[2] or b"")
+        return [flat[a:b].tobytes() for a, b in zip([0, *at], at)]
+
+    def _plain(self, parts: list[bytes]) -> list[bytes]:
+        parts = [part.rstrip() for part in parts]  # a piece takes the white space before it
+        data = b"\n".join(parts).lower()
+        begins = _cut(data)
+        bounds = np.append(begins, len(data)).astype(np.int64)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        ends = np.cumsum([len(part) + 1 for part in parts]) - 1
+        return self._looked_up(self.cores, units, np.searchsorted(bounds[1:], ends, side="right"))
+
+    def _mixed(self, parts: list[bytes]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array(parts, type=pa.string()))
+        return self._looked_up(self.words, words.flatten().cast(pa.binary()), words.offsets.to_numpy()[1:])
+
+    def _encode_block(self, parts: list[bytes]) -> list[bytes]:
+        plain = [_is_plain(part) for part in parts]
+        of_plain = iter(self._plain([part for part, p in zip(parts, plain) if p]) if any(plain) else ())
+        of_mixed = iter(self._mixed([part for part, p in zip(parts, plain) if not p]) if not all(plain) else ())
+        return [next(of_plain if p else of_mixed) for p in plain]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian uint32."""
+        ids: list[list[bytes]] = [[] for _ in texts]
+        parts = ((at, part) for at, text in enumerate(texts) for part in _parts(text.encode()))
+        while block := _block(parts, BATCH_BYTES):
+            for (at, _), some in zip(block, self._encode_block([part for _, part in block])):
+                ids[at].append(some)
+        return [b"".join(some) for some in ids]
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian uint32."""
-        return b"".join([b"".join(self._units(part)) for part in _parts(text.encode())])
+        return self.encode_all([text])[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -142,7 +205,7 @@ def encode_in_order(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
             step = max(1, int(batch.num_rows * BATCH_BYTES / max(1, batch.column(2).nbytes)))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                ids = [bpe.encode(t or "") + end for t in part.column(2).to_pylist()]
+                ids = [i + end for i in bpe.encode_all([t or "" for t in part.column(2).to_pylist()])]
                 sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
                 ends = np.cumsum(sizes)
                 values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
